@@ -17,11 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+# Full microsecond precision both ways (the defaults keep milliseconds).
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def to_json_value(df: DataFrame, name: str = "value") -> DataFrame:
     """SNK5: each row as one JSON object; null fields are left out."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(name))
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias(name))
 
 
 def as_text(col: str | Column) -> Column:
@@ -32,7 +37,7 @@ def as_text(col: str | Column) -> Column:
 
 def parse_json(df: DataFrame, col: str, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """STR1: text → struct → columns (``data.*``), permissive."""
-    parsed = df.select(*keep, F.from_json(as_text(col), schema).alias("__data"))
+    parsed = df.select(*keep, F.from_json(as_text(col), schema, JSON_OPTIONS).alias("__data"))
     return parsed.select(*keep, "__data.*")
 
 
@@ -45,7 +50,8 @@ def parse_json_split(df: DataFrame, col: str, schema: T.StructType,
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     parsed = df.select(*keep, as_text(col).alias("__raw"),
                        F.from_json(as_text(col), with_corrupt,
-                                   {"columnNameOfCorruptRecord": CORRUPT}).alias("__data"))
+                                   {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT})
+                       .alias("__data"))
     missing = [F.col(f"__data.{r}").isNull() for r in required]
     reason = F.when(F.col("__raw").isNull(), F.lit("null value")) \
         .when(F.col(f"__data.{CORRUPT}").isNotNull(), F.lit("malformed"))
