@@ -39,10 +39,11 @@ def item_struct(fields: Sequence[str | Column], name: str = "item") -> Column:
 
 
 def _fold(items: DataFrame, on: list[str], group: list[Column], name: str) -> DataFrame:
-    # array_sort gives a fixed order (L16): structs sort field by field, so
-    # put the item's own ordering fields first.
+    # sort_array gives a fixed order (L16): structs sort field by field, so
+    # put the item's own ordering fields first.  (Native, unlike array_sort,
+    # which runs a comparator lambda.)
     return items.groupBy(*group).agg(
-        F.array_sort(F.collect_list("__item")).alias(name),
+        F.sort_array(F.collect_list("__item")).alias(name),
         F.count(F.lit(1)).alias("__chunk_n"),
     )
 
@@ -82,7 +83,7 @@ def nest_items(parent: DataFrame, items: DataFrame, on: str | Sequence[str],
         F.pmod(F.xxhash64(F.col("__item")), pieces)).cast("int")
     spread = spread.withColumn("chunk", chunk)
     nested = spread.groupBy(*on, "chunk").agg(
-        F.array_sort(F.collect_list("__item")).alias(name),
+        F.sort_array(F.collect_list("__item")).alias(name),
         F.count(F.lit(1)).alias("__chunk_n"),
         F.max("__n").alias("__n"),
     )

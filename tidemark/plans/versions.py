@@ -56,6 +56,7 @@ class VersionedTable:
         self.root = root.rstrip("/")
         self.log_dir = f"{self.root}/_log"
         self.data_dir = f"{self.root}/data"
+        self._entries: dict[str, dict] = {}  # log entries are immutable: cache by file
 
     # ------------------------------------------------------------ file system
     def _path(self, p: str):
@@ -73,14 +74,30 @@ class VersionedTable:
             out.close()
 
     # ------------------------------------------------------------------- log
+    def _read_text(self, path: str) -> str:
+        jvm = self.spark._jvm  # noqa: SLF001
+        stream = self._fs().open(self._path(path))
+        try:
+            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def log(self) -> list[dict]:
-        """All snapshots, oldest first (metadata only: one row per write)."""
+        """All snapshots, oldest first.  Metadata only (one small file per
+        write), read on the driver without a Spark job."""
         fs = self._fs()
         if not fs.exists(self._path(self.log_dir)):
             return []
-        rows = (self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)
-                .orderBy("snapshot_id").collect())
-        return [r.asDict(recursive=True) for r in rows]
+        names = sorted(st.getPath().getName() for st in fs.listStatus(self._path(self.log_dir))
+                       if st.getPath().getName().endswith(".json"))
+        out = []
+        for n in names:
+            if n not in self._entries:
+                rec = json.loads(self._read_text(f"{self.log_dir}/{n}"))
+                rec["committed_at"] = _parse_time(rec["committed_at"])
+                self._entries[n] = rec
+            out.append(self._entries[n])
+        return out
 
     def latest(self) -> dict | None:
         entries = self.log()
@@ -234,6 +251,11 @@ class VersionedTable:
             fs.delete(self._path(self.root), True)
 
 
+def _parse_time(text: str):
+    import datetime as _dt
+    return _dt.datetime.strptime(text.rstrip("Z"), "%Y-%m-%dT%H:%M:%S.%f")
+
+
 def _merge_schema(parent: dict | None, new: T.StructType) -> T.StructType:
     """VER5: the table schema only grows; new columns are added at the end."""
     if not parent:
