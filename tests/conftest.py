@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,7 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from tidemark.session import get_session
 
-    s = get_session("local[4]", shuffle_partitions=4)
+    s = get_session("local[4]", shuffle_partitions=4,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tm-warehouse-")})
     yield s
     s.stop()

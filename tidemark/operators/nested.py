@@ -76,11 +76,19 @@ def nest_items(parent: DataFrame, items: DataFrame, on: str | Sequence[str],
         return out.select(*parent.columns, F.lit(0).alias("chunk"),
                           F.coalesce(F.col("__chunk_n"), F.lit(0)).cast("long").alias(count_col),
                           F.col(name))
-    side = F.broadcast(hot) if 0 < n_hot <= broadcast_limit else hot
-    spread = staged.join(side, on, "left")
     pieces = F.ceil(F.col("__n") / F.lit(max_items))
-    chunk = F.when(F.col("__n").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(F.col("__item")), pieces)).cast("int")
+    if 0 < n_hot <= broadcast_limit:
+        # Items stream through a broadcast join in scan order, so a row's
+        # position id is the same on every task attempt: it splits even
+        # identical items of one parent.
+        spread = staged.join(F.broadcast(hot), on, "left")
+        salt = F.xxhash64(F.col("__item"), F.monotonically_increasing_id())
+    else:
+        # After a shuffle join row order is not repeatable; hash the item
+        # alone (identical items of one parent then share a chunk).
+        spread = staged.join(hot, on, "left")
+        salt = F.xxhash64(F.col("__item"))
+    chunk = F.when(F.col("__n").isNull(), F.lit(0)).otherwise(F.pmod(salt, pieces)).cast("int")
     spread = spread.withColumn("chunk", chunk)
     nested = spread.groupBy(*on, "chunk").agg(
         F.sort_array(F.collect_list("__item")).alias(name),
