@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.json import to_json_value
+from ..functions.json import JSON_OPTIONS, to_json_value
+from ..session import scratch_path
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -28,25 +29,38 @@ def kafka_available(spark: SparkSession) -> bool:
 
 
 def publish_events(df: DataFrame, topic: str, batch_col: str | Column | None = None,
-                   batches: Sequence | None = None, servers: str | None = None) -> list:
+                   batches: Sequence | None = None, servers: str | None = None,
+                   staging: str | None = None) -> list:
     """SNK5: publish every row as one JSON object (nulls left out).
 
     With ``batch_col`` the rows are published in ascending order of that
     column, one write per distinct value (SNK6's paced replay, one trigger
-    per batch).  The distinct values are a small set (days, weeks); pass
-    ``batches`` to skip computing them.  Returns the batch values written.
+    per batch).  The source is read and encoded once, into a staging folder
+    partitioned by batch number; each batch is then copied to the topic by a
+    job that reads only its own partition, so the cost is O(data), not
+    O(batches x data).  The distinct values must be a small set (days,
+    weeks); pass ``batches`` to skip computing them.  Returns the batch
+    values written.
     """
     if batch_col is None:
         _write(to_json_value(df), topic, 0, servers)
         return [None]
+    spark = df.sparkSession
     col = F.col(batch_col) if isinstance(batch_col, str) else batch_col
-    staged = df.withColumn("__batch", col)
+    row = F.struct(*[F.col(c) for c in df.columns])
+    encoded = df.select(col.alias("__batch"), F.to_json(row, JSON_OPTIONS).alias("value"))
     if batches is None:
-        batches = [r[0] for r in staged.select("__batch").distinct().orderBy("__batch").collect()]
-    for i, b in enumerate(batches):
-        part = staged.filter(F.col("__batch") == F.lit(b)).drop("__batch")
-        _write(to_json_value(part), topic, i, servers)
-    return list(batches)
+        batches = [r[0] for r in encoded.select("__batch").distinct().orderBy("__batch").collect()]
+    batches = list(batches)
+    order = spark.createDataFrame([(i,) for i in range(len(batches))], "__seq int") \
+        .withColumn("__batch", F.element_at(F.array(*[F.lit(b) for b in batches]), F.col("__seq") + 1))
+    staging = staging or scratch_path(spark, "staging", "topic")
+    # The batch list is on the driver already, so broadcasting it is bounded.
+    (encoded.join(F.broadcast(order), "__batch").select("__seq", "value")
+     .write.partitionBy("__seq").mode("errorifexists").text(staging))
+    for i in range(len(batches)):
+        _write(spark.read.text(os.path.join(staging, f"__seq={i}")), topic, i, servers)
+    return batches
 
 
 def _write(values: DataFrame, topic: str, seq: int, servers: str | None) -> None:
