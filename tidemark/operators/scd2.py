@@ -275,15 +275,18 @@ def merge_versions(target: DataFrame, entries: DataFrame, keys: Sequence[str],
     live_e = live.select(*data, F.col(v.start).alias(at), F.lit(0).alias("__src"))
     new_e = entries.select(*data, F.col(at).cast(target.schema[v.start].dataType).alias(at),
                            F.lit(1).alias("__src"))
-    last_open = live.groupBy(*keys).agg(F.max(v.start).alias("__open_from"))
-    tagged = new_e.join(last_open, keys, "left")
-    is_late = F.col("__open_from").isNotNull() & (F.col(at) < F.col("__open_from"))
-    late = tagged.filter(is_late).drop("__open_from", "__src")
-    fresh = tagged.filter(~is_late).drop("__open_from")
-    both = live_e.unionByName(fresh)
-    # One entry per key and start; the incoming one wins.
-    both = latest_per_key(both, keys + [at], ["__src"])
-    reopened = history_from_entries(both, keys, tracked, at, [], v, mode)
+    # Every step below is a window over the key (or key and start, which the
+    # key partitioning already satisfies): one shuffle for the whole merge.
+    both = live_e.unionByName(new_e).withColumn(
+        "__open_from", F.max(F.when(F.col("__src") == 0, F.col(at))).over(Window.partitionBy(*keys)))
+    is_late = (F.col("__src") == 1) & F.col("__open_from").isNotNull() & (F.col(at) < F.col("__open_from"))
+    late = both.filter(is_late).select(*data, at)
+    fresh = both.filter(~is_late)
+    # One entry per key and start; the incoming one wins over an open row.
+    fresh = (fresh.withColumn("__incoming_here", F.max("__src").over(Window.partitionBy(*keys, at)))
+             .filter((F.col("__src") == 1) | (F.col("__incoming_here") == 0))
+             .drop("__open_from", "__incoming_here"))
+    reopened = history_from_entries(fresh, keys, tracked, at, [], v, mode)
     return closed, reopened.select(*target.columns), late
 
 
