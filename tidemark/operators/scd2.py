@@ -315,11 +315,14 @@ def rewrite_when(col: str, match, then, otherwise) -> Column:
 
 def build_change_set(current: DataFrame, keys: Sequence[str], fraction: float, seed: int,
                      rewrites: dict[str, Column], stamp: dict[str, Column] | None = None,
-                     method: str = "hash", order_by: Sequence[str] | None = None) -> DataFrame:
+                     method: str = "hash", order_by: Sequence[str] | None = None,
+                     staged: bool = False) -> DataFrame:
     """SCD4: sample open rows, keep one per key, rewrite, stamp.
 
     ``method="hash"`` samples by key hash (repeatable); ``"bernoulli"`` is
     Spark's ``sample`` (depends on partitioning, like the reference).
+    ``staged=True`` writes the change set to the shared folder and reads it
+    back (SCD5), so a merge that reads it twice sees the same rows.
     """
     if method == "hash":
         picked = hash_sample(current, fraction, seed, keys)
@@ -329,7 +332,11 @@ def build_change_set(current: DataFrame, keys: Sequence[str], fraction: float, s
         raise ValueError(f"method {method!r}")
     rest = [c for c in picked.columns if c not in keys]
     one = latest_per_key(picked, keys, order_by or rest)
-    return one.withColumns({**rewrites, **(stamp or {})})
+    out = one.withColumns({**rewrites, **(stamp or {})})
+    if staged:
+        from ..session import stage
+        out = stage(out, "change_set")
+    return out
 
 
 # --------------------------------------------------------------- SCD6/SCD7

@@ -64,3 +64,17 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder."""
     return os.path.join(shared_root(spark), "tidemark", *parts, uuid.uuid4().hex)
+
+
+def stage(df, name: str = "staged"):
+    """SCD5: write ``df`` to the shared folder and read it back.
+
+    Cuts lineage so that every later read sees the same rows (a sampled or
+    clock-stamped change set read twice would otherwise be recomputed).
+    Survives executor loss, unlike a local checkpoint.  Returns the
+    re-read DataFrame; its path is in ``inputFiles()``.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "staging", name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
