@@ -72,7 +72,9 @@ def nest_items(parent: DataFrame, items: DataFrame, on: str | Sequence[str],
         n_hot = -1
     if n_hot == 0:
         nested = _fold(staged, on, [F.col(c) for c in on], name)
-        out = parent.join(nested, on, "left")
+        # Both sides grow with the data: never broadcast the folded arrays on
+        # a size estimate taken from compressed files.
+        out = parent.join(nested.hint("merge"), on, "left")
         return out.select(*parent.columns, F.lit(0).alias("chunk"),
                           F.coalesce(F.col("__chunk_n"), F.lit(0)).cast("long").alias(count_col),
                           F.col(name))
@@ -95,7 +97,7 @@ def nest_items(parent: DataFrame, items: DataFrame, on: str | Sequence[str],
         F.count(F.lit(1)).alias("__chunk_n"),
         F.max("__n").alias("__n"),
     )
-    with_items = parent.join(nested, on, "inner").select(
+    with_items = parent.join(nested.hint("merge"), on, "inner").select(
         *parent.columns, "chunk",
         F.coalesce(F.col("__n"), F.col("__chunk_n")).cast("long").alias(count_col), name)
     without = parent.join(sizes.select(*on), on, "left_anti").select(
