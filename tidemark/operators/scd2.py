@@ -173,7 +173,8 @@ def compat_stream_merge(target: DataFrame, changes: DataFrame, keys: Sequence[st
 # --------------------------------------------------------------------- SCD3
 def history_from_entries(entries: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                          at: str, tiebreak: Sequence[str] = (),
-                         v: Validity = DATE_VALIDITY, mode: str = "sound") -> DataFrame:
+                         v: Validity = DATE_VALIDITY, mode: str = "sound",
+                         segment: str | None = None) -> DataFrame:
     """Versions from entries that each say "from ``at`` on, the key looks
     like this row".
 
@@ -188,9 +189,15 @@ def history_from_entries(entries: DataFrame, keys: Sequence[str], tracked: Seque
 
     Windows are partitioned by key.  Feed one entry per key and period (see
     ``history_from_log``) so that a key's window holds at most one row per
-    period whatever the event volume of a hot key.
+    period whatever the event volume of a hot key, or name a ``segment``
+    column (a time bucket that never decreases as ``at`` grows) to spread
+    each key over its segments; see ``_segmented_history``.
     """
     keys, tracked = list(keys), list(tracked)
+    if mode == "compat" and len(tracked) != 1:
+        raise ValueError("compat history tracks exactly one column")
+    if segment is not None:
+        return _segmented_history(entries, keys, tracked, at, list(tiebreak), segment, v, mode)
     order = [F.col(at)] + [F.col(c) for c in tiebreak]
     w = Window.partitionBy(*keys).orderBy(*order)
     data = [c for c in entries.columns if c not in v.names and c != at and not c.startswith("__")]
@@ -224,17 +231,85 @@ def history_from_entries(entries: DataFrame, keys: Sequence[str], tracked: Seque
     )
 
 
+def _segmented_history(entries: DataFrame, keys: list[str], tracked: list[str], at: str,
+                       tiebreak: list[str], seg: str, v: Validity, mode: str) -> DataFrame:
+    """The same versions as the per-key windows, with windows per key *and*
+    segment, so a key with a third of all entries is spread over many tasks.
+
+    Both rule sets reduce to: mark the entries that start a version (sound)
+    or a run of equal values (compat), then end each output row at the first
+    start strictly after it.  Inside a segment both steps are windows.  At
+    segment edges the first entry's mark needs the last value of the
+    key's previous segment, and a row whose segment has no later start ends
+    at the first start of a later segment; both come from a summary of one
+    row per key and segment (small: its size grows with time span, not
+    events), scanned per key and joined back on (key, segment).  Entries with
+    a null key or segment take the per-key path.
+    """
+    order = [F.col(at)] + [F.col(c) for c in tiebreak]
+    cur = F.struct(*[F.col(t) for t in tracked])
+    t_null = F.lit(None).cast(entries.schema[at].dataType)
+    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys + [seg]])
+    rest = history_from_entries(entries.filter(has_null), keys, tracked, at, tiebreak, v, mode)
+    entries = entries.filter(~has_null)
+    if mode == "compat":
+        nulls = entries.filter(F.col(tracked[0]).isNull()).withColumn("__end", t_null)
+        base = entries.filter(F.col(tracked[0]).isNotNull())
+    elif mode == "sound":
+        nulls, base = None, entries
+    else:
+        raise ValueError(f"mode {mode!r}")
+    inner = Window.partitionBy(*keys, seg).orderBy(*order)
+    x = (base.withColumn("__cur", cur).withColumn("__prev", F.lag("__cur").over(inner))
+         .withColumn("__first", F.col("__prev").isNull())
+         .withColumn("__inner_start", F.col("__prev").isNotNull()
+                     & ~F.col("__prev").eqNullSafe(F.col("__cur"))))
+    ordkey = F.struct(*order)
+    summary = x.groupBy(*keys, seg).agg(
+        F.min_by("__cur", ordkey).alias("__first_t"),
+        F.max_by("__cur", ordkey).alias("__last_t"),
+        F.min(at).alias("__first_at"),
+        F.min(F.when(F.col("__inner_start"), F.col(at))).alias("__first_inner"))
+    by_seg = Window.partitionBy(*keys).orderBy(seg)
+    later_segs = Window.partitionBy(*keys).orderBy(F.col(seg).desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    prev_last = F.lag("__last_t").over(by_seg)
+    summary = (summary
+               .withColumn("__first_is_start", prev_last.isNull() | ~prev_last.eqNullSafe(F.col("__first_t")))
+               .withColumn("__seg_start", F.when(F.col("__first_is_start"), F.col("__first_at"))
+                           .otherwise(F.col("__first_inner")))
+               .withColumn("__next_seg_start", F.min("__seg_start").over(later_segs))
+               .select(*keys, seg, "__first_is_start", "__next_seg_start"))
+    y = x.join(summary, [*keys, seg]).withColumn(
+        "__start", F.when(F.col("__first"), F.col("__first_is_start")).otherwise(F.col("__inner_start")))
+    later_rows = Window.partitionBy(*keys, seg).orderBy(*[c.desc() for c in order]) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    y = y.withColumn("__end", F.coalesce(F.min(F.when(F.col("__start"), F.col(at))).over(later_rows),
+                                         F.col("__next_seg_start")))
+    out = y.filter("__start") if mode == "sound" else y
+    data = [c for c in entries.columns if c not in v.names and c != at and not c.startswith("__")]
+    cols = [*[F.col(c) for c in data], F.col(at).alias(v.start), F.col("__end").alias(v.end),
+            F.col("__end").isNull().alias(v.current)]
+    res = out.select(*cols)
+    if nulls is not None:
+        res = res.unionByName(nulls.select(*cols))
+    return res.unionByName(rest.select(*res.columns))
+
+
 def history_from_log(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                      ts: str, tiebreak: Sequence[str] = (), period: Column | None = None,
                      v: Validity = DATE_VALIDITY, mode: str = "sound",
-                     payload: Sequence[str] | None = None) -> DataFrame:
+                     payload: Sequence[str] | None = None,
+                     segment: Column | None = None) -> DataFrame:
     """SCD3: the full history as a pure query over a change log.
 
     With ``period`` (a column expression, e.g. the event day) the log is
     first cut to the last event per key and period; that aggregate combines
     map-side, so hot keys shrink before any shuffle.  Versions then start
     at the period value.  Without ``period`` every event is an entry at
-    ``ts``.
+    ``ts``; give ``segment`` (a time bucket of ``ts``, e.g. the hour) so that
+    the windows run per key and segment and a hot key is spread over many
+    tasks.  The result does not depend on the segment chosen.
     """
     keys, tracked = list(keys), list(tracked)
     keep = list(payload) if payload is not None else \
@@ -246,10 +321,13 @@ def history_from_log(log: DataFrame, keys: Sequence[str], tracked: Sequence[str]
         entries = latest_per_key(stamped, keys + ["__at"], [ts, *tiebreak])
         tb: list[str] = []
     else:
-        entries = log.select(*sel, F.col(ts).alias("__at"))
+        extra = [segment.alias("__seg")] if segment is not None else []
+        entries = log.select(*sel, F.col(ts).alias("__at"), *extra)
         tb = list(tiebreak)
-    entries = entries.select(*list(dict.fromkeys(cols + tb)), "__at")
-    hist = history_from_entries(entries, keys, tracked, "__at", tb, v, mode)
+    seg = ["__seg"] if segment is not None and period is None else []
+    entries = entries.select(*list(dict.fromkeys(cols + tb)), "__at", *seg)
+    hist = history_from_entries(entries, keys, tracked, "__at", tb, v, mode,
+                                segment="__seg" if seg else None)
     return hist.select(*cols, *v.names)
 
 

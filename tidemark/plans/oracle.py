@@ -87,6 +87,23 @@ x AS (SELECT a.user_id, a.event_type, a.event_id, a.ts, a.d, min(b.d) AS t1
 SELECT user_id, event_type, event_id, ts, d AS effective_time, t1 AS end_time,
        t1 IS NULL AS is_current FROM x"""
 
+VERSIONS_SOUND = """WITH k AS (
+  SELECT user_id, event_type, event_id, ts,
+         lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+v AS (SELECT * FROM k WHERE rn = 1 OR event_type IS DISTINCT FROM p)
+SELECT user_id, event_type, event_id, ts AS effective_time,
+       lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS end_time,
+       lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
+FROM v"""
+
+VERSIONS_COMPAT = """SELECT a.user_id, a.event_type, a.event_id, a.ts AS effective_time, min(b.ts) AS end_time,
+       min(b.ts) IS NULL AS is_current
+FROM events a LEFT JOIN events b
+  ON b.user_id = a.user_id AND b.event_type <> a.event_type
+ AND (b.ts > a.ts OR (b.ts = a.ts AND b.event_id > a.event_id))
+GROUP BY a.user_id, a.event_type, a.event_id, a.ts"""
+
 ORACLE_SQL: dict[str, str] = {
     "dim_initial_load": f"WITH {RAW},\n{DIM}\nSELECT * FROM dim",
     "top_cities": f"""WITH {RAW},\n{DIM}
@@ -149,4 +166,6 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     "silver_scd2_compat": HISTORY_COMPAT,
     "event_history_sound": HISTORY_SOUND,
     "event_history_compat": HISTORY_COMPAT,
+    "event_versions_sound": VERSIONS_SOUND,
+    "event_versions_compat": VERSIONS_COMPAT,
 }

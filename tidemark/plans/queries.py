@@ -310,6 +310,19 @@ def q_event_history_compat(spark, sf):
                             payload=["event_id", "ts"])
 
 
+def q_event_versions_sound(spark, sf):
+    """Every event is a version (no period); windows run per user and hour."""
+    return history_from_log(_t(spark, sf, "events"), ["user_id"], ["event_type"], "ts",
+                            ["event_id"], None, TIME_VALIDITY, "sound", payload=["event_id"],
+                            segment=F.date_trunc("hour", F.col("ts")))
+
+
+def q_event_versions_compat(spark, sf):
+    return history_from_log(_t(spark, sf, "events"), ["user_id"], ["event_type"], "ts",
+                            ["event_id"], None, TIME_VALIDITY, "compat", payload=["event_id"],
+                            segment=F.date_trunc("hour", F.col("ts")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_initial_load": q_dim_initial_load,
     "top_cities": q_top_cities,
@@ -342,4 +355,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_scd2_compat": q_silver_scd2_compat,
     "event_history_sound": q_event_history_sound,
     "event_history_compat": q_event_history_compat,
+    "event_versions_sound": q_event_versions_sound,
+    "event_versions_compat": q_event_versions_compat,
 }
