@@ -70,3 +70,25 @@ def test_bronze_quarantine(spark):
     assert [r.event_id for r in spark.read.parquet(good).collect()] == [1]
     reasons = sorted(r.reason for r in spark.read.parquet(bad).collect())
     assert reasons == ["malformed", "missing user_id"]
+
+
+def test_bronze_to_catalog_table_and_user_hook(spark):
+    from tidemark.plans.catalogue import ensure_namespace
+    from tidemark.streaming.silver import start_foreach_batch
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    topic = scratch_path(spark, "t", "topic-tbl")
+    publish_events(events, topic)
+    ensure_namespace(spark, "bronze")
+    q = start_bronze(topic_stream(spark, topic), EVENT_SCHEMA, None, scratch_path(spark, "t", "ck"),
+                     name="bronze_tbl", table="bronze.customers_events")
+    q.awaitTermination()
+    assert spark.table("bronze.customers_events").count() == events.count()
+    seen = []
+
+    def hook(batch, batch_id):  # user code per micro-batch, on the batch's own session
+        seen.append((batch_id, batch.sparkSession.createDataFrame([(batch.count(),)], "n long").first().n))
+
+    h = start_foreach_batch(spark.readStream.table("bronze.customers_events"), hook,
+                            scratch_path(spark, "t", "ck"), "hook")
+    h.awaitTermination()
+    assert sum(n for _, n in seen) == events.count()

@@ -84,6 +84,17 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
     return run
 
 
+def start_foreach_batch(source: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
+                        name: str, trigger: str | None = None) -> StreamingQuery:
+    """EXT1: run user code once per micro-batch (``fn(batch_df, batch_id)``),
+    checkpointed and named.  Inside ``fn`` use ``batch_df.sparkSession``,
+    not an outer session (L3)."""
+    w = (source.writeStream.foreachBatch(fn).outputMode("append")
+         .option("checkpointLocation", checkpoint).queryName(name))
+    w = w.trigger(availableNow=True) if trigger in (None, "availableNow") else w.trigger(processingTime=trigger)
+    return w.start()
+
+
 def start_silver(source: DataFrame, target: VersionedTable, keys: Sequence[str],
                  tracked: Sequence[str], ts: str, period: Column, columns: Sequence[str],
                  checkpoint: str, tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
@@ -97,10 +108,4 @@ def start_silver(source: DataFrame, target: VersionedTable, keys: Sequence[str],
     target.ensure(history_schema(data, start_type, v))
     fn = silver_batch(target, keys, tracked, ts, period, columns, tiebreak, v, mode,
                       writer=name, quarantine=quarantine)
-    w = (source.writeStream.foreachBatch(fn).outputMode("append")
-         .option("checkpointLocation", checkpoint).queryName(name))
-    if trigger in (None, "availableNow"):
-        w = w.trigger(availableNow=True)
-    else:
-        w = w.trigger(processingTime=trigger)
-    return w.start()
+    return start_foreach_batch(source, fn, checkpoint, name, trigger)
