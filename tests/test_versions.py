@@ -44,6 +44,14 @@ def test_history_parts_and_time_travel(spark):
     log = t.snapshots().collect()
     assert [r.snapshot_id for r in log] == [1, 2, 3, 4]
     assert [r.operation for r in log] == ["replace", "merge", "merge", "merge"]
+    # compaction: same rows, two parts, open rows still read alone
+    rows = _rows(t.read())
+    sid = t.compact("is_current")
+    assert len(t.entry(sid)["parts"]) == 2 and _rows(t.read()) == rows
+    assert t.read_open().count() == dim.count() and _rows(t.read(4)) == rows
+    upd, ins = scd2_parts(t.read_open(), ch, ["customer_id"], ["city"], "2024-06-01", DATE_VALIDITY)
+    t.commit_history(upd.unionByName(ins))
+    assert _rows(t.read()) == rows
 
 
 def test_diff_and_files(spark):

@@ -22,7 +22,6 @@ matter how its micro-batches are cut.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -51,13 +50,8 @@ TIME_VALIDITY = Validity("effective_time", "end_time", "is_current")
 
 
 def _lit(v) -> Column:
-    if isinstance(v, Column):
-        return v
-    if isinstance(v, _dt.datetime):
-        return F.lit(v)
-    if isinstance(v, _dt.date):
-        return F.lit(v)
-    return F.lit(v)
+    """A column, or a Python value (date, datetime, number, text) as a literal."""
+    return v if isinstance(v, Column) else F.lit(v)
 
 
 def _data_cols(df: DataFrame, v: Validity) -> list[str]:

@@ -244,6 +244,23 @@ class VersionedTable:
                     rows.append((st.getPath().toString(), int(st.getLen())))
         return self.spark.createDataFrame(rows, "file_path string, file_size long")
 
+    def compact(self, current_col: str | None = None, summary: dict | None = None) -> int:
+        """Rewrite the latest snapshot as few parts (a long-lived stream adds
+        one part per micro-batch).  With ``current_col`` the result is a
+        closed-rows part and an open-rows part, so later merges still scan
+        only open rows.  Earlier snapshots keep their files and stay
+        readable."""
+        parent = self.latest()
+        sch = T.StructType.fromJson(json.loads(parent["schema"]))
+        df = self.read()
+        if current_col is None:
+            parts = [{"path": self._write_part(df), "where": None}]
+        else:
+            closed = self._write_part(df.filter(~F.col(current_col)))
+            open_rows = self._write_part(df.filter(F.col(current_col)))
+            parts = [{"path": closed, "where": f"NOT {current_col}"}, {"path": open_rows, "where": None}]
+        return self._commit(parts, "compact", sch, summary, parent)
+
     def drop(self) -> None:
         """DDL3 for a path table: the whole folder goes."""
         fs = self._fs()

@@ -57,9 +57,9 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
     keys, tracked, columns = list(keys), list(tracked), list(columns)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # STR6
+        if already_committed(target, writer, batch_id):  # replayed batch (L10)
             return
-        if already_committed(target, writer, batch_id):
+        if batch.isEmpty():  # STR6
             return
         batch = batch.persist()
         try:
@@ -67,7 +67,8 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
             for k in keys:
                 null_key = null_key | F.col(k).isNull()
             rows = batch.withColumn("__at", period)
-            entries = latest_per_key(rows.filter(~null_key).select(*columns, *[c for c in tiebreak if c not in columns], "__at"),
+            extra = [c for c in tiebreak if c not in columns]
+            entries = latest_per_key(rows.filter(~null_key).select(*columns, *extra, "__at"),
                                      keys + ["__at"], [ts, *tiebreak])
             open_rows = target.read_open(v.current)
             _, reopened, late = merge_versions(open_rows, entries.select(*columns, "__at"), keys,
