@@ -92,3 +92,10 @@ def test_bronze_to_catalog_table_and_user_hook(spark):
                             scratch_path(spark, "t", "ck"), "hook")
     h.awaitTermination()
     assert sum(n for _, n in seen) == events.count()
+
+
+def test_publish_refuses_unbounded_batch_lists(spark):
+    import pytest
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    with pytest.raises(ValueError):
+        publish_events(events, scratch_path(spark, "t", "topic-x"), "event_id", max_batches=10)

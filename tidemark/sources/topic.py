@@ -30,7 +30,7 @@ def kafka_available(spark: SparkSession) -> bool:
 
 def publish_events(df: DataFrame, topic: str, batch_col: str | Column | None = None,
                    batches: Sequence | None = None, servers: str | None = None,
-                   staging: str | None = None) -> list:
+                   staging: str | None = None, max_batches: int = 10_000) -> list:
     """SNK5: publish every row as one JSON object (nulls left out).
 
     With ``batch_col`` the rows are published in ascending order of that
@@ -50,7 +50,12 @@ def publish_events(df: DataFrame, topic: str, batch_col: str | Column | None = N
     row = F.struct(*[F.col(c) for c in df.columns])
     encoded = df.select(col.alias("__batch"), F.to_json(row, JSON_OPTIONS).alias("value"))
     if batches is None:
-        batches = [r[0] for r in encoded.select("__batch").distinct().orderBy("__batch").collect()]
+        # Bounded: at most max_batches + 1 values ever reach the driver.
+        found = (encoded.select("__batch").distinct().orderBy("__batch")
+                 .limit(max_batches + 1).collect())
+        if len(found) > max_batches:
+            raise ValueError(f"more than {max_batches} batches; use a coarser batch column")
+        batches = [r[0] for r in found]
     batches = list(batches)
     order = spark.createDataFrame([(i,) for i in range(len(batches))], "__seq int") \
         .withColumn("__batch", F.element_at(F.array(*[F.lit(b) for b in batches]), F.col("__seq") + 1))
