@@ -99,3 +99,26 @@ def test_late_and_null_key_rows_are_quarantined(spark):
     assert q == {3: "late", 4: "null key"}
     cur = target.read().filter("is_current").collect()
     assert [(r.user_id, r.event_type) for r in cur] == [(7, "b")]
+
+
+def test_silver_per_trigger_period(spark):
+    """period=None: each micro-batch is one version stamped at merge time."""
+    from pyspark.sql import types as T
+    from tidemark.streaming.silver import history_schema
+    rows1 = [(1, "2024-01-01 10:00:00", 7, "a"), (2, "2024-01-01 11:00:00", 7, "b"), (3, "2024-01-01 09:00:00", 8, "x")]
+    rows2 = [(4, "2024-01-02 10:00:00", 7, "b"), (5, "2024-01-02 10:00:00", 8, "y")]
+    mk = lambda rows: (spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string")
+                       .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    target = VersionedTable(spark, scratch_path(spark, "t", "pertrigger"))
+    data = T.StructType([mk(rows1).schema[c] for c in HISTORY_COLUMNS])
+    target.ensure(history_schema(data, T.TimestampType(), TIME_VALIDITY))
+    fn = silver_batch(target, ["user_id"], ["event_type"], "ts", None, HISTORY_COLUMNS, ["event_id"],
+                      TIME_VALIDITY, writer="w")
+    fn(mk(rows1), 0)
+    fn(mk(rows2), 1)
+    h = target.read().collect()
+    by_user = {}
+    for r in h:
+        by_user.setdefault(r.user_id, []).append((r.event_type, r.is_current))
+    assert sorted(by_user[7]) == [("b", True)]  # latest of batch 0 is b; batch 1 repeats b
+    assert sorted(by_user[8]) == [("x", False), ("y", True)]

@@ -44,7 +44,7 @@ def already_committed(target: VersionedTable, writer: str, batch_id: int) -> boo
 
 
 def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[str],
-                 ts: str, period: Column, columns: Sequence[str],
+                 ts: str, period: Column | None, columns: Sequence[str],
                  tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
                  mode: str = "sound", writer: str = "silver",
                  quarantine: VersionedTable | None = None) -> Callable[[DataFrame, int], None]:
@@ -52,7 +52,9 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
 
     ``columns`` are the data columns kept in the history (keys, tracked and
     payload; include ``ts`` so a later event of the same period wins over an
-    earlier one that arrived first).
+    earlier one that arrived first).  ``period=None`` makes the whole
+    micro-batch one period stamped with the merge time, as the per-trigger
+    MERGE does (its history then depends on how batches are cut).
     """
     keys, tracked, columns = list(keys), list(tracked), list(columns)
 
@@ -66,7 +68,8 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
             null_key = F.lit(False)
             for k in keys:
                 null_key = null_key | F.col(k).isNull()
-            rows = batch.withColumn("__at", period)
+            stamp = period if period is not None else F.current_timestamp()
+            rows = batch.withColumn("__at", stamp)
             extra = [c for c in tiebreak if c not in columns]
             entries = latest_per_key(rows.filter(~null_key).select(*columns, *extra, "__at"),
                                      keys + ["__at"], [ts, *tiebreak])
@@ -97,14 +100,15 @@ def start_foreach_batch(source: DataFrame, fn: Callable[[DataFrame, int], None],
 
 
 def start_silver(source: DataFrame, target: VersionedTable, keys: Sequence[str],
-                 tracked: Sequence[str], ts: str, period: Column, columns: Sequence[str],
+                 tracked: Sequence[str], ts: str, period: Column | None, columns: Sequence[str],
                  checkpoint: str, tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
                  mode: str = "sound", name: str = "silver", trigger: str | None = None,
                  quarantine: VersionedTable | None = None) -> StreamingQuery:
     """SNK4 / STR12: run the silver merge over a stream (for example the
     bronze folder read with ``readStream``).  ``trigger="15 seconds"`` for a
     service; ``availableNow`` (default) drains what is there and stops."""
-    start_type = source.select(period.alias("p")).schema["p"].dataType
+    stamp = period if period is not None else F.current_timestamp()
+    start_type = source.select(stamp.alias("p")).schema["p"].dataType
     data = T.StructType([source.schema[c] for c in columns])
     target.ensure(history_schema(data, start_type, v))
     fn = silver_batch(target, keys, tracked, ts, period, columns, tiebreak, v, mode,
