@@ -16,9 +16,11 @@ parents otherwise:
    parent holding a third of all items is folded by many tasks into
    bounded arrays.  Such a parent becomes several rows (``chunk`` 0..k-1),
    each with the parent's columns and the parent's total ``item_count``.
-4. Chunks are inner-joined to parents (AQE may split a skewed side of an
-   inner join) and parents with no items are added by an anti-join with
-   a null array, as a left join would give.
+4. Chunks of hot parents get their parent's columns from a broadcast of
+   those few parent rows, so the chunks are never regathered by a shuffle on
+   the parent key; cold chunks take a shuffle join with the parents.
+   Parents with no items are added by an anti-join with a null array, as a
+   left join would give.
 
 Without hot parents the result is one row per parent, the reference's shape,
 built with one shuffle of the items.  ``item_count`` is stored beside the
@@ -51,7 +53,7 @@ def _fold(items: DataFrame, on: list[str], group: list[Column], name: str) -> Da
 def nest_items(parent: DataFrame, items: DataFrame, on: str | Sequence[str],
                fields: Sequence[str | Column], name: str = "line_items",
                count_col: str = "item_count", max_items: int = 10_000,
-               broadcast_limit: int = 1_000_000, skew: str = "auto") -> DataFrame:
+               broadcast_limit: int = 100_000, skew: str = "auto") -> DataFrame:
     """Fold ``items`` into an array per parent row.
 
     Output: parent columns, ``chunk`` (0 unless the parent was split),
@@ -79,30 +81,42 @@ def nest_items(parent: DataFrame, items: DataFrame, on: str | Sequence[str],
                           F.coalesce(F.col("__chunk_n"), F.lit(0)).cast("long").alias(count_col),
                           F.col(name))
     pieces = F.ceil(F.col("__n") / F.lit(max_items))
+    out_cols = [*parent.columns, "chunk",
+                F.coalesce(F.col("__n"), F.col("__chunk_n")).cast("long").alias(count_col), name]
     if 0 < n_hot <= broadcast_limit:
         # Items stream through a broadcast join in scan order, so a row's
         # position id is the same on every task attempt: it splits even
         # identical items of one parent.
-        spread = staged.join(F.broadcast(hot), on, "left")
-        salt = F.xxhash64(F.col("__item"), F.monotonically_increasing_id())
+        tagged = staged.join(F.broadcast(hot), on, "left")
+        hot_items = tagged.filter(F.col("__n").isNotNull()).withColumn(
+            "chunk", F.pmod(F.xxhash64(F.col("__item"), F.monotonically_increasing_id()), pieces).cast("int"))
+        hot_nested = hot_items.groupBy(*on, "chunk").agg(
+            F.sort_array(F.collect_list("__item")).alias(name),
+            F.count(F.lit(1)).alias("__chunk_n"), F.max("__n").alias("__n"))
+        # Their parent rows (no more than the counted hot keys) are broadcast
+        # to the chunks, so the chunks are never regathered on the parent key.
+        hot_parents = parent.join(F.broadcast(hot.select(*on)), on, "left_semi")
+        with_hot = hot_nested.join(F.broadcast(hot_parents), on, "inner")
+        # Cold items fold by parent alone: one shuffle, reused by the join.
+        cold_nested = _fold(tagged.filter(F.col("__n").isNull()), on, [F.col(c) for c in on], name) \
+            .withColumn("chunk", F.lit(0)).withColumn("__n", F.lit(None).cast("long"))
+        with_cold = parent.join(cold_nested.hint("merge"), on, "inner")
+        with_items = with_hot.select(*out_cols).unionByName(with_cold.select(*out_cols))
     else:
-        # After a shuffle join row order is not repeatable; hash the item
-        # alone (identical items of one parent then share a chunk).
-        spread = staged.join(hot, on, "left")
-        salt = F.xxhash64(F.col("__item"))
-    chunk = F.when(F.col("__n").isNull(), F.lit(0)).otherwise(F.pmod(salt, pieces)).cast("int")
-    spread = spread.withColumn("chunk", chunk)
-    nested = spread.groupBy(*on, "chunk").agg(
-        F.sort_array(F.collect_list("__item")).alias(name),
-        F.count(F.lit(1)).alias("__chunk_n"),
-        F.max("__n").alias("__n"),
-    )
-    with_items = parent.join(nested.hint("merge"), on, "inner").select(
-        *parent.columns, "chunk",
-        F.coalesce(F.col("__n"), F.col("__chunk_n")).cast("long").alias(count_col), name)
+        # Beyond the broadcast bound: hash the item alone (after a shuffle
+        # join, row order is not repeatable), and AQE's skew-join split is
+        # what spreads a hot parent's chunks in the final join.
+        spread = staged.join(hot, on, "left").withColumn(
+            "chunk", F.when(F.col("__n").isNull(), F.lit(0))
+            .otherwise(F.pmod(F.xxhash64(F.col("__item")), pieces)).cast("int"))
+        nested = spread.groupBy(*on, "chunk").agg(
+            F.sort_array(F.collect_list("__item")).alias(name),
+            F.count(F.lit(1)).alias("__chunk_n"), F.max("__n").alias("__n"))
+        with_items = parent.join(nested.hint("merge"), on, "inner").select(*out_cols)
+    null_items = F.lit(None).cast(with_items.schema[name].dataType)
     without = parent.join(sizes.select(*on), on, "left_anti").select(
         *parent.columns, F.lit(0).alias("chunk"), F.lit(0).cast("long").alias(count_col),
-        F.lit(None).cast(nested.schema[name].dataType).alias(name))
+        null_items.alias(name))
     return with_items.unionByName(without)
 
 
