@@ -121,7 +121,9 @@ def scd2_parts(live: DataFrame, changes: DataFrame, keys: Sequence[str],
     )
     new_rows = changes.select(*[F.col(c) for c in data])
     if insert_rule == "new_or_changed":
-        still_open = updated.filter(F.col(v.current)).select(*keys)
+        # One row per key (the join output is already partitioned by key,
+        # so this adds no shuffle) however many open rows a key holds.
+        still_open = updated.filter(F.col(v.current)).select(*keys).distinct()
         new_rows = new_rows.join(still_open, keys, "left_anti")
     elif insert_rule != "always":
         raise ValueError(f"insert_rule {insert_rule!r}")
