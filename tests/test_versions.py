@@ -44,6 +44,8 @@ def test_history_parts_and_time_travel(spark):
     log = t.snapshots().collect()
     assert [r.snapshot_id for r in log] == [1, 2, 3, 4]
     assert [r.operation for r in log] == ["replace", "merge", "merge", "merge"]
+    assert int(log[0].summary["rows"]) == dim.count()
+    assert int(log[1].summary["rewritten_rows"]) == dim.count() + ch.count()
     # compaction: same rows, two parts, open rows still read alone
     rows = _rows(t.read())
     sid = t.compact("is_current")

@@ -141,11 +141,17 @@ class VersionedTable:
         out.write.mode("errorifexists").parquet(path)
         return path
 
+    def _rows(self, path: str) -> int:
+        """Rows in a written part; parquet answers a bare count from its
+        footers, so no column data is read."""
+        return self.spark.read.parquet(path).count()
+
     # --------------------------------------------------------------- writers
     def publish(self, df: DataFrame, operation: str = "replace", summary: dict | None = None) -> int:
         """SNK1 / SNK2 / VER1: the table becomes ``df``; a new snapshot."""
         parent = self.latest()
         path = self._write_part(df)
+        summary = {"rows": self._rows(path), **(summary or {})}
         return self._commit([{"path": path, "where": None}], operation, df.schema, summary, parent)
 
     def ensure(self, schema: T.StructType) -> int:
@@ -158,6 +164,7 @@ class VersionedTable:
     def append(self, df: DataFrame, summary: dict | None = None) -> int:
         parent = self.latest()
         path = self._write_part(df)
+        summary = {"added_rows": self._rows(path), **(summary or {})}
         parts = (parent["parts"] if parent else []) + [{"path": path, "where": None}]
         schema = _merge_schema(parent, df.schema)
         return self._commit(parts, "append", schema, summary, parent)
@@ -168,6 +175,7 @@ class VersionedTable:
         every open row.  Earlier parts keep only their closed rows."""
         parent = self.latest()
         path = self._write_part(rewritten, sort_by=[current_col])
+        summary = {"rewritten_rows": self._rows(path), **(summary or {})}
         keep_closed = f"NOT {current_col}"
         parts = [{"path": p["path"], "where": keep_closed} for p in (parent["parts"] if parent else [])]
         parts.append({"path": path, "where": None})
