@@ -81,3 +81,18 @@ def test_sound_merge_repairs_stale_open_rows(spark):
     changes = spark.createDataFrame([("k", "Z")], "id string, attr string")
     out = _rows(scd2_apply(target, changes, ["id"], ["attr"], 9, V))
     assert out == [("k", "A", False, 0, 9), ("k", "Z", True, 5, None)]
+
+
+def test_duplicate_changes_deduped_by_order(spark):
+    target = spark.createDataFrame([("k", "A", 0, None, True)], SCHEMA)
+    changes = spark.createDataFrame([("k", "B", 1), ("k", "C", 2)], "id string, attr string, seq int")
+    plain = _rows(scd2_apply(target, changes.drop("seq"), ["id"], ["attr"], 9, V))
+    assert len([r for r in plain if r[2]]) == 2  # without dedupe both changes are inserted
+    got = _rows(scd2_apply(target, changes, ["id"], ["attr"], 9, V, dedupe_by=["seq"]))
+    assert got == [("k", "A", False, 0, 9), ("k", "C", True, 9, None)]
+
+
+def test_latest_per_key_with_map_payload(spark):
+    from tidemark.operators.dedupe import latest_per_key
+    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2})], "k int, t int, m map<string,int>")
+    assert latest_per_key(df, ["k"], ["t"]).first().m == {"b": 2}

@@ -91,15 +91,19 @@ def _changed(old: Sequence[Column], new: Sequence[Column], null_safe: bool) -> C
 def scd2_parts(live: DataFrame, changes: DataFrame, keys: Sequence[str],
                tracked: Sequence[str], effective, v: Validity = DATE_VALIDITY,
                close_rule: str = "changed", insert_rule: str = "new_or_changed",
-               null_safe: bool = True) -> tuple[DataFrame, DataFrame]:
+               null_safe: bool = True, dedupe_by: Sequence[str] | None = None
+               ) -> tuple[DataFrame, DataFrame]:
     """The two outputs of a merge over the open rows only.
 
     Returns ``(updated, inserted)``: every open row with its new validity
     (closed or still open), and the rows to insert.  ``changes`` must hold
-    at most one row per key (see ``latest_per_key``); otherwise the join
-    would multiply open rows, where a MERGE would raise.
+    at most one row per key, else the join would multiply open rows where a
+    MERGE would raise; pass ``dedupe_by`` (ordering columns) to keep the
+    latest change per key first.
     """
     keys, tracked = list(keys), list(tracked)
+    if dedupe_by is not None:
+        changes = latest_per_key(changes, keys, list(dedupe_by))
     data = _data_cols(live, v)
     eff = _lit(effective).cast(live.schema[v.start].dataType)
     hit = changes.select(*keys, *[F.col(t).alias(f"__new_{t}") for t in tracked],
@@ -138,7 +142,7 @@ def scd2_parts(live: DataFrame, changes: DataFrame, keys: Sequence[str],
 def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                tracked: Sequence[str], effective, v: Validity = DATE_VALIDITY,
                close_rule: str = "changed", insert_rule: str = "new_or_changed",
-               null_safe: bool = True) -> DataFrame:
+               null_safe: bool = True, dedupe_by: Sequence[str] | None = None) -> DataFrame:
     """SCD1 / SCD2: the whole table after one merge.
 
     ``closed ∪ updated ∪ inserted``.  Rows already closed are passed through
@@ -147,7 +151,7 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     closed = target.filter(~F.col(v.current))
     live = target.filter(F.col(v.current))
     updated, inserted = scd2_parts(live, changes, keys, tracked, effective, v,
-                                   close_rule, insert_rule, null_safe)
+                                   close_rule, insert_rule, null_safe, dedupe_by)
     return closed.unionByName(updated).unionByName(inserted)
 
 
