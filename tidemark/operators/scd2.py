@@ -61,16 +61,27 @@ def _data_cols(df: DataFrame, v: Validity) -> list[str]:
 # --------------------------------------------------------------------- SCD0
 def initial_load(df: DataFrame, start, v: Validity = DATE_VALIDITY,
                  keys: Sequence[str] | None = None,
-                 order_by: Sequence[str] | None = None) -> DataFrame:
+                 order_by: Sequence[str] | None = None,
+                 partition_by: Sequence[str] | None = None) -> DataFrame:
     """SCD0: distinct rows, fixed start, open end, all current.
 
     With ``keys`` and ``order_by`` the load keeps one row per key (the
     greatest by ``order_by``), repairing L2; without them it keeps every
     distinct row, as the reference does.
+
+    ``partition_by`` (the key) hash-partitions the rows before the distinct:
+    the distinct, a later per-key change set and the merge join then all
+    reuse that one shuffle, instead of shuffling on all columns and again
+    on the key.  It gives up the map-side combine of the distinct, which
+    pays off only when the input holds many exact duplicates.
     """
-    base = df.distinct()
+    if partition_by:
+        df = df.repartition(*[F.col(c) for c in partition_by])
     if keys:
-        base = latest_per_key(base, keys, order_by or [c for c in base.columns if c not in keys])
+        # Identical rows collapse in the per-key pick; no separate distinct.
+        base = latest_per_key(df, keys, order_by or [c for c in df.columns if c not in keys])
+    else:
+        base = df.distinct()
     with_start = base.withColumn(v.start, _lit(start))
     start_type = with_start.schema[v.start].dataType
     return with_start.withColumns({

@@ -75,7 +75,7 @@ def raw_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_initial(spark: SparkSession, sf: str) -> DataFrame:
-    return initial_load(raw_customers(spark, sf), LOAD_DATE)
+    return initial_load(raw_customers(spark, sf), LOAD_DATE, partition_by=["customer_id"])
 
 
 def change_set(spark: SparkSession, sf: str, dim: DataFrame | None = None) -> DataFrame:
