@@ -79,3 +79,17 @@ def test_ensure_creates_empty_typed_table(spark):
     t = VersionedTable(spark, scratch_path(spark, "t", "ddl"))
     sid = t.ensure(spark.createDataFrame([], "id int, name string").schema)
     assert sid == 1 and t.read().count() == 0 and t.ensure(None) == 1
+
+
+def test_time_travel_by_commit_time(spark):
+    import datetime as dt
+    import time
+    t = VersionedTable(spark, scratch_path(spark, "t", "asof"))
+    t.publish(spark.createDataFrame([(1,)], "id int"))
+    time.sleep(0.05)
+    mid = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    time.sleep(0.05)
+    t.publish(spark.createDataFrame([(1,), (2,)], "id int"))
+    assert t.read(as_of=mid).count() == 1 and t.read().count() == 2
+    times = [e["committed_at"] for e in t.log()]
+    assert times == sorted(times)

@@ -21,9 +21,9 @@ part.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
 import os
-import time
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -125,8 +125,7 @@ class VersionedTable:
         rec = {
             "snapshot_id": sid,
             "parent_id": parent["snapshot_id"] if parent else None,
-            "committed_at": time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime())
-                            + f".{int(time.time() * 1e6) % 1_000_000:06d}Z",
+            "committed_at": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ"),
             "operation": operation,
             "summary": {k: str(v) for k, v in (summary or {}).items()},
             "schema": schema.json(),
@@ -277,7 +276,7 @@ class VersionedTable:
 
 
 def _parse_time(text: str):
-    import datetime as _dt
+    """Commit times are UTC, kept naive (compare with naive UTC values)."""
     return _dt.datetime.strptime(text.rstrip("Z"), "%Y-%m-%dT%H:%M:%S.%f")
 
 
