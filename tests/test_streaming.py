@@ -122,3 +122,25 @@ def test_silver_per_trigger_period(spark):
         by_user.setdefault(r.user_id, []).append((r.event_type, r.is_current))
     assert sorted(by_user[7]) == [("b", True)]  # latest of batch 0 is b; batch 1 repeats b
     assert sorted(by_user[8]) == [("x", False), ("y", True)]
+
+
+def test_rebuild_folds_in_late_events(spark):
+    from pyspark.sql import types as T
+    from tidemark.streaming.silver import history_schema, rebuild_history
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    early, late = ev.filter("ts >= '2024-01-10'"), ev.filter("ts < '2024-01-10'")
+    target = VersionedTable(spark, scratch_path(spark, "t", "rebuild"))
+    quarantine = VersionedTable(spark, scratch_path(spark, "t", "rebuildq"))
+    data = T.StructType([ev.schema[c] for c in HISTORY_COLUMNS])
+    target.ensure(history_schema(data, T.TimestampNTZType(), TIME_VALIDITY))
+    fn = silver_batch(target, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
+                      ["event_id"], TIME_VALIDITY, writer="w", quarantine=quarantine)
+    fn(early, 0)
+    fn(late, 1)  # older than the open rows: quarantined
+    assert quarantine.read().filter("reason = 'late'").count() > 0
+    rebuild_history(target, ev, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
+                    ["event_id"], TIME_VALIDITY)
+    want = history_from_log(ev, ["user_id"], ["event_type"], "ts", ["event_id"], event_day(),
+                            TIME_VALIDITY, "sound", payload=["event_id", "ts"])
+    assert sorted(map(_key, target.read().collect())) == sorted(map(_key, want.collect()))
+    assert target.read_open().count() == want.filter("is_current").count()

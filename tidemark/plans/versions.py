@@ -257,17 +257,24 @@ class VersionedTable:
         closed-rows part and an open-rows part, so later merges still scan
         only open rows.  Earlier snapshots keep their files and stay
         readable."""
+        if current_col is not None:
+            return self.replace_history(self.read(), current_col, summary, "compact")
         parent = self.latest()
         sch = T.StructType.fromJson(json.loads(parent["schema"]))
-        df = self.read()
-        if current_col is None:
-            parts = [{"path": self._write_part(df), "where": None}]
-        else:
-            closed = self._write_part(df.filter(~F.col(current_col)))
-            open_rows = self._write_part(df.filter(F.col(current_col)))
-            parts = [{"path": closed, "where": f"NOT {current_col}"}, {"path": open_rows, "where": None}]
+        parts = [{"path": self._write_part(self.read()), "where": None}]
         return self._commit(parts, "compact", sch, summary, parent)
 
+    def replace_history(self, df: DataFrame, current_col: str = "is_current",
+                        summary: dict | None = None, operation: str = "rebuild") -> int:
+        """Replace a history table with ``df`` as a closed-rows part and an
+        open-rows part, so later merges scan only the open rows."""
+        parent = self.latest()
+        closed = self._write_part(df.filter(~F.col(current_col)))
+        open_rows = self._write_part(df.filter(F.col(current_col)))
+        parts = [{"path": closed, "where": f"NOT {current_col}"}, {"path": open_rows, "where": None}]
+        summary = {"open_rows": self._rows(open_rows), **(summary or {})}
+        return self._commit(parts, operation, _merge_schema(parent, df.schema), summary, parent)
+
     def drop(self) -> None:
         """DDL3 for a path table: the whole folder goes."""
         fs = self._fs()

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedupe import latest_per_key
-from ..operators.scd2 import TIME_VALIDITY, Validity, merge_versions
+from ..operators.scd2 import TIME_VALIDITY, Validity, history_from_log, merge_versions
 from ..plans.versions import VersionedTable
 
 
@@ -114,3 +114,20 @@ def start_silver(source: DataFrame, target: VersionedTable, keys: Sequence[str],
     fn = silver_batch(target, keys, tracked, ts, period, columns, tiebreak, v, mode,
                       writer=name, quarantine=quarantine)
     return start_foreach_batch(source, fn, checkpoint, name, trigger)
+
+
+def rebuild_history(target: VersionedTable, log: DataFrame, keys: Sequence[str],
+                    tracked: Sequence[str], ts: str, period: Column, columns: Sequence[str],
+                    tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
+                    mode: str = "sound") -> int:
+    """Recompute the whole history from the change log (for example the
+    bronze table) and publish it as a new snapshot.  This is how late
+    events, which the stream quarantines rather than rewrite closed
+    history, are folded in; the stream then continues from the rebuilt
+    open rows.  Earlier snapshots stay readable."""
+    keys, tracked, columns = list(keys), list(tracked), list(columns)
+    payload = [c for c in columns if c not in keys + tracked]
+    hist = history_from_log(log.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)), keys, tracked,
+                            ts, list(tiebreak), period, v, mode, payload=payload)
+    return target.replace_history(hist.select(*columns, *v.names), v.current,
+                                  {"mode": mode}, "rebuild")
