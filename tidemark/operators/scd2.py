@@ -219,8 +219,6 @@ def history_from_entries(entries: DataFrame, keys: Sequence[str], tracked: Seque
                 .filter("__keep"))
         out = kept.withColumn("__end", F.lead(F.col(at)).over(w))
     elif mode == "compat":
-        if len(tracked) != 1:
-            raise ValueError("compat history tracks exactly one column")
         t = tracked[0]
         nn = entries.filter(F.col(t).isNotNull())
         prev = F.lag(F.col(t)).over(w)
