@@ -104,6 +104,15 @@ FROM events a LEFT JOIN events b
  AND (b.ts > a.ts OR (b.ts = a.ts AND b.event_id > a.event_id))
 GROUP BY a.user_id, a.event_type, a.event_id, a.ts"""
 
+HOT_FLAT = """WITH li AS (
+  SELECT CASE WHEN (l_partkey + l_linenumber) % 3 = 0 THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS l_orderkey,
+         l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount FROM lineitem)
+SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority,
+       count(l.l_orderkey) OVER (PARTITION BY o.o_orderkey) AS item_count,
+       l.l_linenumber AS line_number, l.l_partkey AS product_id, l.l_quantity AS quantity,
+       l.l_extendedprice AS price, l.l_discount AS discount
+FROM orders o LEFT JOIN li l ON l.l_orderkey = o.o_orderkey"""
+
 ORACLE_SQL: dict[str, str] = {
     "dim_initial_load": f"WITH {RAW},\n{DIM}\nSELECT * FROM dim",
     "top_cities": f"""WITH {RAW},\n{DIM}
@@ -168,4 +177,5 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     "event_history_compat": HISTORY_COMPAT,
     "event_versions_sound": VERSIONS_SOUND,
     "event_versions_compat": VERSIONS_COMPAT,
+    "orders_hot_parent_flat": HOT_FLAT,
 }

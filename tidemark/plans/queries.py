@@ -310,6 +310,23 @@ def q_event_history_compat(spark, sf):
                             payload=["event_id", "ts"])
 
 
+def hot_lineitem(spark, sf) -> DataFrame:
+    """lineitem with a third of its rows moved to order 0: a hot parent
+    derived from the given table (every row kept)."""
+    li = _t(spark, sf, "lineitem")
+    moved = F.pmod(F.col("l_partkey") + F.col("l_linenumber"), F.lit(3)) == 0
+    return li.withColumn("l_orderkey", F.when(moved, F.lit(0).cast("long")).otherwise(F.col("l_orderkey")))
+
+
+def q_orders_hot_parent_flat(spark, sf):
+    """The nested fact when one order holds a third of all items: the hot
+    order is folded in bounded chunks by many tasks, then flattened."""
+    orders = _t(spark, sf, "orders")
+    items = hot_lineitem(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
+    fact = nest_items(orders, items, "o_orderkey", [F.col(src).alias(dst) for src, dst in ITEM_FIELDS])
+    return flatten_items(fact).drop("chunk")
+
+
 def q_event_versions_sound(spark, sf):
     """Every event is a version (no period); windows run per user and hour."""
     return history_from_log(_t(spark, sf, "events"), ["user_id"], ["event_type"], "ts",
@@ -357,4 +374,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_history_compat": q_event_history_compat,
     "event_versions_sound": q_event_versions_sound,
     "event_versions_compat": q_event_versions_compat,
+    "orders_hot_parent_flat": q_orders_hot_parent_flat,
 }
