@@ -60,6 +60,17 @@ def test_bronze_then_silver_in_several_batches(spark):
     assert len(target.log()) == n
     assert stop_all(spark) == [] and status(spark) == []
 
+    # the same stream into a bucketed target: each batch rewrites only its
+    # keys' buckets, and the history is the same
+    bucketed = VersionedTable(spark, scratch_path(spark, "t", "silver-b"), buckets=4,
+                              bucket_keys=["user_id"])
+    src = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(bronze)
+    start_silver(src, bucketed, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
+                 scratch_path(spark, "t", "ck"), tiebreak=["event_id"], v=TIME_VALIDITY,
+                 name="silver_bucketed").awaitTermination()
+    assert sorted(map(_key, bucketed.read().collect())) == got
+    assert all(p.get("bucket") is not None for p in bucketed.latest()["parts"])
+
 
 def test_replayed_batch_is_skipped(spark):
     events = spark.read.parquet(f"{SF0001}/events.parquet").filter("ts < '2024-01-03'")

@@ -280,7 +280,9 @@ def q_bronze_stream_events(spark, sf):
 
 def _silver(spark, sf, mode: str) -> DataFrame:
     bronze = _bronze(spark, sf)
-    target = VersionedTable(spark, scratch_path(spark, "tables", f"silver_{mode}"))
+    # Bucketed by key: each micro-batch rewrites only its keys' buckets.
+    target = VersionedTable(spark, scratch_path(spark, "tables", f"silver_{mode}"),
+                            buckets=16, bucket_keys=["user_id"])
     src = spark.readStream.schema(EVENT_SCHEMA).parquet(bronze)
     q = start_silver(src, target, ["user_id"], ["event_type"], "ts", event_day(),
                      HISTORY_COLUMNS, scratch_path(spark, "checkpoints", "silver"),

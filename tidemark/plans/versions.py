@@ -28,7 +28,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("parts", T.ArrayType(T.StructType([
         T.StructField("path", T.StringType()),
         T.StructField("where", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
     ]))),
 ])
 
@@ -51,12 +52,40 @@ class SnapshotNotFound(KeyError):
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    """A versioned parquet table at ``root``.
+
+    ``buckets`` and ``bucket_keys`` (history tables) hash-partition every
+    write by key into ``buckets`` directories.  A merge that touches few
+    keys then reads and rewrites only their buckets' open rows instead of
+    all open rows: O(touched buckets) per micro-batch, not O(keys).  The
+    layout is recorded in the log, so reopening the table keeps it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
+                 bucket_keys: Sequence[str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.log_dir = f"{self.root}/_log"
         self.data_dir = f"{self.root}/data"
         self._entries: dict[str, dict] = {}  # log entries are immutable: cache by file
+        if (buckets is None) != (bucket_keys is None):
+            raise ValueError("give both buckets and bucket_keys, or neither")
+        self._layout = {"buckets": int(buckets), "keys": list(bucket_keys)} if buckets else None
+
+    @property
+    def layout(self) -> dict | None:
+        if self._layout is None:
+            latest = self.latest()
+            if latest and latest.get("layout"):
+                self._layout = latest["layout"]
+        return self._layout
+
+    def bucket_column(self) -> Column:
+        """The bucket of each row: ``pmod(xxhash64(keys), buckets)``."""
+        lay = self.layout
+        if not lay:
+            raise ValueError("table is not bucketed")
+        return F.pmod(F.xxhash64(*[F.col(k) for k in lay["keys"]]), F.lit(lay["buckets"])).cast("int")
 
     # ------------------------------------------------------------ file system
     def _path(self, p: str):
@@ -130,6 +159,7 @@ class VersionedTable:
             "summary": {k: str(v) for k, v in (summary or {}).items()},
             "schema": schema.json(),
             "parts": parts,
+            "layout": self.layout,
         }
         self._create_if_absent(f"{self.log_dir}/v{sid:012d}.json", json.dumps(rec) + "\n")
         return sid
@@ -140,18 +170,40 @@ class VersionedTable:
         out.write.mode("errorifexists").parquet(path)
         return path
 
-    def _rows(self, path: str) -> int:
+    def _write_parts(self, df: DataFrame, sort_by: Sequence[str] = (),
+                     where: str | None = None) -> tuple[list[dict], int]:
+        """Write ``df`` as one part, or one part per bucket on a bucketed
+        table (a shuffle on the bucket, so each bucket gets one file per
+        write).  Returns the parts and the rows written."""
+        if not self.layout:
+            path = self._write_part(df, sort_by)
+            return [{"path": path, "where": where}], self._rows(path, df.schema)
+        path = f"{self.data_dir}/{uuid.uuid4().hex}"
+        out = df.withColumn("__b", self.bucket_column()).repartition(F.col("__b"))
+        out = out.sortWithinPartitions(*sort_by) if sort_by else out
+        out.write.mode("errorifexists").partitionBy("__b").parquet(path)
+        fs = self._fs()
+        parts = []
+        for st in fs.listStatus(self._path(path)):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("__b="):
+                parts.append({"path": f"{path}/{name}", "where": where, "bucket": int(name[4:])})
+        parts.sort(key=lambda p: p["bucket"])
+        return parts, self._rows(path, df.schema)
+
+    def _rows(self, path: str, schema: T.StructType | None = None) -> int:
         """Rows in a written part; parquet answers a bare count from its
         footers, so no column data is read."""
-        return self.spark.read.parquet(path).count()
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        return reader.parquet(path).count()
 
     # --------------------------------------------------------------- writers
     def publish(self, df: DataFrame, operation: str = "replace", summary: dict | None = None) -> int:
         """SNK1 / SNK2 / VER1: the table becomes ``df``; a new snapshot."""
         parent = self.latest()
-        path = self._write_part(df)
-        summary = {"rows": self._rows(path), **(summary or {})}
-        return self._commit([{"path": path, "where": None}], operation, df.schema, summary, parent)
+        parts, rows = self._write_parts(df)
+        summary = {"rows": rows, **(summary or {})}
+        return self._commit(parts, operation, df.schema, summary, parent)
 
     def ensure(self, schema: T.StructType) -> int:
         """DDL2: create an empty typed table unless one exists."""
@@ -162,22 +214,34 @@ class VersionedTable:
 
     def append(self, df: DataFrame, summary: dict | None = None) -> int:
         parent = self.latest()
-        path = self._write_part(df)
-        summary = {"added_rows": self._rows(path), **(summary or {})}
-        parts = (parent["parts"] if parent else []) + [{"path": path, "where": None}]
+        new_parts, rows = self._write_parts(df)
+        summary = {"added_rows": rows, **(summary or {})}
+        parts = (parent["parts"] if parent else []) + new_parts
         schema = _merge_schema(parent, df.schema)
         return self._commit(parts, "append", schema, summary, parent)
 
     def commit_history(self, rewritten: DataFrame, current_col: str = "is_current",
-                       summary: dict | None = None, operation: str = "merge") -> int:
+                       summary: dict | None = None, operation: str = "merge",
+                       buckets: Sequence[int] | None = None) -> int:
         """Commit a merge: ``rewritten`` holds the rows this merge closed plus
-        every open row.  Earlier parts keep only their closed rows."""
+        every open row it read.  Earlier parts keep only their closed rows.
+
+        ``buckets`` (bucketed tables) names the buckets whose open rows the
+        merge read (``read_open(buckets=…)``); only their earlier parts are
+        cut to closed rows, the other buckets' parts stay as they are.
+        """
         parent = self.latest()
-        path = self._write_part(rewritten, sort_by=[current_col])
-        summary = {"rewritten_rows": self._rows(path), **(summary or {})}
+        new_parts, rows = self._write_parts(rewritten, sort_by=[current_col])
+        summary = {"rewritten_rows": rows, **(summary or {})}
         keep_closed = f"NOT {current_col}"
-        parts = [{"path": p["path"], "where": keep_closed} for p in (parent["parts"] if parent else [])]
-        parts.append({"path": path, "where": None})
+        touched = None if buckets is None else set(int(b) for b in buckets)
+        parts = []
+        for p in (parent["parts"] if parent else []):
+            if p.get("where") is None and touched is not None and p.get("bucket") is None:
+                raise ValueError("unbucketed open rows in a bucketed merge; compact the table first")
+            supersede = p.get("where") is None and (touched is None or p.get("bucket") in touched)
+            parts.append({**p, "where": keep_closed} if supersede else p)
+        parts.extend(new_parts)
         schema = _merge_schema(parent, rewritten.schema)
         return self._commit(parts, operation, schema, summary, parent)
 
@@ -193,12 +257,15 @@ class VersionedTable:
             (self.latest() if schema == "current" else e)["schema"]))
         return self._read_parts(e["parts"], sch)
 
-    def read_open(self, current_col: str = "is_current") -> DataFrame:
+    def read_open(self, current_col: str = "is_current",
+                  buckets: Sequence[int] | None = None) -> DataFrame:
         """Open rows of the latest snapshot; parts that keep only closed rows
-        are not scanned at all."""
+        are not scanned at all, nor (bucketed tables) other buckets' parts."""
         e = self.entry()
         sch = T.StructType.fromJson(json.loads(e["schema"]))
-        parts = [p for p in e["parts"] if not p.get("where")]
+        want = None if buckets is None else set(int(b) for b in buckets)
+        parts = [p for p in e["parts"] if not p.get("where")
+                 and (want is None or p.get("bucket") is None or p.get("bucket") in want)]
         return self._read_parts(parts, sch).filter(F.col(current_col))
 
     def _read_parts(self, parts: list[dict], schema: T.StructType) -> DataFrame:
@@ -261,7 +328,7 @@ class VersionedTable:
             return self.replace_history(self.read(), current_col, summary, "compact")
         parent = self.latest()
         sch = T.StructType.fromJson(json.loads(parent["schema"]))
-        parts = [{"path": self._write_part(self.read()), "where": None}]
+        parts, _ = self._write_parts(self.read())
         return self._commit(parts, "compact", sch, summary, parent)
 
     def replace_history(self, df: DataFrame, current_col: str = "is_current",
@@ -269,11 +336,11 @@ class VersionedTable:
         """Replace a history table with ``df`` as a closed-rows part and an
         open-rows part, so later merges scan only the open rows."""
         parent = self.latest()
-        closed = self._write_part(df.filter(~F.col(current_col)))
-        open_rows = self._write_part(df.filter(F.col(current_col)))
-        parts = [{"path": closed, "where": f"NOT {current_col}"}, {"path": open_rows, "where": None}]
-        summary = {"open_rows": self._rows(open_rows), **(summary or {})}
-        return self._commit(parts, operation, _merge_schema(parent, df.schema), summary, parent)
+        closed, _ = self._write_parts(df.filter(~F.col(current_col)), where=f"NOT {current_col}")
+        open_parts, n_open = self._write_parts(df.filter(F.col(current_col)))
+        summary = {"open_rows": n_open, **(summary or {})}
+        return self._commit(closed + open_parts, operation, _merge_schema(parent, df.schema),
+                            summary, parent)
 
     def drop(self) -> None:
         """DDL3 for a path table: the whole folder goes."""

@@ -73,7 +73,12 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
             extra = [c for c in tiebreak if c not in columns]
             entries = latest_per_key(rows.filter(~null_key).select(*columns, *extra, "__at"),
                                      keys + ["__at"], [ts, *tiebreak])
-            open_rows = target.read_open(v.current)
+            touched = None
+            if target.layout:
+                # Bounded: at most `buckets` values reach the driver.
+                touched = [r[0] for r in entries.select(target.bucket_column().alias("b"))
+                           .distinct().collect()]
+            open_rows = target.read_open(v.current, touched)
             _, reopened, late = merge_versions(open_rows, entries.select(*columns, "__at"), keys,
                                                tracked, "__at", v, mode)
             if quarantine is not None:
@@ -81,7 +86,8 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
                 bad = bad.unionByName(late.select(*columns, F.lit("late").alias("reason")))
                 quarantine.append(bad, {"writer": writer, "batch_id": batch_id})
             target.commit_history(reopened, v.current,
-                                  {"writer": writer, "batch_id": batch_id, "mode": mode})
+                                  {"writer": writer, "batch_id": batch_id, "mode": mode},
+                                  buckets=touched)
         finally:
             batch.unpersist()
 
