@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -269,7 +270,7 @@ def _bronze(spark, sf) -> str:
     publish_events(_t(spark, sf, "events"), topic, F.date_trunc("week", F.col("ts")))
     bronze = scratch_path(spark, "tables", "bronze_events")
     q = start_bronze(topic_stream(spark, topic), EVENT_SCHEMA, bronze,
-                     scratch_path(spark, "checkpoints", "bronze"), name="bronze_events")
+                     scratch_path(spark, "checkpoints", "bronze"), name=f"bronze_events_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
     return bronze
 
@@ -287,7 +288,7 @@ def _silver(spark, sf, mode: str) -> DataFrame:
     q = start_silver(src, target, ["user_id"], ["event_type"], "ts", event_day(),
                      HISTORY_COLUMNS, scratch_path(spark, "checkpoints", "silver"),
                      tiebreak=["event_id"], v=TIME_VALIDITY, mode=mode,
-                     name=f"silver_{mode}")
+                     name=f"silver_{mode}_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
     return target.read()
 
