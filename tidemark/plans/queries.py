@@ -270,7 +270,8 @@ def _bronze(spark, sf) -> str:
     publish_events(_t(spark, sf, "events"), topic, F.date_trunc("week", F.col("ts")))
     bronze = scratch_path(spark, "tables", "bronze_events")
     q = start_bronze(topic_stream(spark, topic), EVENT_SCHEMA, bronze,
-                     scratch_path(spark, "checkpoints", "bronze"), name=f"bronze_events_{uuid.uuid4().hex[:8]}")
+                     scratch_path(spark, "checkpoints", "bronze"),
+                     name=f"bronze_events_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
     return bronze
 
