@@ -99,3 +99,12 @@ def test_publish_refuses_unbounded_batch_lists(spark):
     events = spark.read.parquet(f"{SF0001}/events.parquet")
     with pytest.raises(ValueError):
         publish_events(events, scratch_path(spark, "t", "topic-x"), "event_id", max_batches=10)
+
+
+def test_scale_settings():
+    from tidemark.session import scale_settings
+    big = scale_settings(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) > 300_000
+    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
+    small = scale_settings(10**6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

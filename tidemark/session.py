@@ -28,6 +28,25 @@ DEFAULT_CONF = {
 }
 
 
+def scale_settings(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized from the data: shuffle partitions so that each holds
+    about ``target_partition_bytes`` of the largest input (at least two per
+    core), file splits of the same size, and AQE aiming at the same
+    partition size when it coalesces or splits skewed partitions.
+
+    For 100 TB on 8,000 cores this gives about 400,000 shuffle partitions
+    of 256 MB; AQE then coalesces the small stages.
+    """
+    parts = max(2 * cores, -(-int(input_bytes) // target_partition_bytes))
+    size = f"{target_partition_bytes // (1 << 20)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_bytes // (1 << 20)}m",
+    }
+
+
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
