@@ -160,6 +160,10 @@ GROUP BY o.o_orderkey, o.o_custkey HAVING count(*) > 1 ORDER BY o.o_orderkey LIM
     "snapshot_diff": MERGED + """SELECT *, 'added' AS change FROM (SELECT * FROM merged EXCEPT ALL SELECT * FROM dim)
 UNION ALL
 SELECT *, 'removed' AS change FROM (SELECT * FROM dim EXCEPT ALL SELECT * FROM merged)""",
+    "snapshot_log": MERGED + """SELECT CAST(1 AS BIGINT) AS snapshot_id, CAST(NULL AS BIGINT) AS parent_id,
+       'replace' AS operation, (SELECT count(*) FROM dim) AS rows_written
+UNION ALL
+SELECT 2, 1, 'merge', (SELECT count(*) FROM upd) + (SELECT count(*) FROM ins)""",
     "schema_evolved_read": """SELECT c_custkey, c_mktsegment, CAST(NULL AS VARCHAR) AS c_name,
        CAST(NULL AS INTEGER) AS c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal FROM customer""",
     "json_events_parsed": "SELECT event_id, ts, user_id, event_type, value, props FROM events",

@@ -226,6 +226,15 @@ def q_snapshot_diff(spark, sf):
     return t.diff(v1, v2)
 
 
+def q_snapshot_log(spark, sf):
+    """SRC6: the snapshot log after load + merge (commit times left out:
+    they are wall-clock)."""
+    t, _, _ = _versioned_dim(spark, sf)
+    written = F.coalesce(F.col("summary")["rows"], F.col("summary")["rewritten_rows"])
+    return t.snapshots().select("snapshot_id", "parent_id", "operation",
+                                written.cast("long").alias("rows_written"))
+
+
 def q_schema_evolved_read(spark, sf):
     t = VersionedTable(spark, scratch_path(spark, "tables", "customer_evolving"))
     cust = _t(spark, sf, "customer")
@@ -365,6 +374,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_before_merge": q_snapshot_before_merge,
     "snapshot_after_merge": q_snapshot_after_merge,
     "snapshot_diff": q_snapshot_diff,
+    "snapshot_log": q_snapshot_log,
     "schema_evolved_read": q_schema_evolved_read,
     "json_events_parsed": q_json_events_parsed,
     "json_props_parsed": q_json_props_parsed,
