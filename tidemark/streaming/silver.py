@@ -76,8 +76,8 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
             touched = None
             if target.layout:
                 # Bounded: at most `buckets` values reach the driver.
-                touched = [r[0] for r in entries.select(target.bucket_column().alias("b"))
-                           .distinct().collect()]
+                touched = [r[0] for r in rows.filter(~null_key)
+                           .select(target.bucket_column().alias("b")).distinct().collect()]
             open_rows = target.read_open(v.current, touched)
             _, reopened, late = merge_versions(open_rows, entries.select(*columns, "__at"), keys,
                                                tracked, "__at", v, mode)
