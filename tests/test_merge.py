@@ -94,5 +94,7 @@ def test_duplicate_changes_deduped_by_order(spark):
 
 def test_latest_per_key_with_map_payload(spark):
     from tidemark.operators.dedupe import latest_per_key
-    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2})], "k int, t int, m map<string,int>")
-    assert latest_per_key(df, ["k"], ["t"]).first().m == {"b": 2}
+    df = spark.createDataFrame([(1, 1, {"a": 1}, [{"x": 1}]), (1, 2, {"b": 2}, [{"y": 2}])],
+                               "k int, t int, m map<string,int>, am array<map<string,int>>")
+    got = latest_per_key(df, ["k"], ["t"]).first()
+    assert got.m == {"b": 2} and got.am == [{"y": 2}]

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -20,9 +21,18 @@ def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return (df.select(*cols) if cols else df).distinct()
 
 
+def _orderable_type(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _orderable_type(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_orderable_type(f.dataType) for f in dt.fields)
+    return True
+
+
 def _orderable(name: str, df: DataFrame) -> bool:
-    dt = df.schema[name].dataType.typeName()
-    return dt not in ("map", "variant")
+    return _orderable_type(df.schema[name].dataType)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
@@ -40,19 +50,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     payload = [c for c in rest if c not in tie]
     fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
     fields += [F.col(c).alias(f"t{i}") for i, c in enumerate(tie)]
-    agg = F.min if earliest else F.max
+    best = F.struct(*fields)
+    aggs = [(F.min if earliest else F.max)(best).alias("__b")]
     if payload:
-        # Unorderable payload rides along with max_by on the orderable part.
-        best = F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct(*fields)) if not earliest \
-            else F.min_by(F.struct(*[F.col(c) for c in payload]), F.struct(*fields))
-        out = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias("__b"), best.alias("__p"))
-        cols = [F.col(f"__b.o{i}").alias(c) for i, c in enumerate(order_by)]
-        cols += [F.col(f"__b.t{i}").alias(c) for i, c in enumerate(tie)]
-        cols += [F.col(f"__p.{c}").alias(c) for c in payload]
-    else:
-        out = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias("__b"))
-        cols = [F.col(f"__b.o{i}").alias(c) for i, c in enumerate(order_by)]
-        cols += [F.col(f"__b.t{i}").alias(c) for i, c in enumerate(tie)]
+        # Unorderable payload (maps) rides along with max_by on the rest.
+        pick = F.min_by if earliest else F.max_by
+        aggs.append(pick(F.struct(*[F.col(c) for c in payload]), best).alias("__p"))
+    cols = [F.col(f"__b.o{i}").alias(c) for i, c in enumerate(order_by)]
+    cols += [F.col(f"__b.t{i}").alias(c) for i, c in enumerate(tie)]
+    cols += [F.col(f"__p.{c}").alias(c) for c in payload]
+    out = df.groupBy(*keys).agg(*aggs)
     return out.select(*[F.col(k) for k in keys], *cols).select(*df.columns)
 
 
@@ -72,7 +79,3 @@ def key_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.max("n").cast("long").alias("max_rows_per_key"),
     )
 
-
-def order_columns(order_by: Sequence[str | Column], descending: bool = True) -> list[Column]:
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    return [c.desc() if descending else c.asc() for c in cols]
