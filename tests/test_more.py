@@ -108,3 +108,11 @@ def test_scale_settings():
     assert big["spark.sql.files.maxPartitionBytes"] == "256m"
     small = scale_settings(10**6, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_publish_keeps_rows_with_null_batch_value(spark):
+    from tidemark.sources.topic import topic_batch
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id int, g string")
+    topic = scratch_path(spark, "t", "topic-null")
+    assert publish_events(df, topic, "g") == [None, "a", "b"]
+    assert topic_batch(spark, topic).count() == 3

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.json import JSON_OPTIONS, to_json_value
 from ..session import scratch_path
@@ -57,11 +58,14 @@ def publish_events(df: DataFrame, topic: str, batch_col: str | Column | None = N
             raise ValueError(f"more than {max_batches} batches; use a coarser batch column")
         batches = [r[0] for r in found]
     batches = list(batches)
-    order = spark.createDataFrame([(i,) for i in range(len(batches))], "__seq int") \
-        .withColumn("__batch", F.element_at(F.array(*[F.lit(b) for b in batches]), F.col("__seq") + 1))
+    order_schema = T.StructType([T.StructField("__seq", T.IntegerType()),
+                                 T.StructField("__b", encoded.schema["__batch"].dataType)])
+    order = spark.createDataFrame(list(enumerate(batches)), order_schema)
     staging = staging or scratch_path(spark, "staging", "topic")
     # The batch list is on the driver already, so broadcasting it is bounded.
-    (encoded.join(F.broadcast(order), "__batch").select("__seq", "value")
+    # Null-safe: rows whose batch value is null are published too.
+    (encoded.join(F.broadcast(order), encoded["__batch"].eqNullSafe(order["__b"]))
+     .select("__seq", "value")
      .write.partitionBy("__seq").mode("errorifexists").text(staging))
     for i in range(len(batches)):
         _write(spark.read.text(os.path.join(staging, f"__seq={i}")), topic, i, servers)
