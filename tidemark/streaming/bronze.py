@@ -50,10 +50,14 @@ def start_bronze(raw_stream: DataFrame, schema: T.StructType, path: str, checkpo
         return w.toTable(table) if table else w.start(path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good, bad = parse_json_split(batch, "value", schema, required)
-        # Idempotent per batch: a replayed batch overwrites its own folder.
-        good.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        batch = batch.persist()  # read by both writes; recomputable from the source
+        try:
+            good, bad = parse_json_split(batch, "value", schema, required)
+            # Idempotent per batch: a replayed batch overwrites its own folder.
+            good.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = (raw_stream.writeStream.foreachBatch(write_batch).outputMode("append")
          .option("checkpointLocation", checkpoint).queryName(name))
