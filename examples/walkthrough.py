@@ -44,7 +44,8 @@ def main(sf: str) -> None:
     # 1. initial load, published as a versioned table
     dim = VersionedTable(spark, scratch_path(spark, "walkthrough", "dim_customers"),
                          buckets=8, bucket_keys=["customer_id"])
-    v1 = dim.publish(initial_load(raw_customers(spark, sf), LOAD_DATE), "replace")
+    v1 = dim.publish(initial_load(raw_customers(spark, sf), LOAD_DATE), "replace",
+                     current_col="is_current")
     print("loaded rows:", dim.read().count())
 
     # 2. staged change set (5 % of current rows, seed 2112), then the merge

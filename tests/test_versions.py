@@ -118,3 +118,28 @@ def test_bucketed_history_rewrites_only_touched_buckets(spark):
     # reopening the table keeps the layout
     again = VersionedTable(spark, t.root)
     assert again.layout == {"buckets": 8, "keys": ["customer_id"]}
+
+
+def test_expire_keeps_latest_readable(spark):
+    t = VersionedTable(spark, scratch_path(spark, "t", "expire"), buckets=4, bucket_keys=["customer_id"])
+    dim = dim_initial(spark, SF0001)
+    t.publish(dim, current_col="is_current")
+    ch = change_set(spark, SF0001)  # from the source tables: expiry deletes old snapshot files
+    for _ in range(3):
+        upd, ins = scd2_parts(t.read_open(), ch, ["customer_id"], ["city"], "2024-06-01", DATE_VALIDITY)
+        t.commit_history(upd.unionByName(ins))
+    before = _rows(t.read())
+    last = t.latest()["snapshot_id"]
+    # parts without closed rows were dropped when merged over: the load's
+    # and the second merge's (the third merge changed nothing)
+    assert len({p["path"].split("/__b=")[0] for p in t.latest()["parts"]}) == 2
+    deleted = t.expire(keep_last=1)
+    assert len(deleted) == 2
+    assert [e["snapshot_id"] for e in t.log()] == [last]
+    assert _rows(t.read()) == before
+    with pytest.raises(Exception):
+        t.read(1)
+    # the table keeps working
+    upd, ins = scd2_parts(t.read_open(), ch, ["customer_id"], ["city"], "2024-06-01", DATE_VALIDITY)
+    t.commit_history(upd.unionByName(ins))
+    assert _rows(t.read()) == before and t.latest()["snapshot_id"] == last + 1

@@ -201,7 +201,7 @@ def q_menu_multi_item_orders(spark, sf):
 
 def _versioned_dim(spark, sf) -> tuple[VersionedTable, int, int]:
     t = VersionedTable(spark, scratch_path(spark, "tables", "dim_customers"))
-    v1 = t.publish(dim_initial(spark, sf), "replace")
+    v1 = t.publish(dim_initial(spark, sf), "replace", current_col="is_current")
     dim = t.read(v1)
     ch = change_set(spark, sf, dim)
     updated, inserted = scd2_parts(current_rows(t.read_open()), ch, ["customer_id"], ["city"],

@@ -43,6 +43,8 @@ LOG_SCHEMA = T.StructType([
         T.StructField("path", T.StringType()),
         T.StructField("where", T.StringType()),
         T.StructField("bucket", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("closed", T.LongType()),
     ]))),
 ])
 
@@ -170,38 +172,50 @@ class VersionedTable:
         out.write.mode("errorifexists").parquet(path)
         return path
 
-    def _write_parts(self, df: DataFrame, sort_by: Sequence[str] = (),
-                     where: str | None = None) -> tuple[list[dict], int]:
+    def _write_parts(self, df: DataFrame, sort_by: Sequence[str] = (), where: str | None = None,
+                     current_col: str | None = None) -> tuple[list[dict], int]:
         """Write ``df`` as one part, or one part per bucket on a bucketed
         table (a shuffle on the bucket, so each bucket gets one file per
-        write).  Returns the parts and the rows written."""
+        write).  Each part records its rows and, for history tables
+        (``current_col``), its closed rows, from one small aggregate over
+        the written files.  Returns the parts and the rows written."""
         if not self.layout:
             path = self._write_part(df, sort_by)
-            return [{"path": path, "where": where}], self._rows(path, df.schema)
+            stats = self._part_stats(path, df.schema, current_col, bucketed=False)
+            n, closed = stats.get(None, (0, 0))
+            return [{"path": path, "where": where, "rows": n, "closed": closed}], n
         path = f"{self.data_dir}/{uuid.uuid4().hex}"
         out = df.withColumn("__b", self.bucket_column()).repartition(F.col("__b"))
         out = out.sortWithinPartitions(*sort_by) if sort_by else out
         out.write.mode("errorifexists").partitionBy("__b").parquet(path)
-        fs = self._fs()
-        parts = []
-        for st in fs.listStatus(self._path(path)):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("__b="):
-                parts.append({"path": f"{path}/{name}", "where": where, "bucket": int(name[4:])})
-        parts.sort(key=lambda p: p["bucket"])
-        return parts, self._rows(path, df.schema)
-
-    def _rows(self, path: str, schema: T.StructType | None = None) -> int:
-        """Rows in a written part; parquet answers a bare count from its
-        footers, so no column data is read."""
-        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
-        return reader.parquet(path).count()
+        stats = self._part_stats(path, df.schema, current_col, bucketed=True)
+        parts = [{"path": f"{path}/__b={b}", "where": where, "bucket": b, "rows": n, "closed": c}
+                 for b, (n, c) in sorted(stats.items())]
+        return parts, sum(n for n, _ in stats.values())
+
+    def _part_stats(self, path: str, schema: T.StructType, current_col: str | None,
+                    bucketed: bool) -> dict:
+        """Rows and closed rows per bucket of a written folder (reads at most
+        the flag column; a bare count is answered from parquet footers)."""
+        if bucketed and not any(st.getPath().getName().startswith("__b=")
+                                for st in self._fs().listStatus(self._path(path))):
+            return {}  # nothing was written
+        df = self.spark.read.schema(schema).parquet(path)
+        closed = F.count(F.when(~F.col(current_col), 1)) if current_col else F.lit(None)
+        aggs = [F.count(F.lit(1)).alias("n"), closed.cast("long").alias("c")]
+        rows = df.groupBy("__b").agg(*aggs).collect() if bucketed else df.agg(*aggs).collect()
+        return {(r["__b"] if bucketed else None): (int(r["n"]), r["c"]) for r in rows
+                if not bucketed or r["__b"] is not None}
+
 
     # --------------------------------------------------------------- writers
-    def publish(self, df: DataFrame, operation: str = "replace", summary: dict | None = None) -> int:
-        """SNK1 / SNK2 / VER1: the table becomes ``df``; a new snapshot."""
+    def publish(self, df: DataFrame, operation: str = "replace", summary: dict | None = None,
+                current_col: str | None = None) -> int:
+        """SNK1 / SNK2 / VER1: the table becomes ``df``; a new snapshot.
+        For a history table pass ``current_col`` so each part records its
+        closed rows (a part without any is dropped once merged over)."""
         parent = self.latest()
-        parts, rows = self._write_parts(df)
+        parts, rows = self._write_parts(df, current_col=current_col)
         summary = {"rows": rows, **(summary or {})}
         return self._commit(parts, operation, df.schema, summary, parent)
 
@@ -231,16 +245,21 @@ class VersionedTable:
         cut to closed rows, the other buckets' parts stay as they are.
         """
         parent = self.latest()
-        new_parts, rows = self._write_parts(rewritten, sort_by=[current_col])
+        new_parts, rows = self._write_parts(rewritten, sort_by=[current_col], current_col=current_col)
         summary = {"rewritten_rows": rows, **(summary or {})}
         keep_closed = f"NOT {current_col}"
         touched = None if buckets is None else set(int(b) for b in buckets)
         parts = []
         for p in (parent["parts"] if parent else []):
-            if p.get("where") is None and touched is not None and p.get("bucket") is None:
+            if p.get("where") is None and touched is not None and p.get("bucket") is None \
+                    and p.get("rows") != 0:
                 raise ValueError("unbucketed open rows in a bucketed merge; compact the table first")
             supersede = p.get("where") is None and (touched is None or p.get("bucket") in touched)
-            parts.append({**p, "where": keep_closed} if supersede else p)
+            if not supersede:
+                parts.append(p)
+            elif p.get("closed") != 0:  # unknown or some closed rows: keep those
+                parts.append({**p, "where": keep_closed})
+            # a superseded part with no closed rows contributes nothing: dropped
         parts.extend(new_parts)
         schema = _merge_schema(parent, rewritten.schema)
         return self._commit(parts, operation, schema, summary, parent)
@@ -336,12 +355,41 @@ class VersionedTable:
         """Replace a history table with ``df`` as a closed-rows part and an
         open-rows part, so later merges scan only the open rows."""
         parent = self.latest()
-        closed, _ = self._write_parts(df.filter(~F.col(current_col)), where=f"NOT {current_col}")
-        open_parts, n_open = self._write_parts(df.filter(F.col(current_col)))
+        closed, _ = self._write_parts(df.filter(~F.col(current_col)), where=f"NOT {current_col}",
+                                      current_col=current_col)
+        open_parts, n_open = self._write_parts(df.filter(F.col(current_col)), current_col=current_col)
         summary = {"open_rows": n_open, **(summary or {})}
         return self._commit(closed + open_parts, operation, _merge_schema(parent, df.schema),
                             summary, parent)
 
+    def expire(self, keep_last: int = 1) -> list[str]:
+        """Forget all but the last ``keep_last`` snapshots and delete the data
+        folders only they used.  A folder still named by a kept snapshot is
+        never touched, so readers of kept snapshots are unaffected; time
+        travel to an expired snapshot is no longer possible.  Returns the
+        deleted folders."""
+        if keep_last < 1:
+            raise ValueError("keep at least one snapshot")
+        entries = self.log()
+        if len(entries) <= keep_last:
+            return []
+        kept, gone = entries[-keep_last:], entries[:-keep_last]
+        prefix = f"{self.data_dir}/"
+
+        def folder(part_path: str) -> str:  # data/<uuid>[/__b=n] -> data/<uuid>
+            return prefix + part_path[len(prefix):].split("/", 1)[0]
+        live = {folder(p["path"]) for e in kept for p in e["parts"]}
+        dead = sorted({folder(p["path"]) for e in gone for p in e["parts"]} - live)
+        fs = self._fs()
+        # Log entries go first: a reader never finds an entry whose data is gone.
+        for e in gone:
+            name = f"v{e['snapshot_id']:012d}.json"
+            fs.delete(self._path(f"{self.log_dir}/{name}"), False)
+            self._entries.pop(name, None)
+        for d in dead:
+            fs.delete(self._path(d), True)
+        return dead
+
     def drop(self) -> None:
         """DDL3 for a path table: the whole folder goes."""
         fs = self._fs()
