@@ -98,3 +98,26 @@ def test_latest_per_key_with_map_payload(spark):
                                "k int, t int, m map<string,int>, am array<map<string,int>>")
     got = latest_per_key(df, ["k"], ["t"]).first()
     assert got.m == {"b": 2} and got.am == [{"y": 2}]
+
+
+def test_several_tracked_columns_and_rule_errors(spark):
+    import pytest
+    from tidemark.operators.scd2 import history_from_log
+    schema = "id string, a string, b string, t0 int, t1 int, live boolean"
+    target = spark.createDataFrame([("k", "x", "y", 0, None, True), ("m", "x", "y", 0, None, True)], schema)
+    changes = spark.createDataFrame([("k", "x", "z"), ("m", "x", "y")], "id string, a string, b string")
+    out = sorted(tuple(r) for r in scd2_apply(target, changes, ["id"], ["a", "b"], 9, V).collect())
+    # only k changed (in b); m is unchanged in both tracked columns
+    assert out == [("k", "x", "y", 0, 9, False), ("k", "x", "z", 9, None, True), ("m", "x", "y", 0, None, True)]
+    with pytest.raises(ValueError):
+        scd2_apply(target, changes, ["id"], ["a"], 9, V, close_rule="sometimes")
+    log = spark.createDataFrame([("k", 1, "x", "y")], "id string, ts int, a string, b string")
+    with pytest.raises(ValueError):
+        history_from_log(log, ["id"], ["a", "b"], "ts", mode="compat")
+
+
+def test_bucket_layout_needs_both_arguments(spark):
+    import pytest
+    from tidemark.plans.versions import VersionedTable
+    with pytest.raises(ValueError):
+        VersionedTable(spark, "/tmp/never-written", buckets=4)
