@@ -4,7 +4,9 @@
 
 Builds the nested orders fact with a third of ``lineitem`` moved to one
 order, twice: the plain fold (``skew="none"``: one group per order, the
-reference's plan) and the default hot-parent split.  For every stage that
+reference's plan) and the default hot-parent split; then the event history
+with a third of all events on one user: per-key windows, segmented windows
+and the per-day pre-aggregated form.  For every stage that
 reads a shuffle it prints the tasks' shuffle bytes read (max and median)
 and run time, read from the event log in a fresh scratch folder.  No UI or server is used.
 """
@@ -25,6 +27,7 @@ def main(argv: list[str]) -> None:
     from pyspark.sql import functions as F
 
     from tidemark.operators.nested import nest_items
+    from tidemark.operators.scd2 import TIME_VALIDITY, history_from_log
     from tidemark.plans.queries import ITEM_FIELDS, _t, hot_lineitem
     from tidemark.session import get_session
 
@@ -33,16 +36,33 @@ def main(argv: list[str]) -> None:
     spark = get_session("local[8]", 8, extra={"spark.eventLog.enabled": "true",
                                               "spark.eventLog.dir": logs,
                                               "spark.eventLog.rolling.enabled": "false",
-                                              "spark.eventLog.compress": "false"})
+                                              "spark.eventLog.compress": "false",
+                                              # show the planned partitioning: small
+                                              # stages are not merged into one task
+                                              "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     orders = _t(spark, sf, "orders")
     items = hot_lineitem(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
     fields = [F.col(a).alias(b) for a, b in ITEM_FIELDS]
+    events = _t(spark, sf, "events").withColumn(  # a third of all events on user 0
+        "user_id", F.when(F.pmod(F.col("event_id"), 3) == 0, F.lit(0).cast("long"))
+        .otherwise(F.col("user_id")))
+
+    def history(**kw):
+        return history_from_log(events, ["user_id"], ["event_type"], "ts", ["event_id"],
+                                v=TIME_VALIDITY, payload=["event_id"], **kw)
+
+    runs = {
+        "nested fact, plain fold": lambda: nest_items(orders, items, "o_orderkey", fields, skew="none"),
+        "nested fact, hot-parent split": lambda: nest_items(orders, items, "o_orderkey", fields),
+        "history per event, per-key windows": lambda: history(),
+        "history per event, segmented by hour": lambda: history(segment=F.date_trunc("hour", "ts")),
+        "history per day (pre-aggregated)": lambda: history(period=F.date_trunc("day", "ts")),
+    }
     tracker = spark.sparkContext.statusTracker()
     stages: dict[str, list[int]] = {}
-    for label, skew in (("plain fold", "none"), ("hot-parent split", "auto")):
+    for label, build in runs.items():
         spark.sparkContext.setJobGroup(label, label)
-        nest_items(orders, items, "o_orderkey", fields, skew=skew).write.format("noop") \
-            .mode("overwrite").save()
+        build().write.format("noop").mode("overwrite").save()
         stages[label] = sorted({s for j in tracker.getJobIdsForGroup(label)
                                 for s in tracker.getJobInfo(j).stageIds})
     spark.stop()
