@@ -143,3 +143,13 @@ def test_expire_keeps_latest_readable(spark):
     upd, ins = scd2_parts(t.read_open(), ch, ["customer_id"], ["city"], "2024-06-01", DATE_VALIDITY)
     t.commit_history(upd.unionByName(ins))
     assert _rows(t.read()) == before and t.latest()["snapshot_id"] == last + 1
+
+
+def test_snapshot_as_named_view(spark):
+    t = VersionedTable(spark, scratch_path(spark, "t", "view"))
+    v1 = t.publish(spark.createDataFrame([(1,)], "id int"))
+    t.publish(spark.createDataFrame([(1,), (2,)], "id int"))
+    t.as_view("tm_ids")
+    assert spark.sql("SELECT count(*) AS n FROM tm_ids").first().n == 2
+    t.as_view("tm_ids_v1", v1)
+    assert spark.table("tm_ids_v1").count() == 1

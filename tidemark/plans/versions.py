@@ -299,6 +299,13 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         return reduce(DataFrame.unionByName, frames)
 
+    def as_view(self, name: str, snapshot_id: int | None = None) -> DataFrame:
+        """SRC4 by name: register a snapshot (latest by default) as a temp
+        view, so ``spark.table(name)`` and ``FROM name`` read it."""
+        df = self.read(snapshot_id)
+        df.createOrReplaceTempView(name)
+        return df
+
     def snapshots(self) -> DataFrame:
         """SRC6 / VER2: the snapshot log as a DataFrame, oldest first."""
         if not self._fs().exists(self._path(self.log_dir)):
