@@ -182,8 +182,9 @@ def q_multi_item_orders(spark, sf):
     fact = with_many_items(orders_fact(spark, sf))
     per_chunk = fact.select(
         "o_orderkey", "o_orderstatus", "item_count",
-        F.aggregate("line_items", F.lit(0.0), lambda acc, x: acc + x["quantity"]).alias("q"),
-        F.array_max(F.transform("line_items", lambda x: x["price"])).alias("p"))
+        # line_items.quantity is the field as an array (a native extraction)
+        F.aggregate(F.col("line_items.quantity"), F.lit(0.0), lambda acc, x: acc + x).alias("q"),
+        F.array_max(F.col("line_items.price")).alias("p"))
     return per_chunk.groupBy("o_orderkey", "o_orderstatus", "item_count").agg(
         F.sum("q").alias("total_quantity"), F.max("p").alias("max_price"))
 
