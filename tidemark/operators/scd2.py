@@ -69,19 +69,20 @@ def initial_load(df: DataFrame, start, v: Validity = DATE_VALIDITY,
     greatest by ``order_by``), repairing L2; without them it keeps every
     distinct row, as the reference does.
 
-    ``partition_by`` (the key) hash-partitions the rows before the distinct:
-    the distinct, a later per-key change set and the merge join then all
-    reuse that one shuffle, instead of shuffling on all columns and again
-    on the key.  It gives up the map-side combine of the distinct, which
-    pays off only when the input holds many exact duplicates.
+    ``partition_by`` (the key) hash-partitions the loaded rows by key, so a
+    later per-key change set and the merge join reuse that partitioning
+    instead of shuffling the table again.  The distinct runs first, with its
+    map-side combine: copies of a row collapse in every map task before any
+    shuffle, however many there are.
     """
-    if partition_by:
-        df = df.repartition(*[F.col(c) for c in partition_by])
     if keys:
-        # Identical rows collapse in the per-key pick; no separate distinct.
+        # Identical rows collapse in the per-key pick (an aggregate by key,
+        # so its output is already partitioned by key).
         base = latest_per_key(df, keys, order_by or [c for c in df.columns if c not in keys])
     else:
         base = df.distinct()
+        if partition_by:
+            base = base.repartition(*[F.col(c) for c in partition_by])
     with_start = base.withColumn(v.start, _lit(start))
     start_type = with_start.schema[v.start].dataType
     return with_start.withColumns({
