@@ -153,3 +153,19 @@ def test_snapshot_as_named_view(spark):
     assert spark.sql("SELECT count(*) AS n FROM tm_ids").first().n == 2
     t.as_view("tm_ids_v1", v1)
     assert spark.table("tm_ids_v1").count() == 1
+
+
+def test_latest_pointer_may_lag(spark):
+    t = VersionedTable(spark, scratch_path(spark, "t", "pointer"))
+    for i in range(3):
+        t.publish(spark.createDataFrame([(i,)], "id int"))
+    fs = t._fs()
+    out = fs.create(t._path(f"{t.log_dir}/_latest"), True)
+    out.write(bytearray(b"1"))  # as if the process died before updating it
+    out.close()
+    fresh = VersionedTable(spark, t.root)
+    assert fresh.latest()["snapshot_id"] == 3 and fresh.read().first().id == 2
+    out = fs.create(t._path(f"{t.log_dir}/_latest"), True)
+    out.write(bytearray(b"not a number"))
+    out.close()
+    assert VersionedTable(spark, t.root).latest()["snapshot_id"] == 3

@@ -130,25 +130,50 @@ class VersionedTable:
             out.append(self._entries[n])
         return out
 
+    def load(self, snapshot_id: int) -> dict | None:
+        """One log entry by id, read directly (no listing); None if absent."""
+        name = f"v{snapshot_id:012d}.json"
+        if name not in self._entries:
+            path = f"{self.log_dir}/{name}"
+            if snapshot_id < 1 or not self._fs().exists(self._path(path)):
+                return None
+            rec = json.loads(self._read_text(path))
+            rec["committed_at"] = _parse_time(rec["committed_at"])
+            self._entries[name] = rec
+        return self._entries[name]
+
     def latest(self) -> dict | None:
-        entries = self.log()
-        return entries[-1] if entries else None
+        """The newest snapshot.  Read from the ``_latest`` pointer, then
+        probe forward (the pointer is written after the entry and may lag a
+        crash); without a readable pointer, list the log."""
+        fs = self._fs()
+        hint = f"{self.log_dir}/_latest"
+        try:
+            n = int(self._read_text(hint).strip()) if fs.exists(self._path(hint)) else None
+        except Exception:  # noqa: BLE001 - a torn or unreadable pointer: list instead
+            n = None
+        if n is None:
+            entries = self.log()
+            return entries[-1] if entries else None
+        while self.load(n + 1) is not None:
+            n += 1
+        return self.load(n)
 
     def entry(self, snapshot_id: int | None = None, as_of=None) -> dict:
-        entries = self.log()
-        if not entries:
-            raise SnapshotNotFound(f"{self.root} has no snapshot")
         if snapshot_id is not None:
-            for e in entries:
-                if e["snapshot_id"] == snapshot_id:
-                    return e
-            raise SnapshotNotFound(snapshot_id)
-        if as_of is not None:
-            older = [e for e in entries if e["committed_at"] <= as_of]
-            if not older:
-                raise SnapshotNotFound(f"no snapshot at {as_of}")
-            return older[-1]
-        return entries[-1]
+            e = self.load(snapshot_id)
+            if e is None:
+                raise SnapshotNotFound(snapshot_id)
+            return e
+        if as_of is None:
+            e = self.latest()
+            if e is None:
+                raise SnapshotNotFound(f"{self.root} has no snapshot")
+            return e
+        older = [e for e in self.log() if e["committed_at"] <= as_of]
+        if not older:
+            raise SnapshotNotFound(f"no snapshot at {as_of}")
+        return older[-1]
 
     def _commit(self, parts: list[dict], operation: str, schema: T.StructType,
                 summary: dict | None, parent: dict | None) -> int:
@@ -164,6 +189,11 @@ class VersionedTable:
             "layout": self.layout,
         }
         self._create_if_absent(f"{self.log_dir}/v{sid:012d}.json", json.dumps(rec) + "\n")
+        out = self._fs().create(self._path(f"{self.log_dir}/_latest"), True)  # a hint only
+        try:
+            out.write(bytearray(str(sid).encode("utf-8")))
+        finally:
+            out.close()
         return sid
 
     def _write_part(self, df: DataFrame, sort_by: Sequence[str] = ()) -> str:

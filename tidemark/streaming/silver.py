@@ -39,10 +39,12 @@ def already_committed(target: VersionedTable, writer: str, batch_id: int) -> boo
     """A replayed batch is the writer's last committed one (the stream
     commits its checkpoint after our commit, and batches run in order), so
     only the writer's most recent entry is checked."""
-    for e in reversed(target.log()):
+    e = target.latest()
+    while e is not None:  # walk back by parent id; no listing of the log
         s = e.get("summary") or {}
         if s.get("writer") == writer:
             return int(s.get("batch_id", -1)) >= batch_id
+        e = target.load(e["parent_id"]) if e.get("parent_id") else None
     return False
 
 
