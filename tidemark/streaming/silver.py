@@ -66,23 +66,28 @@ def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[
     def run(batch: DataFrame, batch_id: int) -> None:
         if already_committed(target, writer, batch_id):  # replayed batch (L10)
             return
-        if batch.isEmpty():  # STR6
-            return
+        null_key = F.lit(False)
+        for k in keys:
+            null_key = null_key | F.col(k).isNull()
         batch = batch.persist()
         try:
-            null_key = F.lit(False)
-            for k in keys:
-                null_key = null_key | F.col(k).isNull()
+            touched = None
+            if target.layout:
+                # The buckets of the batch's keys (null for null keys), which
+                # also tells an empty batch apart: one small job, at most
+                # `buckets` + 1 values reach the driver.
+                found = [r[0] for r in batch.select(
+                    F.when(~null_key, target.bucket_column()).alias("b")).distinct().collect()]
+                if not found:  # STR6
+                    return
+                touched = [b for b in found if b is not None]
+            elif batch.isEmpty():  # STR6
+                return
             stamp = period if period is not None else F.current_timestamp()
             rows = batch.withColumn("__at", stamp)
             extra = [c for c in tiebreak if c not in columns]
             entries = latest_per_key(rows.filter(~null_key).select(*columns, *extra, "__at"),
                                      keys + ["__at"], [ts, *tiebreak])
-            touched = None
-            if target.layout:
-                # Bounded: at most `buckets` values reach the driver.
-                touched = [r[0] for r in rows.filter(~null_key)
-                           .select(target.bucket_column().alias("b")).distinct().collect()]
             open_rows = target.read_open(v.current, touched)
             _, reopened, late = merge_versions(open_rows, entries.select(*columns, "__at"), keys,
                                                tracked, "__at", v, mode)
