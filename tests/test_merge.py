@@ -121,3 +121,14 @@ def test_bucket_layout_needs_both_arguments(spark):
     from tidemark.plans.versions import VersionedTable
     with pytest.raises(ValueError):
         VersionedTable(spark, "/tmp/never-written", buckets=4)
+
+
+def test_key_history_as_of_and_semi_join(spark):
+    from tidemark.operators.scd2 import as_of, history_of_keys, key_history
+    h = spark.createDataFrame([("k", "A", 0, 5, False), ("k", "B", 5, None, True), ("m", "A", 0, None, True)],
+                              SCHEMA)
+    assert [r.attr for r in key_history(h, "id", "k", V).collect()] == ["A", "B"]
+    keys = spark.createDataFrame([("m",), ("m",)], "id string")
+    assert [(r.id, r.attr) for r in history_of_keys(h, keys, ["id"], V).collect()] == [("m", "A")]
+    assert sorted((r.id, r.attr) for r in as_of(h, 3, V).collect()) == [("k", "A"), ("m", "A")]
+    assert sorted((r.id, r.attr) for r in as_of(h, 5, V).collect()) == [("k", "B"), ("m", "A")]
