@@ -5,6 +5,6 @@ tables with snapshots, nested facts, JSON event topics and a small catalogue
 of named queries — all as DataFrame / Spark SQL / Structured Streaming plans.
 """
 
-from .session import get_session, shared_root, scratch_path
+from .session import get_session, scale_settings, scratch_path, shared_root, stage
 
-__all__ = ["get_session", "shared_root", "scratch_path"]
+__all__ = ["get_session", "scale_settings", "scratch_path", "shared_root", "stage"]
