@@ -169,3 +169,19 @@ def test_latest_pointer_may_lag(spark):
     out.write(bytearray(b"not a number"))
     out.close()
     assert VersionedTable(spark, t.root).latest()["snapshot_id"] == 3
+
+
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_merge_into_equals_scd2_apply(spark, buckets):
+    from tidemark.operators.scd2 import compat_batch_merge, scd2_apply
+    from tidemark.plans.merge import merge_into
+    dim = dim_initial(spark, SF0001)
+    ch = change_set(spark, SF0001)
+    kw = {"buckets": buckets, "bucket_keys": ["customer_id"]} if buckets else {}
+    for rules, want in ((dict(), scd2_apply(dim, ch, ["customer_id"], ["city"], "2024-06-01")),
+                        (dict(close_rule="any_match", insert_rule="always", null_safe=False),
+                         compat_batch_merge(dim, ch, ["customer_id"], ["city"], "2024-06-01"))):
+        t = VersionedTable(spark, scratch_path(spark, "t", "merge-into"), **kw)
+        t.publish(dim, current_col="is_current")
+        merge_into(t, ch, ["customer_id"], ["city"], "2024-06-01", **rules)
+        assert _rows(t.read()) == _rows(want)
