@@ -26,12 +26,13 @@ from ..operators.dedupe import distinct_rows, key_audit, latest_per_key
 from ..operators.nested import flatten_items, nest_items, with_many_items, without_items
 from ..operators.scd2 import (TIME_VALIDITY, as_of, build_change_set, compat_batch_merge,
                               current_rows, history_from_log, initial_load, rewrite_when,
-                              scd2_apply, scd2_parts)
+                              scd2_apply)
 from ..session import scratch_path
 from ..sources.csv import read_csv, write_csv
 from ..sources.topic import publish_events, topic_stream
 from ..streaming.bronze import start_bronze
 from ..streaming.silver import start_silver
+from .merge import merge_into
 from .versions import VersionedTable
 
 # Fixed values of the reference's batch pipeline: load date, sample size and
@@ -203,12 +204,9 @@ def q_menu_multi_item_orders(spark, sf):
 def _versioned_dim(spark, sf) -> tuple[VersionedTable, int, int]:
     t = VersionedTable(spark, scratch_path(spark, "tables", "dim_customers"))
     v1 = t.publish(dim_initial(spark, sf), "replace", current_col="is_current")
-    dim = t.read(v1)
-    ch = change_set(spark, sf, dim)
-    updated, inserted = scd2_parts(current_rows(t.read_open()), ch, ["customer_id"], ["city"],
-                                   MERGE_DATE)
-    v2 = t.commit_history(updated.unionByName(inserted), "is_current",
-                          {"effective": MERGE_DATE.isoformat()})
+    ch = change_set(spark, sf, t.read(v1))
+    v2 = merge_into(t, ch, ["customer_id"], ["city"], MERGE_DATE,
+                    summary={"effective": MERGE_DATE.isoformat()})
     return t, v1, v2
 
 
