@@ -95,6 +95,8 @@ def main(argv: list[str]) -> int:
             ok, msg = False, f"ERROR {type(e).__name__}: {str(e)[:400]}"
         bad += not ok
         print(f"{'OK ' if ok else 'BAD'} {name}: {msg}", flush=True)
+    total = len([n for n in qs if not names or n in names])
+    print(f"{total - bad}/{total} match", flush=True)
     return 1 if bad else 0
 
 
