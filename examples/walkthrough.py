@@ -24,8 +24,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.operators.nested import nest_items, with_many_items  # noqa: E402
-from tidemark.operators.scd2 import TIME_VALIDITY, build_change_set, rewrite_when, scd2_parts  # noqa: E402
+from tidemark.operators.scd2 import TIME_VALIDITY, build_change_set, rewrite_when  # noqa: E402
 from tidemark.plans import catalogue  # noqa: E402
+from tidemark.plans.merge import merge_into  # noqa: E402
 from tidemark.plans.queries import (CITY_MATCH, CITY_OTHERWISE, CITY_THEN, EVENT_SCHEMA,  # noqa: E402
                                     HISTORY_COLUMNS, ITEM_FIELDS, LOAD_DATE, MERGE_DATE,
                                     SAMPLE_FRACTION, SAMPLE_SEED, event_day, raw_customers)
@@ -53,8 +54,8 @@ def main(sf: str) -> None:
         dim.read_open(), ["customer_id"], SAMPLE_FRACTION, SAMPLE_SEED,
         {"city": rewrite_when("city", CITY_MATCH, CITY_THEN, CITY_OTHERWISE)},
         {"update_date": F.lit(MERGE_DATE)}, staged=True)
-    updated, inserted = scd2_parts(dim.read_open(), changes, ["customer_id"], ["city"], MERGE_DATE)
-    v2 = dim.commit_history(updated.unionByName(inserted), summary={"effective": MERGE_DATE})
+    v2 = merge_into(dim, changes, ["customer_id"], ["city"], MERGE_DATE,
+                    summary={"effective": MERGE_DATE})
     print("staged changes:", changes.count(), "rows after merge:", dim.read().count())
 
     # 3. snapshot list and time travel
