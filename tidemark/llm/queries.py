@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secrets
+from . import packing, quality, relative_lz, secrets, suffixes, tokenbin
 from .common import prepare
 
 VOCAB_DIR = None  # None: the installed public_tokenizers package
@@ -22,12 +22,35 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digest(found)
 
 
+def op4_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative_lz.remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text")) \
+        .select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op5_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text")) \
+        .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return tokenbin.documents_in(tokenbin.token_table(docs, folder=VOCAB_DIR))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents", "doc_id", "text"), folder=VOCAB_DIR)
+
+
 QUERIES = {
     "op3_secret_scan": op3_secret_scan,
+    "op4_relative_lz": op4_relative_lz,
+    "op5_suffix_sort": op5_suffix_sort,
+    "op6_token_blocks": op6_token_blocks,
     "op7_quality_rules": op7_quality_rules,
+    "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
