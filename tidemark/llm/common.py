@@ -20,7 +20,7 @@ from ..session import scratch_path
 
 NULL_ID = -(2 ** 63)
 #: Bytes of text that one numpy pass works on (a longer document is one pass).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def prepare(spark: SparkSession) -> None:

@@ -60,9 +60,12 @@ def _repeat_words(words: str, n: int = 5) -> Column:
 
     Windows become strings ``w1 .. wn\\n<position>`` and are sorted; equal
     windows are then neighbours (words hold neither blank nor newline), and
-    the union of the positions they cover is summed from the gaps.
+    the union of the positions they cover is summed from the gaps.  A text
+    whose windows have distinct hashes holds no equal ones and is not sorted.
     """
     size = F.size(words)
+    hashes = F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.xxhash64(F.slice(words, i, n)))
+    repeats = F.transform(F.array(hashes), lambda h: F.size(F.array_distinct(h)) < F.size(h))[0]
     tagged = F.transform(
         F.sequence(F.lit(1), size - (n - 1)),
         lambda i: F.concat(F.array_join(F.slice(words, i, n), " "), F.lit("\n"), i.cast("string")))
@@ -76,7 +79,7 @@ def _repeat_words(words: str, n: int = 5) -> Column:
     covered = F.transform(F.array(starts), lambda p: F.aggregate(
         F.zip_with(p, F.slice(p, 2, F.size(p) + 1), lambda a, b: F.least(F.lit(n), F.coalesce(b - a, F.lit(n)))),
         F.lit(0), lambda acc, x: acc + x))[0]
-    return F.when(size >= n, covered).otherwise(F.lit(0)).cast("long")
+    return F.when((size >= n) & repeats, covered).otherwise(F.lit(0)).cast("long")
 
 
 def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

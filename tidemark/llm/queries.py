@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, relative_lz, secrets, suffixes, tokenbin
+from . import decontaminate, html_text, near_dup, packing, quality, relative_lz, secrets, suffixes, tokenbin
 from .common import prepare
 
 VOCAB_DIR = None  # None: the installed public_tokenizers package
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     found, _ = secrets.scan_secrets(docs)
@@ -41,16 +45,29 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.matches(docs, _table(spark, sf_dir, "benchmark", "item_id", "text")) \
+        .select("doc_id", "item_id", "distance")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents", "doc_id", "text"), folder=VOCAB_DIR)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_relative_lz": op4_relative_lz,
     "op5_suffix_sort": op5_suffix_sort,
     "op6_token_blocks": op6_token_blocks,
     "op7_quality_rules": op7_quality_rules,
+    "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
+    "op10_html_extraction": op10_html_extraction,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -40,7 +40,7 @@ from .common import Prefix, anchors, keyed, real_id, slices, written
 
 LENGTH, GRAM = 400, 128
 #: Contexts compared at once (more only if one gram has more).
-COMPARE_ROWS = 16_000
+COMPARE_ROWS = 4_000
 
 SEGMENTS = "key long, seg long, _d long, _u long, a int, b int, p int"
 
