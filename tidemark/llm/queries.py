@@ -4,8 +4,9 @@ operator to the whole table and returns the full result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, near_dup, packing, quality, relative_lz, secrets, suffixes, tokenbin
+from . import decontaminate, html_text, near_dup, packing, quality, relative_lz, secrets, suffixes, token_counts, tokenbin
 from .common import prepare
 
 VOCAB_DIR = None  # None: the installed public_tokenizers package
@@ -20,6 +21,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+#: The edit that op2's query makes: each number of four digits and more is masked.
+NUMBER = secrets.Rule("number", "[0-9]{4,}", 0, 4)
+MASK = "<number>"
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = secrets.matches("text", NUMBER)
+    edits = F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"),
+                                                  F.lit(MASK).alias("text")))
+    rows = token_counts.with_trees(docs.withColumn("edits", edits), folder=VOCAB_DIR)
+    return token_counts.edited_counts(rows, VOCAB_DIR).drop("tree_tokens")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     found, _ = secrets.scan_secrets(docs)
@@ -61,6 +76,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_secret_scan": op3_secret_scan,
     "op4_relative_lz": op4_relative_lz,
     "op5_suffix_sort": op5_suffix_sort,

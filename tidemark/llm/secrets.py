@@ -65,7 +65,7 @@ FINDINGS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Str
                                      T.StructField("end", T.LongType()), T.StructField("kind", T.StringType())]))
 
 
-def _matches(text: str, rule: Rule, rank: int) -> Column:
+def matches(text: str, rule: Rule, rank: int = 0) -> Column:
     """Passing matches as ``start, rank, end, kind``.
 
     The text split at the matches gives the gaps between them, so positions
@@ -116,7 +116,7 @@ def scan(blobs_df: DataFrame, rules: Sequence[Rule] = RULES, ledger: DataFrame |
             "__todo", F.array_except(names, F.coalesce("__seen", F.array().cast("array<string>")))) \
             .filter(F.size("__todo") > 0)
     found = [F.when(F.array_contains("__todo", r.name), F.struct(
-        F.lit(r.name).alias("rule"), _matches("__text", r, i).alias("findings"))) for i, r in enumerate(rules)]
+        F.lit(r.name).alias("rule"), matches("__text", r, i).alias("findings"))) for i, r in enumerate(rules)]
     rows = todo.select("blob", F.filter(F.array(*found), lambda x: x.isNotNull()).alias("__rows"))
     return rows.select("blob", F.explode("__rows").alias("r")).select("blob", "r.rule", "r.findings")
 

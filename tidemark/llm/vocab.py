@@ -102,17 +102,27 @@ class Encoder:
                for t in tokenize(p.encode().decode("latin1").translate(_BYTE_CHARS))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __call__(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def learn(self, texts: Sequence[str]) -> tuple[list[list[str]], dict[str, bytes]]:
+        """Cuts ``texts`` and remembers their pieces; returns the cuts and the
+        pieces too long to remember."""
         cuts = [self.cut(t) for t in texts]
-        known = self.known
-        fresh = set().union(*cuts).difference(known) if cuts else set()
-        if len(known) + len(fresh) > MAX_REMEMBERED:
-            known.clear()
+        fresh = set().union(*cuts).difference(self.known) if cuts else set()
+        if len(self.known) + len(fresh) > MAX_REMEMBERED:
+            self.known.clear()
             fresh = set().union(*cuts)
         now = {p: self._encode(p) for p in fresh}
-        known.update((k, v) for k, v in now.items() if len(k) <= MAX_PIECE)
-        long = {k: v for k, v in now.items() if len(k) > MAX_PIECE}
+        self.known.update((k, v) for k, v in now.items() if len(k) <= MAX_PIECE)
+        return cuts, {k: v for k, v in now.items() if len(k) > MAX_PIECE}
+
+    def __call__(self, texts: Sequence[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        cuts, long = self.learn(texts)
+        known = self.known
         if not long:
             return [b"".join(map(known.__getitem__, c)) for c in cuts]
         return [b"".join([known[p] if p in known else long[p] for p in c]) for c in cuts]
+
+    def counts(self, pieces: Sequence[str]) -> list[int]:
+        """Tokens of each piece; unknown pieces are encoded, not remembered."""
+        known = self.known
+        return [len(known[p] if p in known else self._encode(p)) >> 2 for p in pieces]
