@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, html_text, near_dup, packing, quality, relative_lz, secrets, suffixes, token_counts, tokenbin
 from .common import prepare
+from .oracle import ORACLE_SQL  # noqa: F401 - read by the entry module
 
 VOCAB_DIR = None  # None: the installed public_tokenizers package
 
@@ -86,4 +87,3 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_html_extraction": op10_html_extraction,
 }
-ORACLE_SQL: dict[str, str] = {}
