@@ -1,0 +1,329 @@
+"""Operators 3, 4, 5, 7, 8 and 10 against brute force on small fixtures."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, html_text, quality, relative_lz, secrets, suffixes
+from tidemark.llm.common import Prefix, anchors, prepare, sliding_min, words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(autouse=True)
+def _bounded(spark):
+    prepare(spark)
+
+
+def texts(seed, n, alphabet, pool_words, longest=5):
+    """Documents put together from shared and own passages, with null and
+    repeated rows and null ids."""
+    rng = random.Random(seed)
+    pool = [[rng.choice(alphabet) for _ in range(rng.randint(3, pool_words))] for _ in range(12)]
+    rows = []
+    for i in range(n):
+        parts = [rng.choice(pool) if rng.random() < 0.6 else
+                 [rng.choice(alphabet) for _ in range(rng.randint(0, 15))] for _ in range(rng.randint(0, longest))]
+        t = rng.choice([" ", "\n", "\t "]).join(sum(parts, []))
+        if rng.random() < 0.1:
+            t = "z y " * rng.randint(0, 20)
+        rows.append((n - i if i % 37 else None, t if i % 31 else None))
+    return rows + rows[:3]
+
+
+# ------------------------------------------------------------------ helpers
+def test_words_follow_documents():
+    body = b"ab c  d\te\n"
+    start, end, first = words(np.array([0, 0, 3, 8, 10]), np.frombuffer(body, np.uint8))
+    assert [body[s:e] for s, e in zip(start, end)] == [b"ab", b"c", b"d", b"e"]
+    assert first.tolist() == [0, 0, 1, 4, 4] or first.tolist() == [0, 0, 1, 3, 4]
+
+
+def test_sliding_min_is_the_windows_minimum():
+    a = np.random.default_rng(1).integers(0, 50, 97).astype(np.uint64)
+    for w in (1, 2, 7, 97, 98):
+        assert sliding_min(a, w).tolist() == [int(a[i:i + w].min()) for i in range(max(0, 97 - w + 1))]
+
+
+def test_equal_windows_pick_the_same_gram():
+    rng = np.random.default_rng(0)
+    docs = [bytes(rng.integers(97, 100, rng.integers(0, 60)).astype(np.uint8)) for _ in range(200)] + [b"abc" * 30]
+    body, off = np.frombuffer(b"".join(docs), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    gram, w = 4, 6
+    seen, where = set(), {}
+    for d, a, b, p in zip(*anchors(Prefix.of_bytes(body).all(gram), w, off, w + gram - 1)):
+        for s in range(a, b + 1):
+            assert off[d] <= s and s + 9 <= off[d + 1] and s <= p < s + w
+            seen.add(s)
+            assert where.setdefault(bytes(body[s:s + 9]), p - s) == p - s
+    assert seen == {int(off[i]) + s for i, t in enumerate(docs) for s in range(len(t) - 8)}
+
+
+# ---------------------------------------------------------------- operator 3
+def expected_spans(text):
+    rules = [(r.kind, re.compile(r.pattern, re.ASCII), r.checked, r.least) for r in secrets.RULES]
+    found = []
+    for rank, (kind, pattern, group, least) in enumerate(rules):
+        found += [(m.start(), rank, f"{kind}:{m.start()}:{m.end()}", kind) for m in pattern.finditer(text or "")
+                  if len(m.group(group)) >= least]
+    return sorted(found)
+
+
+SECRET_TEXTS = [
+    "x token='aaaaaa' password: abc123 secret=12345678 AKIA" + "Z" * 20 + " " + "a" * 30,
+    '😀 API_KEY = "abcdefgh" tokentoken=abcdef ' + "0" * 24 + "😀" + "f" * 25 + " Token=AKIA" + "A" * 20,
+    "token = short password=abc", None, "", "tokenſ=abcdefg toKen:abcdefg", "a1" * 4000,
+    "eyJabcdefghijkl.abcdefghijkl.abcdefghij -----BEGIN RSA PRIVATE KEY----- x",
+]
+
+
+def test_secret_spans_equal_the_patterns(spark):
+    rows = list(enumerate(SECRET_TEXTS)) + [(0, SECRET_TEXTS[0]), (None, SECRET_TEXTS[1])]
+    found, _ = secrets.scan_secrets(spark.createDataFrame(rows, SCHEMA))
+    got = Counter((r.doc_id, r.base_sha256, r.spans, r.n_assign, r.n_access, r.n_hex)
+                  for r in secrets.span_digest(found).collect())
+    want = Counter()
+    for d, t in rows:
+        spans = expected_spans(t)
+        base = [s for s in spans if s[3] in ("assign", "access", "hex")]
+        count = Counter(s[3] for s in base)
+        want[d, hashlib.sha256(",".join(s[2] for s in base).encode()).hexdigest(), ",".join(s[2] for s in spans),
+             count["assign"], count["access"], count["hex"]] += 1
+    assert got == want
+
+
+def test_ledger_scans_unseen_pairs_only(spark):
+    docs = spark.createDataFrame(list(enumerate(SECRET_TEXTS)), SCHEMA)
+    _, ledger = secrets.scan_secrets(docs)
+    assert secrets.scan(secrets.blobs(docs), ledger=ledger).count() == 0
+    newer = [*secrets.BASE_RULES, secrets.Rule("jwt", secrets.JWT.pattern, 0, 30, version=2)]
+    blobs = secrets.blobs(docs)
+    assert secrets.scan(blobs, newer, ledger).count() == blobs.count()  # one new rule version
+    more = docs.unionByName(spark.createDataFrame([(99, "token=abcdefgh")], SCHEMA))
+    found, new = secrets.scan_secrets(more, ledger=ledger)
+    assert new.select("blob").distinct().count() == 1
+    whole, _ = secrets.scan_secrets(more)
+    assert sorted(found.select("doc_id", "findings").collect(), key=str) == \
+        sorted(whole.select("doc_id", "findings").collect(), key=str)
+
+
+def test_redaction_masks_all_and_keeps_the_rest(spark):
+    rows = list(enumerate(SECRET_TEXTS))
+    got = dict(secrets.redact_secrets(spark.createDataFrame(rows, SCHEMA)).collect())
+    for d, t in rows:
+        if not expected_spans(t):
+            assert got[d] == t
+            continue
+        out, at = "", 0
+        spans = [tuple(map(int, s[2].split(":")[1:])) for s in expected_spans(t)]
+        for s, e in spans:
+            if s >= at:
+                out += t[at:s] + "[SECRET]"
+            at = max(at, e)
+        assert got[d] == out + t[at:]
+        assert not [s for s in expected_spans(got[d]) if s[3] != "hex"]
+
+
+# ---------------------------------------------------------------- operator 4
+def removed_words(rows, n):
+    docs = [(d if d is not None else -2 ** 63, (t or "").encode().split()) for d, t in rows]
+    first = {}
+    for d, w in docs:
+        for i in range(len(w) - n + 1):
+            k = tuple(w[i:i + n])
+            first[k] = min(first.get(k, (d, i)), (d, i))
+    out = []
+    for (d, _), (key, w) in zip(rows, docs):
+        gone = set()
+        for i in range(len(w) - n + 1):
+            if first[tuple(w[i:i + n])] < (key, i):
+                gone.update(range(i, i + n))
+        left = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(left).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed, window, gram, hot", [(1, 9, 4, 200), (2, 6, 3, 200), (3, 6, 3, 5), (4, 9, 4, 5)])
+def test_relative_lz_removes_what_starts_earlier(spark, monkeypatch, seed, window, gram, hot):
+    monkeypatch.setattr(relative_lz, "HOT_LEAST", hot)
+    alphabet = ["a", "b", "c"] if seed == 1 else [f"w{i}é" for i in range(15)]
+    rows = texts(seed, 150, alphabet, 25)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = relative_lz.remove_repeats(df, window, gram).collect()
+    assert sorted([tuple(r)[:4] for r in got], key=str) == removed_words(rows, window)
+    by_id = {d: (t or "").split() for d, t in rows if d is not None}
+    for r in got:
+        if r.doc_id is not None:
+            for f in r.factors:
+                if f.ref_doc is not None:
+                    assert f.n_words >= window and by_id[r.doc_id][f.start:f.start + f.n_words] == \
+                        by_id[f.ref_doc][f.ref_start:f.ref_start + f.n_words]
+
+
+# ---------------------------------------------------------------- operator 5
+def removed_bytes(rows, n):
+    bodies = [(t or "").encode() for _, t in rows]
+    seen = Counter(b[i:i + n] for b in bodies for i in range(len(b) - n + 1))
+    out = []
+    for (d, _), b in zip(rows, bodies):
+        gone = bytearray(len(b))
+        for i in range(len(b) - n + 1):
+            if seen[b[i:i + n]] > 1:
+                gone[i:i + n] = b"\1" * n
+        runs = sum(1 for i in range(len(b)) if gone[i] and (i == 0 or not gone[i - 1]))
+        left = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((d, len(b), sum(gone), runs, hashlib.sha256(left).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed, length, gram", [(1, 20, 7), (2, 12, 4), (3, 12, 4)])
+def test_suffix_sort_removes_repeated_bytes(spark, monkeypatch, seed, length, gram):
+    monkeypatch.setattr(suffixes, "COMPARE_ROWS", 40)
+    rows = texts(seed, 120, ["ab", "b"] if seed == 2 else ["ab", "cé", "d", "ef g"], 25)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = sorted([tuple(r)[:5] for r in suffixes.remove_repeats(df, length, gram).collect()], key=str)
+    assert got == removed_bytes(rows, length)
+
+
+def test_suffix_sort_orders_suffixes_and_survives_collisions():
+    rng = random.Random(4)
+    contexts = ["".join(rng.choice("ab") for _ in range(rng.randint(4, 30))).encode() for _ in range(60)]
+    place = np.array([rng.randint(0, len(c) - 1) for c in contexts])
+    group = np.sort(np.array([rng.randint(0, 6) for _ in contexts]))
+    e = suffixes.Extensions(contexts, place)
+    for rightward in (True, False):
+        key = [(c[p:] if rightward else c[:p][::-1]) for c, p in zip(contexts, place)]
+        want = sorted(range(60), key=lambda i: (group[i], key[i], i))
+        assert e.sort(group, rightward).tolist() == want
+    found = {}
+    for x, left, right in suffixes.repeated_parts(group, contexts, place, np.ones(60, bool), 6):
+        found.setdefault(x, []).append((left, right))
+    plain = {x: suffixes._plainly(e, group, x, 6) for x in range(60)}
+    cover = lambda parts: (max(p[0] for p in parts), max(p[1] for p in parts))
+    assert {x: cover(p) for x, p in found.items()} == {x: cover(p) for x, p in plain.items() if p}
+
+
+# ---------------------------------------------------------------- operator 7
+def base_counts(text):
+    t = text or ""
+    w = WORD.findall(t)
+    windows = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    count = Counter(windows)
+    covered = {i + k for i, x in enumerate(windows) if count[x] > 1 for k in range(5)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_base_counts(spark):
+    rows = texts(5, 80, ["a", "b#", "Ćc", "d|e"], 25)
+    df = spark.createDataFrame([(*r, "en" if i % 3 else None) for i, r in enumerate(rows)], SCHEMA + ", lang string")
+    got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+                  for r in quality.quality_rules(df).collect())
+    want = Counter()
+    for d, t in rows:
+        c = base_counts(t)
+        want[(d, *c, c[0] < 10 or 100 * c[4] > 20 * c[0])] += 1
+    assert got == want
+
+
+def test_quality_rejects_divergent_text_and_keeps_clean(spark):
+    rng = random.Random(1)
+    vocabulary = [*quality.COMMON_WORDS[:12], *("lorem ipsum dolor amet sit elit magna aliqua minim veniam".split())]
+    clean = [(i, " ".join(rng.choice(vocabulary) for _ in range(120)), "en") for i in range(40)]
+    junk = [(100, " ".join(rng.choice("#$%&*|") * rng.randint(3, 9) + str(rng.random()) for _ in range(80)), "en")]
+    df = spark.createDataFrame(clean + junk, SCHEMA + ", lang string")
+    verdict = {r.doc_id: r.kept for r in quality.quality_rules(df).collect()}
+    assert not verdict[100] and all(verdict[i] for i in range(40))
+    extra = df.withColumn("kept", F.lit(1)).withColumn("__classes", F.lit("x"))
+    kept = quality.quality_filter(extra)
+    assert kept.columns == extra.columns and {r.doc_id for r in kept.collect()} == set(range(40))
+
+
+# ---------------------------------------------------------------- operator 8
+def least_edits(item, text):
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, x in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != x), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_decontamination_finds_all_within_the_budget():
+    rng = random.Random(3)
+
+    def edited(s, n):
+        s = list(s)
+        for _ in range(n):
+            k, kind = rng.randrange(len(s)), rng.randrange(3)
+            s[k:k + (kind != 2)] = [] if kind == 1 else [rng.choice("abcdef ")]
+        return "".join(s)
+
+    pairs = 0
+    for q, rate, alphabet in ((4, 0.1, "abcdef "), (3, 0.15, "abcdefghij "), (6, 0.08, "ab ")):
+        items = ["".join(rng.choice(alphabet) for _ in range(rng.randint(q, 60))) for _ in range(8)]
+        index = decontaminate.Index([i.encode() for i in items], q, rate)
+        for _ in range(12):
+            docs = ["".join(edited(rng.choice(items), rng.randint(0, 3)) if rng.random() < 0.6 else
+                            "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 50)))
+                            for _ in range(rng.randint(0, 4))) for _ in range(6)]
+            off = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+            got = {(d, t): n for d, t, n, _, _ in index.search(off, np.frombuffer("".join(docs).encode(), np.uint8))}
+            want = {(d, t): least_edits(i, x) for d, x in enumerate(docs) for t, i in enumerate(items)}
+            want = {k: n for k, n in want.items() if n <= index.edits[k[1]]}
+            assert got == want
+            pairs += len(want)
+    assert pairs > 50
+
+
+def test_decontamination_drops_only_leaks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)  # several blocks
+    items = [(1, "The quick brown fox jumps over the lazy dog near the river"), (2, None), (3, "tiny"),
+             (4, "A completely different question about numbers and letters"), (None, "An item whose id is missing altogether")]
+    docs = [(0, "clean text about foxes and rivers"), (1, "x " + items[0][1].upper().replace(" ", "  ") + " y"),
+            (2, None), (3, ""), (4, items[3][1][:20] + "!" + items[3][1][20:]), (4, items[3][1]), (5, items[4][1])]
+    d = spark.createDataFrame(docs, SCHEMA).withColumn("_plain", F.lit(1))
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.matches(d, b).collect()}
+    assert got == {(1, 1, 0), (4, 4, 1), (4, 4, 0), (5, None, 0)}
+    left = decontaminate.clean_documents(d, b)
+    assert left.columns == d.columns and sorted(r.doc_id for r in left.collect()) == [0, 2, 3]
+    assert decontaminate.clean_documents(d, b.limit(0)).count() == len(docs)
+
+
+# --------------------------------------------------------------- operator 10
+@pytest.mark.parametrize("page, text", [
+    (None, ""), ("", ""), ("plain text", "plain text"), ("<script>x", ""), ("<nav>menu</nav>", ""),
+    ("<div>a<p>b<b>c<p>d</b> e</div>f", "a\nbc\nd e"),
+    ("<html><body><nav><a href=x>Menu</a></nav><div class='ad'>Buy, buy, buy now.</div><article><h1>T &amp; U</h1>"
+     "<p>One,&nbsp;two\n three.<br>Four.<p>Five.</article><footer>foot</footer></body></html>",
+     "T & U\nOne, two three. Four.\nFive."),
+    ("<div id=main><h2>T</h2><p>Hello, big wide world of text that is long.<p>x<ul><li>one<li>two</ul></div>"
+     "<div class='sidebar'>side, with, many, commas, and much more text than the article has</div><di",
+     "T\nHello, big wide world of text that is long.\nx\none\ntwo"),
+    ("<main><p>Body text, as it is.</p><div class='comments'><p>Reader, comment, text.</p></div>"
+     "<form><p>Send, us, this</p></form><ul><li><a href=1>link one</a><li><a href=2>link two</a></ul></main>",
+     "Body text, as it is."),
+])
+def test_main_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_pages_of_odd_markup_finish():
+    for page in ("<" * 3000, "<a " * 20000, "<div>" * 5000 + "deep", "<p title='a>b'>x</p><a href=\"q>y", "<!--" * 999):
+        html_text.main_text(page)
+
+
+def test_extract_keeps_every_page(spark):
+    rows = [(1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (None, None, None), (2, "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    assert sorted(map(tuple, html_text.extract(df).collect()), key=str) == sorted(
+        [(1, "u", "x", 1), (1, "u", "x", 1), (None, None, "", 0), (2, "", "", 0)], key=str)
+    assert html_text.extract(df.limit(0)).count() == 0
