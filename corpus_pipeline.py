@@ -37,12 +37,15 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts are masked; ``n_chars`` follows a changed text."""
     prepare(spark)
-    marked = secrets.redact_secrets(docs.withColumn("n_chars_before", F.length("text")))
     if "n_chars" not in docs.columns:
-        return marked.drop("n_chars_before")
-    changed = ~F.length("text").eqNullSafe(F.col("n_chars_before"))
+        return secrets.redact_secrets(docs)
+    before = "n_chars_before"
+    while before in docs.columns:
+        before += "_"
+    marked = secrets.redact_secrets(docs.withColumn(before, F.length("text")))
+    changed = ~F.length("text").eqNullSafe(F.col(before))
     size = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return marked.withColumn("n_chars", size).drop("n_chars_before")
+    return marked.withColumn("n_chars", size).drop(before)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
