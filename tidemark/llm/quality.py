@@ -50,6 +50,13 @@ def _text(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def _computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns``, computed once a row: through a generator of one
+    row, since the optimizer copies a plain column's expression into each of
+    its uses and into filters above."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _without(text: Column, chars: str) -> Column:
     """Code points left when ``chars`` (a Java class body) is taken out."""
     return F.length(F.regexp_replace(text, f"[{chars}]+", ""))
@@ -64,10 +71,11 @@ def _repeat_words(words: str, n: int = 5) -> Column:
     whose windows have distinct hashes holds no equal ones and is not sorted.
     """
     size = F.size(words)
-    hashes = F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.xxhash64(F.slice(words, i, n)))
+    hashes = F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i: F.xxhash64(*[
+        F.get(F.col(words), i + (k - 1)) for k in range(n)]))
     repeats = F.transform(F.array(hashes), lambda h: F.size(F.array_distinct(h)) < F.size(h))[0]
     tagged = F.transform(
-        F.sequence(F.lit(1), size - (n - 1)),
+        F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))),
         lambda i: F.concat(F.array_join(F.slice(words, i, n), " "), F.lit("\n"), i.cast("string")))
     ordered = F.sort_array(tagged)
     window = lambda s: F.substring_index(s, "\n", 1)
@@ -86,25 +94,26 @@ def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """``docs`` with ``__lang, __classes, __common``: counts per character
     class (of word characters) and per common word."""
     t = _text(text_col)
-    d = docs.withColumns({
-        "__lang": F.coalesce(F.col(lang_col), F.lit("")),
-        "__ink": F.translate(t, SPACES, "")})
-    n = F.length("__ink")
-    ink = F.col("__ink")
-    lower, upper, digit = (n - _without(ink, c) for c in ("a-z", "A-Z", "0-9"))
-    wide = _without(ink, r"\x00-\x7F")
-    symbol = n - F.length(F.translate(ink, SYMBOLS, ""))
-    parts = [lower, upper, digit, wide, symbol]
-    d = d.withColumn("__parts", F.array(n, *parts))
+    common = F.filter(F.transform(_words(F.lower(t)), lambda w: F.rtrim(w, F.lit(MARKS))),
+                      lambda w: w.isin(COMMON_WORDS))
+    d = _computed(docs, __ink=F.translate(t, SPACES, ""), __hits=F.sort_array(common))
+    ink, n = F.col("__ink"), F.length("__ink")
+    d = _computed(d, __parts=F.array(
+        n, *[n - _without(ink, c) for c in ("a-z", "A-Z", "0-9")], _without(ink, r"\x00-\x7F"),
+        n - F.length(F.translate(ink, SYMBOLS, ""))))
     p = F.col("__parts")
     classes = F.array(*[p[i].cast("double") for i in range(1, 6)],
                       (p[0] - p[1] - p[2] - p[3] - p[4] - p[5]).cast("double"))
-    common = F.filter(F.transform(_words(F.lower(t)), lambda w: F.rtrim(w, F.lit(MARKS))),
-                      lambda w: w.isin(COMMON_WORDS))
-    d = d.withColumn("__hits", common)
-    counts = F.array(*[(F.size("__hits") - F.size(F.array_remove("__hits", w))).cast("double")
+    # The sorted hits' runs, as a map from word to run length.
+    begins = F.filter(F.transform("__hits", lambda w, i: F.when(
+        (i == 0) | (w != F.get(F.col("__hits"), i - 1)), i)), lambda i: i.isNotNull())
+    runs = F.transform(F.array(begins), lambda e: F.zip_with(e, F.slice(e, 2, F.greatest(F.size(e), F.lit(1))), lambda a, b: F.struct(
+        F.get(F.col("__hits"), a).alias("w"), F.coalesce(b, F.size("__hits")) - a)))[0]
+    d = _computed(d, __runs=F.map_from_entries(runs))
+    counts = F.array(*[F.coalesce(F.try_element_at("__runs", F.lit(w)), F.lit(0)).cast("double")
                        for w in COMMON_WORDS])
-    return d.withColumns({"__classes": classes, "__common": counts}).drop("__ink", "__parts", "__hits")
+    d = _computed(d, __lang=F.coalesce(F.col(lang_col), F.lit("")), __classes=classes, __common=counts)
+    return d.drop("__ink", "__parts", "__hits", "__runs")
 
 
 def references(hist: DataFrame) -> DataFrame:
@@ -135,29 +144,28 @@ def with_distances(hist: DataFrame, refs: DataFrame) -> DataFrame:
     """Adds ``class_distance`` and ``word_distance`` (0 below the minimum
     mass).  ``refs`` is broadcast after its row count is checked."""
     refs = F.broadcast(refs) if refs.count() <= MAX_BROADCAST_LANGUAGES else refs
-    d = hist.join(refs, "__lang")
     names = ("__classes", "__common", "__ref_classes", "__ref_common")
-    d = d.withColumns({f"{c}_n": _total(F.col(c)) for c in names})
+    d = _computed(hist.join(refs, "__lang"), **{f"{c}_n": _total(F.col(c)) for c in names})
     judged = lambda c, least: F.col(f"{c}_n") >= least
-    return d.withColumns({
-        "class_distance": F.when(judged("__classes", MIN_CHARS), js_distance("__classes", "__ref_classes"))
-        .otherwise(F.lit(0.0)),
-        "word_distance": F.when(judged("__common", MIN_COMMON), js_distance("__common", "__ref_common"))
+    return _computed(
+        d, class_distance=F.when(judged("__classes", MIN_CHARS), js_distance("__classes", "__ref_classes"))
         .otherwise(F.lit(0.0)),
-    }).drop("__lang", *names, *[f"{c}_n" for c in names])
+        word_distance=F.when(judged("__common", MIN_COMMON), js_distance("__common", "__ref_common"))
+        .otherwise(F.lit(0.0))).drop("__lang", *names, *[f"{c}_n" for c in names])
 
 
-def base_counts(text_col: str = "text") -> list[Column]:
-    """The base rule's counts from a text and its ``__words`` array."""
+def with_base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with the base rule's counts."""
     t = _text(text_col)
+    docs = _computed(docs, __words=_words(t))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-    return [
-        F.size("__words").cast("long").alias("n_words"),
-        F.length(F.translate(t, SPACES, "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long").alias("n_dup_lines"),
-        _repeat_words("__words").alias("n_repeat_words"),
-    ]
+    return _computed(
+        docs,
+        n_words=F.size("__words").cast("long"),
+        word_chars=F.length(F.translate(t, SPACES, "")).cast("long"),
+        n_symbols=(F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
+        n_dup_lines=F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long"),
+        n_repeat_words=_repeat_words("__words")).drop("__words")
 
 
 def base_failed() -> Column:
@@ -178,8 +186,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     verdict joins the two.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__t"), F.col(lang_col).alias("__l"))
-    own = own.withColumn("__words", _words(_text("__t")))
-    hist = histograms(own, "__t", "__l").select("doc_id", "__lang", "__classes", "__common", *base_counts("__t"))
+    hist = histograms(with_base_counts(own, "__t"), "__t", "__l").drop("__t", "__l")
     hist = written(hist, "quality")
     out = with_distances(hist, written(references(hist), "quality-refs"))
     return out.withColumn("base_failed", base_failed()).select(
@@ -195,7 +202,6 @@ def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     d = docs.select(*cols)
     refs = written(references(histograms(d.select(at[text_col], at[lang_col]), at[text_col], at[lang_col])),
                    "quality-refs")
-    h = histograms(d, at[text_col], at[lang_col]).withColumn("__words", _words(_text(at[text_col])))
-    h = h.select(*d.columns, "__lang", "__classes", "__common", *base_counts(at[text_col]))
+    h = histograms(with_base_counts(d, at[text_col]), at[text_col], at[lang_col])
     out = with_distances(h, refs).withColumn("base_failed", base_failed()).filter(kept())
     return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)])
