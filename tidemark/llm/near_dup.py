@@ -10,8 +10,8 @@
    first compared with the one hub that it agrees with best, then with its
    other hubs.
 4. What a hub leaves apart is finished exactly: within a band, members of
-   different classes are compared in blocks of a bounded size by their samples,
-   and pairs that agree often enough are verified.
+   different classes are compared in blocks of a bounded size by their samples
+   and 192 more, and pairs that agree often enough are verified.
 5. Verified means: the weighted Jaccard similarity of the full shingle weights
    is at least ``similarity``.  Classes are the connected components, found by
    repeated minimum and shortcut steps over written tables.
@@ -33,12 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Prefix, slices, utf8, written
-from .near_sketch import BANDS, CELLS, SAMPLES, bands, cell, idf, samples, shingles, similarity, weights
+from .near_sketch import BANDS, CELLS, FINE_SAMPLES, SAMPLES, bands, cell, idf, samples, shingles, similarity, weights
 
 SIMILARITY = 0.8
 #: Samples that must agree before a pair is verified: of 60, a pair at 0.8
 #: agrees in fewer with a probability under 0.0005.
 AGREE = 37
+#: The same of all 252 samples, under 0.0002.
+FINE_AGREE = 177
 #: Members compared with each other in one block of step 4.
 BLOCK = 512
 #: Bands with fewer members take their smallest node as hub.
@@ -204,24 +206,45 @@ def _with_class(rows: DataFrame, classes_: DataFrame, node: str, out: str) -> Da
     return rows.join(c, node, "left").withColumn(out, F.coalesce("_c", node)).drop("_c")
 
 
-def _leftovers(members: DataFrame, nodes: DataFrame, classes_: DataFrame, similarity_: float) -> DataFrame:
+def _fine(texts: DataFrame, idf_: np.ndarray) -> DataFrame:
+    """``_n, fine``: further samples of ``_n, _text``."""
+    sent = texts.sparkSession.sparkContext.broadcast(idf_)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, off, body in slices(batch, "_text"):
+                first, h, n = shingles(off, body)
+                codes = samples(first, h, weights(h, n, sent.value), SAMPLES, FINE_SAMPLES).astype(np.uint8)
+                has = np.flatnonzero(np.diff(first))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i).take(pa.array(has)),
+                     pa.array([c.tobytes() for c in codes], pa.binary())], names=["_n", "fine"])
+
+    return texts.select("_n", "_text").mapInArrow(sketch, "_n long, fine binary")
+
+
+def _leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame, classes_: DataFrame, idf_: np.ndarray,
+               similarity_: float) -> DataFrame:
     """Pairs ``a, b`` of a band in different classes that may reach the
     similarity.  Bands of one class are done; the others are cut in blocks,
     and each pair of blocks is one bounded group."""
     rows = _with_class(members, classes_, "_n", "c")
     sizes = rows.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")) \
         .filter("lo <> hi").select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    rows = written(rows.join(sizes, "band"), "open-bands")
+    fine = _fine(texts.join(rows.select("_n").distinct(), "_n"), idf_)
+    both = written(nodes.select("_n", "codes", "weight").join(fine, "_n"), "fine")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("_n"), F.col("blocks")).cast("int")).join(both, "_n")
     # Each member goes to all pairs of blocks that hold its own.
-    rows = rows.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("_n"), F.col("blocks")).cast("int"))
-    rows = rows.join(nodes.select("_n", "codes", "weight"), "_n")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                       "own", "_n", "c", "codes", "weight")
+                       "own", "_n", "c", "codes", "fine", "weight")
 
     def compare(t: pa.Table) -> pa.Table:
         n, c, own, p = (t[x].to_numpy() for x in ("_n", "c", "own", "p"))
         w = t["weight"].to_numpy()
         codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint16).reshape(-1, SAMPLES)
+        fine = np.frombuffer(b"".join(t["fine"].to_pylist()), np.uint8).reshape(-1, FINE_SAMPLES)
         left = np.flatnonzero(own == p)
         same = bool((t["p"].to_numpy() == t["q"].to_numpy()).all())
         right = left if same else np.flatnonzero(own != p)
@@ -230,7 +253,9 @@ def _leftovers(members: DataFrame, nodes: DataFrame, classes_: DataFrame, simila
             js = right[(c[right] != c[i])]
             if same:
                 js = js[n[js] > n[i]]
-            js = js[(codes[js] == codes[i]).sum(1) >= AGREE]
+            agree = (codes[js] == codes[i]).sum(1)
+            js, agree = js[agree >= AGREE], agree[agree >= AGREE]
+            js = js[agree + (fine[js] == fine[i]).sum(1) >= FINE_AGREE]
             js = js[_close(w[js], np.full(len(js), w[i], w.dtype), similarity_)]
             a.append(np.full(len(js), n[i]))
             b.append(n[js])
@@ -265,7 +290,7 @@ def node_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> tuple[Dat
     other_hubs = _with_class(_with_class(pairs, classes_, "a", "ca"), classes_, "b", "cb").filter("ca <> cb")
     edges = edges.unionByName(written(_verified(other_hubs, bodies, idf_, similarity_), "edges"))
     classes_ = components(edges)
-    rest = _leftovers(members, codes, classes_, similarity_)
+    rest = _leftovers(members, codes, bodies, classes_, idf_, similarity_)
     edges = edges.unionByName(written(_verified(rest, bodies, idf_, similarity_), "edges"))
     classes_ = components(edges)
     by_text = nodes.select("_u", "_v", F.col("_n").alias("node"))

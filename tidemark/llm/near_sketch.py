@@ -20,6 +20,8 @@ from .common import Prefix, mix, words
 SHINGLE = 5
 CELLS = 1 << 16
 SAMPLES, BANDS = 60, 15
+#: Further samples, one byte each, of documents that the first leave undecided.
+FINE_SAMPLES = 192
 
 _LEVELS = 1 << 16
 
@@ -37,7 +39,7 @@ def _gamma2(p: np.ndarray) -> np.ndarray:
 
 _Q = _gamma2((np.arange(_LEVELS) + 0.5) / _LEVELS)
 _R, _LN_C = _Q.astype(np.float32), np.log(_Q).astype(np.float32)
-_SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mix(np.arange(1, SAMPLES + FINE_SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def shingles(off: np.ndarray, body: np.ndarray, width: int = SHINGLE
@@ -74,17 +76,18 @@ def weights(h: np.ndarray, count: np.ndarray, idf_: np.ndarray) -> np.ndarray:
     return (1 + np.log(count.astype(np.float32))) * idf_[cell(h)]
 
 
-def samples(first: np.ndarray, h: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """``(documents with features) x SAMPLES`` sample codes."""
+def samples(first: np.ndarray, h: np.ndarray, w: np.ndarray, start: int = 0, count: int = SAMPLES) -> np.ndarray:
+    """``(documents with features) x count`` sample codes, from sample
+    ``start`` on."""
     has = np.flatnonzero(np.diff(first))
     begin, size = first[:-1][has], np.diff(first)[has]
-    out = np.empty((len(has), SAMPLES), np.uint16)
+    out = np.empty((len(has), count), np.uint16)
     if not len(has):
         return out
     ln = np.log(w).astype(np.float32)
     owner = np.repeat(np.arange(len(has)), size)
-    for k in range(SAMPLES):
-        z = mix(h ^ _SEEDS[k])
+    for k in range(count):
+        z = mix(h ^ _SEEDS[start + k])
         r = _R[(z & np.uint64(0xFFFF)).astype(np.int64)]
         b = ((z >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.float32) / np.float32(_LEVELS)
         t = np.floor(ln / r + b)
