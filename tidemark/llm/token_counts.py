@@ -19,7 +19,7 @@ the end.
 
 Edge cases: a null or empty text is one empty leaf; null edits are none;
 repeated rows are counted each; null ids stay null; extra columns are kept,
-unless they are named like a result column.
+and one that is named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -78,7 +78,10 @@ def leaves(enc: Encoder, text: str) -> tuple[np.ndarray, np.ndarray]:
     if not pieces:
         return np.zeros(1, np.int64), np.zeros(1, np.int64)
     cut = np.arange(0, len(pieces), LEAF)
-    return (np.add.reduceat(np.fromiter(map(len, pieces), np.int64, len(pieces)), cut),
+    # A piece stands for a blank and itself, the first for itself and a mark.
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
+    size[0] -= 2
+    return (np.add.reduceat(size, cut),
             np.add.reduceat(np.array(enc.counts(pieces), np.int64), cut))
 
 
@@ -119,13 +122,12 @@ def with_trees(docs: DataFrame, vocab: str = "byte_bpe_50k.json", folder: str |
                text_col: str = "text") -> DataFrame:
     """``docs`` with ``tree_chars, tree_tokens``; a null text becomes empty."""
     file = vocabulary(vocab, folder)
-    rows = docs.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.drop("tree_chars", "tree_tokens").withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder.load(file, "byte")
         for batch in batches:
             for i, texts in text_groups(batch, text_col):
-                enc.learn(texts)
                 both = [[tree_of(x).tolist() for x in leaves(enc, t)] for t in texts]
                 part = batch.slice(i, len(texts))
                 yield pa.RecordBatch.from_arrays(
@@ -151,7 +153,8 @@ def edited_counts(rows: DataFrame, folder: str | None = None, vocab: str = "byte
     """``rows`` (with trees and an ``EDITS`` column) with ``COUNTS`` and the
     updated ``tree_tokens``; texts and edits are dropped."""
     file = vocabulary(vocab, folder)
-    kept = [c for c in rows.columns if c not in (text_col, edits_col, "tree_chars", "tree_tokens")]
+    results = [c.split()[0] for c in COUNTS.split(", ")]
+    kept = [c for c in rows.columns if c not in (text_col, edits_col, "tree_chars", "tree_tokens", *results)]
     ordered = rows.select(*kept, text_col, edits_col, "tree_chars", "tree_tokens")
 
     def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +172,7 @@ def edited_counts(rows: DataFrame, folder: str | None = None, vocab: str = "byte
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:len(kept)], *(pa.array(c, t) for c, t in zip(zip(*out), types))],
-                    names=[*kept, *(c.split()[0] for c in COUNTS.split(", ")), "tree_tokens"])
+                    names=[*kept, *results, "tree_tokens"])
 
     schema = ", ".join([_ddl(rows.select(*kept)), COUNTS, "tree_tokens array<long>"] if kept
                        else [COUNTS, "tree_tokens array<long>"])

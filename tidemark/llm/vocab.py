@@ -1,8 +1,8 @@
 """Encoding with public tokenizers inside tasks.
 
 A text is cut at blanks where no merge can cross, and each distinct piece is
-encoded once by the tokenizers library and remembered in the worker (bounded).
-Encoding the pieces gives the ids of encoding the whole text.
+encoded once by the tokenizers library's model and remembered in the worker
+(bounded).  Encoding the pieces gives the ids of encoding the whole text.
 """
 
 from __future__ import annotations
@@ -10,27 +10,35 @@ from __future__ import annotations
 import os
 import re
 import struct
+import unicodedata
 from collections.abc import Sequence
 
 import numpy as np
 
-#: Remembered pieces per worker and tokenizer; the memory is emptied beyond it.
-MAX_REMEMBERED = 600_000
+#: Pieces remembered per worker and tokenizer, in each of two generations.
+MAX_REMEMBERED = 500_000
 #: Longer pieces are encoded each time and not remembered.
 MAX_PIECE = 64
 
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s\s|\A\s|\s\Z")
-
-
-#: Pieces of these characters need no normalizing but lower case, and every
-#: regular expression engine puts them in the same classes.
-_LATIN = re.compile("[\\t-\\r\x20-\x7e\xa1-\u024f]*\\Z")
-
-# The pre-token patterns of the two vocabularies.
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Marks a text's first piece, which no blank precedes; never part of a text.
+HEAD = "\ud800"
+
+# Characters below U+0250 need no normalizing but lower case, and every regular
+# expression engine puts them in the same classes.
+_LATIN = [chr(c) for c in (*range(9, 14), *range(0x20, 0x7F), *range(0xA1, 0x250)) if c != 0xAD]
+_LETTER = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "L")
+_NUMBER = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "N")
+_PLAIN = re.compile("[" + re.escape("".join(_LATIN)) + r"]*\Z")
+
+# The pre-token patterns of the two vocabularies, with the
+# classes of the characters above spelled out.
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d|"
-PRE_TOKEN = {"byte": _CONTRACTIONS + r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
-             "word": _CONTRACTIONS + r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+PRE_TOKEN = {
+    "byte": rf"{_CONTRACTIONS} ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+",
+    "word": rf"{_CONTRACTIONS}[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+",
+}
 
 
 def _byte_chars() -> dict[int, str]:
@@ -55,35 +63,69 @@ def vocabulary(name: str, folder: str | None = None) -> str:
 
 
 def byte_level_pieces(text: str) -> list[str]:
-    """Cut before each blank between two non-blanks: a byte-level pre-token
-    always starts there, and the one before ends there."""
-    parts = _BLANK.split(text) if _ODD.search(text) else text.split(" ")
-    return parts[:1] + [" " + p for p in parts[1:]] if text else []
+    """Cut at each blank between two non-blanks: a byte-level pre-token always
+    starts there, and the one before ends there.  All pieces but the first,
+    which carries ``HEAD``, stand for a blank and themselves."""
+    if not text:
+        return []
+    odd = ("  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " "
+           or _OTHER_SPACE.search(text))
+    parts = _BLANK.split(text) if odd else text.split(" ")
+    parts[0] = HEAD + parts[0]
+    return parts
 
 
 def word_pieces(text: str) -> list[str]:
-    """Cut at blanks; this vocabulary drops white space."""
+    """Cut at blanks; this vocabulary drops white space.  It also drops case,
+    so a text whose characters fold one by one is folded at once."""
+    if _PLAIN.match(text):
+        text = text.lower()
     return [p for p in text.split(" ") if p]
 
 
+def spelled(piece: str) -> str:
+    """The text of a byte-level piece."""
+    return piece[1:] if piece[0] == HEAD else " " + piece
+
+
 _loaded: dict[tuple[str, str], Encoder] = {}
 
 
+class _Known(dict):
+    """Ids by piece.  A missing piece comes from the generation before, or is
+    encoded; a full generation becomes the one before."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(piece) <= MAX_PIECE:
+            if len(self) >= MAX_REMEMBERED:
+                self.before = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Whole-text encoding through remembered pieces."""
 
     def __init__(self, path: str, cut: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings are ordinary text
         self.cut = {"byte": byte_level_pieces, "word": word_pieces}[cut]
-        self.lower = cut == "word"
-        self.pre = regex.compile(PRE_TOKEN[cut]).findall
-        self.model = self.tok.model
-        self.known: dict[str, bytes] = {}
+        self.words = cut == "word"
+        self.pre = re.compile(PRE_TOKEN[cut]).findall
+        self.tokenize = self.tok.model.tokenize
+        self.known = _Known(self._encode)
 
     @classmethod
     def load(cls, path: str, cut: str) -> Encoder:
@@ -95,34 +137,22 @@ class Encoder:
     def _encode(self, piece: str) -> bytes:
         """The library's merges on each pre-token of a Latin piece; any other
         piece goes through the library's whole pipeline."""
-        if not _LATIN.match(piece):
-            return np.array(self.tok.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        tokenize = self.model.tokenize
-        ids = [t.id for p in self.pre(piece.lower() if self.lower else piece)
-               for t in tokenize(p.encode().decode("latin1").translate(_BYTE_CHARS))]
+        text = piece.lower() if self.words else spelled(piece)
+        if not _PLAIN.match(text):
+            text = piece if self.words else text
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if text.isascii() and text.isprintable():
+            ids = [t.id for p in self.pre(text) for t in self.tokenize(p.replace(" ", _BYTE_CHARS[0x20]))]
+        else:
+            ids = [t.id for p in self.pre(text)
+                   for t in self.tokenize(p.encode().decode("latin1").translate(_BYTE_CHARS))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def learn(self, texts: Sequence[str]) -> tuple[list[list[str]], dict[str, bytes]]:
-        """Cuts ``texts`` and remembers their pieces; returns the cuts and the
-        pieces too long to remember."""
-        cuts = [self.cut(t) for t in texts]
-        fresh = set().union(*cuts).difference(self.known) if cuts else set()
-        if len(self.known) + len(fresh) > MAX_REMEMBERED:
-            self.known.clear()
-            fresh = set().union(*cuts)
-        now = {p: self._encode(p) for p in fresh}
-        self.known.update((k, v) for k, v in now.items() if len(k) <= MAX_PIECE)
-        return cuts, {k: v for k, v in now.items() if len(k) > MAX_PIECE}
-
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cuts, long = self.learn(texts)
-        known = self.known
-        if not long:
-            return [b"".join(map(known.__getitem__, c)) for c in cuts]
-        return [b"".join([known[p] if p in known else long[p] for p in c]) for c in cuts]
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, self.cut(t))) for t in texts]
 
     def counts(self, pieces: Sequence[str]) -> list[int]:
-        """Tokens of each piece; unknown pieces are encoded, not remembered."""
-        known = self.known
-        return [len(known[p] if p in known else self._encode(p)) >> 2 for p in pieces]
+        """Tokens of each piece."""
+        return [len(x) >> 2 for x in map(self.known.__getitem__, pieces)]
