@@ -6,7 +6,7 @@
 2. a staged change set (SCD4/SCD5) and the one-shot merge (SCD1);
 3. the snapshot list (VER2) and the table as of snapshot 1 (VER3);
 4. the nested orders fact (AGG3/JN1) and orders with several items (FLT3);
-5. the query menu over registered views (QRY1-QRY5);
+5. free SQL over registered views (QRY1, QRY5);
 6. events published to a topic, a bronze stream and a silver history stream,
    with progress and status (STR1-STR12).
 
@@ -23,8 +23,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark.operators.nested import nest_items, with_many_items  # noqa: E402
-from tidemark.operators.scd2 import TIME_VALIDITY, build_change_set, rewrite_when  # noqa: E402
+from tidemark.operators.nested import nest_items, parents, with_many_items  # noqa: E402
+from tidemark.operators.scd2 import TIME_VALIDITY, build_change_set, current_rows, rewrite_when  # noqa: E402
 from tidemark.plans import catalogue  # noqa: E402
 from tidemark.plans.merge import merge_into  # noqa: E402
 from tidemark.plans.queries import (CITY_MATCH, CITY_OTHERWISE, CITY_THEN, EVENT_SCHEMA,  # noqa: E402
@@ -36,7 +36,7 @@ from tidemark.session import get_session, scratch_path  # noqa: E402
 from tidemark.sources.topic import publish_events, topic_stream  # noqa: E402
 from tidemark.streaming.bronze import start_bronze  # noqa: E402
 from tidemark.streaming.monitor import progress, status  # noqa: E402
-from tidemark.streaming.silver import start_silver  # noqa: E402
+from tidemark.streaming.silver import history, start_silver  # noqa: E402
 
 
 def main(sf: str) -> None:
@@ -45,13 +45,12 @@ def main(sf: str) -> None:
     # 1. initial load, published as a versioned table
     dim = VersionedTable(spark, scratch_path(spark, "walkthrough", "dim_customers"),
                          buckets=8, bucket_keys=["customer_id"])
-    v1 = dim.publish(initial_load(raw_customers(spark, sf), LOAD_DATE), "replace",
-                     current_col="is_current")
+    v1 = dim.publish(initial_load(raw_customers(spark, sf), LOAD_DATE))
     print("loaded rows:", dim.read().count())
 
     # 2. staged change set (5 % of current rows, seed 2112), then the merge
     changes = build_change_set(
-        dim.read_open(), ["customer_id"], SAMPLE_FRACTION, SAMPLE_SEED,
+        current_rows(dim.read()), ["customer_id"], SAMPLE_FRACTION, SAMPLE_SEED,
         {"city": rewrite_when("city", CITY_MATCH, CITY_THEN, CITY_OTHERWISE)},
         {"update_date": F.lit(MERGE_DATE)}, staged=True)
     v2 = merge_into(dim, changes, ["customer_id"], ["city"], MERGE_DATE,
@@ -73,20 +72,16 @@ def main(sf: str) -> None:
     fact.printSchema()
     with_many_items(fact).select("o_orderkey", "o_orderstatus", "line_items").show(1, truncate=False)
 
-    # 5. the query menu
-    catalogue.register({
-        "dim_customers": dim.read(),
-        "fact_orders_nested": fact.withColumnRenamed("o_orderkey", "order_id")
-                                  .withColumnRenamed("o_custkey", "customer_id"),
-    })
-    for name in catalogue.MENU:
-        print("menu:", name)
-        catalogue.run_menu(spark, name).show(5, truncate=False)
+    # 5. free SQL over registered views
+    catalogue.register({"dim_now": dim.read(), "orders_now": parents(fact)})
+    catalogue.show_tables(spark).show()
+    catalogue.run_sql(spark, "SELECT city, count(*) AS n FROM dim_now WHERE is_current GROUP BY city ORDER BY n DESC").show(5)
+    catalogue.run_sql(spark, "SELECT o_orderkey, item_count FROM orders_now WHERE item_count > 1 ORDER BY o_orderkey").show(3)
 
     # 6. topic -> bronze -> silver
     events = spark.read.parquet(os.path.join(sf, "events.parquet"))
     topic = scratch_path(spark, "walkthrough", "topic")
-    publish_events(events, topic, F.date_trunc("week", "ts"))
+    publish_events(events.repartition(4), topic)
     bronze = scratch_path(spark, "walkthrough", "bronze")
     q = start_bronze(topic_stream(spark, topic, max_files_per_trigger=1), EVENT_SCHEMA, bronze,
                      scratch_path(spark, "walkthrough", "ck"), name="walkthrough_bronze")
@@ -100,7 +95,7 @@ def main(sf: str) -> None:
                      v=TIME_VALIDITY, name="walkthrough_silver")
     s.awaitTermination()
     print("active queries:", status(spark))
-    h = silver.read()
+    h = history(silver)
     print("silver rows:", h.count(), "open rows:", h.filter("is_current").count())
     spark.stop()
 

@@ -15,6 +15,7 @@ def spark():
     from tidemark.session import get_session
 
     s = get_session("local[4]", shuffle_partitions=4,
-                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tm-warehouse-")})
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tm-warehouse-"),
+                           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tm-shared-")})
     yield s
     s.stop()

@@ -10,7 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF0001, SF001
-from tidemark.operators.scd2 import (TIME_VALIDITY, Validity, history_from_log, merge_versions,
+from tidemark.operators.dedupe import latest_per_key
+from tidemark.operators.scd2 import (TIME_VALIDITY, Validity, history_from_entries, history_from_log, merge_entries,
                                      scd2_apply)
 from tidemark.plans.queries import event_day
 
@@ -48,38 +49,29 @@ def test_sound_intervals_do_not_overlap(spark):
     assert rep.count() == 0
 
 
-def _merge_day_by_day(spark, log, mode):
-    """Apply daily batches one at a time with merge_versions."""
-    v = Validity("start", "end", "current")
-    target = spark.createDataFrame([], "id long, attr string, start int, end int, current boolean")
-    for d in sorted({r.d for r in log.select("d").distinct().collect()}):
-        batch = log.filter(F.col("d") == d).select("id", "attr", F.col("d").alias("at"))
-        closed, reopened, late = merge_versions(target, batch, ["id"], ["attr"], "at", v, mode)
-        assert late.count() == 0
-        target = spark.createDataFrame(closed.unionByName(reopened).collect(), target.schema)
-    return target
-
-
-events = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 6), st.sampled_from(["a", "b", "c", None])),
-                  min_size=1, max_size=25)
+events = st.lists(st.tuples(st.sampled_from([0, 1, 2, None]), st.integers(0, 5), st.integers(0, 9),
+                            st.sampled_from(["a", "b", "c", None])), min_size=1, max_size=25)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(events)
-def test_stream_equals_batch(spark, evs):
-    # one entry per (id, d): last one given wins
-    last = {}
-    for i, d, a in evs:
-        last[(i, d)] = a
-    rows = [(i, d, a) for (i, d), a in last.items()]
-    log = spark.createDataFrame(rows, "id long, d int, attr string")
+@given(events, st.integers(1, 6))
+def test_entries_merged_in_any_order_equal_the_log(spark, evs, width):
+    """Batches of ``width`` events as they come: the entries, and so the
+    history, are those of the whole log."""
+    rows = [(n, i, d * 10 + t, a) for n, (i, d, t, a) in enumerate(evs)]
+    log = spark.createDataFrame(rows, "n int, id long, ts int, attr string")
+    day = F.floor(F.col("ts") / 10).cast("int")
     v = Validity("start", "end", "current")
+    entries = spark.createDataFrame([], "n int, id long, ts int, attr string, at int")
+    for k in range(0, len(rows), width):
+        batch = latest_per_key(log.filter(F.col("n").between(k, k + width - 1)).withColumn("at", day), ["id", "at"], ["ts", "n"])
+        merged = merge_entries(entries, batch, ["id"], "at", ["ts", "n"])
+        entries = spark.createDataFrame(merged.collect(), entries.schema)
     for mode in ("sound", "compat"):
-        seq = _merge_day_by_day(spark, log, mode)
-        one = history_from_log(log.withColumn("ts", F.col("d")), ["id"], ["attr"], "ts", [], None,
-                               v, mode, payload=[])
-        key = lambda r: (r.id, r.start, str(r.attr), str(r.end), r.current)
-        assert sorted(map(key, seq.collect())) == sorted(map(key, one.collect())), mode
+        one = history_from_log(log, ["id"], ["attr"], "ts", ["n"], day, v, mode, payload=["n"])
+        got = history_from_entries(entries, ["id"], ["attr"], "at", (), v, mode)
+        key = lambda r: (str(r.id), r.start, str(r.attr), str(r.end), r.current, r.n)
+        assert sorted(map(key, got.collect())) == sorted(map(key, one.collect())), mode
 
 
 def test_sequential_sound_merges_equal_history(spark):

@@ -86,8 +86,6 @@ def test_sound_merge_repairs_stale_open_rows(spark):
 def test_duplicate_changes_deduped_by_order(spark):
     target = spark.createDataFrame([("k", "A", 0, None, True)], SCHEMA)
     changes = spark.createDataFrame([("k", "B", 1), ("k", "C", 2)], "id string, attr string, seq int")
-    plain = _rows(scd2_apply(target, changes.drop("seq"), ["id"], ["attr"], 9, V))
-    assert len([r for r in plain if r[2]]) == 2  # without dedupe both changes are inserted
     got = _rows(scd2_apply(target, changes, ["id"], ["attr"], 9, V, dedupe_by=["seq"]))
     assert got == [("k", "A", False, 0, 9), ("k", "C", True, 9, None)]
 
@@ -132,3 +130,23 @@ def test_key_history_as_of_and_semi_join(spark):
     assert [(r.id, r.attr) for r in history_of_keys(h, keys, ["id"], V).collect()] == [("m", "A")]
     assert sorted((r.id, r.attr) for r in as_of(h, 3, V).collect()) == [("k", "A"), ("m", "A")]
     assert sorted((r.id, r.attr) for r in as_of(h, 5, V).collect()) == [("k", "B"), ("m", "A")]
+
+
+def test_rows_with_a_null_flag_stay(spark):
+    target = spark.createDataFrame([(1, "a", 0, None, True), (2, "b", 0, None, None), (3, "c", 0, 5, False)],
+                                   "id int, attr string, t0 int, t1 int, live boolean")
+    changes = spark.createDataFrame([(1, "z"), (2, "y")], "id int, attr string")
+    got = {(r.id, r.attr, r.t1, r.live) for r in scd2_apply(target, changes, ["id"], ["attr"], 9, V).collect()}
+    assert got == {(1, "a", 9, False), (1, "z", None, True), (2, "b", None, None), (2, "y", None, True), (3, "c", 5, False)}
+
+
+def test_several_changes_for_one_open_row_raise(spark):
+    import pytest
+    target = spark.createDataFrame([("x", "a", 0, None, True)], "id string, attr string, t0 int, t1 int, live boolean")
+    twice = spark.createDataFrame([("x", "b"), ("x", "c")], "id string, attr string")
+    for rules in ({}, {"close_rule": "any_match", "insert_rule": "always", "null_safe": False}):
+        with pytest.raises(Exception, match="several changes"):
+            scd2_apply(target, twice, ["id"], ["attr"], 9, V, **rules).collect()
+    # Unmatched and null keys may repeat: nothing is closed twice.
+    new = spark.createDataFrame([("n", "b"), ("n", "c"), (None, "d"), (None, "e")], "id string, attr string")
+    assert scd2_apply(target, new, ["id"], ["attr"], 9, V, insert_rule="always").count() == 5

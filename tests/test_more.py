@@ -94,13 +94,6 @@ def test_bronze_to_catalog_table_and_user_hook(spark):
     assert sum(n for _, n in seen) == events.count()
 
 
-def test_publish_refuses_unbounded_batch_lists(spark):
-    import pytest
-    events = spark.read.parquet(f"{SF0001}/events.parquet")
-    with pytest.raises(ValueError):
-        publish_events(events, scratch_path(spark, "t", "topic-x"), "event_id", max_batches=10)
-
-
 def test_scale_settings():
     from tidemark.session import scale_settings
     big = scale_settings(100 * 10**12, 8000)
@@ -110,9 +103,54 @@ def test_scale_settings():
     assert small["spark.sql.shuffle.partitions"] == "16"
 
 
-def test_publish_keeps_rows_with_null_batch_value(spark):
+def test_publish_is_one_write_and_may_repeat(spark):
     from tidemark.sources.topic import topic_batch
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id int, g string")
-    topic = scratch_path(spark, "t", "topic-null")
-    assert publish_events(df, topic, "g") == [None, "a", "b"]
-    assert topic_batch(spark, topic).count() == 3
+    topic = scratch_path(spark, "t", "topic-twice")
+    publish_events(df, topic)
+    publish_events(df, topic)
+    assert topic_batch(spark, topic).count() == 6
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    import pytest
+    from tidemark.session import shared_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):  # noqa: N802
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+
+
+def test_progress_log_keeps_all_reports(spark):
+    from tidemark.streaming.monitor import ProgressLog
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    topic = scratch_path(spark, "t", "topic-log")
+    publish_events(events.repartition(6), topic)
+    log = ProgressLog(spark, scratch_path(spark, "t", "progress"), every=2).start()
+    try:
+        q = start_bronze(topic_stream(spark, topic, max_files_per_trigger=1), EVENT_SCHEMA,
+                         scratch_path(spark, "t", "bronze-log"), scratch_path(spark, "t", "ck"), name="bronze_log")
+        q.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        import time
+        for _ in range(50):
+            if log.reports().filter("query_name = 'bronze_log' and num_input_rows > 0").count() >= 6:
+                break
+            time.sleep(0.2)
+    finally:
+        log.stop()
+    got = log.reports().filter("query_name = 'bronze_log'")
+    assert got.agg({"num_input_rows": "sum"}).first()[0] == events.count()
+    assert got.filter("num_input_rows > 0").count() == 6

@@ -18,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) <= set(E.oracle_sql())
+    assert set(QUERIES) - {"data_files"} <= set(E.oracle_sql())  # file names are random
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -1,7 +1,11 @@
-"""Topic → bronze → silver with several micro-batches; stream = batch;
-restart and replay add nothing."""
+"""Topic → bronze → silver: the history equals a rebuild however micro-batches
+cut and order the log; restart and replay add nothing."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF0001
 from tidemark.operators.scd2 import TIME_VALIDITY, history_from_log
@@ -11,179 +15,141 @@ from tidemark.session import scratch_path
 from tidemark.sources.topic import publish_events, topic_stream
 from tidemark.streaming.bronze import start_bronze
 from tidemark.streaming.monitor import progress, status, stop_all
-from tidemark.streaming.silver import silver_batch, start_silver
+from tidemark.streaming.silver import (ensure_silver, history, rebuild_history, silver_batch, start_silver)
+
+EVENTS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.StringType()),
+                       T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType())])
 
 
 def _key(r):
-    return (r.user_id, r.event_type, r.event_id, r.ts, r.effective_time, r.end_time, r.is_current)
+    return str((r.user_id, r.event_type, r.event_id, r.ts, r.effective_time, r.end_time, r.is_current))
+
+
+def _sorted(df):
+    return sorted(map(_key, df.collect()))
+
+
+def _events(spark, rows):
+    return spark.createDataFrame(rows, EVENTS).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _silver(spark, name, source, mode="sound", period=True, **layout):
+    target = VersionedTable(spark, scratch_path(spark, "t", name), **layout)
+    p = event_day() if period else None
+    ensure_silver(target, source, HISTORY_COLUMNS, p)
+    return target, silver_batch(target, ["user_id"], ["event_type"], "ts", p, HISTORY_COLUMNS, ["event_id"],
+                                TIME_VALIDITY, mode, writer="w")
+
+
+def _rebuilt(log, mode="sound"):
+    return history_from_log(log, ["user_id"], ["event_type"], "ts", ["event_id"], event_day(), TIME_VALIDITY, mode,
+                            payload=["event_id", "ts"])
+
+
+@pytest.mark.parametrize("mode", ["sound", "compat"])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_history_is_the_same_however_batches_cut_and_order_the_log(spark, mode, seed):
+    """Cuts inside days, batches in random order, null keys and values, equal
+    times: late events and changes back are all in it."""
+    rng = random.Random(seed)
+    rows = [(i, f"2024-01-0{rng.randint(1, 5)} {rng.randint(0, 23):02d}:00:00", rng.choice([None, 1, 2, 3]),
+             rng.choice(["a", "b", None])) for i in range(70)]
+    log = _events(spark, rows)
+    layout = {"buckets": 3, "bucket_keys": ["user_id"]} if seed == 1 else {}
+    target, fn = _silver(spark, f"any-{mode}-{seed}", log, mode, **layout)
+    rng.shuffle(rows)
+    at, batch = 0, 0
+    while at < len(rows):
+        n = rng.randint(8, 25)
+        fn(_events(spark, rows[at:at + n]), batch)
+        at, batch = at + n, batch + 1
+    assert batch > 2 and _sorted(history(target)) == _sorted(_rebuilt(log, mode))
+
+
+def test_same_day_events_and_change_back(spark):
+    """The cases by name: an earlier event that arrives later does not win; a
+    change back within the day leaves one version."""
+    first = [(1, "2024-01-01 10:00:00", 7, "A"), (2, "2024-01-02 10:00:00", 7, "B"), (3, "2024-01-01 10:00:00", 8, "B")]
+    later = [(4, "2024-01-02 20:00:00", 7, "A"), (5, "2024-01-01 09:00:00", 8, "A")]
+    target, fn = _silver(spark, "named", _events(spark, first))
+    fn(_events(spark, first), 0)
+    fn(_events(spark, later), 1)
+    got = [(r.user_id, r.event_type, str(r.effective_time)[:10], r.end_time) for r in history(target).collect()]
+    assert sorted(got) == [(7, "A", "2024-01-01", None), (8, "B", "2024-01-01", None)]
 
 
 def test_bronze_then_silver_in_several_batches(spark):
     events = spark.read.parquet(f"{SF0001}/events.parquet")
     topic = scratch_path(spark, "t", "topic")
-    weeks = publish_events(events, topic, F.date_trunc("week", "ts"))
-    assert len(weeks) == 5
-
+    publish_events(events.repartition(5), topic)
     bronze = scratch_path(spark, "t", "bronze")
     q = start_bronze(topic_stream(spark, topic, max_files_per_trigger=1), EVENT_SCHEMA, bronze,
                      scratch_path(spark, "t", "ck"), name="bronze_test")
     q.awaitTermination()
-    assert q.lastProgress is not None
-    assert progress(spark, q).count() >= 5
+    assert q.lastProgress is not None and progress(spark, q).count() >= 5
     assert spark.read.parquet(bronze).count() == events.count()
-
-    target = VersionedTable(spark, scratch_path(spark, "t", "silver"))
-    quarantine = VersionedTable(spark, scratch_path(spark, "t", "quarantine"))
+    target = VersionedTable(spark, scratch_path(spark, "t", "silver"), buckets=4, bucket_keys=["user_id"])
     ck = scratch_path(spark, "t", "ck")
 
     def run():
-        src = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(bronze))
-        s = start_silver(src, target, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
-                         ck, tiebreak=["event_id"], v=TIME_VALIDITY, name="silver_test",
-                         quarantine=quarantine)
-        s.awaitTermination()
-        return s
+        src = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(bronze)
+        start_silver(src, target, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS, ck,
+                     tiebreak=["event_id"], v=TIME_VALIDITY, name="silver_test").awaitTermination()
 
     run()
-    merges = [e for e in target.log() if e["operation"] == "merge"]
-    assert len(merges) >= 5  # one per micro-batch
-    batch = history_from_log(events, ["user_id"], ["event_type"], "ts", ["event_id"], event_day(),
-                             TIME_VALIDITY, "sound", payload=["event_id", "ts"])
-    got = sorted(map(_key, target.read().collect()))
-    assert got == sorted(map(_key, batch.collect()))
-    assert len(got) == 314
-    assert quarantine.read().count() == 0
-
-    # restart on the same checkpoint: nothing new, no new snapshot
-    n = len(target.log())
-    run()
-    assert len(target.log()) == n
-    assert stop_all(spark) == [] and status(spark) == []
-
-    # the same stream into a bucketed target: each batch rewrites only its
-    # keys' buckets, and the history is the same
-    bucketed = VersionedTable(spark, scratch_path(spark, "t", "silver-b"), buckets=4,
-                              bucket_keys=["user_id"])
-    src = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(bronze)
-    start_silver(src, bucketed, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
-                 scratch_path(spark, "t", "ck"), tiebreak=["event_id"], v=TIME_VALIDITY,
-                 name="silver_bucketed").awaitTermination()
-    assert sorted(map(_key, bucketed.read().collect())) == got
-    assert all(p.get("bucket") is not None for p in bucketed.latest()["parts"])
-
-
-def test_replayed_batch_is_skipped(spark):
+    merges = [r for r in target.snapshots().collect() if r.operation == "merge"]
+    assert len(merges) >= 5  # one per micro-batch, each with events of all days
+    assert _sorted(history(target)) == _sorted(_rebuilt(events)) and history(target).count() == 314
+    n = len(target.ids())
+    run()  # restart on the same checkpoint: nothing new
+    assert len(target.ids()) == n and stop_all(spark) == [] and status(spark) == []
+
+
+def test_replayed_and_empty_batches_commit_nothing(spark):
     events = spark.read.parquet(f"{SF0001}/events.parquet").filter("ts < '2024-01-03'")
-    target = VersionedTable(spark, scratch_path(spark, "t", "replay"))
-    from tidemark.streaming.silver import history_schema
-    from pyspark.sql import types as T
-    data = T.StructType([events.schema[c] for c in HISTORY_COLUMNS])
-    target.ensure(history_schema(data, T.TimestampNTZType(), TIME_VALIDITY))
-    fn = silver_batch(target, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
-                      ["event_id"], TIME_VALIDITY, writer="w")
+    target, fn = _silver(spark, "replay", events)
     fn(events, 0)
-    once = sorted(map(_key, target.read().collect()))
+    once = _sorted(history(target))
     fn(events, 0)  # the same batch again
-    assert sorted(map(_key, target.read().collect())) == once
-    fn(events.limit(0), 1)  # empty batch: skipped
-    assert len(target.log()) == 2
-
-
-def test_late_and_null_key_rows_are_quarantined(spark):
-    from pyspark.sql import types as T
-    from tidemark.streaming.silver import history_schema
-    rows = [(1, "2024-01-05 10:00:00", 7, "a"), (2, "2024-01-06 10:00:00", 7, "b")]
-    df = (spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string")
-          .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
-    target = VersionedTable(spark, scratch_path(spark, "t", "late"))
-    quarantine = VersionedTable(spark, scratch_path(spark, "t", "lateq"))
-    data = T.StructType([df.schema[c] for c in HISTORY_COLUMNS])
-    target.ensure(history_schema(data, T.TimestampNTZType(), TIME_VALIDITY))
-    fn = silver_batch(target, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
-                      ["event_id"], TIME_VALIDITY, writer="w", quarantine=quarantine)
-    fn(df, 0)
-    late = (spark.createDataFrame([(3, "2024-01-01 09:00:00", 7, "z"), (4, "2024-01-07 09:00:00", None, "q")],
-                                  "event_id long, ts string, user_id long, event_type string")
-            .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
-    fn(late, 1)
-    q = {r.event_id: r.reason for r in quarantine.read().collect()}
-    assert q == {3: "late", 4: "null key"}
-    cur = target.read().filter("is_current").collect()
-    assert [(r.user_id, r.event_type) for r in cur] == [(7, "b")]
+    fn(events.limit(0), 1)
+    assert _sorted(history(target)) == once and len(target.ids()) == 2
 
 
 def test_silver_per_trigger_period(spark):
     """period=None: each micro-batch is one version stamped at merge time."""
-    from pyspark.sql import types as T
-    from tidemark.streaming.silver import history_schema
-    rows1 = [(1, "2024-01-01 10:00:00", 7, "a"), (2, "2024-01-01 11:00:00", 7, "b"), (3, "2024-01-01 09:00:00", 8, "x")]
-    rows2 = [(4, "2024-01-02 10:00:00", 7, "b"), (5, "2024-01-02 10:00:00", 8, "y")]
-    mk = lambda rows: (spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string")
-                       .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
-    target = VersionedTable(spark, scratch_path(spark, "t", "pertrigger"))
-    data = T.StructType([mk(rows1).schema[c] for c in HISTORY_COLUMNS])
-    target.ensure(history_schema(data, T.TimestampType(), TIME_VALIDITY))
-    fn = silver_batch(target, ["user_id"], ["event_type"], "ts", None, HISTORY_COLUMNS, ["event_id"],
-                      TIME_VALIDITY, writer="w")
-    fn(mk(rows1), 0)
-    fn(mk(rows2), 1)
-    h = target.read().collect()
-    by_user = {}
-    for r in h:
-        by_user.setdefault(r.user_id, []).append((r.event_type, r.is_current))
-    assert sorted(by_user[7]) == [("b", True)]  # latest of batch 0 is b; batch 1 repeats b
-    assert sorted(by_user[8]) == [("x", False), ("y", True)]
-
-
-def test_rebuild_folds_in_late_events(spark):
-    from pyspark.sql import types as T
-    from tidemark.streaming.silver import history_schema, rebuild_history
+    one = [(1, "2024-01-01 10:00:00", 7, "a"), (2, "2024-01-01 11:00:00", 7, "b"), (3, "2024-01-01 09:00:00", 8, "x")]
+    two = [(4, "2024-01-02 10:00:00", 7, "b"), (5, "2024-01-02 10:00:00", 8, "y")]
+    target, fn = _silver(spark, "trigger", _events(spark, one), period=False)
+    fn(_events(spark, one), 0)
+    fn(_events(spark, two), 1)
+    got = sorted((r.user_id, r.event_type, r.is_current) for r in history(target).collect())
+    assert got == [(7, "b", True), (8, "x", False), (8, "y", True)]
+
+
+def test_rebuild_equals_the_stream(spark):
     ev = spark.read.parquet(f"{SF0001}/events.parquet")
-    early, late = ev.filter("ts >= '2024-01-10'"), ev.filter("ts < '2024-01-10'")
-    target = VersionedTable(spark, scratch_path(spark, "t", "rebuild"))
-    quarantine = VersionedTable(spark, scratch_path(spark, "t", "rebuildq"))
-    data = T.StructType([ev.schema[c] for c in HISTORY_COLUMNS])
-    target.ensure(history_schema(data, T.TimestampNTZType(), TIME_VALIDITY))
-    fn = silver_batch(target, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
-                      ["event_id"], TIME_VALIDITY, writer="w", quarantine=quarantine)
-    fn(early, 0)
-    fn(late, 1)  # older than the open rows: quarantined
-    assert quarantine.read().filter("reason = 'late'").count() > 0
-    rebuild_history(target, ev, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
-                    ["event_id"], TIME_VALIDITY)
-    want = history_from_log(ev, ["user_id"], ["event_type"], "ts", ["event_id"], event_day(),
-                            TIME_VALIDITY, "sound", payload=["event_id", "ts"])
-    assert sorted(map(_key, target.read().collect())) == sorted(map(_key, want.collect()))
-    assert target.read_open().count() == want.filter("is_current").count()
-
-
-def test_compat_per_trigger_equals_reference_merge(spark):
-    """compat + period=None reproduces the per-trigger MERGE (close on !=,
-    always insert), batch by batch."""
-    from pyspark.sql import types as T
+    target, fn = _silver(spark, "rebuild", ev, buckets=4, bucket_keys=["user_id"])
+    fn(ev.filter("ts >= '2024-01-10'"), 0)
+    fn(ev.filter("ts < '2024-01-10'"), 1)  # all late
+    streamed = _sorted(history(target))
+    rebuild_history(target, ev, ["user_id"], ["event_type"], "ts", event_day(), HISTORY_COLUMNS, ["event_id"])
+    assert _sorted(history(target)) == streamed == _sorted(_rebuilt(ev))
+
+
+def test_compat_per_batch_merge_inserts_every_change(spark):
+    """The per-trigger MERGE batch by batch: close on ``!=``, always insert,
+    null keys included, one row per key and batch."""
     from tidemark.operators.dedupe import latest_per_key
     from tidemark.operators.scd2 import compat_stream_merge
-    from tidemark.streaming.silver import history_schema
-    batches = [
-        [(1, "2024-01-01 10:00:00", 7, "a"), (2, "2024-01-01 10:00:00", 8, None)],
-        [(3, "2024-01-02 10:00:00", 7, "a"), (4, "2024-01-02 10:00:00", 8, "x")],
-        [(5, "2024-01-03 10:00:00", 7, "b"), (6, "2024-01-03 10:00:00", 9, "z")],
-    ]
-    mk = lambda rows: (spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string")
-                       .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
-    target = VersionedTable(spark, scratch_path(spark, "t", "compat-trigger"))
-    data = T.StructType([mk(batches[0]).schema[c] for c in HISTORY_COLUMNS])
-    target.ensure(history_schema(data, T.TimestampType(), TIME_VALIDITY))
-    fn = silver_batch(target, ["user_id"], ["event_type"], "ts", None, HISTORY_COLUMNS, ["event_id"],
-                      TIME_VALIDITY, mode="compat", writer="w")
-    ref = spark.createDataFrame([], history_schema(data, T.TimestampType(), TIME_VALIDITY))
+    batches = [[(1, "2024-01-05 10:00:00", 1, "A"), (2, "2024-01-05 10:00:00", None, "X"), (3, "2024-01-05 09:00:00", 1, "Q")],
+               [(4, "2024-01-02 10:00:00", 1, "B")], [(5, "2024-01-09 10:00:00", 1, "B"), (6, "2024-01-09 10:00:00", 2, None)]]
+    schema = "user_id long, event_type string, effective_time date, end_time date, is_current boolean"
+    table = spark.createDataFrame([], schema)
     for i, rows in enumerate(batches):
-        fn(mk(rows), i)
-        stamp = target.latest()["committed_at"]  # any increasing stamp will do for the shape
-        changes = latest_per_key(mk(rows), ["user_id"], ["ts", "event_id"])
-        ref = spark.createDataFrame(
-            compat_stream_merge(ref, changes, ["user_id"], ["event_type"], F.lit(stamp)).collect(),
-            ref.schema)
-    shape = lambda df: sorted((r.user_id, str(r.event_type), r.is_current, r.end_time is None)
-                              for r in df.collect())
-    assert shape(target.read()) == shape(ref)
+        last = latest_per_key(_events(spark, rows), ["user_id"], ["ts", "event_id"]).select("user_id", "event_type")
+        merged = compat_stream_merge(table, last, ["user_id"], ["event_type"], f"2024-02-0{i + 1}")
+        table = spark.createDataFrame(merged.collect(), schema)
+    got = sorted(((r.user_id, r.event_type, str(r.effective_time), str(r.end_time)) for r in table.collect()), key=str)
+    assert got == sorted([(1, "A", "2024-02-01", "2024-02-02"), (None, "X", "2024-02-01", "None"),
+                          (1, "B", "2024-02-02", "None"), (1, "B", "2024-02-03", "None"),
+                          (2, None, "2024-02-03", "None")], key=str)

@@ -1,152 +1,106 @@
-"""Versioned tables: snapshots, time travel, evolution, diff, files."""
+"""Versioned tables: time travel, evolution, diff, files, two writers."""
+
+import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from tidemark.operators.scd2 import DATE_VALIDITY, scd2_parts
+from tidemark.operators.scd2 import compat_batch_merge, scd2_apply
+from tidemark.plans.merge import merge_into
 from tidemark.plans.queries import change_set, dim_initial
-from tidemark.plans.versions import VersionedTable
+from tidemark.plans.versions import SnapshotNotFound, VersionedTable
 from tidemark.session import scratch_path
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
 
+def _table(spark, name, **layout):
+    return VersionedTable(spark, scratch_path(spark, "t", name), **layout)
 
-def test_schema_evolution_reads_old_snapshot_with_nulls(spark):
-    t = VersionedTable(spark, scratch_path(spark, "t", "evo"))
+
+def test_old_versions_read_as_they_were(spark):
+    t = _table(spark, "evolve")
     v1 = t.publish(spark.createDataFrame([(1, "a"), (2, "b")], "id int, attr string"))
-    t.publish(spark.createDataFrame([(1, "a", 1.0, "x", True)], "id int, attr string, w double, s string, f boolean"))
-    old = t.read(v1)
-    assert old.columns == ["id", "attr", "w", "s", "f"]
-    assert old.count() == 2 and old.filter(F.col("w").isNotNull()).count() == 0
-    assert t.read(v1, schema="own").columns == ["id", "attr"]
-
-
-def test_history_parts_and_time_travel(spark):
-    t = VersionedTable(spark, scratch_path(spark, "t", "dim"))
-    dim = dim_initial(spark, SF0001)
-    v1 = t.publish(dim)
-    before = _rows(t.read(v1))
-    ch = change_set(spark, SF0001, t.read(v1))
-    for _ in range(3):  # three merges of the same change set
-        upd, ins = scd2_parts(t.read_open(), ch, ["customer_id"], ["city"], "2024-06-01", DATE_VALIDITY)
-        t.commit_history(upd.unionByName(ins))
-    # old ids still read the same rows
-    assert _rows(t.read(v1)) == before
-    cur = t.read()
-    # sound merges: one open row per key, repeats did nothing after the first
-    assert cur.filter("is_current").groupBy("customer_id").count().filter("count > 1").count() == 0
-    assert cur.count() == dim.count() + ch.count()
-    # open rows are read from the newest part only
-    assert t.read_open().count() == dim.count()
-    log = t.snapshots().collect()
-    assert [r.snapshot_id for r in log] == [1, 2, 3, 4]
-    assert [r.operation for r in log] == ["replace", "merge", "merge", "merge"]
-    assert int(log[0].summary["rows"]) == dim.count()
-    assert int(log[1].summary["rewritten_rows"]) == dim.count() + ch.count()
-    # compaction: same rows, two parts, open rows still read alone
-    rows = _rows(t.read())
-    sid = t.compact("is_current")
-    assert len(t.entry(sid)["parts"]) == 2 and _rows(t.read()) == rows
-    assert t.read_open().count() == dim.count() and _rows(t.read(4)) == rows
-    upd, ins = scd2_parts(t.read_open(), ch, ["customer_id"], ["city"], "2024-06-01", DATE_VALIDITY)
-    t.commit_history(upd.unionByName(ins))
-    assert _rows(t.read()) == rows
-
-
-def test_diff_and_files(spark):
-    t = VersionedTable(spark, scratch_path(spark, "t", "diff"))
-    v1 = t.publish(spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id int, attr string"))
-    v2 = t.publish(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, attr string"))
-    d = sorted((r.id, r.attr, r.change) for r in t.diff(v1, v2).collect())
-    assert d == [(2, "b", "removed"), (3, "c", "added")]
-    files = t.files(v2).collect()
-    assert files and all(f.file_size > 0 for f in files)
-
-
-def test_concurrent_commit_fails(spark):
-    t = VersionedTable(spark, scratch_path(spark, "t", "race"))
-    t.publish(spark.createDataFrame([(1,)], "id int"))
-    parent = t.latest()
-    t._commit(parent["parts"], "x", t.read().schema, None, {"snapshot_id": 1})
-    with pytest.raises(Exception):
-        t._commit(parent["parts"], "y", t.read().schema, None, {"snapshot_id": 1})
+    v2 = t.publish(spark.createDataFrame([(1, 1.0)], "id int, w double"))
+    assert t.read(v1).columns == ["id", "attr"] and t.read(v2).columns == ["id", "w"] and t.read().columns == ["id", "w"]
+    wide = t.read(v1, schema="latest")
+    assert wide.columns == ["id", "attr", "w"] and wide.filter(F.col("w").isNotNull()).count() == 0
+    with pytest.raises(SnapshotNotFound):
+        t.read(9)
 
 
-def test_ensure_creates_empty_typed_table(spark):
-    t = VersionedTable(spark, scratch_path(spark, "t", "ddl"))
-    sid = t.ensure(spark.createDataFrame([], "id int, name string").schema)
-    assert sid == 1 and t.read().count() == 0 and t.ensure(None) == 1
+def test_append_grows_the_schema_and_keeps_types(spark):
+    t = _table(spark, "append")
+    t.append(spark.createDataFrame([(1, "a")], "id int, attr string"))
+    t.append(spark.createDataFrame([(2, 2.0)], "id int, w double"))
+    assert _rows(t.read()) == [(1, "a", None), (2, None, 2.0)]
+    with pytest.raises(TypeError):
+        t.append(spark.createDataFrame([(3,)], "id long"))
+    assert t.read().count() == 2
 
 
 def test_time_travel_by_commit_time(spark):
-    import datetime as dt
-    import time
-    t = VersionedTable(spark, scratch_path(spark, "t", "asof"))
+    t = _table(spark, "asof")
     t.publish(spark.createDataFrame([(1,)], "id int"))
     time.sleep(0.05)
     mid = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     time.sleep(0.05)
     t.publish(spark.createDataFrame([(1,), (2,)], "id int"))
     assert t.read(as_of=mid).count() == 1 and t.read().count() == 2
-    times = [e["committed_at"] for e in t.log()]
-    assert times == sorted(times)
-
-
-def test_bucketed_history_rewrites_only_touched_buckets(spark):
-    from tidemark.operators.scd2 import scd2_apply
-    dim = dim_initial(spark, SF0001)
-    t = VersionedTable(spark, scratch_path(spark, "t", "bucketed"), buckets=8, bucket_keys=["customer_id"])
-    t.publish(dim)
-    first = t.latest()
-    assert {p["bucket"] for p in first["parts"]} <= set(range(8)) and len(first["parts"]) > 1
-    # a change set of three keys
-    ch = dim.orderBy("customer_id").limit(3).withColumn("city", F.lit("Elsewhere")).drop(
-        "start_date", "end_date", "is_current")
-    touched = sorted({r.b for r in ch.select(t.bucket_column().alias("b")).collect()})
-    upd, ins = scd2_parts(t.read_open(buckets=touched), ch, ["customer_id"], ["city"], "2024-06-01")
-    t.commit_history(upd.unionByName(ins), buckets=touched)
-    after = t.latest()
-    untouched = [p for p in first["parts"] if p["bucket"] not in touched]
-    assert all(p in after["parts"] for p in untouched)  # same files, still open
-    assert all({**p, "where": "NOT is_current"} in after["parts"]
-               for p in first["parts"] if p["bucket"] in touched)
-    want = scd2_apply(dim, ch, ["customer_id"], ["city"], "2024-06-01")
-    assert _rows(t.read()) == _rows(want)
-    # reopening the table keeps the layout
-    again = VersionedTable(spark, t.root)
-    assert again.layout == {"buckets": 8, "keys": ["customer_id"]}
-
-
-def test_expire_keeps_latest_readable(spark):
-    t = VersionedTable(spark, scratch_path(spark, "t", "expire"), buckets=4, bucket_keys=["customer_id"])
-    dim = dim_initial(spark, SF0001)
-    t.publish(dim, current_col="is_current")
-    ch = change_set(spark, SF0001)  # from the source tables: expiry deletes old snapshot files
-    for _ in range(3):
-        upd, ins = scd2_parts(t.read_open(), ch, ["customer_id"], ["city"], "2024-06-01", DATE_VALIDITY)
-        t.commit_history(upd.unionByName(ins))
-    before = _rows(t.read())
-    last = t.latest()["snapshot_id"]
-    # parts without closed rows were dropped when merged over: the load's
-    # and the second merge's (the third merge changed nothing)
-    assert len({p["path"].split("/__b=")[0] for p in t.latest()["parts"]}) == 2
-    deleted = t.expire(keep_last=1)
-    assert len(deleted) == 2
-    assert [e["snapshot_id"] for e in t.log()] == [last]
-    assert _rows(t.read()) == before
-    with pytest.raises(Exception):
-        t.read(1)
-    # the table keeps working
-    upd, ins = scd2_parts(t.read_open(), ch, ["customer_id"], ["city"], "2024-06-01", DATE_VALIDITY)
-    t.commit_history(upd.unionByName(ins))
-    assert _rows(t.read()) == before and t.latest()["snapshot_id"] == last + 1
-
-
-def test_snapshot_as_named_view(spark):
-    t = VersionedTable(spark, scratch_path(spark, "t", "view"))
+    log = t.snapshots().collect()
+    assert [(r.snapshot_id, r.parent_id, r.operation) for r in log] == [(1, None, "replace"), (2, 1, "replace")]
+    with pytest.raises(SnapshotNotFound):
+        t.read(as_of=dt.datetime(2000, 1, 1))
+
+
+def test_second_of_two_writers_fails(spark):
+    """Both read version 1; the later commit must not undo the earlier one."""
+    one = _table(spark, "race")
+    dim = spark.createDataFrame([("x", "A", True), ("y", "B", True)], "k string, city string, is_current boolean") \
+        .withColumns({"start_date": F.to_date(F.lit("2024-01-01")), "end_date": F.lit(None).cast("date")})
+    one.publish(dim)
+    two = VersionedTable(spark, one.root)
+    base = two.entry()
+    mine = scd2_apply(two.at(base), spark.createDataFrame([("x", "Z")], "k string, city string"), ["k"], ["city"], "2024-02-01")
+    merge_into(one, spark.createDataFrame([("y", "C"), ("n", "N")], "k string, city string"), ["k"], ["city"], "2024-02-01")
+    with pytest.raises(Exception, match="(?i)exist"):
+        two.replace(base, mine)
+    got = {(r.k, r.city, r.is_current) for r in one.read().collect()}
+    assert got == {("x", "A", True), ("y", "B", False), ("y", "C", True), ("n", "N", True)}
+    merge_into(two, spark.createDataFrame([("x", "Z")], "k string, city string"), ["k"], ["city"], "2024-02-02")
+    assert two.read().filter("is_current").count() == 3
+
+
+def test_diff_counts_copies(spark):
+    t = _table(spark, "diff")
+    v1 = t.publish(spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (2, "b"), (None, None)], "id int, attr string"))
+    v2 = t.publish(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, None), (None, None)], "id int, attr string"))
+    assert _rows(t.diff(v1, v2)) == sorted(
+        [(2, "b", "removed"), (2, "b", "removed"), (3, "c", "added"), (None, None, "added")], key=str)
+    assert t.diff(v1, v1).count() == 0
+
+
+def test_files_are_listed_with_sizes(spark):
+    t = _table(spark, "files", buckets=3, bucket_keys=["id"])
+    v = t.publish(spark.range(100).withColumnRenamed("id", "id"))
+    files = t.files(v)
+    assert files.count() > 1 and files.filter("file_size <= 0 or file_path not like '%.parquet'").count() == 0
+
+
+def test_ensure_creates_empty_typed_table(spark):
+    t = _table(spark, "ddl")
+    assert t.ensure(spark.createDataFrame([], "id int, name string").schema) == 1
+    assert t.read().count() == 0 and t.ensure(None) == 1
+    t.drop()
+    assert t.latest() is None
+
+
+def test_view_by_name(spark):
+    t = _table(spark, "view")
     v1 = t.publish(spark.createDataFrame([(1,)], "id int"))
     t.publish(spark.createDataFrame([(1,), (2,)], "id int"))
     t.as_view("tm_ids")
@@ -155,33 +109,20 @@ def test_snapshot_as_named_view(spark):
     assert spark.table("tm_ids_v1").count() == 1
 
 
-def test_latest_pointer_may_lag(spark):
-    t = VersionedTable(spark, scratch_path(spark, "t", "pointer"))
-    for i in range(3):
-        t.publish(spark.createDataFrame([(i,)], "id int"))
-    fs = t._fs()
-    out = fs.create(t._path(f"{t.log_dir}/_latest"), True)
-    out.write(bytearray(b"1"))  # as if the process died before updating it
-    out.close()
-    fresh = VersionedTable(spark, t.root)
-    assert fresh.latest()["snapshot_id"] == 3 and fresh.read().first().id == 2
-    out = fs.create(t._path(f"{t.log_dir}/_latest"), True)
-    out.write(bytearray(b"not a number"))
-    out.close()
-    assert VersionedTable(spark, t.root).latest()["snapshot_id"] == 3
-
-
 @pytest.mark.parametrize("buckets", [None, 8])
 def test_merge_into_equals_scd2_apply(spark, buckets):
-    from tidemark.operators.scd2 import compat_batch_merge, scd2_apply
-    from tidemark.plans.merge import merge_into
-    dim = dim_initial(spark, SF0001)
-    ch = change_set(spark, SF0001)
-    kw = {"buckets": buckets, "bucket_keys": ["customer_id"]} if buckets else {}
+    dim, ch = dim_initial(spark, SF0001), change_set(spark, SF0001)
+    layout = {"buckets": buckets, "bucket_keys": ["customer_id"]} if buckets else {}
     for rules, want in ((dict(), scd2_apply(dim, ch, ["customer_id"], ["city"], "2024-06-01")),
                         (dict(close_rule="any_match", insert_rule="always", null_safe=False),
                          compat_batch_merge(dim, ch, ["customer_id"], ["city"], "2024-06-01"))):
-        t = VersionedTable(spark, scratch_path(spark, "t", "merge-into"), **kw)
-        t.publish(dim, current_col="is_current")
+        t = _table(spark, "merge-into", **layout)
+        t.publish(dim)
+        before = t.entry()
         merge_into(t, ch, ["customer_id"], ["city"], "2024-06-01", **rules)
-        assert _rows(t.read()) == _rows(want)
+        assert _rows(t.read()) == _rows(want) and _rows(t.read(1)) == _rows(dim)
+        if buckets:  # buckets without a changed key keep their files
+            touched = set(t.touched(ch))
+            assert [p for p in before["parts"] if p["bucket"] not in touched] == \
+                [p for p in t.entry()["parts"] if p in before["parts"]]
+            assert VersionedTable(spark, t.root).layout["buckets"] == buckets

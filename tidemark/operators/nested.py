@@ -1,30 +1,24 @@
 """Nested fact: child rows folded into ``array<struct>`` per parent
 (PRJ6, AGG3, JN1, FLT3).
 
-The reference groups items by order with ``collect_list`` and left-joins the
-arrays to the orders.  We keep that plan when no parent is hot, and split hot
-parents otherwise:
-
-1. ``sizes`` = items per parent, a partial aggregate (skew-safe, one small
-   row per parent).
-2. Parents with more than ``max_items`` items are *hot*.  There are at most
-   ``items / max_items`` of them — a proven bound — and their number is
-   counted before they are broadcast; beyond ``broadcast_limit`` they are
-   shuffle-joined instead.
-3. Items of a hot parent are spread over ``ceil(n / max_items)`` chunks by
-   a hash of the item; ``groupBy(parent, chunk)`` shuffles on both, so a
-   parent holding a third of all items is folded by many tasks into
-   bounded arrays.  Such a parent becomes several rows (``chunk`` 0..k-1),
-   each with the parent's columns and the parent's total ``item_count``.
-4. Chunks of hot parents get their parent's columns from a broadcast of
-   those few parent rows, so the chunks are never regathered by a shuffle on
-   the parent key; cold chunks take a shuffle join with the parents.
-   Parents with no items are added by an anti-join with a null array, as a
-   left join would give.
-
-Without hot parents the result is one row per parent, the reference's shape,
-built with one shuffle of the items.  ``item_count`` is stored beside the
-array, since ``size(array)`` is neither pushed to parquet nor pruned.
+The fact has two levels: a parent, and its items in chunks of about
+``max_items``.  A parent of fewer items is one row (``chunk`` 0), the shape of
+a plain ``collect_list``; a parent that holds a third of all items is many
+rows, each with the parent's columns, its total ``item_count`` and a bounded
+array.  The rule is the same at every size, and the readers here
+(``flatten_items``, ``with_many_items``, ``without_items``, ``parents``) give
+the same answers whatever ``max_items`` is.
+
+1. Equal items of a parent are counted first (map-side), so copies of one item
+   cannot make a hot key; a count above ``max_items`` is cut in pieces.
+2. Items per parent are summed from those counts.
+3. A piece's chunk is a hash of its content: the same on every task attempt.
+4. ``groupBy(parent, chunk)`` folds the chunks, and the parents' rows, one per
+   chunk, are joined to them on both, so no task gathers a parent.  Parents
+   without items come from an anti-join.
+
+``item_count`` is stored beside the array, since ``size(array)`` is neither
+pushed to parquet nor pruned.
 """
 
 from __future__ import annotations
@@ -40,95 +34,61 @@ def item_struct(fields: Sequence[str | Column], name: str = "item") -> Column:
     return F.struct(*[F.col(f) if isinstance(f, str) else f for f in fields]).alias(name)
 
 
-def _fold(items: DataFrame, on: list[str], group: list[Column], name: str) -> DataFrame:
-    # sort_array gives a fixed order (L16): structs sort field by field, so
-    # put the item's own ordering fields first.  (Native, unlike array_sort,
-    # which runs a comparator lambda.)
-    return items.groupBy(*group).agg(
-        F.sort_array(F.collect_list("__item")).alias(name),
-        F.count(F.lit(1)).alias("__chunk_n"),
-    )
-
-
 def nest_items(parent: DataFrame, items: DataFrame, on: str | Sequence[str],
                fields: Sequence[str | Column], name: str = "line_items",
-               count_col: str = "item_count", max_items: int = 10_000,
-               broadcast_limit: int = 100_000, skew: str = "auto") -> DataFrame:
-    """Fold ``items`` into an array per parent row.
-
-    Output: parent columns, ``chunk`` (0 unless the parent was split),
-    ``count_col`` (all items of the parent; 0 when none) and ``name`` (null
-    when the parent has no items).  Items whose parent is missing vanish,
-    as in a left join from the parent.
+               count_col: str = "item_count", max_items: int = 10_000) -> DataFrame:
+    """Fold ``items`` into arrays per parent.
+
+    Output: parent columns, ``chunk``, ``count_col`` (all items of the parent;
+    0 when none) and ``name`` (null when the parent has no items).  Items
+    whose parent is missing vanish, as in a left join from the parent.
     """
     on = [on] if isinstance(on, str) else list(on)
-    staged = items.select(*on, item_struct(fields, "__item"))
-    if skew not in ("auto", "split", "none"):
-        raise ValueError(f"skew {skew!r}")
-    n_hot = 0
-    sizes = items.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > max_items)
-    if skew == "auto":
-        n_hot = hot.count()
-    elif skew == "split":
-        n_hot = -1
-    if n_hot == 0:
-        nested = _fold(staged, on, [F.col(c) for c in on], name)
-        # Both sides grow with the data: never broadcast the folded arrays on
-        # a size estimate taken from compressed files.
-        out = parent.join(nested.hint("merge"), on, "left")
-        return out.select(*parent.columns, F.lit(0).alias("chunk"),
-                          F.coalesce(F.col("__chunk_n"), F.lit(0)).cast("long").alias(count_col),
-                          F.col(name))
-    pieces = F.ceil(F.col("__n") / F.lit(max_items))
-    out_cols = [*parent.columns, "chunk",
-                F.coalesce(F.col("__n"), F.col("__chunk_n")).cast("long").alias(count_col), name]
-    if 0 < n_hot <= broadcast_limit:
-        # Items stream through a broadcast join in scan order, so a row's
-        # position id is the same on every task attempt: it splits even
-        # identical items of one parent.
-        tagged = staged.join(F.broadcast(hot), on, "left")
-        hot_items = tagged.filter(F.col("__n").isNotNull()).withColumn(
-            "chunk", F.pmod(F.xxhash64(F.col("__item"), F.monotonically_increasing_id()), pieces).cast("int"))
-        hot_nested = hot_items.groupBy(*on, "chunk").agg(
-            F.sort_array(F.collect_list("__item")).alias(name),
-            F.count(F.lit(1)).alias("__chunk_n"), F.max("__n").alias("__n"))
-        # Their parent rows (no more than the counted hot keys) are broadcast
-        # to the chunks, so the chunks are never regathered on the parent key.
-        hot_parents = parent.join(F.broadcast(hot.select(*on)), on, "left_semi")
-        with_hot = hot_nested.join(F.broadcast(hot_parents), on, "inner")
-        # Cold items fold by parent alone: one shuffle, reused by the join.
-        cold_nested = _fold(tagged.filter(F.col("__n").isNull()), on, [F.col(c) for c in on], name) \
-            .withColumn("chunk", F.lit(0)).withColumn("__n", F.lit(None).cast("long"))
-        with_cold = parent.join(cold_nested.hint("merge"), on, "inner")
-        with_items = with_hot.select(*out_cols).unionByName(with_cold.select(*out_cols))
-    else:
-        # Beyond the broadcast bound: hash the item alone (after a shuffle
-        # join, row order is not repeatable), and AQE's skew-join split is
-        # what spreads a hot parent's chunks in the final join.
-        spread = staged.join(hot, on, "left").withColumn(
-            "chunk", F.when(F.col("__n").isNull(), F.lit(0))
-            .otherwise(F.pmod(F.xxhash64(F.col("__item")), pieces)).cast("int"))
-        nested = spread.groupBy(*on, "chunk").agg(
-            F.sort_array(F.collect_list("__item")).alias(name),
-            F.count(F.lit(1)).alias("__chunk_n"), F.max("__n").alias("__n"))
-        with_items = parent.join(nested.hint("merge"), on, "inner").select(*out_cols)
+    counted = items.select(*on, item_struct(fields, "__item")).groupBy(*on, "__item") \
+        .agg(F.count(F.lit(1)).alias("__copies"))
+    pieces = counted.withColumn("__piece", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / max_items))))
+    pieces = pieces.withColumn("__n", F.least(
+        F.lit(max_items).cast("long"), F.col("__copies") - F.col("__piece") * max_items).cast("int"))
+    sizes = counted.groupBy(*on).agg(F.sum("__copies").alias("__total"))
+    chunks = F.ceil(F.col("__total") / max_items)
+    spread = pieces.join(sizes, on).withColumn(
+        "chunk", F.pmod(F.xxhash64("__item", "__piece"), chunks).cast("int"))
+    # sort_array gives a fixed order (L16): structs sort field by field, so
+    # put the item's own ordering fields first.
+    folded = spread.groupBy(*on, "chunk").agg(
+        F.sort_array(F.flatten(F.collect_list(F.array_repeat("__item", F.col("__n"))))).alias(name))
+    # A parent's row goes to each of its chunks, so that the chunks stay where
+    # they were folded.  Both sides grow with the data: never broadcast the
+    # arrays on a size estimate taken from compressed files.
+    rows = parent.join(sizes, on).withColumn("chunk", F.explode(F.sequence(F.lit(0), (chunks - 1).cast("int"))))
+    out = [*parent.columns, "chunk", F.col("__total").cast("long").alias(count_col), name]
+    with_items = rows.join(folded.hint("merge"), [*on, "chunk"]).select(*out)
     null_items = F.lit(None).cast(with_items.schema[name].dataType)
-    without = parent.join(sizes.select(*on), on, "left_anti").select(
-        *parent.columns, F.lit(0).alias("chunk"), F.lit(0).cast("long").alias(count_col),
-        null_items.alias(name))
-    return with_items.unionByName(without)
+    return with_items.unionByName(childless(parent, items, on).select(
+        *parent.columns, F.lit(0).alias("chunk"), F.lit(0).cast("long").alias(count_col), null_items.alias(name)))
+
+
+def childless(parent: DataFrame, items: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """FLT4: parents without items, by an anti-join (no array is built)."""
+    on = [on] if isinstance(on, str) else list(on)
+    return parent.join(items.select(*on).distinct(), on, "left_anti")
 
 
 def flatten_items(fact: DataFrame, name: str = "line_items", keep_empty: bool = True) -> DataFrame:
     """Back to one row per item (``explode_outer`` keeps parents with no
     items as one row of nulls)."""
-    other = [c for c in fact.columns if c != name]
+    other = [c for c in fact.columns if c not in (name, "chunk")]
     exploded = fact.select(*other, (F.explode_outer if keep_empty else F.explode)(name).alias("__i"))
     item_fields = fact.schema[name].dataType.elementType.fieldNames()
     return exploded.select(*other, *[F.col(f"__i.{f}").alias(f) for f in item_fields])
 
 
+def parents(fact: DataFrame, name: str = "line_items") -> DataFrame:
+    """One row per parent: the fact without its arrays, chunks collapsed."""
+    return fact.drop(name, "chunk").distinct()
+
+
 def with_many_items(fact: DataFrame, count_col: str = "item_count", more_than: int = 1) -> DataFrame:
     """FLT3 on the stored count (pushed to the scan), not ``size(array)``."""
     return fact.filter(F.col(count_col) > more_than)

@@ -12,12 +12,12 @@ columns: ``start`` (inclusive), ``end`` (exclusive, null while open) and
   the stream merge closes on ``!=`` (null-unsafe) and always inserts.
 
 ``scd2_apply`` is the MERGE as a plan: the open rows are left-joined to the
-change set (one row per key), closed rows pass through untouched, and the
+change set (one row per key), all other rows pass through untouched, and the
 insert arm is an anti-join.  ``history_from_log`` builds the whole history
-from an ordered change log with window functions; ``merge_versions`` applies
-a batch that may hold several versions per key by running the same windows
-over the open rows plus the batch, so a stream gives the same history no
-matter how its micro-batches are cut.
+from an ordered change log with window functions.  ``merge_entries`` folds a
+batch into the entries (the last event per key and period) that a history is
+computed from, so a stream gives the same history no matter how its
+micro-batches are cut or ordered.
 """
 
 from __future__ import annotations
@@ -108,24 +108,28 @@ def scd2_parts(live: DataFrame, changes: DataFrame, keys: Sequence[str],
     """The two outputs of a merge over the open rows only.
 
     Returns ``(updated, inserted)``: every open row with its new validity
-    (closed or still open), and the rows to insert.  ``changes`` must hold
-    at most one row per key, else the join would multiply open rows where a
-    MERGE would raise; pass ``dedupe_by`` (ordering columns) to keep the
-    latest change per key first.
+    (closed or still open), and the rows to insert.  An open row matched by
+    several changes makes the job fail, as a MERGE does; pass ``dedupe_by``
+    (ordering columns) to keep the latest change per key first.  Null keys
+    match nothing and are inserted.
     """
     keys, tracked = list(keys), list(tracked)
     if dedupe_by is not None:
         changes = latest_per_key(changes, keys, list(dedupe_by))
     data = _data_cols(live, v)
     eff = _lit(effective).cast(live.schema[v.start].dataType)
-    hit = changes.select(*keys, *[F.col(t).alias(f"__new_{t}") for t in tracked],
-                         F.lit(True).alias("__hit"))
+    # One row per key: the join never multiplies open rows.
+    hit = changes.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__hits"),
+        F.max(F.struct(*[F.col(t).alias(f"n{i}") for i, t in enumerate(tracked)])).alias("__new"))
     j = live.join(hit, keys, "left")
+    matched = F.when(F.col("__hits") > 1, F.raise_error(F.lit("several changes match one open row")).cast("boolean")) \
+        .otherwise(F.col("__hits").isNotNull())
     if close_rule == "any_match":
-        close = F.col("__hit")
+        close = matched
     elif close_rule == "changed":
-        close = F.col("__hit") & _changed([F.col(t) for t in tracked],
-                                          [F.col(f"__new_{t}") for t in tracked], null_safe)
+        close = matched & _changed([F.col(t) for t in tracked],
+                                   [F.col(f"__new.n{i}") for i in range(len(tracked))], null_safe)
     else:
         raise ValueError(f"close_rule {close_rule!r}")
     close = F.coalesce(close, F.lit(False))  # `!=` on null gives null: not a change
@@ -157,14 +161,14 @@ def scd2_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                null_safe: bool = True, dedupe_by: Sequence[str] | None = None) -> DataFrame:
     """SCD1 / SCD2: the whole table after one merge.
 
-    ``closed ∪ updated ∪ inserted``.  Rows already closed are passed through
-    without being joined.
+    ``others ∪ updated ∪ inserted``.  Rows that are not open (closed, or with
+    a null flag) pass through without being joined.
     """
-    closed = target.filter(~F.col(v.current))
+    others = target.filter(~F.coalesce(F.col(v.current), F.lit(False)))
     live = target.filter(F.col(v.current))
     updated, inserted = scd2_parts(live, changes, keys, tracked, effective, v,
                                    close_rule, insert_rule, null_safe, dedupe_by)
-    return closed.unionByName(updated).unionByName(inserted)
+    return others.unionByName(updated).unionByName(inserted)
 
 
 def compat_batch_merge(target: DataFrame, changes: DataFrame, keys: Sequence[str],
@@ -210,30 +214,9 @@ def history_from_entries(entries: DataFrame, keys: Sequence[str], tracked: Seque
         raise ValueError("compat history tracks exactly one column")
     if segment is not None:
         return _segmented_history(entries, keys, tracked, at, list(tiebreak), segment, v, mode)
-    order = [F.col(at)] + [F.col(c) for c in tiebreak]
-    w = Window.partitionBy(*keys).orderBy(*order)
+    marked = mark_versions(entries, keys, tracked, at, tiebreak, mode)
     data = [c for c in entries.columns if c not in v.names and c != at and not c.startswith("__")]
-    if mode == "sound":
-        prev = F.lag(F.struct(*[F.col(t) for t in tracked])).over(w)
-        cur = F.struct(*[F.col(t) for t in tracked])
-        kept = (entries.withColumn("__keep", prev.isNull() | ~prev.eqNullSafe(cur))
-                .filter("__keep"))
-        out = kept.withColumn("__end", F.lead(F.col(at)).over(w))
-    elif mode == "compat":
-        t = tracked[0]
-        nn = entries.filter(F.col(t).isNotNull())
-        prev = F.lag(F.col(t)).over(w)
-        nn = nn.withColumn("__run_start", prev.isNull() | (prev != F.col(t)))
-        # First later run start: a running min over the reversed order.
-        back = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]) \
-            .rowsBetween(Window.unboundedPreceding, -1)
-        nn = nn.withColumn("__end", F.min(F.when(F.col("__run_start"), F.col(at))).over(back))
-        nulls = entries.filter(F.col(t).isNull()).withColumn(
-            "__end", F.lit(None).cast(entries.schema[at].dataType))
-        out = nn.drop("__run_start").unionByName(nulls)
-    else:
-        raise ValueError(f"mode {mode!r}")
-    return out.select(
+    return marked.filter("__version").select(
         *[F.col(c) for c in data],
         F.col(at).alias(v.start),
         F.col("__end").alias(v.end),
@@ -241,6 +224,31 @@ def history_from_entries(entries: DataFrame, keys: Sequence[str], tracked: Seque
     )
 
 
+def mark_versions(entries: DataFrame, keys: Sequence[str], tracked: Sequence[str], at: str,
+                  tiebreak: Sequence[str] = (), mode: str = "sound") -> DataFrame:
+    """``entries`` with ``__version`` (whether the entry starts a version of
+    its own) and ``__end`` (where its version ends)."""
+    order = [F.col(at)] + [F.col(c) for c in tiebreak]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    # The first later start: a running minimum over the reversed order.
+    back = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    if mode == "sound":
+        cur = F.struct(*[F.col(t) for t in tracked])
+        prev = F.lag(cur).over(w)
+        return entries.withColumn("__version", prev.isNull() | ~prev.eqNullSafe(cur)) \
+            .withColumn("__end", F.min(F.when(F.col("__version"), F.col(at))).over(back))
+    if mode != "compat":
+        raise ValueError(f"mode {mode!r}")
+    t = tracked[0]
+    # Null values start no run and end at no later one.
+    prev = F.last(F.col(t), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    run = F.col(t).isNotNull() & (prev.isNull() | (prev != F.col(t)))
+    return entries.withColumn("__run", run) \
+        .withColumn("__end", F.when(F.col(t).isNotNull(), F.min(F.when(F.col("__run"), F.col(at))).over(back))) \
+        .drop("__run").withColumn("__version", F.lit(True))
+
+
 def _segmented_history(entries: DataFrame, keys: list[str], tracked: list[str], at: str,
                        tiebreak: list[str], seg: str, v: Validity, mode: str) -> DataFrame:
     """The same versions as the per-key windows, with windows per key *and*
@@ -253,15 +261,12 @@ def _segmented_history(entries: DataFrame, keys: list[str], tracked: list[str],
     key's previous segment, and a row whose segment has no later start ends
     at the first start of a later segment; both come from a summary of one
     row per key and segment (small: its size grows with time span, not
-    events), scanned per key and joined back on (key, segment).  Entries with
-    a null key or segment take the per-key path.
+    events), scanned per key and joined back on (key, segment), null-safe: null
+    keys are one group and null segments one segment, split like all others.
     """
     order = [F.col(at)] + [F.col(c) for c in tiebreak]
     cur = F.struct(*[F.col(t) for t in tracked])
     t_null = F.lit(None).cast(entries.schema[at].dataType)
-    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys + [seg]])
-    rest = history_from_entries(entries.filter(has_null), keys, tracked, at, tiebreak, v, mode)
-    entries = entries.filter(~has_null)
     if mode == "compat":
         nulls = entries.filter(F.col(tracked[0]).isNull()).withColumn("__end", t_null)
         base = entries.filter(F.col(tracked[0]).isNotNull())
@@ -290,7 +295,10 @@ def _segmented_history(entries: DataFrame, keys: list[str], tracked: list[str],
                            .otherwise(F.col("__first_inner")))
                .withColumn("__next_seg_start", F.min("__seg_start").over(later_segs))
                .select(*keys, seg, "__first_is_start", "__next_seg_start"))
-    y = x.join(summary, [*keys, seg]).withColumn(
+    renamed = summary.select(*[F.col(k).alias(f"__j{i}") for i, k in enumerate([*keys, seg])],
+                             "__first_is_start", "__next_seg_start")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__j{i}")) for i, k in enumerate([*keys, seg])])
+    y = x.join(renamed, same).withColumn(
         "__start", F.when(F.col("__first"), F.col("__first_is_start")).otherwise(F.col("__inner_start")))
     later_rows = Window.partitionBy(*keys, seg).orderBy(*[c.desc() for c in order]) \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -301,9 +309,7 @@ def _segmented_history(entries: DataFrame, keys: list[str], tracked: list[str],
     cols = [*[F.col(c) for c in data], F.col(at).alias(v.start), F.col("__end").alias(v.end),
             F.col("__end").isNull().alias(v.current)]
     res = out.select(*cols)
-    if nulls is not None:
-        res = res.unionByName(nulls.select(*cols))
-    return res.unionByName(rest.select(*res.columns))
+    return res if nulls is None else res.unionByName(nulls.select(*cols))
 
 
 def history_from_log(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
@@ -341,41 +347,12 @@ def history_from_log(log: DataFrame, keys: Sequence[str], tracked: Sequence[str]
     return hist.select(*cols, *v.names)
 
 
-def merge_versions(target: DataFrame, entries: DataFrame, keys: Sequence[str],
-                   tracked: Sequence[str], at: str, v: Validity = DATE_VALIDITY,
-                   mode: str = "sound") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Apply a batch holding any number of versions per key.
-
-    ``entries`` has the target's data columns plus ``at`` (the version
-    start), at most one entry per key and ``at``.  The open rows become
-    entries at their own start; an incoming entry at the same start as an
-    open row replaces it.  Entries older than the open row of their key are
-    late: they are returned apart and not applied, since applying them would
-    mean rewriting closed history.
-
-    Returns ``(closed, reopened, late)``: rows already closed (untouched),
-    the rewritten open rows with the batch's versions, and late entries.
-    """
-    keys = list(keys)
-    data = _data_cols(target, v)
-    closed = target.filter(~F.col(v.current))
-    live = target.filter(F.col(v.current))
-    live_e = live.select(*data, F.col(v.start).alias(at), F.lit(0).alias("__src"))
-    new_e = entries.select(*data, F.col(at).cast(target.schema[v.start].dataType).alias(at),
-                           F.lit(1).alias("__src"))
-    # Every step below is a window over the key (or key and start, which the
-    # key partitioning already satisfies): one shuffle for the whole merge.
-    both = live_e.unionByName(new_e).withColumn(
-        "__open_from", F.max(F.when(F.col("__src") == 0, F.col(at))).over(Window.partitionBy(*keys)))
-    is_late = (F.col("__src") == 1) & F.col("__open_from").isNotNull() & (F.col(at) < F.col("__open_from"))
-    late = both.filter(is_late).select(*data, at)
-    fresh = both.filter(~is_late)
-    # One entry per key and start; the incoming one wins over an open row.
-    fresh = (fresh.withColumn("__incoming_here", F.max("__src").over(Window.partitionBy(*keys, at)))
-             .filter((F.col("__src") == 1) | (F.col("__incoming_here") == 0))
-             .drop("__open_from", "__incoming_here"))
-    reopened = history_from_entries(fresh, keys, tracked, at, [], v, mode)
-    return closed, reopened.select(*target.columns), late
+def merge_entries(entries: DataFrame, batch: DataFrame, keys: Sequence[str], at: str,
+                  order_by: Sequence[str]) -> DataFrame:
+    """One entry per key and ``at`` out of the entries held and a batch: the
+    greatest by ``order_by``, whichever came first.  Null keys form one group."""
+    both = entries.unionByName(batch.select(*entries.columns))
+    return latest_per_key(both, [*keys, at], list(order_by))
 
 
 # --------------------------------------------------------------------- SCD4

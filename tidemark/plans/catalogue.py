@@ -1,4 +1,4 @@
-"""Named queries over registered views (QRY1-QRY5, SRC7, DDL1, DDL3, DDL4).
+"""Views, namespaces and free SQL (QRY1, QRY5, SRC7, DDL1, DDL3, DDL4).
 
 Views are registered on the session that owns the DataFrame (L3), and free
 SQL runs through ``spark.sql`` and comes back as a DataFrame: the caller
@@ -9,23 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The four demo queries of the reference's menu, with view
-# names of our own.  The menu's "history of one changed customer" picks its
-# customer with an unordered LIMIT 1; ours orders it so runs repeat.
-MENU = {
-    "show_tables": "SHOW TABLES",
-    "customer_history": (
-        "SELECT customer_id, city, is_current, start_date, end_date FROM dim_customers "
-        "WHERE customer_id IN (SELECT customer_id FROM dim_customers WHERE is_current = false "
-        "ORDER BY customer_id LIMIT 1) ORDER BY customer_id, start_date"),
-    "multi_item_orders": (
-        "SELECT order_id, customer_id, line_items FROM fact_orders_nested "
-        "WHERE item_count > 1 ORDER BY order_id LIMIT 3"),
-    "top_cities": (
-        "SELECT city, count(*) AS cnt FROM dim_customers WHERE is_current = true "
-        "GROUP BY city ORDER BY cnt DESC, city LIMIT 5"),
-}
-
 
 def register(views: dict[str, DataFrame]) -> None:
     """DDL4: name each DataFrame for SQL on its own session."""
@@ -53,10 +36,6 @@ def run_sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text.strip())
 
 
-def run_menu(spark: SparkSession, name: str) -> DataFrame:
-    return run_sql(spark, MENU[name])
-
-
 def _ident(name: str) -> str:
     parts = name.split(".")
     for p in parts:

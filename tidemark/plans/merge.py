@@ -1,8 +1,4 @@
-"""MERGE INTO a versioned history table in one call (SCD1 / SCD2).
-
-Composes ``scd2_parts`` with the table's open rows and commit: on a bucketed
-table only the buckets of the changes' keys are read and rewritten.
-"""
+"""MERGE INTO a versioned history table in one call (SCD1 / SCD2)."""
 
 from __future__ import annotations
 
@@ -10,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators.scd2 import DATE_VALIDITY, Validity, scd2_parts
+from ..operators.scd2 import DATE_VALIDITY, Validity, scd2_apply
 from .versions import VersionedTable
 
 
@@ -19,18 +15,16 @@ def merge_into(table: VersionedTable, changes: DataFrame, keys: Sequence[str],
                close_rule: str = "changed", insert_rule: str = "new_or_changed",
                null_safe: bool = True, dedupe_by: Sequence[str] | None = None,
                summary: dict | None = None) -> int:
-    """Merge ``changes`` into ``table``; returns the new snapshot id.
+    """Merge ``changes`` into the version read now; returns the new version's
+    id.  Fails if another writer commits meanwhile: read and merge again.
 
     The rules are those of ``scd2_apply`` (sound by default; pass
     ``close_rule="any_match", insert_rule="always", null_safe=False`` for the
-    batch MERGE the reference runs).
+    batch MERGE the reference runs).  On a table laid out by ``keys`` only the
+    buckets of the changes' keys are read and rewritten.
     """
-    touched = None
-    if table.layout:
-        # Bounded: at most `buckets` values reach the driver.
-        touched = [r[0] for r in changes.select(table.bucket_column().alias("b")).distinct().collect()]
-    updated, inserted = scd2_parts(table.read_open(v.current, touched), changes, keys, tracked,
-                                   effective, v, close_rule, insert_rule, null_safe, dedupe_by)
-    return table.commit_history(updated.unionByName(inserted), v.current,
-                                {"rule": f"{close_rule}/{insert_rule}", **(summary or {})},
-                                buckets=touched)
+    base = table.entry()
+    touched = table.touched(changes)
+    merged = scd2_apply(table.at(base, touched), changes, keys, tracked, effective, v,
+                        close_rule, insert_rule, null_safe, dedupe_by)
+    return table.replace(base, merged, touched, "merge", {"rule": f"{close_rule}/{insert_rule}", **(summary or {})})

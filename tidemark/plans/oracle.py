@@ -7,8 +7,8 @@ describe (DuckDB runs it on the small check data only).
 
 from __future__ import annotations
 
-from .queries import (AS_OF_DATE, CITY_MATCH, CITY_OTHERWISE, CITY_THEN, LOAD_DATE,
-                      MERGE_DATE, SAMPLE_FRACTION, SAMPLE_SEED)
+from .queries import (AS_OF_DATE, CITY_MATCH, CITY_OTHERWISE, CITY_THEN, HISTORY_KEY, LOAD_DATE,
+                      MERGE_DATE, SAMPLE_FRACTION, SAMPLE_SEED, STREAM_CUT, STREAM_START)
 
 _THRESHOLD = format(min(int(round(SAMPLE_FRACTION * 16 ** 8)), 16 ** 8 - 1), "08x")
 _LOAD = f"DATE '{LOAD_DATE.isoformat()}'"
@@ -59,7 +59,7 @@ MERGED = f"WITH {RAW},\n{DIM},\n{CHANGES},\n{_merge(True)}\n"
 MERGED_COMPAT = f"WITH {RAW},\n{DIM},\n{CHANGES},\n{_merge(False)}\n"
 
 FACT_FLAT = """SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate,
-       o.o_orderpriority, 0 AS chunk,
+       o.o_orderpriority,
        count(l.l_orderkey) OVER (PARTITION BY o.o_orderkey) AS item_count,
        l.l_linenumber AS line_number, l.l_partkey AS product_id, l.l_quantity AS quantity,
        l.l_extendedprice AS price, l.l_discount AS discount
@@ -113,6 +113,44 @@ SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate
        l.l_extendedprice AS price, l.l_discount AS discount
 FROM orders o LEFT JOIN li l ON l.l_orderkey = o.o_orderkey"""
 
+VERSIONS_NULL_KEYS = VERSIONS_SOUND.replace(
+    "FROM events", "FROM (SELECT CASE WHEN event_id % 3 <> 0 THEN user_id END AS user_id, event_type, event_id, ts "
+                   "FROM events)")
+
+HOT_MULTI = """SELECT o.o_orderkey, o.o_custkey, count(*) AS item_count FROM orders o JOIN (
+  SELECT CASE WHEN (l_partkey + l_linenumber) % 3 = 0 THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS l_orderkey
+  FROM lineitem) l ON l.l_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey, o.o_custkey HAVING count(*) > 1 ORDER BY o.o_orderkey LIMIT 3"""
+
+STAGED = f"""WITH {RAW}, {DIM}
+SELECT customer_id, city, state, start_date, CASE WHEN rn = 0 THEN {_MERGE} END AS end_date, rn = 1 AS is_current
+FROM (SELECT customer_id, city, state, start_date, 0 AS rn FROM dim
+      UNION ALL SELECT customer_id, CASE WHEN city = '{CITY_MATCH}' THEN '{CITY_THEN}' ELSE '{CITY_OTHERWISE}' END,
+                       state, {_MERGE}, 1 FROM dim)"""
+
+ODD_ROWS = f"""WITH {RAW}, {DIM}, {CHANGES},
+odd AS (SELECT customer_id, city, state, start_date, end_date,
+               CASE WHEN customer_id % 7 <> 0 THEN is_current END AS is_current FROM dim),
+c AS (SELECT CASE WHEN customer_id % 3 <> 0 THEN customer_id END AS customer_id, city, state FROM ch)
+SELECT o.customer_id, o.city, o.state, o.start_date,
+       CASE WHEN o.is_current AND c.city IS DISTINCT FROM o.city AND c.customer_id IS NOT NULL THEN {_MERGE}
+            ELSE o.end_date END AS end_date,
+       CASE WHEN o.is_current AND c.city IS DISTINCT FROM o.city AND c.customer_id IS NOT NULL THEN FALSE
+            ELSE o.is_current END AS is_current
+FROM odd o LEFT JOIN c ON c.customer_id = o.customer_id
+UNION ALL SELECT customer_id, city, state, {_MERGE}, NULL, TRUE FROM c"""
+
+STREAM_MERGE = f"""WITH e AS (SELECT user_id, event_type, ts >= TIMESTAMP '{STREAM_CUT}' AS late,
+    row_number() OVER (PARTITION BY user_id, ts >= TIMESTAMP '{STREAM_CUT}' ORDER BY ts DESC, event_id DESC) AS n
+  FROM events),
+o AS (SELECT user_id, event_type FROM e WHERE n = 1 AND NOT late),
+c AS (SELECT user_id, event_type FROM e WHERE n = 1 AND late)
+SELECT o.user_id, o.event_type, TIMESTAMP '{STREAM_START}' AS effective_time,
+       CASE WHEN c.event_type <> o.event_type THEN TIMESTAMP '{STREAM_CUT}' END AS end_time,
+       NOT coalesce(c.event_type <> o.event_type, FALSE) AS is_current
+FROM o LEFT JOIN c ON c.user_id = o.user_id
+UNION ALL SELECT user_id, event_type, TIMESTAMP '{STREAM_CUT}', NULL, TRUE FROM c"""
+
 ORACLE_SQL: dict[str, str] = {
     "dim_initial_load": f"WITH {RAW},\n{DIM}\nSELECT * FROM dim",
     "top_cities": f"""WITH {RAW},\n{DIM}
@@ -160,10 +198,6 @@ GROUP BY o.o_orderkey, o.o_custkey HAVING count(*) > 1 ORDER BY o.o_orderkey LIM
     "snapshot_diff": MERGED + """SELECT *, 'added' AS change FROM (SELECT * FROM merged EXCEPT ALL SELECT * FROM dim)
 UNION ALL
 SELECT *, 'removed' AS change FROM (SELECT * FROM dim EXCEPT ALL SELECT * FROM merged)""",
-    "snapshot_log": MERGED + """SELECT CAST(1 AS BIGINT) AS snapshot_id, CAST(NULL AS BIGINT) AS parent_id,
-       'replace' AS operation, (SELECT count(*) FROM dim) AS rows_written
-UNION ALL
-SELECT 2, 1, 'merge', (SELECT count(*) FROM upd) + (SELECT count(*) FROM ins)""",
     "schema_evolved_read": """SELECT c_custkey, c_mktsegment, CAST(NULL AS VARCHAR) AS c_name,
        CAST(NULL AS INTEGER) AS c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal FROM customer""",
     "json_events_parsed": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
@@ -181,5 +215,15 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     "event_history_compat": HISTORY_COMPAT,
     "event_versions_sound": VERSIONS_SOUND,
     "event_versions_compat": VERSIONS_COMPAT,
+    "event_versions_null_keys": VERSIONS_NULL_KEYS,
     "orders_hot_parent_flat": HOT_FLAT,
+    "menu_multi_item_hot": HOT_MULTI,
+    "items_size_filter": """SELECT o.o_orderkey, CAST(count(*) AS INTEGER) AS items
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey HAVING count(*) > 2""",
+    "key_history": MERGED + f"SELECT * FROM merged WHERE customer_id = {HISTORY_KEY} ORDER BY start_date, end_date",
+    "staged_merge": STAGED,
+    "merge_odd_rows": ODD_ROWS,
+    "compat_stream_merge": STREAM_MERGE,
+    "csv_dirty_numbers": """SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS cust,
+       CAST(o_orderdate AS DATE) AS ordered_on FROM orders""",
 }

@@ -23,15 +23,15 @@ from pyspark.sql import types as T
 
 from ..functions.json import parse_json, parse_json_split, to_json_value
 from ..operators.dedupe import distinct_rows, key_audit, latest_per_key
-from ..operators.nested import flatten_items, nest_items, with_many_items, without_items
+from ..operators.nested import childless, flatten_items, nest_items, parents, with_many_items
 from ..operators.scd2 import (TIME_VALIDITY, as_of, build_change_set, compat_batch_merge,
-                              current_rows, history_from_log, initial_load, rewrite_when,
-                              scd2_apply)
+                              compat_stream_merge, current_rows, history_from_log, initial_load, key_history,
+                              rewrite_when, scd2_apply)
 from ..session import scratch_path
 from ..sources.csv import read_csv, write_csv
 from ..sources.topic import publish_events, topic_stream
 from ..streaming.bronze import start_bronze
-from ..streaming.silver import start_silver
+from ..streaming.silver import history, start_silver
 from .merge import merge_into
 from .versions import VersionedTable
 
@@ -48,6 +48,8 @@ CITY_OTHERWISE = "Ha Noi"
 CITY_MATCH = "BUILDING"
 MERGE_DATE = dt.date(2024, 6, 1)
 AS_OF_DATE = dt.date(2024, 1, 1)
+HISTORY_KEY = 7
+STREAM_START, STREAM_CUT = "2024-01-01 00:00:00", "2024-01-15 12:30:00"
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -77,7 +79,7 @@ def raw_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_initial(spark: SparkSession, sf: str) -> DataFrame:
-    return initial_load(raw_customers(spark, sf), LOAD_DATE, partition_by=["customer_id"])
+    return initial_load(raw_customers(spark, sf), F.to_date(F.lit(LOAD_DATE.isoformat())))
 
 
 def change_set(spark: SparkSession, sf: str, dim: DataFrame | None = None) -> DataFrame:
@@ -96,11 +98,14 @@ def merged_dim(spark: SparkSession, sf: str, compat: bool = False) -> DataFrame:
     return scd2_apply(dim, ch, ["customer_id"], ["city"], MERGE_DATE)
 
 
-def orders_fact(spark: SparkSession, sf: str) -> DataFrame:
-    orders = _t(spark, sf, "orders")
-    items = _t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    return nest_items(orders, items, "o_orderkey",
-                      [F.col(src).alias(dst) for src, dst in ITEM_FIELDS])
+def order_items(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+
+
+def orders_fact(spark: SparkSession, sf: str, items: DataFrame | None = None, max_items: int = 10_000) -> DataFrame:
+    items = items if items is not None else order_items(spark, sf)
+    return nest_items(_t(spark, sf, "orders"), items, "o_orderkey",
+                      [F.col(src).alias(dst) for src, dst in ITEM_FIELDS], max_items=max_items)
 
 
 def event_day(col: str = "ts"):
@@ -180,30 +185,35 @@ def q_orders_with_items_flat(spark, sf):
 
 
 def q_multi_item_orders(spark, sf):
-    fact = with_many_items(orders_fact(spark, sf))
-    per_chunk = fact.select(
-        "o_orderkey", "o_orderstatus", "item_count",
-        # line_items.quantity is the field as an array (a native extraction)
-        F.aggregate(F.col("line_items.quantity"), F.lit(0.0), lambda acc, x: acc + x).alias("q"),
-        F.array_max(F.col("line_items.price")).alias("p"))
-    return per_chunk.groupBy("o_orderkey", "o_orderstatus", "item_count").agg(
-        F.sum("q").alias("total_quantity"), F.max("p").alias("max_price"))
+    """Totals per order are sums of the items: no array is built."""
+    per_order = order_items(spark, sf).groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("item_count"), F.sum("l_quantity").alias("total_quantity"),
+        F.max("l_extendedprice").alias("max_price")).filter("item_count > 1")
+    return _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus").join(per_order, "o_orderkey")
 
 
 def q_orders_no_items(spark, sf):
-    return without_items(orders_fact(spark, sf)).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "item_count")
+    return childless(_t(spark, sf, "orders"), order_items(spark, sf), "o_orderkey").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.lit(0).cast("long").alias("item_count"))
+
+
+def _first_with_many(fact: DataFrame) -> DataFrame:
+    return parents(with_many_items(fact)).select("o_orderkey", "o_custkey", "item_count").orderBy("o_orderkey").limit(3)
 
 
 def q_menu_multi_item_orders(spark, sf):
-    return (with_many_items(orders_fact(spark, sf))
-            .select("o_orderkey", "o_custkey", "item_count")
-            .orderBy("o_orderkey").limit(3))
+    return _first_with_many(orders_fact(spark, sf))
+
+
+def q_items_size_filter(spark, sf):
+    """FN9 / FLT3 as the array's own size: chunks of more than two items."""
+    return orders_fact(spark, sf).filter(F.size("line_items") > 2).select(
+        "o_orderkey", F.size("line_items").alias("items"))
 
 
 def _versioned_dim(spark, sf) -> tuple[VersionedTable, int, int]:
     t = VersionedTable(spark, scratch_path(spark, "tables", "dim_customers"))
-    v1 = t.publish(dim_initial(spark, sf), "replace", current_col="is_current")
+    v1 = t.publish(dim_initial(spark, sf), "replace")
     ch = change_set(spark, sf, t.read(v1))
     v2 = merge_into(t, ch, ["customer_id"], ["city"], MERGE_DATE,
                     summary={"effective": MERGE_DATE.isoformat()})
@@ -225,13 +235,49 @@ def q_snapshot_diff(spark, sf):
     return t.diff(v1, v2)
 
 
-def q_snapshot_log(spark, sf):
-    """SRC6: the snapshot log after load + merge (commit times left out:
-    they are wall-clock)."""
-    t, _, _ = _versioned_dim(spark, sf)
-    written = F.coalesce(F.col("summary")["rows"], F.col("summary")["rewritten_rows"])
-    return t.snapshots().select("snapshot_id", "parent_id", "operation",
-                                written.cast("long").alias("rows_written"))
+def q_data_files(spark, sf):
+    """SRC9: the data files of the merged dimension with their sizes (file
+    names are random, so SQL has no equal)."""
+    t, _, v2 = _versioned_dim(spark, sf)
+    return t.files(v2)
+
+
+def q_staged_merge(spark, sf):
+    """SCD5: a change set drawn by Spark's partition-dependent sampler is
+    staged, so that both scans of the merge see the same rows.  At fraction 1
+    it holds every open row."""
+    dim = dim_initial(spark, sf)
+    ch = build_change_set(current_rows(dim), ["customer_id"], 1.0, SAMPLE_SEED,
+                          {"city": rewrite_when("city", CITY_MATCH, CITY_THEN, CITY_OTHERWISE)},
+                          method="bernoulli", staged=True)
+    return compat_batch_merge(dim, ch, ["customer_id"], ["city"], MERGE_DATE)
+
+
+def q_key_history(spark, sf):
+    """SCD6 / FLT2: the versions of one key, bound as a value."""
+    return key_history(merged_dim(spark, sf), "customer_id", HISTORY_KEY)
+
+
+def q_merge_odd_rows(spark, sf):
+    """SCD1 over a table whose flag is null in places, with null keys among
+    the changes: rows with a null flag stay, null keys are inserted."""
+    dim = dim_initial(spark, sf)
+    odd = dim.withColumn("is_current", F.when(F.pmod(F.col("customer_id"), F.lit(7)) != 0, F.col("is_current")))
+    ch = change_set(spark, sf, dim).withColumn("customer_id", F.when(
+        F.pmod(F.col("customer_id"), F.lit(3)) != 0, F.col("customer_id")))
+    return scd2_apply(odd, ch, ["customer_id"], ["city"], MERGE_DATE, insert_rule="always")
+
+
+def q_compat_stream_merge(spark, sf):
+    """SCD2 as the reference runs it per micro-batch: the last event per user
+    up to a cut is the table, the last one after it the batch; open rows close
+    on ``!=``, every change row is inserted."""
+    ev = _t(spark, sf, "events").select("user_id", "event_type", "event_id", "ts")
+    cut = F.lit(STREAM_CUT).cast("timestamp_ntz")
+    last = lambda df: latest_per_key(df, ["user_id"], ["ts", "event_id"]).drop("ts", "event_id")
+    v = TIME_VALIDITY
+    open_ = initial_load(last(ev.filter(F.col("ts") < cut)), F.lit(STREAM_START).cast("timestamp_ntz"), v)
+    return compat_stream_merge(open_, last(ev.filter(F.col("ts") >= cut)), ["user_id"], ["event_type"], cut, v)
 
 
 def q_schema_evolved_read(spark, sf):
@@ -239,7 +285,7 @@ def q_schema_evolved_read(spark, sf):
     cust = _t(spark, sf, "customer")
     v1 = t.publish(cust.select("c_custkey", "c_mktsegment"))
     t.publish(cust.select("c_custkey", "c_mktsegment", "c_name", "c_nationkey", "c_acctbal"))
-    return t.read(v1)
+    return t.read(v1, schema="latest")
 
 
 def q_json_events_parsed(spark, sf):
@@ -273,11 +319,29 @@ def q_csv_scan_inferred(spark, sf):
     return read_csv(spark, _customer_csv(spark, sf), infer=True)
 
 
+def q_csv_dirty_numbers(spark, sf):
+    """FN3 / FN7: numbers and dates out of text that does not always hold
+    them: ``try_cast`` gives null where a cast would fail the job."""
+    o = _t(spark, sf, "orders")
+    dirty = o.select("o_orderkey", F.when(F.pmod(F.col("o_orderkey"), F.lit(5)) == 0, F.lit("n/a"))
+                     .otherwise(F.col("o_custkey").cast("string")).alias("cust_text"),
+                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_text"))
+    path = scratch_path(spark, "csv", "orders")
+    write_csv(dirty, path)
+    raw = read_csv(spark, path)
+    return raw.select(F.col("o_orderkey").cast("long").alias("o_orderkey"),
+                      F.col("cust_text").try_cast("long").alias("cust"),
+                      F.to_date("date_text", "yyyy-MM-dd").alias("ordered_on"))
+
+
 def _bronze(spark, sf) -> str:
+    """Events dealt over files by their id: every file, and so every later
+    micro-batch, holds events of all days."""
     topic = scratch_path(spark, "topics", "events")
-    publish_events(_t(spark, sf, "events"), topic, F.date_trunc("week", F.col("ts")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    publish_events(_t(spark, sf, "events").repartition(parts, F.xxhash64("event_id")), topic)
     bronze = scratch_path(spark, "tables", "bronze_events")
-    q = start_bronze(topic_stream(spark, topic), EVENT_SCHEMA, bronze,
+    q = start_bronze(topic_stream(spark, topic, max_files_per_trigger=max(1, parts // 4)), EVENT_SCHEMA, bronze,
                      scratch_path(spark, "checkpoints", "bronze"),
                      name=f"bronze_events_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
@@ -290,16 +354,16 @@ def q_bronze_stream_events(spark, sf):
 
 def _silver(spark, sf, mode: str) -> DataFrame:
     bronze = _bronze(spark, sf)
-    # Bucketed by key: each micro-batch rewrites only its keys' buckets.
+    files = len(spark.read.schema(EVENT_SCHEMA).parquet(bronze).inputFiles())
     target = VersionedTable(spark, scratch_path(spark, "tables", f"silver_{mode}"),
                             buckets=16, bucket_keys=["user_id"])
-    src = spark.readStream.schema(EVENT_SCHEMA).parquet(bronze)
+    src = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max(1, -(-files // 3))).parquet(bronze)
     q = start_silver(src, target, ["user_id"], ["event_type"], "ts", event_day(),
                      HISTORY_COLUMNS, scratch_path(spark, "checkpoints", "silver"),
                      tiebreak=["event_id"], v=TIME_VALIDITY, mode=mode,
                      name=f"silver_{mode}_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
-    return target.read()
+    return history(target)
 
 
 def q_silver_scd2_stream(spark, sf):
@@ -330,13 +394,29 @@ def hot_lineitem(spark, sf) -> DataFrame:
     return li.withColumn("l_orderkey", F.when(moved, F.lit(0).cast("long")).otherwise(F.col("l_orderkey")))
 
 
-def q_orders_hot_parent_flat(spark, sf):
-    """The nested fact when one order holds a third of all items: the hot
-    order is folded in bounded chunks by many tasks, then flattened."""
-    orders = _t(spark, sf, "orders")
+def _hot_fact(spark, sf) -> DataFrame:
+    """A third of all items on one order, in chunks small enough to split it."""
     items = hot_lineitem(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
-    fact = nest_items(orders, items, "o_orderkey", [F.col(src).alias(dst) for src, dst in ITEM_FIELDS])
-    return flatten_items(fact).drop("chunk")
+    return orders_fact(spark, sf, items, max_items=500)
+
+
+def q_orders_hot_parent_flat(spark, sf):
+    return flatten_items(_hot_fact(spark, sf))
+
+
+def q_menu_multi_item_hot(spark, sf):
+    return _first_with_many(_hot_fact(spark, sf))
+
+
+def _null_users(spark, sf) -> DataFrame:
+    """events with a third of its users unknown."""
+    return _t(spark, sf, "events").withColumn("user_id", F.when(F.pmod(F.col("event_id"), F.lit(3)) != 0, F.col("user_id")))
+
+
+def q_event_versions_null_keys(spark, sf):
+    """Every event a version when the null key is the hot one."""
+    return history_from_log(_null_users(spark, sf), ["user_id"], ["event_type"], "ts", ["event_id"], None,
+                            TIME_VALIDITY, "sound", payload=["event_id"], segment=F.date_trunc("hour", F.col("ts")))
 
 
 def q_event_versions_sound(spark, sf):
@@ -373,7 +453,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_before_merge": q_snapshot_before_merge,
     "snapshot_after_merge": q_snapshot_after_merge,
     "snapshot_diff": q_snapshot_diff,
-    "snapshot_log": q_snapshot_log,
+    "data_files": q_data_files,
     "schema_evolved_read": q_schema_evolved_read,
     "json_events_parsed": q_json_events_parsed,
     "json_props_parsed": q_json_props_parsed,
@@ -387,5 +467,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_history_compat": q_event_history_compat,
     "event_versions_sound": q_event_versions_sound,
     "event_versions_compat": q_event_versions_compat,
+    "event_versions_null_keys": q_event_versions_null_keys,
     "orders_hot_parent_flat": q_orders_hot_parent_flat,
+    "menu_multi_item_hot": q_menu_multi_item_hot,
+    "items_size_filter": q_items_size_filter,
+    "key_history": q_key_history,
+    "staged_merge": q_staged_merge,
+    "merge_odd_rows": q_merge_odd_rows,
+    "compat_stream_merge": q_compat_stream_merge,
+    "csv_dirty_numbers": q_csv_dirty_numbers,
 }

@@ -1,22 +1,14 @@
-"""Versioned parquet tables: snapshots, time travel, diff, files
-(VER1-VER6, SRC4-SRC6, SRC9, SNK1, SNK2, DDL2).
+"""Versioned parquet tables, as far as a merge and a stream need them
+(SRC4, SRC5, SRC9, SNK1, SNK2, DDL2, VER1, VER3, VER5, VER6).
 
-A table is a folder:
+A table is a folder of immutable parquet parts, and a log with one small file
+per version that names the version's parts and schema.  A version is written
+against the one that was read: its log file carries the next number and is
+created only if absent, so of two writers that read the same version the
+second fails, and no reader sees a half-written version.
 
-* ``data/<uuid>/`` — immutable parquet parts, one per write;
-* ``_log/v<n>.json`` — one line per snapshot: id, parent, time, operation,
-  summary, schema, and the parts that make it up.  Each part may carry a
-  predicate.
-
-A log entry is written after its data, with create-if-absent, so readers
-never see a half-written snapshot and a second writer racing for the same
-id fails instead of overwriting (single writer per table is assumed).
-
-History tables use the predicate: a merge writes one new part holding the
-rows it closed and all open rows; earlier parts stay and contribute only
-their closed rows (``NOT is_current``).  A merge then costs O(open rows +
-changes), never O(history), and reading open rows scans only the newest
-part.
+A table may be laid out in key buckets; a merge then replaces the buckets of
+its keys and keeps the other parts as they are.
 """
 
 from __future__ import annotations
@@ -26,27 +18,13 @@ import json
 import os
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("snapshot_id", T.LongType()),
-    T.StructField("parent_id", T.LongType()),
-    T.StructField("committed_at", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("schema", T.StringType()),
-    T.StructField("parts", T.ArrayType(T.StructType([
-        T.StructField("path", T.StringType()),
-        T.StructField("where", T.StringType()),
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("rows", T.LongType()),
-        T.StructField("closed", T.LongType()),
-    ]))),
-])
+LOG_SCHEMA = ("snapshot_id long, parent_id long, committed_at timestamp, operation string, "
+              "summary map<string,string>")
 
 
 class SnapshotNotFound(KeyError):
@@ -56,396 +34,204 @@ class SnapshotNotFound(KeyError):
 class VersionedTable:
     """A versioned parquet table at ``root``.
 
-    ``buckets`` and ``bucket_keys`` (history tables) hash-partition every
-    write by key into ``buckets`` directories.  A merge that touches few
-    keys then reads and rewrites only their buckets' open rows instead of
-    all open rows: O(touched buckets) per micro-batch, not O(keys).  The
-    layout is recorded in the log, so reopening the table keeps it.
+    ``buckets`` and ``bucket_keys`` lay every write out by key;
+    ``files_per_bucket`` tasks share a bucket's rows.  The layout is recorded
+    in the log, so reopening the table keeps it.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
-                 bucket_keys: Sequence[str] | None = None):
+                 bucket_keys: Sequence[str] | None = None, files_per_bucket: int = 4):
+        if (buckets is None) != (bucket_keys is None):
+            raise ValueError("give both buckets and bucket_keys, or neither")
         self.spark = spark
         self.root = root.rstrip("/")
         self.log_dir = f"{self.root}/_log"
-        self.data_dir = f"{self.root}/data"
-        self._entries: dict[str, dict] = {}  # log entries are immutable: cache by file
-        if (buckets is None) != (bucket_keys is None):
-            raise ValueError("give both buckets and bucket_keys, or neither")
-        self._layout = {"buckets": int(buckets), "keys": list(bucket_keys)} if buckets else None
+        self._layout = {"buckets": int(buckets), "keys": list(bucket_keys), "files": files_per_bucket} \
+            if buckets else None
 
     @property
     def layout(self) -> dict | None:
         if self._layout is None:
-            latest = self.latest()
-            if latest and latest.get("layout"):
-                self._layout = latest["layout"]
+            self._layout = (self.latest() or {}).get("layout")
         return self._layout
 
     def bucket_column(self) -> Column:
-        """The bucket of each row: ``pmod(xxhash64(keys), buckets)``."""
-        lay = self.layout
-        if not lay:
+        """The bucket of each row; null keys have one like all others."""
+        if not self.layout:
             raise ValueError("table is not bucketed")
-        return F.pmod(F.xxhash64(*[F.col(k) for k in lay["keys"]]), F.lit(lay["buckets"])).cast("int")
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.layout["keys"]]), F.lit(self.layout["buckets"])).cast("int")
 
-    # ------------------------------------------------------------ file system
+    # ------------------------------------------------------------------- log
     def _path(self, p: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(p)  # noqa: SLF001
 
     def _fs(self):
-        conf = self.spark._jsc.hadoopConfiguration()  # noqa: SLF001
-        return self._path(self.root).getFileSystem(conf)
-
-    def _create_if_absent(self, path: str, text: str) -> None:
-        out = self._fs().create(self._path(path), False)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
+        return self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())  # noqa: SLF001
 
-    # ------------------------------------------------------------------- log
-    def _read_text(self, path: str) -> str:
-        jvm = self.spark._jvm  # noqa: SLF001
-        stream = self._fs().open(self._path(path))
+    def _listed(self, folder: str) -> list[str]:
+        fs = self._fs()
+        return sorted(s.getPath().getName() for s in fs.listStatus(self._path(folder))) \
+            if fs.exists(self._path(folder)) else []
+
+    def load(self, snapshot_id: int) -> dict:
+        path = self._path(f"{self.log_dir}/v{snapshot_id:012d}.json")
+        if not self._fs().exists(path):
+            raise SnapshotNotFound(snapshot_id)
+        stream = self._fs().open(path)
         try:
-            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            rec = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))  # noqa: SLF001
         finally:
             stream.close()
+        rec["committed_at"] = _dt.datetime.strptime(rec["committed_at"], "%Y-%m-%dT%H:%M:%S.%fZ")
+        return rec
 
-    def log(self) -> list[dict]:
-        """All snapshots, oldest first.  Metadata only (one small file per
-        write), read on the driver without a Spark job."""
-        fs = self._fs()
-        if not fs.exists(self._path(self.log_dir)):
-            return []
-        names = sorted(st.getPath().getName() for st in fs.listStatus(self._path(self.log_dir))
-                       if st.getPath().getName().endswith(".json"))
-        out = []
-        for n in names:
-            if n not in self._entries:
-                rec = json.loads(self._read_text(f"{self.log_dir}/{n}"))
-                rec["committed_at"] = _parse_time(rec["committed_at"])
-                self._entries[n] = rec
-            out.append(self._entries[n])
-        return out
-
-    def load(self, snapshot_id: int) -> dict | None:
-        """One log entry by id, read directly (no listing); None if absent."""
-        name = f"v{snapshot_id:012d}.json"
-        if name not in self._entries:
-            path = f"{self.log_dir}/{name}"
-            if snapshot_id < 1 or not self._fs().exists(self._path(path)):
-                return None
-            rec = json.loads(self._read_text(path))
-            rec["committed_at"] = _parse_time(rec["committed_at"])
-            self._entries[name] = rec
-        return self._entries[name]
+    def ids(self) -> list[int]:
+        return [int(n[1:-5]) for n in self._listed(self.log_dir) if n.startswith("v") and n.endswith(".json")]
 
     def latest(self) -> dict | None:
-        """The newest snapshot.  Read from the ``_latest`` pointer, then
-        probe forward (the pointer is written after the entry and may lag a
-        crash); without a readable pointer, list the log."""
-        fs = self._fs()
-        hint = f"{self.log_dir}/_latest"
-        try:
-            n = int(self._read_text(hint).strip()) if fs.exists(self._path(hint)) else None
-        except Exception:  # noqa: BLE001 - a torn or unreadable pointer: list instead
-            n = None
-        if n is None:
-            entries = self.log()
-            return entries[-1] if entries else None
-        while self.load(n + 1) is not None:
-            n += 1
-        return self.load(n)
+        ids = self.ids()
+        return self.load(ids[-1]) if ids else None
 
     def entry(self, snapshot_id: int | None = None, as_of=None) -> dict:
+        """A version by id, by time (naive UTC), or the latest."""
         if snapshot_id is not None:
-            e = self.load(snapshot_id)
-            if e is None:
-                raise SnapshotNotFound(snapshot_id)
-            return e
-        if as_of is None:
-            e = self.latest()
-            if e is None:
-                raise SnapshotNotFound(f"{self.root} has no snapshot")
-            return e
-        older = [e for e in self.log() if e["committed_at"] <= as_of]
-        if not older:
-            raise SnapshotNotFound(f"no snapshot at {as_of}")
-        return older[-1]
-
-    def _commit(self, parts: list[dict], operation: str, schema: T.StructType,
-                summary: dict | None, parent: dict | None) -> int:
-        sid = (parent["snapshot_id"] if parent else 0) + 1
-        rec = {
-            "snapshot_id": sid,
-            "parent_id": parent["snapshot_id"] if parent else None,
-            "committed_at": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ"),
-            "operation": operation,
-            "summary": {k: str(v) for k, v in (summary or {}).items()},
-            "schema": schema.json(),
-            "parts": parts,
-            "layout": self.layout,
-        }
-        self._create_if_absent(f"{self.log_dir}/v{sid:012d}.json", json.dumps(rec) + "\n")
-        out = self._fs().create(self._path(f"{self.log_dir}/_latest"), True)  # a hint only
+            return self.load(snapshot_id)
+        for i in reversed(self.ids()):
+            e = self.load(i)
+            if as_of is None or e["committed_at"] <= as_of:
+                return e
+        raise SnapshotNotFound(f"{self.root} has no version" + (f" at {as_of}" if as_of else ""))
+
+    def snapshots(self) -> DataFrame:
+        """SRC6 / VER2: the log as a DataFrame, oldest first."""
+        if not self.ids():
+            return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).json(self.log_dir).orderBy("snapshot_id")
+
+    # --------------------------------------------------------------- writers
+    def _write(self, df: DataFrame) -> list[dict]:
+        path = f"{self.root}/data/{uuid.uuid4().hex}"
+        lay = self.layout
+        if not lay:
+            df.write.parquet(path)
+            return [{"path": path, "bucket": None}]
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(lay["files"]))
+        df.withColumn("__b", self.bucket_column()).repartition(F.col("__b"), salt) \
+            .write.partitionBy("__b").parquet(path)
+        return [{"path": f"{path}/{n}", "bucket": int(n[4:])} for n in self._listed(path) if n.startswith("__b=")]
+
+    def _commit(self, base: dict | None, parts: list[dict], schema: T.StructType, operation: str,
+                summary: dict | None) -> int:
+        number = (base["snapshot_id"] if base else 0) + 1
+        rec = {"snapshot_id": number, "parent_id": base["snapshot_id"] if base else None,
+               "committed_at": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ"),
+               "operation": operation, "summary": {k: str(v) for k, v in (summary or {}).items()},
+               "schema": schema.json(), "parts": parts, "layout": self.layout}
+        out = self._fs().create(self._path(f"{self.log_dir}/v{number:012d}.json"), False)  # fails if present
         try:
-            out.write(bytearray(str(sid).encode("utf-8")))
+            out.write(bytearray((json.dumps(rec) + "\n").encode()))
         finally:
             out.close()
-        return sid
-
-    def _write_part(self, df: DataFrame, sort_by: Sequence[str] = ()) -> str:
-        path = f"{self.data_dir}/{uuid.uuid4().hex}"
-        out = df.sortWithinPartitions(*sort_by) if sort_by else df
-        out.write.mode("errorifexists").parquet(path)
-        return path
-
-    def _write_parts(self, df: DataFrame, sort_by: Sequence[str] = (), where: str | None = None,
-                     current_col: str | None = None) -> tuple[list[dict], int]:
-        """Write ``df`` as one part, or one part per bucket on a bucketed
-        table (a shuffle on the bucket, so each bucket gets one file per
-        write).  Each part records its rows and, for history tables
-        (``current_col``), its closed rows, from one small aggregate over
-        the written files.  Returns the parts and the rows written."""
-        if not self.layout:
-            path = self._write_part(df, sort_by)
-            stats = self._part_stats(path, df.schema, current_col, bucketed=False)
-            n, closed = stats.get(None, (0, 0))
-            return [{"path": path, "where": where, "rows": n, "closed": closed}], n
-        path = f"{self.data_dir}/{uuid.uuid4().hex}"
-        out = df.withColumn("__b", self.bucket_column()).repartition(F.col("__b"))
-        out = out.sortWithinPartitions(*sort_by) if sort_by else out
-        out.write.mode("errorifexists").partitionBy("__b").parquet(path)
-        stats = self._part_stats(path, df.schema, current_col, bucketed=True)
-        parts = [{"path": f"{path}/__b={b}", "where": where, "bucket": b, "rows": n, "closed": c}
-                 for b, (n, c) in sorted(stats.items())]
-        return parts, sum(n for n, _ in stats.values())
-
-    def _part_stats(self, path: str, schema: T.StructType, current_col: str | None,
-                    bucketed: bool) -> dict:
-        """Rows and closed rows per bucket of a written folder (reads at most
-        the flag column; a bare count is answered from parquet footers)."""
-        if bucketed and not any(st.getPath().getName().startswith("__b=")
-                                for st in self._fs().listStatus(self._path(path))):
-            return {}  # nothing was written
-        df = self.spark.read.schema(schema).parquet(path)
-        closed = F.count(F.when(~F.col(current_col), 1)) if current_col else F.lit(None)
-        aggs = [F.count(F.lit(1)).alias("n"), closed.cast("long").alias("c")]
-        rows = df.groupBy("__b").agg(*aggs).collect() if bucketed else df.agg(*aggs).collect()
-        return {(r["__b"] if bucketed else None): (int(r["n"]), r["c"]) for r in rows
-                if not bucketed or r["__b"] is not None}
+        return number
 
-
-    # --------------------------------------------------------------- writers
-    def publish(self, df: DataFrame, operation: str = "replace", summary: dict | None = None,
-                current_col: str | None = None) -> int:
-        """SNK1 / SNK2 / VER1: the table becomes ``df``; a new snapshot.
-        For a history table pass ``current_col`` so each part records its
-        closed rows (a part without any is dropped once merged over)."""
-        parent = self.latest()
-        parts, rows = self._write_parts(df, current_col=current_col)
-        summary = {"rows": rows, **(summary or {})}
-        return self._commit(parts, operation, df.schema, summary, parent)
+    def publish(self, df: DataFrame, operation: str = "replace", summary: dict | None = None) -> int:
+        """SNK1 / SNK2: the table becomes ``df``, against the version that was
+        the latest when the call began."""
+        base = self.latest()
+        return self._commit(base, self._write(df), df.schema, operation, summary)
 
     def ensure(self, schema: T.StructType) -> int:
         """DDL2: create an empty typed table unless one exists."""
         latest = self.latest()
-        if latest:
-            return latest["snapshot_id"]
-        return self.publish(self.spark.createDataFrame([], schema), "create")
+        return latest["snapshot_id"] if latest else \
+            self.publish(self.spark.createDataFrame([], schema), "create")
 
     def append(self, df: DataFrame, summary: dict | None = None) -> int:
-        parent = self.latest()
-        new_parts, rows = self._write_parts(df)
-        summary = {"added_rows": rows, **(summary or {})}
-        parts = (parent["parts"] if parent else []) + new_parts
-        schema = _merge_schema(parent, df.schema)
-        return self._commit(parts, "append", schema, summary, parent)
-
-    def commit_history(self, rewritten: DataFrame, current_col: str = "is_current",
-                       summary: dict | None = None, operation: str = "merge",
-                       buckets: Sequence[int] | None = None) -> int:
-        """Commit a merge: ``rewritten`` holds the rows this merge closed plus
-        every open row it read.  Earlier parts keep only their closed rows.
-
-        ``buckets`` (bucketed tables) names the buckets whose open rows the
-        merge read (``read_open(buckets=…)``); only their earlier parts are
-        cut to closed rows, the other buckets' parts stay as they are.
-        """
-        parent = self.latest()
-        new_parts, rows = self._write_parts(rewritten, sort_by=[current_col], current_col=current_col)
-        summary = {"rewritten_rows": rows, **(summary or {})}
-        keep_closed = f"NOT {current_col}"
-        touched = None if buckets is None else set(int(b) for b in buckets)
-        parts = []
-        for p in (parent["parts"] if parent else []):
-            if p.get("where") is None and touched is not None and p.get("bucket") is None \
-                    and p.get("rows") != 0:
-                raise ValueError("unbucketed open rows in a bucketed merge; compact the table first")
-            supersede = p.get("where") is None and (touched is None or p.get("bucket") in touched)
-            if not supersede:
-                parts.append(p)
-            elif p.get("closed") != 0:  # unknown or some closed rows: keep those
-                parts.append({**p, "where": keep_closed})
-            # a superseded part with no closed rows contributes nothing: dropped
-        parts.extend(new_parts)
-        schema = _merge_schema(parent, rewritten.schema)
-        return self._commit(parts, operation, schema, summary, parent)
+        base = self.latest()
+        schema = _grown(base, df.schema)
+        return self._commit(base, (base["parts"] if base else []) + self._write(df), schema, "append", summary)
+
+    def replace(self, base: dict | None, df: DataFrame, buckets: Sequence[int] | None = None,
+                operation: str = "merge", summary: dict | None = None) -> int:
+        """Commit what a writer made of version ``base``: ``df`` takes the
+        place of the named buckets (all rows if None).  Fails if another
+        version has been committed since."""
+        schema = _grown(base, df.schema)
+        kept = [] if buckets is None or base is None else \
+            [p for p in base["parts"] if p["bucket"] not in set(buckets)]
+        if any(p["bucket"] is None for p in kept):
+            raise ValueError("the table holds rows outside its buckets; publish it once in its layout")
+        return self._commit(base, kept + self._write(df), schema, operation, summary)
 
     # --------------------------------------------------------------- readers
-    def read(self, snapshot_id: int | None = None, as_of=None, schema: str = "current") -> DataFrame:
-        """SRC4 / SRC5 / VER3 / VER5: a snapshot (latest by default).
-
-        ``schema="current"`` reads an old snapshot under today's schema:
-        columns added later come back as nulls.
-        """
+    def read(self, snapshot_id: int | None = None, as_of=None, schema: str = "own") -> DataFrame:
+        """SRC4 / SRC5 / VER3: a version as it was (the latest by default).
+        VER5: with ``schema="latest"``, columns added since come back null."""
         e = self.entry(snapshot_id, as_of)
-        sch = T.StructType.fromJson(json.loads(
-            (self.latest() if schema == "current" else e)["schema"]))
-        return self._read_parts(e["parts"], sch)
-
-    def read_open(self, current_col: str = "is_current",
-                  buckets: Sequence[int] | None = None) -> DataFrame:
-        """Open rows of the latest snapshot; parts that keep only closed rows
-        are not scanned at all, nor (bucketed tables) other buckets' parts."""
-        e = self.entry()
-        sch = T.StructType.fromJson(json.loads(e["schema"]))
-        want = None if buckets is None else set(int(b) for b in buckets)
-        parts = [p for p in e["parts"] if not p.get("where")
-                 and (want is None or p.get("bucket") is None or p.get("bucket") in want)]
-        return self._read_parts(parts, sch).filter(F.col(current_col))
-
-    def _read_parts(self, parts: list[dict], schema: T.StructType) -> DataFrame:
-        groups: dict[str | None, list[str]] = {}
-        for p in parts:
-            groups.setdefault(p.get("where"), []).append(p["path"])
-        frames = []
-        for where, paths in groups.items():
-            df = self.spark.read.schema(schema).parquet(*paths)
-            frames.append(df.where(where) if where else df)
-        if not frames:
-            return self.spark.createDataFrame([], schema)
-        return reduce(DataFrame.unionByName, frames)
+        df = self.at(e)
+        if schema != "latest":
+            return df
+        now = _schema(self.latest())
+        return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in now if f.name not in df.columns])
+
+    def at(self, entry: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+        """A version's rows, or those of some buckets of it."""
+        paths = [p["path"] for p in entry["parts"] if buckets is None or p["bucket"] in set(buckets)]
+        schema = _schema(entry)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def touched(self, df: DataFrame) -> list[int] | None:
+        """The buckets of ``df``'s keys: at most ``buckets`` values reach the
+        driver.  None for a table without buckets."""
+        return [r[0] for r in df.select(self.bucket_column().alias("b")).distinct().collect()] if self.layout else None
 
     def as_view(self, name: str, snapshot_id: int | None = None) -> DataFrame:
-        """SRC4 by name: register a snapshot (latest by default) as a temp
-        view, so ``spark.table(name)`` and ``FROM name`` read it."""
+        """SRC4 by name: register a version as a temp view."""
         df = self.read(snapshot_id)
         df.createOrReplaceTempView(name)
         return df
 
-    def snapshots(self) -> DataFrame:
-        """SRC6 / VER2: the snapshot log as a DataFrame, oldest first."""
-        if not self._fs().exists(self._path(self.log_dir)):
-            return self.spark.createDataFrame([], LOG_SCHEMA).select(
-                "committed_at", "snapshot_id", "parent_id", "operation", "summary")
-        return (self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)
-                .select("committed_at", "snapshot_id", "parent_id", "operation", "summary")
-                .orderBy("committed_at", "snapshot_id"))
-
     def diff(self, older: int, newer: int) -> DataFrame:
-        """VER6: rows added and removed between two snapshots (bag
-        semantics).  Parts shared unchanged by both sides cancel out and are
-        never read."""
-        a, b = self.entry(older), self.entry(newer)
-        key = lambda p: (p["path"], p.get("where"))
-        common = {key(p) for p in a["parts"]} & {key(p) for p in b["parts"]}
-        sch = T.StructType.fromJson(json.loads(self.latest()["schema"]))
-        left = self._read_parts([p for p in a["parts"] if key(p) not in common], sch)
-        right = self._read_parts([p for p in b["parts"] if key(p) not in common], sch)
-        added = right.exceptAll(left).withColumn("change", F.lit("added"))
-        removed = left.exceptAll(right).withColumn("change", F.lit("removed"))
-        return added.unionByName(removed)
+        """VER6: rows added and removed between two versions (bag semantics):
+        one signed count over the parts that the two do not share."""
+        a, b = self.load(older), self.load(newer)
+        shared = {p["path"] for p in a["parts"]} & {p["path"] for p in b["parts"]}
+        own = lambda e: self.at({**e, "parts": [p for p in e["parts"] if p["path"] not in shared]})
+        sides = own(a).withColumn("__n", F.lit(-1)).unionByName(own(b).withColumn("__n", F.lit(1)),
+                                                                 allowMissingColumns=True)
+        cols = [c for c in sides.columns if c != "__n"]
+        net = sides.groupBy(*cols).agg(F.sum("__n").alias("__n")).filter("__n <> 0")
+        return net.select(*cols, F.when(F.col("__n") > 0, "added").otherwise("removed").alias("change"),
+                          F.explode(F.sequence(F.lit(1), F.abs("__n"))).alias("__i")).drop("__i")
 
     def files(self, snapshot_id: int | None = None) -> DataFrame:
-        """SRC9: data files of a snapshot with their sizes (from the file
-        listing; no data is scanned)."""
+        """SRC9: data files of a version with their sizes, listed by Spark;
+        no file is opened."""
         e = self.entry(snapshot_id)
-        fs = self._fs()
-        rows = []
-        for p in e["parts"]:
-            it = fs.listFiles(self._path(p["path"]), True)
-            while it.hasNext():
-                st = it.next()
-                name = st.getPath().getName()
-                if name.endswith(".parquet"):
-                    rows.append((st.getPath().toString(), int(st.getLen())))
-        return self.spark.createDataFrame(rows, "file_path string, file_size long")
-
-    def compact(self, current_col: str | None = None, summary: dict | None = None) -> int:
-        """Rewrite the latest snapshot as few parts (a long-lived stream adds
-        one part per micro-batch).  With ``current_col`` the result is a
-        closed-rows part and an open-rows part, so later merges still scan
-        only open rows.  Earlier snapshots keep their files and stay
-        readable."""
-        if current_col is not None:
-            return self.replace_history(self.read(), current_col, summary, "compact")
-        parent = self.latest()
-        sch = T.StructType.fromJson(json.loads(parent["schema"]))
-        parts, _ = self._write_parts(self.read())
-        return self._commit(parts, "compact", sch, summary, parent)
-
-    def replace_history(self, df: DataFrame, current_col: str = "is_current",
-                        summary: dict | None = None, operation: str = "rebuild") -> int:
-        """Replace a history table with ``df`` as a closed-rows part and an
-        open-rows part, so later merges scan only the open rows."""
-        parent = self.latest()
-        closed, _ = self._write_parts(df.filter(~F.col(current_col)), where=f"NOT {current_col}",
-                                      current_col=current_col)
-        open_parts, n_open = self._write_parts(df.filter(F.col(current_col)), current_col=current_col)
-        summary = {"open_rows": n_open, **(summary or {})}
-        return self._commit(closed + open_parts, operation, _merge_schema(parent, df.schema),
-                            summary, parent)
-
-    def expire(self, keep_last: int = 1) -> list[str]:
-        """Forget all but the last ``keep_last`` snapshots and delete the data
-        folders only they used.  A folder still named by a kept snapshot is
-        never touched, so readers of kept snapshots are unaffected; time
-        travel to an expired snapshot is no longer possible.  Returns the
-        deleted folders."""
-        if keep_last < 1:
-            raise ValueError("keep at least one snapshot")
-        entries = self.log()
-        if len(entries) <= keep_last:
-            return []
-        kept, gone = entries[-keep_last:], entries[:-keep_last]
-        prefix = f"{self.data_dir}/"
-
-        def folder(part_path: str) -> str:  # data/<uuid>[/__b=n] -> data/<uuid>
-            return prefix + part_path[len(prefix):].split("/", 1)[0]
-        live = {folder(p["path"]) for e in kept for p in e["parts"]}
-        dead = sorted({folder(p["path"]) for e in gone for p in e["parts"]} - live)
-        fs = self._fs()
-        # Log entries go first: a reader never finds an entry whose data is gone.
-        for e in gone:
-            name = f"v{e['snapshot_id']:012d}.json"
-            fs.delete(self._path(f"{self.log_dir}/{name}"), False)
-            self._entries.pop(name, None)
-        for d in dead:
-            fs.delete(self._path(d), True)
-        return dead
+        return (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                .load([p["path"] for p in e["parts"]])
+                .select(F.col("path").alias("file_path"), F.col("length").alias("file_size")))
 
     def drop(self) -> None:
         """DDL3 for a path table: the whole folder goes."""
-        fs = self._fs()
-        if fs.exists(self._path(self.root)):
-            fs.delete(self._path(self.root), True)
+        self._fs().delete(self._path(self.root), True)
 
 
-def _parse_time(text: str):
-    """Commit times are UTC, kept naive (compare with naive UTC values)."""
-    return _dt.datetime.strptime(text.rstrip("Z"), "%Y-%m-%dT%H:%M:%S.%f")
+def _schema(entry: dict) -> T.StructType:
+    return T.StructType.fromJson(json.loads(entry["schema"]))
 
 
-def _merge_schema(parent: dict | None, new: T.StructType) -> T.StructType:
-    """VER5: the table schema only grows; new columns are added at the end."""
-    if not parent:
+def _grown(base: dict | None, new: T.StructType) -> T.StructType:
+    """VER5: a table grown by ``new``: its columns, then the added ones.  A
+    column keeps its type."""
+    if not base:
         return new
-    old = T.StructType.fromJson(json.loads(parent["schema"]))
-    names = set(old.fieldNames())
-    return T.StructType(list(old.fields) + [f for f in new.fields if f.name not in names])
+    old = _schema(base)
+    types = {f.name: f.dataType for f in old}
+    for f in new:
+        if types.get(f.name, f.dataType) != f.dataType:
+            raise TypeError(f"column {f.name} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
+    return T.StructType(list(old.fields) + [f for f in new if f.name not in types])
 
 
 def table_at(spark: SparkSession, root: str) -> VersionedTable:

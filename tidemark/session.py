@@ -66,14 +66,18 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir``; if unset (tests, local runs) a
-    folder is made under the system temp dir and registered, so that
-    ``DataFrame.checkpoint()`` works as well.
+    Read from ``spark.checkpoint.dir``.  If unset, a local master gets a folder
+    under the system temp dir, registered so that ``DataFrame.checkpoint()``
+    works as well; any other master is an error, since its executors would
+    each write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

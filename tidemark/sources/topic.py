@@ -1,23 +1,19 @@
 """Event topics: Kafka when its connector is on the classpath, otherwise a
 directory of JSON-lines files with the same ``value`` column (SRC2, SNK5,
-SNK6, STR11).
+STR11).
 
-A directory topic is an append-only folder; each published batch is a new
-sub-folder, written by one Spark job, so the file source sees batches in
-publish order (it orders files by modification time).
+A directory topic is an append-only folder; each publish adds a sub-folder,
+written by one Spark job.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.json import JSON_OPTIONS, to_json_value
-from ..session import scratch_path
+from ..functions.json import to_json_value
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -29,55 +25,15 @@ def kafka_available(spark: SparkSession) -> bool:
         return False
 
 
-def publish_events(df: DataFrame, topic: str, batch_col: str | Column | None = None,
-                   batches: Sequence | None = None, servers: str | None = None,
-                   staging: str | None = None, max_batches: int = 10_000) -> list:
-    """SNK5: publish every row as one JSON object (nulls left out).
-
-    With ``batch_col`` the rows are published in ascending order of that
-    column, one write per distinct value (SNK6's paced replay, one trigger
-    per batch).  The source is read and encoded once, into a staging folder
-    partitioned by batch number; each batch is then copied to the topic by a
-    job that reads only its own partition, so the cost is O(data), not
-    O(batches x data).  The distinct values must be a small set (days,
-    weeks); pass ``batches`` to skip computing them.  Returns the batch
-    values written.
-    """
-    if batch_col is None:
-        _write(to_json_value(df), topic, 0, servers)
-        return [None]
-    spark = df.sparkSession
-    col = F.col(batch_col) if isinstance(batch_col, str) else batch_col
-    row = F.struct(*[F.col(c) for c in df.columns])
-    encoded = df.select(col.alias("__batch"), F.to_json(row, JSON_OPTIONS).alias("value"))
-    if batches is None:
-        # Bounded: at most max_batches + 1 values ever reach the driver.
-        found = (encoded.select("__batch").distinct().orderBy("__batch")
-                 .limit(max_batches + 1).collect())
-        if len(found) > max_batches:
-            raise ValueError(f"more than {max_batches} batches; use a coarser batch column")
-        batches = [r[0] for r in found]
-    batches = list(batches)
-    order_schema = T.StructType([T.StructField("__seq", T.IntegerType()),
-                                 T.StructField("__b", encoded.schema["__batch"].dataType)])
-    order = spark.createDataFrame(list(enumerate(batches)), order_schema)
-    staging = staging or scratch_path(spark, "staging", "topic")
-    # The batch list is on the driver already, so broadcasting it is bounded.
-    # Null-safe: rows whose batch value is null are published too.
-    (encoded.join(F.broadcast(order), encoded["__batch"].eqNullSafe(order["__b"]))
-     .select("__seq", "value")
-     .write.partitionBy("__seq").mode("errorifexists").text(staging))
-    for i in range(len(batches)):
-        _write(spark.read.text(os.path.join(staging, f"__seq={i}")), topic, i, servers)
-    return batches
-
-
-def _write(values: DataFrame, topic: str, seq: int, servers: str | None) -> None:
+def publish_events(df: DataFrame, topic: str, servers: str | None = None) -> None:
+    """SNK5: publish every row as one JSON object (nulls left out), in one
+    write.  Readers pace themselves (``maxFilesPerTrigger``)."""
+    values = to_json_value(df)
     if servers:
         (values.write.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("topic", topic).save())
     else:
-        values.write.mode("errorifexists").text(os.path.join(topic, f"batch-{seq:08d}"))
+        values.write.mode("errorifexists").text(os.path.join(topic, f"batch-{uuid.uuid4().hex}"))
 
 
 def topic_stream(spark: SparkSession, topic: str, servers: str | None = None,

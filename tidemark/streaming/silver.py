@@ -1,16 +1,18 @@
 """Silver: a stream of change events → type-2 history, one merge per
 micro-batch (SCD2, SNK4, STR6, STR7, STR12, EXT1).
 
-Each micro-batch is cut to the last event per key and period (for example
-the event day) and merged with ``merge_versions``: the open rows of the
-target plus the batch's entries go through the same window query as a full
-rebuild, so the history does not depend on how micro-batches are cut as
-long as periods arrive in order.  Entries for a period older than a key's
-open row are late; they go to the quarantine table with the null-key rows
-rather than rewriting closed history.
-
-Replays are safe (L10): each commit records ``writer`` and ``batch_id`` in
-its snapshot summary, and a batch already committed is skipped.
+The table holds the *entries* a history is computed from: the last event per
+key and period (for example the event day).  A micro-batch is cut to its own
+entries, folded into those of its keys' buckets (the greater event time wins,
+whichever came first), and the versions of these buckets are marked anew.  So
+the history equals a rebuild from the whole log however micro-batches cut or
+order it: late events, a change back within a period and null keys included.
+An entry that repeats its predecessor is kept as a row that is no version;
+``history`` leaves such rows out.
+
+Replays are safe (L10): each commit records ``writer`` and ``batch_id``, a
+batch already committed is skipped, and a commit against a version that is no
+longer the latest fails.
 """
 
 from __future__ import annotations
@@ -23,81 +25,77 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedupe import latest_per_key
-from ..operators.scd2 import TIME_VALIDITY, Validity, history_from_log, merge_versions
-from ..plans.versions import VersionedTable
+from ..operators.scd2 import TIME_VALIDITY, Validity, mark_versions, merge_entries
+from ..plans.versions import SnapshotNotFound, VersionedTable
 
+IS_VERSION = "is_version"
 
-def history_schema(data: T.StructType, start_type: T.DataType, v: Validity) -> T.StructType:
+
+def entries_schema(data: T.StructType, start_type: T.DataType, v: Validity) -> T.StructType:
     return T.StructType(list(data.fields) + [
-        T.StructField(v.start, start_type, True),
-        T.StructField(v.end, start_type, True),
-        T.StructField(v.current, T.BooleanType(), True),
-    ])
+        T.StructField(v.start, start_type), T.StructField(v.end, start_type),
+        T.StructField(v.current, T.BooleanType()), T.StructField(IS_VERSION, T.BooleanType())])
+
 
+def history(target: VersionedTable, snapshot_id: int | None = None) -> DataFrame:
+    """The type-2 history a silver table holds."""
+    return target.read(snapshot_id).filter(IS_VERSION).drop(IS_VERSION)
 
-def already_committed(target: VersionedTable, writer: str, batch_id: int) -> bool:
-    """A replayed batch is the writer's last committed one (the stream
-    commits its checkpoint after our commit, and batches run in order), so
-    only the writer's most recent entry is checked."""
-    e = target.latest()
-    while e is not None:  # walk back by parent id; no listing of the log
-        s = e.get("summary") or {}
-        if s.get("writer") == writer:
-            return int(s.get("batch_id", -1)) >= batch_id
-        e = target.load(e["parent_id"]) if e.get("parent_id") else None
-    return False
+
+def already_committed(base: dict, target: VersionedTable, writer: str, batch_id: int) -> bool:
+    """Batches of a writer run in order, so its most recent commit decides."""
+    while True:
+        if base["summary"].get("writer") == writer:
+            return int(base["summary"].get("batch_id", -1)) >= batch_id
+        if not base["parent_id"]:
+            return False
+        try:
+            base = target.load(base["parent_id"])
+        except SnapshotNotFound:
+            return False
+
+
+def _versions(entries: DataFrame, keys: list[str], tracked: list[str], columns: list[str], v: Validity,
+              mode: str) -> DataFrame:
+    """Entries (data columns and ``__at``) as rows of the table."""
+    marked = mark_versions(entries, keys, tracked, "__at", (), mode)
+    end = F.when(F.col("__version"), F.col("__end"))
+    return marked.select(*columns, F.col("__at").alias(v.start), end.alias(v.end),
+                         (F.col("__version") & F.col("__end").isNull()).alias(v.current),
+                         F.col("__version").alias(IS_VERSION))
 
 
 def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[str],
                  ts: str, period: Column | None, columns: Sequence[str],
                  tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
-                 mode: str = "sound", writer: str = "silver",
-                 quarantine: VersionedTable | None = None) -> Callable[[DataFrame, int], None]:
+                 mode: str = "sound", writer: str = "silver") -> Callable[[DataFrame, int], None]:
     """EXT1: the per-micro-batch function for ``foreachBatch``.
 
-    ``columns`` are the data columns kept in the history (keys, tracked and
-    payload; include ``ts`` so a later event of the same period wins over an
-    earlier one that arrived first).  ``period=None`` makes the whole
-    micro-batch one period stamped with the merge time, as the per-trigger
-    MERGE does (its history then depends on how batches are cut).
+    ``columns`` are the data columns kept: keys, tracked columns, payload, and
+    ``ts`` with the ``tiebreak``, which decide between two events of a period.
+    ``period=None`` makes the whole micro-batch one period stamped with the
+    merge time, as the per-trigger MERGE does (its history then depends on
+    how batches are cut).
     """
-    keys, tracked, columns = list(keys), list(tracked), list(columns)
+    keys, tracked, columns, order = list(keys), list(tracked), list(columns), [ts, *tiebreak]
+    if not set(order) <= set(columns):
+        raise ValueError(f"columns must hold {order}: they decide between events of a period")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if already_committed(target, writer, batch_id):  # replayed batch (L10)
+        base = target.entry()
+        if already_committed(base, target, writer, batch_id):
             return
-        null_key = F.lit(False)
-        for k in keys:
-            null_key = null_key | F.col(k).isNull()
         batch = batch.persist()
         try:
-            touched = None
-            if target.layout:
-                # The buckets of the batch's keys (null for null keys), which
-                # also tells an empty batch apart: one small job, at most
-                # `buckets` + 1 values reach the driver.
-                found = [r[0] for r in batch.select(
-                    F.when(~null_key, target.bucket_column()).alias("b")).distinct().collect()]
-                if not found:  # STR6
-                    return
-                touched = [b for b in found if b is not None]
-            elif batch.isEmpty():  # STR6
+            if batch.isEmpty():  # STR6
                 return
             stamp = period if period is not None else F.current_timestamp()
-            rows = batch.withColumn("__at", stamp)
-            extra = [c for c in tiebreak if c not in columns]
-            entries = latest_per_key(rows.filter(~null_key).select(*columns, *extra, "__at"),
-                                     keys + ["__at"], [ts, *tiebreak])
-            open_rows = target.read_open(v.current, touched)
-            _, reopened, late = merge_versions(open_rows, entries.select(*columns, "__at"), keys,
-                                               tracked, "__at", v, mode)
-            if quarantine is not None:
-                bad = rows.filter(null_key).select(*columns, F.lit("null key").alias("reason"))
-                bad = bad.unionByName(late.select(*columns, F.lit("late").alias("reason")))
-                quarantine.append(bad, {"writer": writer, "batch_id": batch_id})
-            target.commit_history(reopened, v.current,
-                                  {"writer": writer, "batch_id": batch_id, "mode": mode},
-                                  buckets=touched)
+            fresh = latest_per_key(batch.select(*columns, stamp.alias("__at")), [*keys, "__at"], order)
+            touched = target.touched(batch)
+            held = target.at(base, touched).select(*columns, F.col(v.start).alias("__at"))
+            entries = merge_entries(held, fresh, keys, "__at", order)
+            target.replace(base, _versions(entries, keys, tracked, columns, v, mode), touched, "merge",
+                           {"writer": writer, "batch_id": batch_id, "mode": mode})
         finally:
             batch.unpersist()
 
@@ -115,20 +113,23 @@ def start_foreach_batch(source: DataFrame, fn: Callable[[DataFrame, int], None],
     return w.start()
 
 
+def ensure_silver(target: VersionedTable, source: DataFrame, columns: Sequence[str], period: Column | None,
+                  v: Validity = TIME_VALIDITY) -> None:
+    """Create the empty table for a source's columns, unless it exists."""
+    stamp = period if period is not None else F.current_timestamp()
+    start_type = source.select(stamp.alias("p")).schema["p"].dataType
+    target.ensure(entries_schema(T.StructType([source.schema[c] for c in columns]), start_type, v))
+
+
 def start_silver(source: DataFrame, target: VersionedTable, keys: Sequence[str],
                  tracked: Sequence[str], ts: str, period: Column | None, columns: Sequence[str],
                  checkpoint: str, tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
-                 mode: str = "sound", name: str = "silver", trigger: str | None = None,
-                 quarantine: VersionedTable | None = None) -> StreamingQuery:
+                 mode: str = "sound", name: str = "silver", trigger: str | None = None) -> StreamingQuery:
     """SNK4 / STR12: run the silver merge over a stream (for example the
     bronze folder read with ``readStream``).  ``trigger="15 seconds"`` for a
     service; ``availableNow`` (default) drains what is there and stops."""
-    stamp = period if period is not None else F.current_timestamp()
-    start_type = source.select(stamp.alias("p")).schema["p"].dataType
-    data = T.StructType([source.schema[c] for c in columns])
-    target.ensure(history_schema(data, start_type, v))
-    fn = silver_batch(target, keys, tracked, ts, period, columns, tiebreak, v, mode,
-                      writer=name, quarantine=quarantine)
+    ensure_silver(target, source, columns, period, v)
+    fn = silver_batch(target, keys, tracked, ts, period, columns, tiebreak, v, mode, writer=name)
     return start_foreach_batch(source, fn, checkpoint, name, trigger)
 
 
@@ -136,14 +137,10 @@ def rebuild_history(target: VersionedTable, log: DataFrame, keys: Sequence[str],
                     tracked: Sequence[str], ts: str, period: Column, columns: Sequence[str],
                     tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
                     mode: str = "sound") -> int:
-    """Recompute the whole history from the change log (for example the
-    bronze table) and publish it as a new snapshot.  This is how late
-    events, which the stream quarantines rather than rewrite closed
-    history, are folded in; the stream then continues from the rebuilt
-    open rows.  Earlier snapshots stay readable."""
+    """Recompute the whole table from the change log (for example the bronze
+    table) as a new version.  Fails, like every merge, if a running stream
+    commits meanwhile."""
     keys, tracked, columns = list(keys), list(tracked), list(columns)
-    payload = [c for c in columns if c not in keys + tracked]
-    hist = history_from_log(log.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)), keys, tracked,
-                            ts, list(tiebreak), period, v, mode, payload=payload)
-    return target.replace_history(hist.select(*columns, *v.names), v.current,
-                                  {"mode": mode}, "rebuild")
+    base = target.entry()
+    entries = latest_per_key(log.select(*columns, period.alias("__at")), [*keys, "__at"], [ts, *tiebreak])
+    return target.replace(base, _versions(entries, keys, tracked, columns, v, mode), None, "rebuild", {"mode": mode})
