@@ -16,7 +16,7 @@ from collections.abc import Sequence
 import numpy as np
 
 #: Pieces remembered per worker and tokenizer, in each of two generations.
-MAX_REMEMBERED = 500_000
+MAX_REMEMBERED = 700_000
 #: Longer pieces are encoded each time and not remembered.
 MAX_PIECE = 64
 
@@ -137,6 +137,16 @@ class Encoder:
     def _encode(self, piece: str) -> bytes:
         """The library's merges on each pre-token of a Latin piece; any other
         piece goes through the library's whole pipeline."""
+        word, mark = (piece[:-1], piece[-1]) if piece[-1] in ".," else (piece, "")
+        word = word.lower() if self.words else word
+        if word.isalpha() and max(word) < "\u0250":  # the usual piece: a word, and perhaps a mark
+            word = word if self.words else " " + word
+            word = word.replace(" ", _BYTE_CHARS[0x20]) if word.isascii() else \
+                word.encode().decode("latin1").translate(_BYTE_CHARS)
+            ids = [t.id for t in self.tokenize(word)]
+            if mark:
+                ids += [t.id for t in self.tokenize(mark)]
+            return struct.pack(f"<{len(ids)}I", *ids)
         text = piece.lower() if self.words else spelled(piece)
         if not _PLAIN.match(text):
             text = piece if self.words else text
