@@ -9,7 +9,10 @@ kept apart.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,21 @@ NULL_ID = -(2 ** 63)
 CHUNK_BYTES = 1 << 19
 
 
+_shipped: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers hold at once."""
+    """Bound the Arrow batches that Python workers hold at once, and send this
+    package to workers that do not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / "tidemark.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(archive))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
