@@ -13,7 +13,8 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-NAMES = ["scd2_merge_batch", "latest_per_key", "key_audit", "orders_with_items_flat",
+NAMES = ["scd2_merge_batch", "latest_per_key", "key_audit", "orders_with_items_flat", "orders_no_items",
+         "multi_item_orders", "snapshot_diff",
          "event_history_sound", "event_versions_sound", "snapshot_after_merge"]
 
 
