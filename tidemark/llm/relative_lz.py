@@ -17,7 +17,9 @@ others.  A word goes if a factor covers it.
    Grams of a large share of all documents are spread by window hash.
 3. Each document gets its windows' references back and is parsed.
 
-Slices meet in buckets as packed arrays: one row per slice and bucket.
+Slices meet in buckets as packed arrays: one row per slice and bucket.  A slice
+is named by its task and place, so the input should be read in a fixed order:
+from files, or from a written table (``common.written``) after a shuffle.
 
 Edge cases: a null or empty text has no words; a document of fewer than 20
 words loses none; rows that share an id are one document to the word "earlier"
