@@ -11,7 +11,8 @@
    other hubs.
 4. What a hub leaves apart is finished exactly: within a band, members of
    different classes are compared in blocks of a bounded size by their samples
-   and 192 more, and pairs that agree often enough are verified.
+   and 192 more, and pairs that agree often enough are verified on the spot.
+   Only links leave a block, and a pair already in one class is skipped.
 5. Verified means: the weighted Jaccard similarity of the full shingle weights
    is at least ``similarity``.  Classes are the connected components, found by
    repeated minimum and shortcut steps over written tables.
@@ -41,8 +42,9 @@ SIMILARITY = 0.8
 AGREE = 37
 #: The same of all 252 samples, under 0.0002.
 FINE_AGREE = 177
-#: Members compared with each other in one block of step 4.
-BLOCK = 512
+#: Members compared with each other in one block of step 4, and their total
+#: weight (a shingle weighs about 2), which bounds the block's texts.
+BLOCK, BLOCK_WEIGHT = 512, 1 << 20
 #: Bands with fewer members take their smallest node as hub.
 HUB_VOTES_FROM, VOTES = 8, 16
 
@@ -104,15 +106,17 @@ def sketches(texts: DataFrame, idf_: np.ndarray) -> DataFrame:
 
 
 def _banded(nodes: DataFrame) -> DataFrame:
-    """``band, _n``: one row per node and band."""
+    """``band, at, _n``: one row per node and band, with the band's place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, SAMPLES)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bands(codes).ravel().view(np.int64)),
-                 pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS))], names=["band", "_n"])
+                 pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(codes))),
+                 pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS))],
+                names=["band", "at", "_n"])
 
-    return nodes.filter("codes is not null").select("_n", "codes").mapInArrow(run, "band long, _n long")
+    return nodes.filter("codes is not null").select("_n", "codes").mapInArrow(run, "band long, at int, _n long")
 
 
 def _hubs(members: DataFrame, sizes: DataFrame, codes: DataFrame) -> DataFrame:
@@ -160,7 +164,8 @@ def _close(wa: np.ndarray, wb: np.ndarray, similarity_: float) -> np.ndarray:
 def _verified(pairs: DataFrame, texts: DataFrame, idf_: np.ndarray, similarity_: float) -> DataFrame:
     """The pairs ``a, b`` whose full shingle weights reach the similarity."""
     sent = texts.sparkSession.sparkContext.broadcast(idf_)
-    side = lambda x: texts.select(F.col("_n").alias(x), F.col("_text").alias(f"text_{x}"))
+    # Candidates grow with the data: never broadcast their texts.
+    side = lambda x: texts.select(F.col("_n").alias(x), F.col("_text").alias(f"text_{x}")).hint("merge")
     rows = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,45 +230,63 @@ def _fine(texts: DataFrame, idf_: np.ndarray) -> DataFrame:
 
 def _leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame, classes_: DataFrame, idf_: np.ndarray,
                similarity_: float) -> DataFrame:
-    """Pairs ``a, b`` of a band in different classes that may reach the
-    similarity.  Bands of one class are done; the others are cut in blocks,
-    and each pair of blocks is one bounded group."""
-    rows = _with_class(members, classes_, "_n", "c")
-    sizes = rows.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")) \
-        .filter("lo <> hi").select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = written(rows.join(sizes, "band"), "open-bands")
-    fine = _fine(texts.join(rows.select("_n").distinct(), "_n"), idf_)
-    both = written(nodes.select("_n", "codes", "weight").join(fine, "_n"), "fine")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("_n"), F.col("blocks")).cast("int")).join(both, "_n")
+    """Links ``a, b`` between members of a band in different classes.  Bands of
+    one class are done; the others are cut in blocks, and each pair of blocks
+    is one bounded group that holds its members' texts."""
+    rows = _with_class(members, classes_, "_n", "c").join(nodes.select("_n", "codes", "weight"), "_n")
+    sizes = rows.groupBy("band").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size"),
+        F.sum("weight").alias("load")).filter("lo <> hi")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("load") / BLOCK_WEIGHT)).cast("int")
+    rows = written(rows.join(sizes.select("band", blocks.alias("blocks")), "band"), "open-bands")
+    open_texts = texts.join(rows.select("_n").distinct().hint("merge"), "_n")
+    both = written(open_texts.join(_fine(open_texts, idf_), "_n"), "open-texts")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("_n"), F.col("blocks")).cast("int"))
     # Each member goes to all pairs of blocks that hold its own.
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                       "own", "_n", "c", "codes", "fine", "weight")
+    rows = rows.join(both.hint("merge"), "_n").select(
+        "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+        "own", "at", "_n", "c", "codes", "fine", "weight", "_text")
+    sent = texts.sparkSession.sparkContext.broadcast(idf_)
 
     def compare(t: pa.Table) -> pa.Table:
-        n, c, own, p = (t[x].to_numpy() for x in ("_n", "c", "own", "p"))
-        w = t["weight"].to_numpy()
+        n, c, own, p, w = (t[x].to_numpy() for x in ("_n", "c", "own", "p", "weight"))
         codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint16).reshape(-1, SAMPLES)
         fine = np.frombuffer(b"".join(t["fine"].to_pylist()), np.uint8).reshape(-1, FINE_SAMPLES)
+        bodies = t["_text"].combine_chunks()
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def features(k: int) -> tuple[np.ndarray, np.ndarray]:
+            if k not in known:
+                off, body = utf8(bodies.slice(k, 1))
+                _, h, count = shingles(off, body)
+                known[k] = h, weights(h, count, sent.value)
+            return known[k]
+
         left = np.flatnonzero(own == p)
-        same = bool((t["p"].to_numpy() == t["q"].to_numpy()).all())
+        same = bool((p == t["q"].to_numpy()).all())
         right = left if same else np.flatnonzero(own != p)
-        a, b = [], []
-        for i in left:
-            js = right[(c[right] != c[i])]
+        at, shape = int(t["at"][0].as_py()), (BANDS, SAMPLES // BANDS)
+        now = c.copy()  # classes, as links of this group merge them
+        links = []
+        for i in left.tolist():
+            js = right[now[right] != now[i]]
             if same:
                 js = js[n[js] > n[i]]
             agree = (codes[js] == codes[i]).sum(1)
             js, agree = js[agree >= AGREE], agree[agree >= AGREE]
             js = js[agree + (fine[js] == fine[i]).sum(1) >= FINE_AGREE]
             js = js[_close(w[js], np.full(len(js), w[i], w.dtype), similarity_)]
-            a.append(np.full(len(js), n[i]))
-            b.append(n[js])
-        cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-        a, b = cat(a), cat(b)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            # A pair is looked at in the first band that it shares.
+            alike = (codes[js].reshape(-1, *shape) == codes[i].reshape(shape)).all(2)
+            for j in js[alike.argmax(1) == at].tolist():
+                if now[j] != now[i] and similarity(*features(i), *features(j)) >= similarity_ - 1e-6:
+                    links.append((n[i], n[j]))
+                    now[now == now[j]] = now[i]
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table({"a": a, "b": b})
 
-    return rows.groupBy("band", "p", "q").applyInArrow(compare, "a long, b long").distinct()
+    return rows.groupBy("band", "p", "q").applyInArrow(compare, "a long, b long")
 
 
 def node_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -279,10 +302,10 @@ def node_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> tuple[Dat
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("_n").alias("least"))
     linked = members.select("_n").distinct()
     codes = written(nodes.join(linked, "_n"), "candidates")
-    bodies = written(texts.join(codes.select("_n", "_u"), ["_n", "_u"])
+    bodies = written(texts.join(codes.select("_n", "_u").hint("merge"), ["_n", "_u"])
                      .dropDuplicates(["_n", "_u"]).select("_n", "_text"), "candidate-texts")
     hubs = _hubs(members, sizes, codes)
-    pairs = members.join(hubs, "band").filter("_n <> hub").select(F.col("_n").alias("a"), F.col("hub").alias("b"))
+    pairs = members.drop("at").join(hubs, "band").filter("_n <> hub").select(F.col("_n").alias("a"), F.col("hub").alias("b"))
     pairs = written(_agreement(pairs.distinct(), codes, similarity_), "pairs")
     nearest = pairs.groupBy("a").agg((-F.max(F.struct("agree", (-F.col("b")).alias("m")))["m"]).alias("b"))
     edges = written(_verified(nearest, bodies, idf_, similarity_), "edges")
@@ -291,7 +314,7 @@ def node_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> tuple[Dat
     edges = edges.unionByName(written(_verified(other_hubs, bodies, idf_, similarity_), "edges"))
     classes_ = components(edges)
     rest = _leftovers(members, codes, bodies, classes_, idf_, similarity_)
-    edges = edges.unionByName(written(_verified(rest, bodies, idf_, similarity_), "edges"))
+    edges = edges.unionByName(written(rest, "edges"))
     classes_ = components(edges)
     by_text = nodes.select("_u", "_v", F.col("_n").alias("node"))
     return rows.select("_n", "_u", "_v").join(by_text, ["_u", "_v"]), classes_
