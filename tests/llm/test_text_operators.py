@@ -191,6 +191,35 @@ def test_suffix_sort_removes_repeated_bytes(spark, monkeypatch, seed, length, gr
     assert got == removed_bytes(rows, length)
 
 
+@pytest.mark.parametrize("seed, length, gram", [(1, 20, 7), (2, 12, 4), (3, 60, 12)])
+def test_suffix_sort_never_gathers_a_hot_gram(spark, monkeypatch, seed, length, gram):
+    hot, real = 30, suffixes._edges
+    monkeypatch.setattr(suffixes, "HOT_ROWS", hot, raising=False)
+
+    def edges(n):
+        resolve = real(n)
+
+        def watch(batches):
+            def seen():
+                for b in batches:
+                    most = np.unique(b.column(0).to_numpy(), return_counts=True)[1].max(initial=0)
+                    assert most <= hot, f"one task got {most} contexts of one gram"
+                    yield b
+            return resolve(seen())
+        return watch
+
+    monkeypatch.setattr(suffixes, "_edges", edges)
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choice("abcdé") for _ in range(n))
+    line, passage = word(length - 4), word(length + 9)  # too short to go, and long enough
+    rows = texts(seed, 60, ["ab", "b"] if seed == 2 else ["ab", "cé", "d", "ef g"], 25)
+    for i in range(240):
+        near = rng.choice(["x", "yz", "xyz", word(3)])  # some surroundings agree for a few bytes
+        rows.append((1000 + i, word(rng.randint(0, 40)) + near + (line if i % 2 else passage) + near[::-1] + word(rng.randint(0, 40))))
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(5), length, gram).collect()
+    assert sorted([tuple(r)[:5] for r in got], key=str) == removed_bytes(rows, length)
+
+
 def test_suffix_sort_orders_suffixes_and_survives_collisions():
     rng = random.Random(4)
     contexts = ["".join(rng.choice("ab") for _ in range(rng.randint(4, 30))).encode() for _ in range(60)]

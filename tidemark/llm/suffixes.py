@@ -17,9 +17,15 @@ else, in any document.
    on prefix polynomial hashes, in a merge sort that runs over many grams at
    once.  From the neighbours in both orders follow each segment's longest
    repeated window run; the bytes of each accepted pair are compared.
+4. A gram of more than ``HOT_ROWS`` segments is not gathered.  Its segments'
+   windows are dealt, by the gram's place in the window, into parts of
+   ``length / 25``.  All windows of a part share their middle bytes (the
+   *core*, 385 of 400), so equal windows meet under one core.  Cores that stand
+   once are done with; a part that is the same wherever its core stands goes
+   whole; the windows of all others are counted by their hashes.
 
-Every step works on one slice of documents, one gram's distinct contents, or
-one document.
+Every step works on one slice of documents, at most ``HOT_ROWS`` contents of
+one gram, or one document; whatever is counted is counted map-side first.
 
 Edge cases: a null text is empty; a text shorter than ``length`` loses nothing;
 repeated rows repeat each other's text and lose it; extra columns are ignored;
@@ -36,13 +42,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Prefix, anchors, keyed, real_id, slices, written
+from .common import Prefix, anchors, keyed, mix, real_id, slices, written
 
 LENGTH, GRAM = 400, 128
-#: Contexts compared at once (more only if one gram has more).
+#: Contexts compared at once, besides those of the last gram.
 COMPARE_ROWS = 4_000
+#: A gram of more segments than this is spread by the windows' cores.
+HOT_ROWS = 4_000
 
 SEGMENTS = "key long, seg long, _d long, _u long, a int, b int, p int"
+CONTEXTS = "key long, hot boolean, single boolean, _d long, _u long, a int, p int, context binary"
+PARTS = "key long, part int, core long, hull long, single boolean, _d long, _u long, p int, first int, last int"
+WINDOWS = "key long, window long, single boolean, _d long, _u long, start int"
 
 
 def segments(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -222,35 +233,106 @@ def duplicate_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     rows = written(segments(texts, length, gram), "segments")
     per_gram = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
     shared = written(rows.join(per_gram.filter("n > 1"), "key").withColumn("alike", F.expr("lo = hi"))
-                     .drop("n", "lo", "hi"), "shared-segments")
+                     .withColumn("hot", F.col("n") > HOT_ROWS).drop("n", "lo", "hi"), "shared-segments")
     span = [F.col("_d"), F.col("_u"), F.col("a").alias("start"), (F.col("b") + length).alias("end")]
     mixed = shared.filter("not alike")
-    contents = mixed.groupBy("key", "seg").agg(
+    contents = mixed.groupBy("key", "hot", "seg").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_d", "_u", "a", "b", "p")).alias("one"))
     whole = shared.filter("alike").select(*span).unionByName(
         mixed.join(contents.filter("n > 1").select("key", "seg"), ["key", "seg"]).select(*span))
     # One occurrence of each content, with its bytes.
-    places = contents.select("one.*", "key", (F.col("n") == 1).alias("single")).groupBy("_d", "_u").agg(
-        F.collect_list(F.struct("key", "single", "a", "b", "p")).alias("places"))
-    contexts = texts.join(places, ["_d", "_u"]).mapInArrow(
-        _contexts(length), "key long, single boolean, _d long, _u long, a int, p int, context binary")
-    edges = contexts.repartition("key").sortWithinPartitions("key").mapInArrow(
+    places = contents.select("one.*", "key", "hot", (F.col("n") == 1).alias("single")).groupBy("_d", "_u").agg(
+        F.collect_list(F.struct("key", "hot", "single", "a", "b", "p")).alias("places"))
+    contexts = written(texts.join(places, ["_d", "_u"]).mapInArrow(_contexts(length), CONTEXTS), "contexts")
+    edges = contexts.filter("not hot").drop("hot").repartition("key").sortWithinPartitions("key").mapInArrow(
         _edges(length), "_d long, _u long, start int, end int")
-    return whole.unionByName(edges)
+    return whole.unionByName(edges).unionByName(_hot_spans(contexts.filter("hot"), length))
+
+
+def _hot_spans(contexts: DataFrame, length: int) -> DataFrame:
+    """Spans of the single contexts' windows that another context holds, by
+    counting: first the cores of parts, then the windows of parts that differ
+    around a shared core.  As with whole segments, equal hashes (of the gram
+    and of the bytes) count as equal."""
+    core = ["key", "part", "core"]
+    parts = written(contexts.mapInArrow(_parts(length), PARTS), "hot-parts")
+    per_core = parts.groupBy(*core).agg(F.count(F.lit(1)).alias("n"), F.min("hull").alias("lo"), F.max("hull").alias("hi"))
+    met = written(parts.join(per_core.filter("n > 1"), core).withColumn("alike", F.expr("lo = hi"))
+                  .select("_d", "_u", "p", "single", "first", "last", "alike"), "hot-parts-met")
+    whole = met.filter("alike and single").select(
+        "_d", "_u", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+    differ = met.filter("not alike").groupBy("_d", "_u", "p").agg(
+        F.collect_list(F.struct("first", "last")).alias("parts"))
+    windows = written(contexts.join(differ, ["_d", "_u", "p"]).select(
+        "key", "single", "_d", "_u", "a", "context", "parts").mapInArrow(_windows(length), WINDOWS), "hot-windows")
+    twice = windows.groupBy("key", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return whole.unionByName(windows.filter("single").join(twice, ["key", "window"]).select(
+        "_d", "_u", "start", (F.col("start") + length).alias("end")))
+
+
+def _bodies(column: pa.Array) -> tuple[Prefix, np.ndarray, np.ndarray]:
+    """Hashes over contexts end to end, with each one's start and size."""
+    contexts = column.to_pylist()
+    size = np.array([len(c) for c in contexts], np.int64)
+    return Prefix.of_bytes(np.frombuffer(b"".join(contexts), np.uint8)), np.cumsum(size) - size, size
+
+
+def _parts(length: int):
+    step = max(1, length // 25)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, _, single, d, u, a, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+            prefix, at, size = _bodies(batch.column(7))
+            # Places in the context: windows start at 0 .. last, the gram at p.
+            last, p = size - length, p.astype(np.int64) - a
+            low = (p - last) // step
+            count = p // step - low + 1
+            row = np.repeat(np.arange(len(p)), count)
+            part = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            top = p[row] - part * step
+            first, last = np.maximum(top - step + 1, 0), np.minimum(top, last[row])
+            core = prefix.hash(at[row] + top, at[row] + top - step + 1 + length)
+            # Hulls are alike if the same windows stand around the core.
+            hull = mix(prefix.hash(at[row] + first, at[row] + last + length)
+                       + (top - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            cols = [key[row], part.astype(np.int32), core.view(np.int64), hull.view(np.int64),
+                    single[row], d[row], u[row], (p + a)[row].astype(np.int32),
+                    (first + a[row]).astype(np.int32), (last + a[row]).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=_names(PARTS))
+    return deal
+
+
+def _windows(length: int):
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, single, d, u, a = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            prefix, at, _ = _bodies(batch.column(5))
+            starts = [np.concatenate([np.arange(x["first"], x["last"] + 1) for x in r]) for r in batch.column(6).to_pylist()]
+            row = np.repeat(np.arange(len(a)), [len(x) for x in starts])
+            start = np.concatenate(starts)
+            q = at[row] + start - a[row]
+            cols = [key[row], prefix.hash(q, q + length).view(np.int64), single[row], d[row], u[row], start.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=_names(WINDOWS))
+    return spell
 
 
 def _contexts(length: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "single", "_d", "_u", "a", "p", "context"]
-        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        types = [pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1)
                 body = one.column(2)[0].as_py().encode()
                 d, u = one.column(0)[0].as_py(), one.column(1)[0].as_py()
-                out = [(x["key"], x["single"], d, u, x["a"], x["p"], body[x["a"]:x["b"] + length])
+                out = [(x["key"], x["hot"], x["single"], d, u, x["a"], x["p"], body[x["a"]:x["b"] + length])
                        for x in one.column(3)[0].as_py()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                                 names=_names(CONTEXTS))
     return cut
 
 
