@@ -117,3 +117,19 @@ def test_odd_rows(spark):
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
         [(3, text), (None, "other text of no copy"), (8, ""), (9, "one"), (9, "two words")])
     assert near_dup.classes(df.limit(0)).count() == 0 and near_dup.one_of_each(df.limit(0)).count() == 0
+
+
+def test_texts_that_share_an_id_are_classed_apart(spark):
+    """One id on a near copy of another document, on a clean text and on a
+    near copy of that: each class keeps one row, and no clean text goes."""
+    prepare(spark)
+    rng = random.Random(11)
+    first, clean, third = (" ".join(f"{c}{rng.randrange(10 ** 6)}" for _ in range(150)) for c in "abc")
+    rows = [(3, first), (9, first + " end"), (9, clean), (12, clean + " end"),
+            (20, third), (20, third + " end"), (20, "a short text of its own")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, near_dup.classes(df).collect()))
+    assert got == Counter([(3, 3), (9, 3), (9, 9), (12, 9), (20, 20), (20, 20), (20, 20)])
+    kept = [(r.doc_id, r.text) for r in near_dup.one_of_each(df).collect()]
+    assert {(3, first), (9, clean), (20, "a short text of its own")} < set(kept)
+    assert len(kept) == 4 and {t for _, t in kept} & {third, third + " end"}

@@ -3,7 +3,8 @@
 1. Document frequencies of five-word shingles are counted in a fixed number of
    hashed cells (one fixed-size table for any corpus).
 2. Every text gets 60 weighted samples (``near_sketch``), read as 15 bands of
-   4.  Copies of a text are one *node*, named by its smallest document id.
+   4.  Copies of a text are one *node*, numbered by a hash of the text; the
+   number becomes a document id only in the result.
 3. Nodes that share a band are candidates.  They are not paired with each
    other: a band's *hub* is its member that agrees best with the members'
    most common samples (the original among its copies), and each node is
@@ -19,7 +20,7 @@
 
 Edge cases: equal texts are always one class, empty ones too (a null text is
 empty); a text of fewer than five words is one shingle; rows that share an id
-belong to one node each by text; a null id stays null in the result and the
+belong to one node each by text, and are classed apart; a null id stays null in the result and the
 row is classed by its text; repeated rows get repeated result rows; extra
 columns are ignored by ``classes`` and kept by ``one_of_each``.
 """
@@ -289,21 +290,25 @@ def _leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame, classes_:
     return rows.groupBy("band", "p", "q").applyInArrow(compare, "a long, b long")
 
 
-def node_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """``(documents with their node, classes)``: ``_n, _u, _v, node`` per
-    document and ``_n, c`` per node that is linked to another."""
+def document_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> DataFrame:
+    """``_n, _u, class_id, names``: one row per document, and whether it is
+    the one that names its class."""
     idf_ = idf(frequencies(texts))
     rows = written(sketches(texts, idf_), "sketches")
     first = rows.groupBy("_u", "_v").agg(F.min(F.struct("_n", "codes", "weight")).alias("one"))
-    nodes = written(first.select("_u", "_v", "one.*"), "nodes")
+    # Different texts may share a document id: nodes go by a number of the text.
+    number = F.xxhash64("_u", "_v").bitwiseAND(F.lit(2 ** 63 - 1))
+    nodes = written(first.select("_u", "_v", number.alias("_n"), F.col("one._n").alias("_least"), "one.codes", "one.weight"),
+                    "nodes")
     members = _banded(nodes)
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("_n").alias("least")).filter("size > 1")
     members = written(members.join(sizes.select("band"), "band"), "members")
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("_n").alias("least"))
     linked = members.select("_n").distinct()
     codes = written(nodes.join(linked, "_n"), "candidates")
-    bodies = written(texts.join(codes.select("_n", "_u").hint("merge"), ["_n", "_u"])
-                     .dropDuplicates(["_n", "_u"]).select("_n", "_text"), "candidate-texts")
+    bodies = written(texts.withColumnRenamed("_n", "_least")
+                     .join(codes.select("_n", "_least", "_u").hint("merge"), ["_least", "_u"])
+                     .dropDuplicates(["_least", "_u"]).select("_n", "_text"), "candidate-texts")
     hubs = _hubs(members, sizes, codes)
     pairs = members.drop("at").join(hubs, "band").filter("_n <> hub").select(F.col("_n").alias("a"), F.col("hub").alias("b"))
     pairs = written(_agreement(pairs.distinct(), codes, similarity_), "pairs")
@@ -316,16 +321,22 @@ def node_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> tuple[Dat
     rest = _leftovers(members, codes, bodies, classes_, idf_, similarity_)
     edges = edges.unionByName(written(rest, "edges"))
     classes_ = components(edges)
-    by_text = nodes.select("_u", "_v", F.col("_n").alias("node"))
-    return rows.select("_n", "_u", "_v").join(by_text, ["_u", "_v"]), classes_
+    # A class takes the smallest document id of its nodes; one node names it.
+    named = classes_.join(nodes.select("_n", "_least"), "_n").groupBy("c").agg(
+        F.min(F.struct("_least", "_n")).alias("name"))
+    classes_ = classes_.join(named, "c").select(F.col("_n").alias("node"), "name")
+    by_text = nodes.select("_u", "_v", F.col("_n").alias("node"), "_least").join(classes_, "node", "left").select(
+        "_u", "_v", "_least", F.coalesce("name", F.struct("_least", F.col("node").alias("_n"))).alias("name"),
+        F.coalesce(F.col("name._n") == F.col("node"), F.lit(True)).alias("names"))
+    return rows.select("_n", "_u", "_v").join(by_text, ["_u", "_v"]).select(
+        "_n", "_u", F.col("name._least").alias("class_id"), (F.col("names") & (F.col("_n") == F.col("_least"))).alias("names"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             similarity_: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id``: one row per document; the class is named by its
     smallest document id."""
-    placed, classes_ = node_classes(_texts(docs, id_col, text_col), similarity_)
-    named = _with_class(placed, classes_, "node", "class_id")
+    named = document_classes(_texts(docs, id_col, text_col), similarity_)
     return named.select(F.when(F.col("_n") < 2 ** 62, F.col("_n")).alias("doc_id"), "class_id")
 
 
@@ -336,8 +347,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)])
     at = dict(zip(docs.columns, out.columns))
     texts = _texts(out, at[id_col], at[text_col])
-    placed, classes_ = node_classes(texts, similarity_)
-    stays = _with_class(placed, classes_, "node", "class_id").filter("class_id = _n").select("_n", "_u").distinct()
+    stays = document_classes(texts, similarity_).filter("names").select("_n", "_u").distinct()
     keyed = out.select("*", *_address(at[id_col], at[text_col]))
     kept = keyed.join(stays, ["_n", "_u"], "left_semi").dropDuplicates(["_n", "_u"])
     return kept.select(*[F.col(c).alias(k) for k, c in at.items()])
