@@ -99,8 +99,30 @@ SELECT *, NOT base_failed AND class_distance <= {MAX_CLASS_DISTANCE} AND word_di
 FROM ruled"""
 
 
+FILL_MIDDLE = """
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a,
+  ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b, ('0x' || h[17:24])::BIGINT % 100 AS c,
+  ('0x' || h[25:32])::BIGINT % 100 AS d FROM cut),
+parts AS (SELECT doc_id, t, n,
+  coalesce(array_to_string(u[1:least(a, b)], ''), '') AS p,
+  coalesce(array_to_string(u[least(a, b) + 1:greatest(a, b)], ''), '') AS m,
+  coalesce(array_to_string(u[greatest(a, b) + 1:], ''), '') AS s,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+       WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""
+
+
 ORACLE_SQL = {
     "op3_secret_scan": _secrets(),
     "op4_relative_lz": RELATIVE_LZ,
     "op7_quality_rules": _quality(),
+    "op13_fill_middle": FILL_MIDDLE,
 }

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, near_dup, packing, quality, relative_lz, secrets, suffixes, token_counts, tokenbin
+from . import decontaminate, fill_middle, html_text, near_dup, packing, quality, relative_lz, secrets, suffixes, token_counts, tokenbin
 from .common import prepare
 from .oracle import ORACLE_SQL  # noqa: F401 - read by the entry module
 
@@ -75,6 +75,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.fill_in_middle(_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_counts": op2_token_counts,
@@ -86,4 +90,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_html_extraction": op10_html_extraction,
+    "op13_fill_middle": op13_fill_middle,
 }
