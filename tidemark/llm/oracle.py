@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from . import quality, secrets
 from .quality import COMMON_WORDS, MARKS, MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, MIN_CHARS, MIN_COMMON
 
@@ -99,6 +101,23 @@ SELECT *, NOT base_failed AND class_distance <= {MAX_CLASS_DISTANCE} AND word_di
 FROM ruled"""
 
 
+LOWER = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
+
+JACCARD_JOIN = f"""
+WITH RECURSIVE docs AS (SELECT doc_id,
+  list_filter(regexp_split_to_array({LOWER}, '{GAP}'), lambda x: x <> '') AS ws FROM documents),
+shingles AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(
+  CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+       WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM docs)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_ FROM shingles x JOIN shingles y USING (s)
+    WHERE x.doc_id <> y.doc_id GROUP BY ALL) AS p
+  JOIN sizes u ON u.doc_id = p.a JOIN sizes v ON v.doc_id = p.b
+  WHERE 100 * p.both_ >= 80 * (u.n + v.n - p.both_)),
+reached AS (SELECT doc_id, doc_id AS r FROM docs UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.r = links.a)
+SELECT doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
 FILL_MIDDLE = """
 WITH cut AS (SELECT doc_id, coalesce(text, '') AS t,
   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
@@ -124,5 +143,6 @@ ORACLE_SQL = {
     "op3_secret_scan": _secrets(),
     "op4_relative_lz": RELATIVE_LZ,
     "op7_quality_rules": _quality(),
+    "op11_partenum_join": JACCARD_JOIN,
     "op13_fill_middle": FILL_MIDDLE,
 }

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fill_middle, html_text, near_dup, packing, quality, relative_lz, secrets, suffixes, token_counts, tokenbin, whitening
+from . import decontaminate, fill_middle, html_text, jaccard_join, near_dup, packing, quality, relative_lz, secrets, suffixes, token_counts, tokenbin, whitening
 from .common import prepare
 from .oracle import ORACLE_SQL  # noqa: F401 - read by the entry module
 
@@ -75,6 +75,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op11_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -94,6 +98,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_html_extraction": op10_html_extraction,
+    "op11_partenum_join": op11_partenum_join,
     "op12_whitening": op12_whitening,
     "op13_fill_middle": op13_fill_middle,
 }
