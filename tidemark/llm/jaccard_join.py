@@ -61,7 +61,7 @@ SIMILARITY = (80, 100)
 #: Share of sets that may send signatures without a rare shingle by bad luck
 #: (each of them a few of a band's many).
 IRREGULAR = 1e-3
-#: Shingles are common when their cell holds more than this share of all sets.
+#: Shingles are common when this share of all documents holds their cell.
 CELLS, COMMON_SHARE, COMMON_LEAST = 1 << 22, 1e-3, 16
 #: Members of a signature still apart that are paired at once; members (and
 #: their shingles) of one block of the others.
@@ -177,39 +177,37 @@ def _totals(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _set_rows(rows: DataFrame) -> DataFrame:
-    """``_d, _u, n, a, b``: each row's set size and 128 bits of its content."""
+    """``doc_id, _d, _u, n, a, b``: each row's set size and 128 bits of its
+    content.  Each task adds rows ``cell, df`` (the others null): the hashed
+    cells that are frequent among its own sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = np.zeros(CELLS, np.int32), 0
         for batch in batches:
             for i, j, off, body in slices(batch, "_text"):
                 first, h = sets(off, body)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i),
-                     pa.array(np.diff(first).astype(np.int64)), pa.array(_totals(mix(h), first).view(np.int64)),
-                     pa.array(_totals(mix(h ^ _ODD), first).view(np.int64))],
-                    names=["doc_id", "_d", "_u", "n", "a", "b"])
+                np.add.at(held, _cell(h), 1)
+                seen += j - i
+                yield _table(j - i, [*(c.slice(i, j - i) for c in batch.columns[:3]),
+                                     pa.array(np.diff(first).astype(np.int64)), pa.array(_totals(mix(h), first).view(np.int64)),
+                                     pa.array(_totals(mix(h ^ _ODD), first).view(np.int64)), None, None])
+        some = np.flatnonzero(held >= max(4, seen * COMMON_SHARE))
+        yield _table(len(some), [*[None] * 6, pa.array(some), pa.array(held[some].astype(np.int64))])
 
-    return rows.select("doc_id", "_d", "_u", "_text").mapInArrow(
-        run, "doc_id long, _d long, _u long, n long, a long, b long")
+    return rows.select("doc_id", "_d", "_u", "_text").mapInArrow(run, ", ".join(f"{c} long" for c in _SET_COLUMNS))
 
 
-def _common(texts: DataFrame, nodes: int) -> np.ndarray:
-    """Which hashed cells hold a common shingle.  Tasks send the cells that are
-    frequent among their own sets; at most ``CELLS`` come back."""
-    least = max(COMMON_LEAST, int(nodes * COMMON_SHARE))
+_SET_COLUMNS = ["doc_id", "_d", "_u", "n", "a", "b", "cell", "df"]
+
+
+def _table(rows: int, columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()) if c is None else c for c in columns], names=_SET_COLUMNS)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = np.zeros(CELLS, np.int32), 0
-        for batch in batches:
-            for _, _, off, body in slices(batch, "_text"):
-                first, h = sets(off, body)
-                seen += len(off) - 1
-                np.add.at(held, _cell(h), 1)
-        some = np.flatnonzero(held >= max(2, seen * COMMON_SHARE / 4))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held[some].astype(np.int64))],
-                                         names=["cell", "df"])
 
-    rows = texts.select("_text").mapInArrow(count, "cell int, df long").groupBy("cell").agg(F.sum("df").alias("df")) \
-        .filter(F.col("df") >= least).select("cell")
+def _common(counts: DataFrame, documents: int) -> np.ndarray:
+    """Which hashed cells hold a common shingle, as bits; at most ``CELLS``
+    numbers reach the driver."""
+    least = max(COMMON_LEAST, int(documents * COMMON_SHARE))
+    rows = counts.groupBy("cell").agg(F.sum("df").alias("df")).filter(F.col("df") >= least).select("cell")
     out = np.zeros(CELLS, bool)
     out[[r["cell"] for r in rows.toLocalIterator()]] = True
     return np.packbits(out)
@@ -414,9 +412,9 @@ def _leftovers(shared: DataFrame, tried: DataFrame, classes: DataFrame, texts: D
 
 
 # -------------------------------------------------------------------------- join
-def _links(texts: DataFrame, similarity: tuple[int, int], nodes: int) -> DataFrame:
+def _links(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int]) -> DataFrame:
     """Components ``_n, c`` of the nodes that link."""
-    signed = _signed(texts, _common(texts, nodes), similarity)
+    signed = _signed(texts, common, similarity)
     shared = written(signed.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("sig"))).filter("held > 1"), "shared")
     renown = shared.groupBy("node").agg(F.sum("held").alias("renown"))
     hubs = shared.join(renown, "node").groupBy("sig").agg(F.max(F.struct("renown", "node"))["node"].alias("hub"))
@@ -444,7 +442,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``doc_id, n_shingles, component_id`` of every row; ``similarity`` is a
     fraction ``(numerator, denominator)`` above one half."""
     rows = keyed(docs, id_col, text_col).withColumn("doc_id", real_id())
-    of_set = written(_set_rows(rows), "sets")
+    counted = written(_set_rows(rows), "sets")
+    of_set = counted.filter("cell is null").drop("cell", "df")
+    common = _common(counted.filter("cell is not null").select("cell", "df"), of_set.count())
     nodes = of_set.filter("n > 0").groupBy("a", "b").agg(
         F.min(F.struct("_d", "_u")).alias("one"), F.max("n").alias("n"), F.min("doc_id").alias("least")) \
         .select("a", "b", "one._d", "one._u", "n", "least")
@@ -452,7 +452,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = rows.join(nodes.select("node", "n", "_d", "_u").hint("merge"), ["_d", "_u"]) \
         .dropDuplicates(["_d", "_u"]).select("node", "n", "_text")
     texts = written(texts, "node-texts")
-    classes = _links(texts, similarity, nodes.count())
+    classes = _links(texts, common, similarity)
     named = classes.join(nodes.select(F.col("node").alias("_n"), "least"), "_n").groupBy("c").agg(F.min("least").alias("name"))
     named = classes.join(named, "c").select(F.col("_n").alias("node"), "name")
     by_set = nodes.select("a", "b", "node", "least").join(named, "node", "left") \
