@@ -16,11 +16,14 @@ component of each document.  No link between different sets is lost.
    cells of every partition is a signature: the hash of the set's elements in
    it.  ``plan`` picks the cheapest numbers for each band.
 4. A signature without a rare shingle (none at all, or only shingles of very
-   many sets) is shared by sets that have nothing to do with each other.  A
-   set leaves these out, unless as many of its partitions have one as the
-   slack has; such a set (about one in a thousand, and those that consist of
-   common shingles) sends all.  Of a linked pair, either one set has a
-   partition that agrees and holds no such signature, or both send all.
+   many sets) is shared by sets that have nothing to do with each other, so it
+   is left out.  A set is *irregular* if as many of its partitions have such a
+   signature as the slack has; it goes on to a second round with other
+   partitions, and so on, and what is still irregular in the last round (one
+   set in a million, and those that consist of common shingles) sends all
+   there.  No link is lost: both sets of a pair take part in the first round
+   in which one of them is regular, and there this one has a partition that
+   agrees and no such signature in it; or both send all in the last.
 5. Sets that share a signature are candidates.  They are not paired with each
    other: a signature's *hub* is its member that shares most (the original
    among its copies).  Every node is verified against the hub it shares most
@@ -58,9 +61,8 @@ from .near_sketch import SHINGLE, shingles
 
 #: The similarity as a fraction, so that its comparison is exact.
 SIMILARITY = (80, 100)
-#: Share of sets that may send signatures without a rare shingle by bad luck
-#: (each of them a few of a band's many).
-IRREGULAR = 1e-3
+#: Share of sets that may be irregular by bad luck in one round; rounds.
+IRREGULAR, ROUNDS = 0.03, 4
 #: Shingles are common when this share of all documents holds their cell.
 CELLS, COMMON_SHARE, COMMON_LEAST = 1 << 22, 1e-3, 16
 #: Members of a signature still apart that are paired at once; members (and
@@ -218,11 +220,13 @@ def _cell(h: np.ndarray) -> np.ndarray:
 
 
 # -------------------------------------------------------------------- signatures
-def signatures(one: Instance, owner: np.ndarray, h: np.ndarray, rare: np.ndarray, docs: int
-               ) -> tuple[np.ndarray, np.ndarray]:
-    """``(document, signature)`` of the sets of one instance: ``h`` holds the
-    elements, ``owner`` the document (0 to ``docs``) of each."""
-    z = mix(h ^ mix(np.array([one.at + 1], np.uint64) * _ODD))
+def signatures(one: Instance, round_: int, owner: np.ndarray, h: np.ndarray, rare: np.ndarray, docs: int
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(document, signature)`` of the sets of one instance in one round, and
+    which documents are irregular: ``h`` holds the elements, ``owner`` the
+    document (0 to ``docs``) of each."""
+    salt = np.uint64((one.at + 1) * ROUNDS + round_)
+    z = mix(h ^ mix(np.array([salt]) * _ODD))
     part = (z >> np.uint64(32)) % np.uint64(one.n1)
     cell = (z & _LOW) % np.uint64(one.n2)
     at = ((owner * one.n1 + part.astype(np.int64)) * one.n2 + cell.astype(np.int64))
@@ -236,11 +240,11 @@ def signatures(one: Instance, owner: np.ndarray, h: np.ndarray, rare: np.ndarray
     left = value.sum(axis=2, dtype=np.uint64)[:, :, None] - value[:, :, drops].sum(axis=3, dtype=np.uint64)
     known = scarce.sum(axis=2)[:, :, None] - scarce[:, :, drops].sum(axis=3) > 0
     irregular = (~known).any(axis=2).sum(axis=1) >= one.slack
-    keep = known | irregular[:, None, None]
-    code = np.arange(one.n1 * len(drops), dtype=np.uint64).reshape(1, one.n1, -1) + (np.uint64(one.at + 1) << np.uint64(40))
+    keep = known | irregular[:, None, None] if round_ == ROUNDS - 1 else known
+    code = np.arange(one.n1 * len(drops), dtype=np.uint64).reshape(1, one.n1, -1) + (salt << np.uint64(40))
     sig = mix(left ^ mix(code * _ODD))
     doc = np.broadcast_to(np.arange(docs)[:, None, None], keep.shape)
-    return doc[keep], sig[keep]
+    return doc[keep], sig[keep], irregular
 
 
 def node_signatures(node: np.ndarray, first: np.ndarray, h: np.ndarray, common: np.ndarray,
@@ -261,10 +265,14 @@ def node_signatures(node: np.ndarray, first: np.ndarray, h: np.ndarray, common:
         step = max(1, (1 << 20) // (one.n1 * one.n2))  # bounds the cells held at once
         for k in range(0, len(docs), step):
             some = docs[k:k + step]
-            owner = np.repeat(np.arange(len(some)), n[some])
-            at = np.repeat(first[some], n[some]) + np.arange(len(owner)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
-            doc, sig = signatures(one, owner, h[at], rare[at], len(some))
-            yield node[some[doc]], sig
+            for round_ in range(ROUNDS):
+                owner = np.repeat(np.arange(len(some)), n[some])
+                at = np.repeat(first[some], n[some]) + np.arange(len(owner)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+                doc, sig, irregular = signatures(one, round_, owner, h[at], rare[at], len(some))
+                yield node[some[doc]], sig
+                some = some[irregular]
+                if not len(some):
+                    break
 
 
 def _signed(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int]) -> DataFrame:
