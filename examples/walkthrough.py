@@ -25,45 +25,41 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.operators.nested import nest_items, parents, with_many_items  # noqa: E402
 from tidemark.operators.scd2 import TIME_VALIDITY, build_change_set, current_rows, rewrite_when  # noqa: E402
-from tidemark.plans import catalogue  # noqa: E402
-from tidemark.plans.merge import merge_into  # noqa: E402
+from tidemark.plans import catalogue, snapshots  # noqa: E402
 from tidemark.plans.queries import (CITY_MATCH, CITY_OTHERWISE, CITY_THEN, EVENT_SCHEMA,  # noqa: E402
                                     HISTORY_COLUMNS, ITEM_FIELDS, LOAD_DATE, MERGE_DATE,
                                     SAMPLE_FRACTION, SAMPLE_SEED, event_day, raw_customers)
-from tidemark.operators.scd2 import initial_load  # noqa: E402
-from tidemark.plans.versions import VersionedTable  # noqa: E402
+from tidemark.operators.scd2 import initial_load, scd2_apply  # noqa: E402
 from tidemark.session import get_session, scratch_path  # noqa: E402
 from tidemark.sources.topic import publish_events, topic_stream  # noqa: E402
 from tidemark.streaming.bronze import start_bronze  # noqa: E402
 from tidemark.streaming.monitor import progress, status  # noqa: E402
-from tidemark.streaming.silver import history, start_silver  # noqa: E402
+from tidemark.streaming.silver import silver_table, start_silver  # noqa: E402
 
 
 def main(sf: str) -> None:
     spark = get_session("local[4]", 4)
 
-    # 1. initial load, published as a versioned table
-    dim = VersionedTable(spark, scratch_path(spark, "walkthrough", "dim_customers"),
-                         buckets=8, bucket_keys=["customer_id"])
-    v1 = dim.publish(initial_load(raw_customers(spark, sf), LOAD_DATE))
-    print("loaded rows:", dim.read().count())
+    # 1. initial load, published as snapshot 1
+    root = scratch_path(spark, "walkthrough", "dim_customers")
+    dim = snapshots.publish(initial_load(raw_customers(spark, sf), LOAD_DATE), root, 1)
+    print("loaded rows:", dim.count())
 
     # 2. staged change set (5 % of current rows, seed 2112), then the merge
     changes = build_change_set(
-        current_rows(dim.read()), ["customer_id"], SAMPLE_FRACTION, SAMPLE_SEED,
+        current_rows(dim), ["customer_id"], SAMPLE_FRACTION, SAMPLE_SEED,
         {"city": rewrite_when("city", CITY_MATCH, CITY_THEN, CITY_OTHERWISE)},
         {"update_date": F.lit(MERGE_DATE)}, staged=True)
-    v2 = merge_into(dim, changes, ["customer_id"], ["city"], MERGE_DATE,
-                    summary={"effective": MERGE_DATE})
-    print("staged changes:", changes.count(), "rows after merge:", dim.read().count())
+    merged = snapshots.publish(scd2_apply(dim, changes, ["customer_id"], ["city"], MERGE_DATE), root, 2)
+    print("staged changes:", changes.count(), "rows after merge:", merged.count())
 
     # 3. snapshot list and time travel
-    dim.snapshots().show(truncate=False)
+    snapshots.snapshots(spark, root).show(truncate=False)
     one = changes.select("customer_id").orderBy("customer_id").first()[0]
     print("history of", one)
-    dim.read(v2).filter(F.col("customer_id") == one).orderBy("start_date").show()
-    print("as of snapshot", v1)
-    dim.read(v1).filter(F.col("customer_id") == one).show()
+    merged.filter(F.col("customer_id") == one).orderBy("start_date").show()
+    print("as of snapshot 1")
+    snapshots.read(spark, root, 1).filter(F.col("customer_id") == one).show()
 
     # 4. nested orders fact
     orders = spark.read.parquet(os.path.join(sf, "orders.parquet"))
@@ -73,10 +69,11 @@ def main(sf: str) -> None:
     with_many_items(fact).select("o_orderkey", "o_orderstatus", "line_items").show(1, truncate=False)
 
     # 5. free SQL over registered views
-    catalogue.register({"dim_now": dim.read(), "orders_now": parents(fact)})
+    catalogue.register({"dim_now": merged, "orders_now": parents(fact)})
     catalogue.show_tables(spark).show()
     catalogue.run_sql(spark, "SELECT city, count(*) AS n FROM dim_now WHERE is_current GROUP BY city ORDER BY n DESC").show(5)
-    catalogue.run_sql(spark, "SELECT o_orderkey, item_count FROM orders_now WHERE item_count > 1 ORDER BY o_orderkey").show(3)
+    catalogue.run_sql(spark, "SELECT o_orderkey, item_count FROM orders_now WHERE item_count > :least ORDER BY o_orderkey",
+                      {"least": 1}).show(3)
 
     # 6. topic -> bronze -> silver
     events = spark.read.parquet(os.path.join(sf, "events.parquet"))
@@ -87,15 +84,12 @@ def main(sf: str) -> None:
                      scratch_path(spark, "walkthrough", "ck"), name="walkthrough_bronze")
     q.awaitTermination()
     progress(spark, q).show(truncate=False)
-    silver = VersionedTable(spark, scratch_path(spark, "walkthrough", "silver"),
-                            buckets=8, bucket_keys=["user_id"])
-    s = start_silver(spark.readStream.schema(EVENT_SCHEMA).parquet(bronze), silver, ["user_id"],
-                     ["event_type"], "ts", event_day(), HISTORY_COLUMNS,
-                     scratch_path(spark, "walkthrough", "ck"), tiebreak=["event_id"],
-                     v=TIME_VALIDITY, name="walkthrough_silver")
-    s.awaitTermination()
+    src = spark.readStream.schema(EVENT_SCHEMA).parquet(bronze)
+    silver = silver_table(spark, scratch_path(spark, "walkthrough", "silver"), src, ["user_id"], ["event_type"], "ts",
+                          event_day(), HISTORY_COLUMNS, ["event_id"], TIME_VALIDITY)
+    start_silver(src, silver, event_day(), scratch_path(spark, "walkthrough", "ck"), "walkthrough_silver").awaitTermination()
     print("active queries:", status(spark))
-    h = history(silver)
+    h = silver.history()
     print("silver rows:", h.count(), "open rows:", h.filter("is_current").count())
     spark.stop()
 

@@ -60,7 +60,7 @@ def compare(spark, sf: str, name: str, fn, sql: str | None, con) -> tuple[bool,
     t_spark = time.time() - t0
     if sql is None:
         return True, f"rows={len(srows)} (no oracle) {t_spark:.1f}s"
-    res = con.execute(sql)
+    res = con.execute(sql.replace("/root/testdata/sf0.01", sf.rstrip("/")))
     dcols = [d[0] for d in res.description]
     drows_raw = res.fetchall()
     if sorted(dcols) != cols:

@@ -114,13 +114,6 @@ def test_several_tracked_columns_and_rule_errors(spark):
         history_from_log(log, ["id"], ["a", "b"], "ts", mode="compat")
 
 
-def test_bucket_layout_needs_both_arguments(spark):
-    import pytest
-    from tidemark.plans.versions import VersionedTable
-    with pytest.raises(ValueError):
-        VersionedTable(spark, "/tmp/never-written", buckets=4)
-
-
 def test_key_history_as_of_and_semi_join(spark):
     from tidemark.operators.scd2 import as_of, history_of_keys, key_history
     h = spark.createDataFrame([("k", "A", 0, 5, False), ("k", "B", 5, None, True), ("m", "A", 0, None, True)],
@@ -150,3 +143,20 @@ def test_several_changes_for_one_open_row_raise(spark):
     # Unmatched and null keys may repeat: nothing is closed twice.
     new = spark.createDataFrame([("n", "b"), ("n", "c"), (None, "d"), (None, "e")], "id string, attr string")
     assert scd2_apply(target, new, ["id"], ["attr"], 9, V, insert_rule="always").count() == 5
+
+
+def test_insert_arm_follows_the_close_rule(spark):
+    """Several open rows, null keys, repeated unmatched keys, in every rule set:
+    a change is inserted unless a row of its key stays open."""
+    import itertools
+    target = spark.createDataFrame([("a", "x", 0, None, True), ("a", "y", 1, None, True), ("b", None, 0, None, True),
+                                    ("c", "x", 0, 3, False), (None, "x", 0, None, True)], SCHEMA)
+    changes = [("a", "y"), ("b", None), ("c", "x"), (None, "x"), ("n", "q"), ("n", "r")]
+    df = spark.createDataFrame(changes, "id string, attr string")
+    for close, insert, safe in itertools.product(("changed", "any_match"), ("new_or_changed", "always"), (True, False)):
+        rows = scd2_apply(target, df, ["id"], ["attr"], 9, V, close, insert, safe).collect()
+        old = [(r.id, r.attr, r.live) for r in rows if r.t0 != 9]
+        open_ = {k for k, _, live in old if live}
+        new = sorted(((r.id, r.attr) for r in rows if r.t0 == 9), key=str)
+        want = [c for c in changes if insert == "always" or c[0] is None or c[0] not in open_]
+        assert new == sorted(want, key=str), (close, insert, safe)

@@ -89,6 +89,24 @@ def parents(fact: DataFrame, name: str = "line_items") -> DataFrame:
     return fact.drop(name, "chunk").distinct()
 
 
+def array_sizes(fact: DataFrame, on: str | Sequence[str], name: str = "line_items", out: str = "items") -> DataFrame:
+    """FN9: ``on, out``: the size of each parent's items, one row per parent
+    however its items are cut into chunks.  Chunk sizes are summed map-side
+    before the shuffle; a parent without items has 0."""
+    on = [on] if isinstance(on, str) else list(on)
+    size = F.greatest(F.size(name), F.lit(0)).cast("long")  # a null array: no items
+    return fact.groupBy(*on).agg(F.coalesce(F.sum(size), F.lit(0)).alias(out))
+
+
+def larger_than(fact: DataFrame, on: str | Sequence[str], more_than: int, name: str = "line_items") -> DataFrame:
+    """FLT3 as ``size(items) > n``: the chunks of parents that hold more than
+    ``more_than`` items together.  A parent in one chunk is decided as by
+    its own size; the others by the sum."""
+    on = [on] if isinstance(on, str) else list(on)
+    keep = array_sizes(fact, on, name, "__items").filter(F.col("__items") > more_than).select(*on)
+    return fact.join(keep, on, "left_semi")
+
+
 def with_many_items(fact: DataFrame, count_col: str = "item_count", more_than: int = 1) -> DataFrame:
     """FLT3 on the stored count (pushed to the scan), not ``size(array)``."""
     return fact.filter(F.col(count_col) > more_than)

@@ -13,11 +13,8 @@ columns: ``start`` (inclusive), ``end`` (exclusive, null while open) and
 
 ``scd2_apply`` is the MERGE as a plan: the open rows are left-joined to the
 change set (one row per key), all other rows pass through untouched, and the
-insert arm is an anti-join.  ``history_from_log`` builds the whole history
-from an ordered change log with window functions.  ``merge_entries`` folds a
-batch into the entries (the last event per key and period) that a history is
-computed from, so a stream gives the same history no matter how its
-micro-batches are cut or ordered.
+insert arm is an anti-join of the changes with the open rows that stay open.  ``history_from_log`` builds the whole history
+from an ordered change log with window functions.
 """
 
 from __future__ import annotations
@@ -141,10 +138,15 @@ def scd2_parts(live: DataFrame, changes: DataFrame, keys: Sequence[str],
     )
     new_rows = changes.select(*[F.col(c) for c in data])
     if insert_rule == "new_or_changed":
-        # One row per key (the join output is already partitioned by key,
-        # so this adds no shuffle) however many open rows a key holds.
-        still_open = updated.filter(F.col(v.current)).select(*keys).distinct()
-        new_rows = new_rows.join(still_open, keys, "left_anti")
+        # A matched row stays open only if it is not changed, which the change
+        # itself tells: the arms share no join.  ``any_match`` leaves none open.
+        if close_rule == "changed":
+            old = live.select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate([*keys, *tracked])])
+            same = [F.col(k) == F.col(f"__o{i}") for i, k in enumerate(keys)]
+            differs = _changed([F.col(f"__o{len(keys) + i}") for i in range(len(tracked))],
+                               [F.col(t) for t in tracked], null_safe)
+            stays = ~F.coalesce(differs, F.lit(False))
+            new_rows = new_rows.join(old, reduce(lambda a, b: a & b, [*same, stays]), "left_anti")
     elif insert_rule != "always":
         raise ValueError(f"insert_rule {insert_rule!r}")
     inserted = new_rows.withColumns({
@@ -347,14 +349,6 @@ def history_from_log(log: DataFrame, keys: Sequence[str], tracked: Sequence[str]
     return hist.select(*cols, *v.names)
 
 
-def merge_entries(entries: DataFrame, batch: DataFrame, keys: Sequence[str], at: str,
-                  order_by: Sequence[str]) -> DataFrame:
-    """One entry per key and ``at`` out of the entries held and a batch: the
-    greatest by ``order_by``, whichever came first.  Null keys form one group."""
-    both = entries.unionByName(batch.select(*entries.columns))
-    return latest_per_key(both, [*keys, at], list(order_by))
-
-
 # --------------------------------------------------------------------- SCD4
 def hash_sample(df: DataFrame, fraction: float, seed: int, cols: Sequence[str]) -> DataFrame:
     """Seeded Bernoulli sample that does not depend on partitioning (SMP1).

@@ -7,8 +7,9 @@ describe (DuckDB runs it on the small check data only).
 
 from __future__ import annotations
 
-from .queries import (AS_OF_DATE, CITY_MATCH, CITY_OTHERWISE, CITY_THEN, HISTORY_KEY, LOAD_DATE,
-                      MERGE_DATE, SAMPLE_FRACTION, SAMPLE_SEED, STREAM_CUT, STREAM_START)
+from .queries import (AS_OF_DATE, BOUND_ODD, BOUND_ORDERS, BOUND_STATE, CITY_MATCH, CITY_OTHERWISE, CITY_THEN, HISTORY_KEY, LOAD_DATE,
+                      MERGE_DATE, ORDERS_FROM, ORDERS_MERGE, REPLACE_FROM, SAMPLE_FRACTION, SAMPLE_SEED, STREAM_CUT,
+                      STREAM_START, URGENT)
 
 _THRESHOLD = format(min(int(round(SAMPLE_FRACTION * 16 ** 8)), 16 ** 8 - 1), "08x")
 _LOAD = f"DATE '{LOAD_DATE.isoformat()}'"
@@ -151,6 +152,37 @@ SELECT o.user_id, o.event_type, TIMESTAMP '{STREAM_START}' AS effective_time,
 FROM o LEFT JOIN c ON c.user_id = o.user_id
 UNION ALL SELECT user_id, event_type, TIMESTAMP '{STREAM_CUT}', NULL, TRUE FROM c"""
 
+#: The sf0.01 tables; the file listing has no other way to name them.
+GIVEN_FILES = "/root/testdata/sf0.01/*.parquet"
+
+# The merge of the orders' years: other dates, half of the customers.
+ORDERS_HISTORY = MERGED.replace(_LOAD, f"DATE '{ORDERS_FROM}'").replace(_MERGE, f"DATE '{ORDERS_MERGE}'") \
+    .replace(f"'{_THRESHOLD}'", "'80000000'")
+
+EVENTS_AS_OF_HOT = """WITH e AS (SELECT event_id, ts, event_type, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id,
+    CAST(date_trunc('day', ts + INTERVAL 12 HOUR) AS TIMESTAMP) AS d FROM events),
+w AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id, d ORDER BY ts DESC, event_id DESC) = 1),
+k AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY d) AS p,
+             row_number() OVER (PARTITION BY user_id ORDER BY d) AS rn FROM w),
+h AS (SELECT user_id, event_id AS version_event, event_type AS held_type, d AS effective_time,
+             lead(d) OVER (PARTITION BY user_id ORDER BY d) AS end_time
+      FROM k WHERE rn = 1 OR event_type IS DISTINCT FROM p)
+SELECT e.event_id, e.ts, e.event_type, e.user_id, h.version_event, h.held_type, h.effective_time
+FROM e LEFT JOIN h ON h.user_id = e.user_id AND h.effective_time <= e.ts AND (h.end_time IS NULL OR e.ts < h.end_time)"""
+
+HOT_SIZES = """SELECT o.o_orderkey, count(*) AS items FROM orders o JOIN (
+  SELECT CASE WHEN (l_partkey + l_linenumber) % 3 = 0 THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS l_orderkey
+  FROM lineitem) l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey HAVING count(*) > 2"""
+
+MIXED = """x AS (SELECT event_id, date_trunc('second', ts) AS seen, CAST(ts AS DATE) AS day,
+  CASE WHEN event_id % 50 <> 0 THEN user_id END AS "user", CASE WHEN event_id % 7 <> 0 THEN user_id + 3000000000 END AS wide,
+  event_id % 2 = 0 AS flag, user_id + 0.5 AS share, event_type AS kind FROM events)"""
+
+
+def _literal(v) -> str:
+    return f"TIMESTAMP '{v}'" if hasattr(v, "year") else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+
+
 ORACLE_SQL: dict[str, str] = {
     "dim_initial_load": f"WITH {RAW},\n{DIM}\nSELECT * FROM dim",
     "top_cities": f"""WITH {RAW},\n{DIM}
@@ -211,6 +243,7 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     "bronze_stream_events": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "silver_scd2_stream": HISTORY_SOUND,
     "silver_scd2_compat": HISTORY_COMPAT,
+    "silver_recovered": HISTORY_SOUND,
     "event_history_sound": HISTORY_SOUND,
     "event_history_compat": HISTORY_COMPAT,
     "event_versions_sound": VERSIONS_SOUND,
@@ -218,7 +251,8 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     "event_versions_null_keys": VERSIONS_NULL_KEYS,
     "orders_hot_parent_flat": HOT_FLAT,
     "menu_multi_item_hot": HOT_MULTI,
-    "items_size_filter": """SELECT o.o_orderkey, CAST(count(*) AS INTEGER) AS items
+    "items_size_filter_hot": HOT_SIZES,
+    "items_size_filter": """SELECT o.o_orderkey, count(*) AS items
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey HAVING count(*) > 2""",
     "key_history": MERGED + f"SELECT * FROM merged WHERE customer_id = {HISTORY_KEY} ORDER BY start_date, end_date",
     "staged_merge": STAGED,
@@ -226,4 +260,43 @@ FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderk
     "compat_stream_merge": STREAM_MERGE,
     "csv_dirty_numbers": """SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS cust,
        CAST(o_orderdate AS DATE) AS ordered_on FROM orders""",
+    "snapshot_rows": MERGED + """SELECT 1 AS snapshot_id, count(*) AS row_count FROM dim
+UNION ALL SELECT 2, count(*) FROM merged""",
+    "data_files": f"""SELECT parse_filename(m.file_name) AS file_name, CAST(b.size AS BIGINT) AS file_size,
+       CAST(m.num_rows AS BIGINT) AS rows
+FROM parquet_file_metadata('{GIVEN_FILES}') m JOIN read_blob('{GIVEN_FILES}') b ON b.filename = m.file_name""",
+    "table_partitions_replaced": f"""SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN year(o_orderdate) >= {REPLACE_FROM} THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year
+FROM orders WHERE year(o_orderdate) < {REPLACE_FROM} OR o_orderpriority = '{URGENT}'
+   -- a year without an urgent order has no new rows and stays
+   OR year(o_orderdate) NOT IN (SELECT year(o_orderdate) FROM orders WHERE o_orderpriority = '{URGENT}')""",
+    "table_merged": MERGED + "SELECT * FROM merged",
+    "merge_current_date": MERGED + f"""SELECT customer_id, city, is_current, start_date = {_MERGE} AS opened_today,
+       coalesce(end_date = {_MERGE}, FALSE) AS closed_today FROM merged""",
+    "orders_as_of_customer": ORDERS_HISTORY + """SELECT o.o_orderkey, o.o_custkey AS customer_id, o.o_orderdate,
+       m.city, m.state, m.start_date
+FROM orders o LEFT JOIN merged m ON m.customer_id = o.o_custkey AND m.start_date <= CAST(o.o_orderdate AS DATE)
+ AND (m.end_date IS NULL OR CAST(o.o_orderdate AS DATE) < m.end_date)""",
+    "events_as_of_hot": EVENTS_AS_OF_HOT,
+    "yearly_customers": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS row_count,
+       count(DISTINCT o_custkey) AS key_count, TRUE AS sketch_is_close FROM orders GROUP BY 1""",
+    "sql_bound_orders": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders
+WHERE o_orderdate >= {_literal(BOUND_ORDERS['since'])} AND o_orderdate < {_literal(BOUND_ORDERS['until'])}
+  AND o_orderpriority = {_literal(BOUND_ORDERS['priority'])} AND o_totalprice >= {_literal(BOUND_ORDERS['least'])}""",
+    "sql_bound_cities": MERGED + f"""SELECT city, count(*) AS cnt, count(*) FILTER (state = {_literal(BOUND_STATE)}) AS in_state
+FROM merged WHERE is_current AND city <> {_literal(BOUND_ODD)} GROUP BY city""",
+    "csv_types": f"""WITH {MIXED}, n AS (SELECT count(*) AS rows FROM x)
+SELECT position, column_name, data_type, filled, misfit FROM (
+  SELECT 0 AS position, 'event_id' AS column_name, 'int' AS data_type, rows AS filled, CAST(0 AS BIGINT) AS misfit FROM n
+  UNION ALL SELECT 1, 'seen', 'timestamp_ntz', rows, 0 FROM n
+  UNION ALL SELECT 2, 'day', 'date', rows, 0 FROM n
+  UNION ALL SELECT 3, 'user', 'int', rows, (SELECT count(*) FROM x WHERE "user" IS NULL) FROM n
+  UNION ALL SELECT 4, 'wide', 'bigint', (SELECT count(wide) FROM x), 0 FROM n
+  UNION ALL SELECT 5, 'flag', 'boolean', rows, 0 FROM n
+  UNION ALL SELECT 6, 'share', 'double', rows, 0 FROM n
+  UNION ALL SELECT 7, 'kind', 'string', rows, 0 FROM n)""",
+    "csv_scan_lattice": f"""WITH {MIXED}
+SELECT CAST(event_id AS INTEGER) AS event_id, seen, day, CAST("user" AS INTEGER) AS "user", wide, flag,
+       CAST(share AS DOUBLE) AS share, kind, CASE WHEN "user" IS NULL THEN 'user' ELSE '' END AS misfits FROM x""",
 }

@@ -17,23 +17,25 @@ import os
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.json import parse_json, parse_json_split, to_json_value
-from ..operators.dedupe import distinct_rows, key_audit, latest_per_key
-from ..operators.nested import childless, flatten_items, nest_items, parents, with_many_items
+from ..operators.asof import as_of_join
+from ..operators.dedupe import (distinct_rows, distinct_sketches, estimated_keys, key_audit, latest_per_key,
+                                merge_sketches, sketch_error)
+from ..operators.nested import array_sizes, childless, flatten_items, nest_items, parents, with_many_items
 from ..operators.scd2 import (TIME_VALIDITY, as_of, build_change_set, compat_batch_merge,
                               compat_stream_merge, current_rows, history_from_log, initial_load, key_history,
                               rewrite_when, scd2_apply)
-from ..session import scratch_path
-from ..sources.csv import read_csv, write_csv
+from ..session import scratch_path, stage
+from ..sources.csv import inferred_types, read_csv, read_csv_inferred, type_counts, write_csv
 from ..sources.topic import publish_events, topic_stream
 from ..streaming.bronze import start_bronze
-from ..streaming.silver import history, start_silver
-from .merge import merge_into
-from .versions import VersionedTable
+from ..streaming.silver import silver_batch, silver_table, start_foreach_batch, start_silver
+from . import catalogue, snapshots, tables
 
 # Fixed values of the reference's batch pipeline: load date, sample size and
 # seed, and the rewrite's two outcomes.  The value matched is one of our
@@ -49,6 +51,12 @@ CITY_MATCH = "BUILDING"
 MERGE_DATE = dt.date(2024, 6, 1)
 AS_OF_DATE = dt.date(2024, 1, 1)
 HISTORY_KEY = 7
+REPLACE_FROM, URGENT = 1999, "1-URGENT"
+KEY_BUCKETS = 16
+ORDERS_FROM, ORDERS_MERGE, ORDERS_FRACTION = dt.date(1990, 1, 1), dt.date(1998, 6, 15), 0.5
+CSV_MISFITS = 0.05
+BOUND_ORDERS = {"since": dt.datetime(1996, 3, 1), "until": dt.datetime(1999, 1, 1), "priority": URGENT, "least": 100_000.0}
+BOUND_ODD, BOUND_STATE = "it's '; DROP TABLE tm_dim; --", "BRAZIL"
 STREAM_START, STREAM_CUT = "2024-01-01 00:00:00", "2024-01-15 12:30:00"
 
 EVENT_SCHEMA = T.StructType([
@@ -205,41 +213,142 @@ def q_menu_multi_item_orders(spark, sf):
     return _first_with_many(orders_fact(spark, sf))
 
 
+def _sizes(fact: DataFrame) -> DataFrame:
+    return array_sizes(fact, "o_orderkey").filter("items > 2")
+
+
 def q_items_size_filter(spark, sf):
-    """FN9 / FLT3 as the array's own size: chunks of more than two items."""
-    return orders_fact(spark, sf).filter(F.size("line_items") > 2).select(
-        "o_orderkey", F.size("line_items").alias("items"))
+    """FN9 / FLT3 as the arrays' own sizes: orders of more than two items."""
+    return _sizes(orders_fact(spark, sf))
+
 
+def q_items_size_filter_hot(spark, sf):
+    """The same where a third of the items lie on one order, in many chunks."""
+    return _sizes(_hot_fact(spark, sf))
 
-def _versioned_dim(spark, sf) -> tuple[VersionedTable, int, int]:
-    t = VersionedTable(spark, scratch_path(spark, "tables", "dim_customers"))
-    v1 = t.publish(dim_initial(spark, sf), "replace")
-    ch = change_set(spark, sf, t.read(v1))
-    v2 = merge_into(t, ch, ["customer_id"], ["city"], MERGE_DATE,
-                    summary={"effective": MERGE_DATE.isoformat()})
-    return t, v1, v2
+
+def _dim_snapshots(spark, sf) -> str:
+    """The dimension before and after the merge, as snapshots 1 and 2."""
+    root = scratch_path(spark, "snapshots", "dim_customers")
+    dim = snapshots.publish(dim_initial(spark, sf), root, 1)
+    ch = change_set(spark, sf, dim)
+    snapshots.publish(scd2_apply(dim, ch, ["customer_id"], ["city"], MERGE_DATE), root, 2)
+    return root
 
 
 def q_snapshot_before_merge(spark, sf):
-    t, v1, _ = _versioned_dim(spark, sf)
-    return t.read(v1)
+    return snapshots.read(spark, _dim_snapshots(spark, sf), 1)
 
 
 def q_snapshot_after_merge(spark, sf):
-    t, _, v2 = _versioned_dim(spark, sf)
-    return t.read(v2)
+    return snapshots.read(spark, _dim_snapshots(spark, sf), 2)
 
 
 def q_snapshot_diff(spark, sf):
-    t, v1, v2 = _versioned_dim(spark, sf)
-    return t.diff(v1, v2)
+    root = _dim_snapshots(spark, sf)
+    return snapshots.diff(snapshots.read(spark, root, 1), snapshots.read(spark, root, 2))
+
+
+def q_snapshot_rows(spark, sf):
+    """SRC6: the snapshots with their rows (their times and files vary)."""
+    return snapshots.snapshots(spark, _dim_snapshots(spark, sf)).select(
+        F.col("snapshot_id").cast("int").alias("snapshot_id"), F.col("rows").alias("row_count"))
+
+
+GIVEN_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+                "labels conversations").split()
 
 
 def q_data_files(spark, sf):
-    """SRC9: the data files of the merged dimension with their sizes (file
-    names are random, so SQL has no equal)."""
-    t, _, v2 = _versioned_dim(spark, sf)
-    return t.files(v2)
+    """SRC9: the data files of the given tables, with sizes and rows."""
+    return tables.data_files(spark, *[os.path.join(sf, f"{t}.parquet") for t in GIVEN_TABLES])
+
+
+def _table_name(kind: str) -> str:
+    return f"tm_{kind}_{uuid.uuid4().hex[:12]}"
+
+
+def q_table_partitions_replaced(spark, sf):
+    """SNK1 / SNK2 / DDL2: orders as a catalog table by order year; the years
+    from ``REPLACE_FROM`` on are replaced by their urgent orders at twice the
+    price, the other years keep their files."""
+    name = _table_name("orders")
+    o = _t(spark, sf, "orders").withColumn("order_year", F.year("o_orderdate"))
+    tables.ensure_table(spark, name, o.schema, ["order_year"], scratch_path(spark, "tables", name))
+    tables.replace_partitions(o, name)  # into the empty table: every partition
+    late = spark.table(name).filter((F.col("order_year") >= REPLACE_FROM) & (F.col("o_orderpriority") == URGENT))
+    tables.replace_partitions(late.withColumn("o_totalprice", F.col("o_totalprice") * 2), name)
+    return spark.table(name)
+
+
+def q_table_merged(spark, sf):
+    """SCD1 into a catalog table: only the key buckets of the changes are read
+    and rewritten."""
+    name, keys = _table_name("dim"), ["customer_id"]
+    tables.create_keyed(dim_initial(spark, sf), name, keys, KEY_BUCKETS, scratch_path(spark, "tables", name))
+    ch = stage(change_set(spark, sf, spark.table(name).drop(tables.BUCKET)), "changes")
+    tables.merge_into(name, ch, keys, ["city"], MERGE_DATE, KEY_BUCKETS)
+    return spark.table(name).drop(tables.BUCKET)
+
+
+def q_merge_current_date(spark, sf):
+    """FN4: the merge at ``current_date()``, shown by what it opened and closed."""
+    dim = dim_initial(spark, sf)
+    m = scd2_apply(dim, change_set(spark, sf, dim), ["customer_id"], ["city"], F.current_date())
+    return m.select("customer_id", "city", "is_current", (F.col("start_date") == F.current_date()).alias("opened_today"),
+                    F.coalesce(F.col("end_date") == F.current_date(), F.lit(False)).alias("closed_today"))
+
+
+def q_orders_as_of_customer(spark, sf):
+    """SCD7 for many dates: every order with the version of its customer that
+    held on the order's date (one merge in the middle of the orders' years)."""
+    dim = initial_load(raw_customers(spark, sf), F.to_date(F.lit(ORDERS_FROM.isoformat())))
+    ch = build_change_set(current_rows(dim), ["customer_id"], ORDERS_FRACTION, SAMPLE_SEED,
+                          {"city": rewrite_when("city", CITY_MATCH, CITY_THEN, CITY_OTHERWISE)})
+    history = scd2_apply(dim, ch, ["customer_id"], ["city"], ORDERS_MERGE)
+    orders = _t(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"), "o_orderdate")
+    return as_of_join(orders, history, ["customer_id"], F.to_date("o_orderdate"), ["city", "state", "start_date"])
+
+
+def q_events_as_of_hot(spark, sf):
+    """The same where a third of all events and versions are one user's: every
+    event with the daily version that held at its time; windows run per user
+    and day."""
+    ev = _t(spark, sf, "events").select("event_id", "ts", "event_type", F.when(
+        F.pmod(F.col("event_id"), F.lit(3)) == 0, F.lit(0).cast("long")).otherwise(F.col("user_id")).alias("user_id"))
+    half = F.date_trunc("day", F.col("ts") + F.expr("interval 12 hours")).cast("timestamp_ntz")
+    history = history_from_log(ev, ["user_id"], ["event_type"], "ts", ["event_id"], half, TIME_VALIDITY, "sound",
+                               payload=["event_id"]).withColumnsRenamed({"event_id": "version_event", "event_type": "held_type"})
+    return as_of_join(ev, history, ["user_id"], "ts", ["version_event", "held_type", "effective_time"], TIME_VALIDITY,
+                      segment=lambda t: F.date_trunc("day", t))
+
+
+def q_yearly_customers(spark, sf):
+    """AGG6 across batches: customers per year, exactly, and whether the merged
+    monthly sketches come within three standard errors."""
+    o = _t(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    monthly = distinct_sketches(o, ["year", "month"], "o_custkey")
+    sketched = estimated_keys(merge_sketches(monthly, ["year"])).select("year", "key_estimate")
+    exact = o.groupBy("year").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_custkey").alias("key_count"))
+    close = F.abs(F.col("key_estimate") - F.col("key_count")) <= F.ceil(F.col("key_count") * (3 * sketch_error(14)))
+    return exact.join(sketched, "year").select("year", "row_count", "key_count", close.alias("sketch_is_close"))
+
+
+def q_sql_bound_orders(spark, sf):
+    """QRY5: free SQL over a view with dates, numbers and text bound by name."""
+    return catalogue.run_sql(spark, """
+        SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM tm_orders
+        WHERE o_orderdate >= :since AND o_orderdate < :until AND o_orderpriority = :priority AND o_totalprice >= :least""",
+        BOUND_ORDERS, {"tm_orders": _t(spark, sf, "orders")})
+
+
+def q_sql_bound_cities(spark, sf):
+    """QRY5: a bound view name, and a value that holds quotes and SQL."""
+    return catalogue.run_sql(spark, """
+        SELECT city, count(*) AS cnt, count_if(state = :state) AS in_state FROM IDENTIFIER(:dim)
+        WHERE is_current = :is_open AND city <> :odd AND (:no_state IS NULL OR state = :no_state)
+        GROUP BY city""",
+        {"dim": "tm_dim", "is_open": True, "odd": BOUND_ODD, "state": BOUND_STATE, "no_state": None}, {"tm_dim": merged_dim(spark, sf)})
 
 
 def q_staged_merge(spark, sf):
@@ -281,11 +390,11 @@ def q_compat_stream_merge(spark, sf):
 
 
 def q_schema_evolved_read(spark, sf):
-    t = VersionedTable(spark, scratch_path(spark, "tables", "customer_evolving"))
+    root = scratch_path(spark, "snapshots", "customer_evolving")
     cust = _t(spark, sf, "customer")
-    v1 = t.publish(cust.select("c_custkey", "c_mktsegment"))
-    t.publish(cust.select("c_custkey", "c_mktsegment", "c_name", "c_nationkey", "c_acctbal"))
-    return t.read(v1, schema="latest")
+    snapshots.publish(cust.select("c_custkey", "c_mktsegment"), root, 1)
+    snapshots.publish(cust.select("c_custkey", "c_mktsegment", "c_name", "c_nationkey", "c_acctbal"), root, 2)
+    return snapshots.read_evolved(spark, root, 1)
 
 
 def q_json_events_parsed(spark, sf):
@@ -319,21 +428,53 @@ def q_csv_scan_inferred(spark, sf):
     return read_csv(spark, _customer_csv(spark, sf), infer=True)
 
 
-def q_csv_dirty_numbers(spark, sf):
-    """FN3 / FN7: numbers and dates out of text that does not always hold
-    them: ``try_cast`` gives null where a cast would fail the job."""
+def _dirty_orders_csv(spark, sf) -> str:
     o = _t(spark, sf, "orders")
     dirty = o.select("o_orderkey", F.when(F.pmod(F.col("o_orderkey"), F.lit(5)) == 0, F.lit("n/a"))
                      .otherwise(F.col("o_custkey").cast("string")).alias("cust_text"),
                      F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_text"))
     path = scratch_path(spark, "csv", "orders")
     write_csv(dirty, path)
-    raw = read_csv(spark, path)
+    return path
+
+
+def q_csv_dirty_numbers(spark, sf):
+    """FN3 / FN7: numbers and dates out of text that does not always hold
+    them: ``try_cast`` gives null where a cast would fail the job."""
+    raw = read_csv(spark, _dirty_orders_csv(spark, sf))
     return raw.select(F.col("o_orderkey").cast("long").alias("o_orderkey"),
                       F.col("cust_text").try_cast("long").alias("cust"),
                       F.to_date("date_text", "yyyy-MM-dd").alias("ordered_on"))
 
 
+def _mixed_events_csv(spark, sf) -> str:
+    """Events as text: times, numbers, flags, some of them broken or missing."""
+    ev = _t(spark, sf, "events")
+    every = lambda n: F.pmod(F.col("event_id"), F.lit(n)) == 0
+    rows = ev.select(
+        F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen"), F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.when(every(50), F.lit("unknown")).otherwise(F.col("user_id").cast("string")).alias("user"),
+        F.when(~every(7), F.col("user_id") + 3_000_000_000).alias("wide"),
+        F.when(every(2), F.lit("true")).otherwise(F.lit("FALSE")).alias("flag"),
+        F.concat(F.col("user_id"), F.lit(".5")).alias("share"), F.col("event_type").alias("kind"))
+    path = scratch_path(spark, "csv", "events")
+    write_csv(rows, path)
+    return path
+
+
+def q_csv_types(spark, sf):
+    """SRC8: the type of each column that all but 5 % of its values fit, out of
+    one counting pass."""
+    counts = type_counts(read_csv(spark, _mixed_events_csv(spark, sf)))
+    return inferred_types(counts, CSV_MISFITS).withColumnRenamed("type", "data_type")
+
+
+def q_csv_scan_lattice(spark, sf):
+    """SRC8: the typed scan that these types give; misfits are null and named."""
+    rows = read_csv_inferred(spark, _mixed_events_csv(spark, sf), CSV_MISFITS)
+    return rows.withColumn("misfits", F.array_join("misfits", ","))
+
+
 def _bronze(spark, sf) -> str:
     """Events dealt over files by their id: every file, and so every later
     micro-batch, holds events of all days."""
@@ -352,18 +493,36 @@ def q_bronze_stream_events(spark, sf):
     return spark.read.schema(EVENT_SCHEMA).parquet(_bronze(spark, sf))
 
 
-def _silver(spark, sf, mode: str) -> DataFrame:
+def _silver(spark, sf, mode: str, crash_after: int | None = None) -> DataFrame:
+    """Bronze to silver in several micro-batches.  ``crash_after`` fails the
+    query once, after that batch has been written and before its checkpoint
+    knows; it is then started again."""
     bronze = _bronze(spark, sf)
     files = len(spark.read.schema(EVENT_SCHEMA).parquet(bronze).inputFiles())
-    target = VersionedTable(spark, scratch_path(spark, "tables", f"silver_{mode}"),
-                            buckets=16, bucket_keys=["user_id"])
     src = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max(1, -(-files // 3))).parquet(bronze)
-    q = start_silver(src, target, ["user_id"], ["event_type"], "ts", event_day(),
-                     HISTORY_COLUMNS, scratch_path(spark, "checkpoints", "silver"),
-                     tiebreak=["event_id"], v=TIME_VALIDITY, mode=mode,
-                     name=f"silver_{mode}_{uuid.uuid4().hex[:8]}")
-    q.awaitTermination()
-    return history(target)
+    target = silver_table(spark, scratch_path(spark, "tables", f"silver_{mode}"), src, ["user_id"], ["event_type"], "ts",
+                          event_day(), HISTORY_COLUMNS, ["event_id"], TIME_VALIDITY, mode)
+    checkpoint, name = scratch_path(spark, "checkpoints", "silver"), f"silver_{mode}_{uuid.uuid4().hex[:8]}"
+    if crash_after is not None:
+        write = silver_batch(target, event_day(), name)
+
+        def fails(batch: DataFrame, batch_id: int) -> None:
+            write(batch, batch_id)
+            if batch_id == crash_after:
+                raise RuntimeError("crash after the sink's write")
+
+        try:
+            start_foreach_batch(src, fails, checkpoint, name).awaitTermination()
+        except StreamingQueryException as e:
+            if "crash after the sink's write" not in str(e):
+                raise
+    start_silver(src, target, event_day(), checkpoint, name).awaitTermination()
+    return target.history()
+
+
+def q_silver_recovered(spark, sf):
+    """STR4: the history after a crash between sink and checkpoint."""
+    return _silver(spark, sf, "sound", crash_after=0)
 
 
 def q_silver_scd2_stream(spark, sf):
@@ -453,7 +612,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_before_merge": q_snapshot_before_merge,
     "snapshot_after_merge": q_snapshot_after_merge,
     "snapshot_diff": q_snapshot_diff,
+    "snapshot_rows": q_snapshot_rows,
     "data_files": q_data_files,
+    "table_partitions_replaced": q_table_partitions_replaced,
+    "table_merged": q_table_merged,
+    "merge_current_date": q_merge_current_date,
+    "orders_as_of_customer": q_orders_as_of_customer,
+    "events_as_of_hot": q_events_as_of_hot,
+    "yearly_customers": q_yearly_customers,
+    "sql_bound_orders": q_sql_bound_orders,
+    "sql_bound_cities": q_sql_bound_cities,
     "schema_evolved_read": q_schema_evolved_read,
     "json_events_parsed": q_json_events_parsed,
     "json_props_parsed": q_json_props_parsed,
@@ -463,6 +631,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_stream_events": q_bronze_stream_events,
     "silver_scd2_stream": q_silver_scd2_stream,
     "silver_scd2_compat": q_silver_scd2_compat,
+    "silver_recovered": q_silver_recovered,
     "event_history_sound": q_event_history_sound,
     "event_history_compat": q_event_history_compat,
     "event_versions_sound": q_event_versions_sound,
@@ -471,9 +640,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_hot_parent_flat": q_orders_hot_parent_flat,
     "menu_multi_item_hot": q_menu_multi_item_hot,
     "items_size_filter": q_items_size_filter,
+    "items_size_filter_hot": q_items_size_filter_hot,
     "key_history": q_key_history,
     "staged_merge": q_staged_merge,
     "merge_odd_rows": q_merge_odd_rows,
     "compat_stream_merge": q_compat_stream_merge,
     "csv_dirty_numbers": q_csv_dirty_numbers,
+    "csv_types": q_csv_types,
+    "csv_scan_lattice": q_csv_scan_lattice,
 }

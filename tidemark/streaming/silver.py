@@ -1,103 +1,127 @@
-"""Silver: a stream of change events → type-2 history, one merge per
-micro-batch (SCD2, SNK4, STR6, STR7, STR12, EXT1).
-
-The table holds the *entries* a history is computed from: the last event per
-key and period (for example the event day).  A micro-batch is cut to its own
-entries, folded into those of its keys' buckets (the greater event time wins,
-whichever came first), and the versions of these buckets are marked anew.  So
-the history equals a rebuild from the whole log however micro-batches cut or
-order it: late events, a change back within a period and null keys included.
-An entry that repeats its predecessor is kept as a row that is no version;
-``history`` leaves such rows out.
-
-Replays are safe (L10): each commit records ``writer`` and ``batch_id``, a
-batch already committed is skipped, and a commit against a version that is no
-longer the latest fails.
+"""Silver: a stream of change events → type-2 history (SCD2, SNK4, STR4, STR6,
+STR7, STR12, EXT1).
+
+The table holds the *entries* that a history is computed from: the last event
+per key and period (for example the event day).  A micro-batch is cut to its
+own entries and written to a folder of its own, so what a trigger reads and
+writes follows the batch, not the table.  Reading folds the entries (per key
+and period the greatest event time wins, whichever came first) and marks the
+versions.  So the history equals a rebuild from the whole log however
+micro-batches cut or order it: late events, a change back within a period and
+null keys included.
+
+Folding the same entries twice changes nothing.  That makes replays safe
+without a commit log: a batch that runs again after a crash overwrites its own
+folder, a folder counts once Spark has marked it complete, and ``compact`` (run
+outside the trigger, to bound the number of folders) may stop at any point.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedupe import latest_per_key
-from ..operators.scd2 import TIME_VALIDITY, Validity, mark_versions, merge_entries
-from ..plans.versions import SnapshotNotFound, VersionedTable
+from ..operators.scd2 import TIME_VALIDITY, Validity, history_from_entries
 
-IS_VERSION = "is_version"
+AT = "entry_at"
 
 
-def entries_schema(data: T.StructType, start_type: T.DataType, v: Validity) -> T.StructType:
-    return T.StructType(list(data.fields) + [
-        T.StructField(v.start, start_type), T.StructField(v.end, start_type),
-        T.StructField(v.current, T.BooleanType()), T.StructField(IS_VERSION, T.BooleanType())])
-
-
-def history(target: VersionedTable, snapshot_id: int | None = None) -> DataFrame:
-    """The type-2 history a silver table holds."""
-    return target.read(snapshot_id).filter(IS_VERSION).drop(IS_VERSION)
-
-
-def already_committed(base: dict, target: VersionedTable, writer: str, batch_id: int) -> bool:
-    """Batches of a writer run in order, so its most recent commit decides."""
-    while True:
-        if base["summary"].get("writer") == writer:
-            return int(base["summary"].get("batch_id", -1)) >= batch_id
-        if not base["parent_id"]:
-            return False
-        try:
-            base = target.load(base["parent_id"])
-        except SnapshotNotFound:
-            return False
+@dataclass(frozen=True)
+class SilverTable:
+    """A folder of entries and how its history is read.
 
+    ``schema`` holds the data columns kept (keys, tracked columns, payload,
+    and ``order``, which decides between two events of a period: event time,
+    then tie-breaks) and the period ``entry_at``.
+    """
 
-def _versions(entries: DataFrame, keys: list[str], tracked: list[str], columns: list[str], v: Validity,
-              mode: str) -> DataFrame:
-    """Entries (data columns and ``__at``) as rows of the table."""
-    marked = mark_versions(entries, keys, tracked, "__at", (), mode)
-    end = F.when(F.col("__version"), F.col("__end"))
-    return marked.select(*columns, F.col("__at").alias(v.start), end.alias(v.end),
-                         (F.col("__version") & F.col("__end").isNull()).alias(v.current),
-                         F.col("__version").alias(IS_VERSION))
+    spark: SparkSession
+    root: str
+    schema: T.StructType
+    keys: tuple[str, ...]
+    tracked: tuple[str, ...]
+    order: tuple[str, ...]
+    v: Validity = TIME_VALIDITY
+    mode: str = "sound"
+
+    def _fs(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+        return path, path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())  # noqa: SLF001
+
+    def folders(self) -> list[str]:
+        """Folders that Spark has marked complete."""
+        path, fs = self._fs()
+        found = fs.globStatus(path(f"{self.root}/*/_SUCCESS"))
+        return sorted(s.getPath().getParent().toString() for s in (found or []))
+
+    def append(self, events: DataFrame, folder: str) -> None:
+        """Write the entries of ``events`` (which hold ``entry_at``) to a folder
+        of their own, in place of what it held."""
+        one = latest_per_key(events.select(*self.schema.names), [*self.keys, AT], list(self.order))
+        one.write.mode("overwrite").parquet(f"{self.root}/{folder}")
+
+    def entries(self, folders: Sequence[str] | None = None) -> DataFrame:
+        """One entry per key and period."""
+        paths = self.folders() if folders is None else folders
+        rows = self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+        return latest_per_key(rows, [*self.keys, AT], list(self.order))
+
+    def history(self, segment: str | None = None) -> DataFrame:
+        """The type-2 history; ``segment`` as in ``history_from_entries``."""
+        hist = history_from_entries(self.entries(), self.keys, self.tracked, AT, (), self.v, self.mode, segment)
+        return hist.select(*[c for c in self.schema.names if c != AT], *self.v.names)
+
+    def compact(self) -> None:
+        """Fold all complete folders into one.  Readers that planned on the
+        folders before must read again."""
+        path, fs = self._fs()
+        old = self.folders()
+        if len(old) > 1:
+            self.entries(old).write.parquet(f"{self.root}/folded-{uuid.uuid4().hex}")
+            for f in old:
+                fs.delete(path(f), True)
+
+    def rebuild(self, events: DataFrame) -> None:
+        """Replace all entries by those of a whole change log (for example the
+        bronze table)."""
+        path, fs = self._fs()
+        old = self.folders()
+        self.append(events, f"folded-{uuid.uuid4().hex}")
+        for f in old:
+            fs.delete(path(f), True)
+
+
+def silver_table(spark: SparkSession, root: str, source: DataFrame, keys: Sequence[str], tracked: Sequence[str],
+                 ts: str, period: Column | None, columns: Sequence[str], tiebreak: Sequence[str] = (),
+                 v: Validity = TIME_VALIDITY, mode: str = "sound") -> SilverTable:
+    """The table of a source's ``columns``; nothing is written yet."""
+    order = [ts, *tiebreak]
+    if not set(order) <= set(columns):
+        raise ValueError(f"columns must hold {order}: they decide between events of a period")
+    return SilverTable(spark, root.rstrip("/"), stamped(source.select(*columns), period).schema, tuple(keys),
+                       tuple(tracked), tuple(order), v, mode)
 
 
-def silver_batch(target: VersionedTable, keys: Sequence[str], tracked: Sequence[str],
-                 ts: str, period: Column | None, columns: Sequence[str],
-                 tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
-                 mode: str = "sound", writer: str = "silver") -> Callable[[DataFrame, int], None]:
-    """EXT1: the per-micro-batch function for ``foreachBatch``.
+def stamped(events: DataFrame, period: Column | None) -> DataFrame:
+    """Events with their period.  ``None`` makes a whole micro-batch one period
+    at its processing time, as the per-trigger MERGE does (its history then
+    depends on how batches are cut)."""
+    return events.withColumn(AT, period if period is not None else F.current_timestamp())
 
-    ``columns`` are the data columns kept: keys, tracked columns, payload, and
-    ``ts`` with the ``tiebreak``, which decide between two events of a period.
-    ``period=None`` makes the whole micro-batch one period stamped with the
-    merge time, as the per-trigger MERGE does (its history then depends on
-    how batches are cut).
-    """
-    keys, tracked, columns, order = list(keys), list(tracked), list(columns), [ts, *tiebreak]
-    if not set(order) <= set(columns):
-        raise ValueError(f"columns must hold {order}: they decide between events of a period")
 
+def silver_batch(target: SilverTable, period: Column | None, writer: str = "silver") -> Callable[[DataFrame, int], None]:
+    """EXT1: the per-micro-batch function for ``foreachBatch``.  ``writer``
+    names one checkpoint: its batch ids name the folders."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        base = target.entry()
-        if already_committed(base, target, writer, batch_id):
-            return
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():  # STR6
-                return
-            stamp = period if period is not None else F.current_timestamp()
-            fresh = latest_per_key(batch.select(*columns, stamp.alias("__at")), [*keys, "__at"], order)
-            touched = target.touched(batch)
-            held = target.at(base, touched).select(*columns, F.col(v.start).alias("__at"))
-            entries = merge_entries(held, fresh, keys, "__at", order)
-            target.replace(base, _versions(entries, keys, tracked, columns, v, mode), touched, "merge",
-                           {"writer": writer, "batch_id": batch_id, "mode": mode})
-        finally:
-            batch.unpersist()
+        if not batch.isEmpty():  # STR6
+            target.append(stamped(batch, period), f"{writer}-{batch_id}")
 
     return run
 
@@ -113,34 +137,9 @@ def start_foreach_batch(source: DataFrame, fn: Callable[[DataFrame, int], None],
     return w.start()
 
 
-def ensure_silver(target: VersionedTable, source: DataFrame, columns: Sequence[str], period: Column | None,
-                  v: Validity = TIME_VALIDITY) -> None:
-    """Create the empty table for a source's columns, unless it exists."""
-    stamp = period if period is not None else F.current_timestamp()
-    start_type = source.select(stamp.alias("p")).schema["p"].dataType
-    target.ensure(entries_schema(T.StructType([source.schema[c] for c in columns]), start_type, v))
-
-
-def start_silver(source: DataFrame, target: VersionedTable, keys: Sequence[str],
-                 tracked: Sequence[str], ts: str, period: Column | None, columns: Sequence[str],
-                 checkpoint: str, tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
-                 mode: str = "sound", name: str = "silver", trigger: str | None = None) -> StreamingQuery:
+def start_silver(source: DataFrame, target: SilverTable, period: Column | None, checkpoint: str,
+                 name: str = "silver", trigger: str | None = None) -> StreamingQuery:
     """SNK4 / STR12: run the silver merge over a stream (for example the
     bronze folder read with ``readStream``).  ``trigger="15 seconds"`` for a
     service; ``availableNow`` (default) drains what is there and stops."""
-    ensure_silver(target, source, columns, period, v)
-    fn = silver_batch(target, keys, tracked, ts, period, columns, tiebreak, v, mode, writer=name)
-    return start_foreach_batch(source, fn, checkpoint, name, trigger)
-
-
-def rebuild_history(target: VersionedTable, log: DataFrame, keys: Sequence[str],
-                    tracked: Sequence[str], ts: str, period: Column, columns: Sequence[str],
-                    tiebreak: Sequence[str] = (), v: Validity = TIME_VALIDITY,
-                    mode: str = "sound") -> int:
-    """Recompute the whole table from the change log (for example the bronze
-    table) as a new version.  Fails, like every merge, if a running stream
-    commits meanwhile."""
-    keys, tracked, columns = list(keys), list(tracked), list(columns)
-    base = target.entry()
-    entries = latest_per_key(log.select(*columns, period.alias("__at")), [*keys, "__at"], [ts, *tiebreak])
-    return target.replace(base, _versions(entries, keys, tracked, columns, v, mode), None, "rebuild", {"mode": mode})
+    return start_foreach_batch(source, silver_batch(target, period, writer=name), checkpoint, name, trigger)
