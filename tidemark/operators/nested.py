@@ -13,9 +13,11 @@ the same answers whatever ``max_items`` is.
    cannot make a hot key; a count above ``max_items`` is cut in pieces.
 2. Items per parent are summed from those counts.
 3. A piece's chunk is a hash of its content: the same on every task attempt.
+   Parents of one chunk need no lookup; the others' numbers of chunks are joined
+   on the parent and a salt.
 4. ``groupBy(parent, chunk)`` folds the chunks, and the parents' rows, one per
    chunk, are joined to them on both, so no task gathers a parent.  Parents
-   without items come from an anti-join.
+   without items come out of the same joins.
 
 ``item_count`` is stored beside the array, since ``size(array)`` is neither
 pushed to parquet nor pruned.
@@ -28,6 +30,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Tasks that share the pieces of a parent of several chunks before these are dealt.
+SALTS = 16
+
 
 def item_struct(fields: Sequence[str | Column], name: str = "item") -> Column:
     """PRJ6: pack columns into a struct; every field keeps a name (L4)."""
@@ -46,27 +51,33 @@ def nest_items(parent: DataFrame, items: DataFrame, on: str | Sequence[str],
     on = [on] if isinstance(on, str) else list(on)
     counted = items.select(*on, item_struct(fields, "__item")).groupBy(*on, "__item") \
         .agg(F.count(F.lit(1)).alias("__copies"))
+    sizes = counted.groupBy(*on).agg(F.sum("__copies").alias("__total"))
+    chunks = F.ceil(F.col("__total") / max_items).cast("int")
     pieces = counted.withColumn("__piece", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / max_items))))
     pieces = pieces.withColumn("__n", F.least(
         F.lit(max_items).cast("long"), F.col("__copies") - F.col("__piece") * max_items).cast("int"))
-    sizes = counted.groupBy(*on).agg(F.sum("__copies").alias("__total"))
-    chunks = F.ceil(F.col("__total") / max_items)
-    spread = pieces.join(sizes, on).withColumn(
-        "chunk", F.pmod(F.xxhash64("__item", "__piece"), chunks).cast("int"))
+    # Only parents of several chunks need their number of chunks; a salt keeps
+    # such a parent's pieces from meeting in one task before they are dealt.
+    large = sizes.filter(F.col("__total") > max_items).select(
+        *on, chunks.alias("__chunks"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    salted = pieces.withColumn("__salt", F.pmod(F.xxhash64("__piece", "__item"), F.lit(SALTS)).cast("int"))
+    spread = salted.join(large, [*on, "__salt"], "left").withColumn(
+        "chunk", F.coalesce(F.pmod(F.xxhash64("__item", "__piece"), F.col("__chunks")).cast("int"), F.lit(0)))
     # sort_array gives a fixed order (L16): structs sort field by field, so
     # put the item's own ordering fields first.
     folded = spread.groupBy(*on, "chunk").agg(
         F.sort_array(F.flatten(F.collect_list(F.array_repeat("__item", F.col("__n"))))).alias(name))
     # A parent's row goes to each of its chunks, so that the chunks stay where
-    # they were folded.  Both sides grow with the data: never broadcast the
-    # arrays on a size estimate taken from compressed files.
-    rows = parent.join(sizes, on).withColumn("chunk", F.explode(F.sequence(F.lit(0), (chunks - 1).cast("int"))))
-    out = [*parent.columns, "chunk", F.col("__total").cast("long").alias(count_col), name]
-    with_items = rows.join(folded.hint("merge"), [*on, "chunk"]).select(*out)
-    null_items = F.lit(None).cast(with_items.schema[name].dataType)
-    return with_items.unionByName(childless(parent, items, on).select(
-        *parent.columns, F.lit(0).alias("chunk"), F.lit(0).cast("long").alias(count_col), null_items.alias(name)))
+    # they were folded; one without items keeps one row.  Both sides grow with
+    # the data: never broadcast the arrays on a size estimate taken from
+    # compressed files.
+    rows = parent.join(sizes, on, "left").withColumn("chunk", F.explode(F.sequence(
+        F.lit(0), F.coalesce(chunks - 1, F.lit(0)))))
+    # A chunk that no piece fell in is no row.
+    whole = rows.join(folded.hint("merge"), [*on, "chunk"], "left").filter(F.col(name).isNotNull() | F.col("__total").isNull())
+    return whole.select(
+        *parent.columns, "chunk", F.coalesce("__total", F.lit(0)).cast("long").alias(count_col), name)
 
 
 def childless(parent: DataFrame, items: DataFrame, on: str | Sequence[str]) -> DataFrame:
