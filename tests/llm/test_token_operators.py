@@ -16,12 +16,12 @@ from tidemark.llm.vocab import Encoder, vocabulary
 BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
 ODD = ["", " ", "a  b", " x", "x \n y", "don't  'll 12 34  a\n\n b", "é ñ  z  w \x1c k", "<|endoftext|> a <|endoftext|>",
        " ́a b", "A\tB \r\n C", "ΑΣ ΣΑΣ. Σ İstanbul", "²³¼ ªº µ ×÷", "日本語 テキスト", "😀 x😀y", "  nb sp ­-", "x" * 3000,
-       "'s 're 'RE we've", "a b c", "﻿bom text", "word, word. word!"]
+       "end <|endoftext|> start", "a<|endoftext|>b <|startoftext|>c", "<|ENDOFTEXT|> <|EndOfText|> A<|", "<|endoftext|>  <|endoftext|>\n",
+       "É<|startoftext|> É X <|endoftext|>.", " <|endoftext|> ", "'s 're 'RE we've", "a b c", "﻿bom text", "word, word. word!"]
 
 
 def library(name):
     tok = Tokenizer.from_file(vocabulary(name))
-    tok.encode_special_tokens = True
     return lambda text: tok.encode(text or "", add_special_tokens=False).ids
 
 
@@ -31,7 +31,7 @@ def test_pieces_encode_like_whole_texts(monkeypatch, name, cut):
 
     monkeypatch.setattr(vocab, "MAX_REMEMBERED", 50)
     rng = random.Random(1)
-    parts = [*ODD, "the", " ", "  ", "\n", "word", "É", "12", "'s", ".", "\t"]
+    parts = [*ODD, "<|endoftext|>", "<|startoftext|>", "<|", "|>", "the", " ", "  ", "\n", "word", "É", "12", "'s", ".", "\t"]
     texts = ODD + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(400)]
     whole = library(name)
     for t, ids in zip(texts, Encoder(vocabulary(name), cut)(texts)):

@@ -77,8 +77,9 @@ def byte_level_pieces(text: str) -> list[str]:
 
 def word_pieces(text: str) -> list[str]:
     """Cut at blanks; this vocabulary drops white space.  It also drops case,
-    so a text whose characters fold one by one is folded at once."""
-    if _PLAIN.match(text):
+    so a text whose characters fold one by one is folded at once (but where
+    that could make an added token's string, or break one)."""
+    if "<|" not in text and _PLAIN.match(text):
         text = text.lower()
     return [p for p in text.split(" ") if p]
 
@@ -120,7 +121,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings are ordinary text
+        #: Strings that the library takes for a token wherever they stand.
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.cut = {"byte": byte_level_pieces, "word": word_pieces}[cut]
         self.words = cut == "word"
         self.pre = re.compile(PRE_TOKEN[cut]).findall
@@ -137,6 +139,9 @@ class Encoder:
     def _encode(self, piece: str) -> bytes:
         """The library's merges on each pre-token of a Latin piece; any other
         piece goes through the library's whole pipeline."""
+        if any(a in piece for a in self.added):
+            text = piece if self.words else spelled(piece)
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         word, mark = (piece[:-1], piece[-1]) if piece[-1] in ".," else (piece, "")
         word = word.lower() if self.words else word
         if word.isalpha() and max(word) < "\u0250":  # the usual piece: a word, and perhaps a mark
