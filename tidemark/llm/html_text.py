@@ -3,10 +3,14 @@
 The page becomes a tree of block elements.  Parts that are never the article
 (menus, headers, footers, sidebars, forms, scripts, hidden parts, and parts
 whose class, id or role names an advert, a notice, comments and the like) are
-left out.  Each block with text of its own passes points for length and commas
-to its ancestors, less with distance and discounted by its share of link text.
-The best container is kept, with siblings that score near it or read like its
-paragraphs.  Its blocks are joined in page order by one newline.
+left out.  Where a name says this only in part (``social-policy``), or another
+one says the opposite (``post comments``), what the part holds decides: it goes
+if the rest of the page still reads like an article beside it.  Each block with
+text of its own passes points for length and commas to its ancestors, less with
+distance and discounted by its share of link text.  The best container is kept,
+with siblings that score near it or read like parts of it; lists of links go
+where they stand before or after all its text, and stay inside it.  Its blocks
+are joined in page order by one newline.
 
 Edge cases: a null or empty page gives an empty text; broken markup is read as
 browsers do for the common cases (unclosed paragraphs and list items, stray end
@@ -29,7 +33,7 @@ _TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?/][^a-zA-Z>][^>]*(?:>|\Z)|</?>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
-_NAMED = re.compile(r"""\b(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in (
     "script", "style", "textarea", "title", "noscript", "iframe", "template", "noembed", "noframes", "xmp")}
 
@@ -37,7 +41,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby "
                     "s samp small span strike strong sub sup time tt u var".split())
 _LEFT_OUT = frozenset("head nav header footer aside form button select menu svg math canvas video audio object "
-                      "dialog map datalist fieldset figcaption".split())
+                      "dialog map datalist fieldset".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _KEEP_ALWAYS = frozenset("html body article main".split())
 #: What an opening tag closes, and where the search for it stops.
@@ -51,35 +55,52 @@ _JUNK = frozenset("ad ads adv advert adverts advertisement advertising adsense b
                   "sidebar signup skyscraper social sponsor sponsored subscribe subscription tags toolbar widget "
                   "widgets complementary".split())
 _GOOD = frozenset("article content entry main post story".split())
+#: Words that say nothing about what a part holds.
+_PLAIN = frozenset("area bar block body bottom box center column container first global group holder inner item items "
+                   "js last layout left link links list page panel primary reader right section secondary site top "
+                   "user wrap wrapper".split())
+#: A name that begins so says what a part is not, or only how it is laid out.
+_DENIES = frozenset("has hide is no non not with without".split())
 _PARTS = re.compile(r"[^a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: What a name, or a part, says: article or nothing; doubtful; left out.
+_KEPT, _DOUBT, _OUT = 0, 1, 2
 
 
 class Node:
     """A block element: its text pieces ``(text, in a link)`` and blocks, in order."""
 
-    __slots__ = ("tag", "parent", "items", "good", "score", "length", "linked")
+    __slots__ = ("tag", "parent", "items", "good", "doubt", "score", "length", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, good: bool = False):
-        self.tag, self.parent, self.good = tag, parent, good
+    def __init__(self, tag: str, parent: Node | None, good: bool = False, doubt: bool = False):
+        self.tag, self.parent, self.good, self.doubt = tag, parent, good, doubt
         self.items: list = []
         self.score = 0.0
         self.length = self.linked = 0
 
 
-def _described(attributes: str) -> tuple[bool, bool]:
-    """Whether the attributes name a part that is left out / a main part."""
-    junk = good = False
-    for name, value in _NAMED.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            junk = True
-        elif name == "style":
-            junk = junk or "display:none" in value.replace(" ", "")
-        elif name in ("class", "id", "role"):
-            parts = set(_PARTS.split(value))
-            junk = junk or not _JUNK.isdisjoint(parts)
-            good = good or not _GOOD.isdisjoint(parts)
-    return junk, good
+def _name(token: str) -> tuple[int, bool]:
+    """What one class name, id or role says; whether it names a main part."""
+    parts = [p for p in _PARTS.split(_CAMEL.sub("-", token).lower()) if p]
+    junk, good = _JUNK.intersection(parts), not _GOOD.isdisjoint(parts)
+    if not junk or parts[0] in _DENIES:
+        return _KEPT, good and not junk
+    return (_DOUBT, False) if good or not junk | _PLAIN >= set(parts) else (_OUT, False)
+
+
+def _described(attributes: str) -> tuple[int, bool]:
+    """What the attributes say of their element; whether they name a main part."""
+    says, good = _KEPT, False
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), value.strip("\"'")
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") \
+                or (name == "style" and "display:none" in value.replace(" ", "").lower()):
+            return _OUT, False
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                one, main = _name(token)
+                says, good = max(says, one), good or main
+    return (_DOUBT if says == _OUT and good else says), good
 
 
 def tree(page: str) -> Node:
@@ -143,10 +164,10 @@ def tree(page: str) -> Node:
             at = page.find(">", m.end()) + 1 or size
             continue
         if tag in _INLINE:
-            junk, _ = _described(rest) if rest else (False, False)
+            says, _ = _described(rest) if rest else (_KEPT, False)
             stack.append((tag, None))
             opened[tag] += 1
-            if skip is None and junk:
+            if skip is None and says == _OUT:
                 skip = len(stack) - 1
             if tag == "a":
                 link = len(stack) - 1
@@ -163,12 +184,13 @@ def tree(page: str) -> Node:
                 close(len(stack) - 1)
         if tag == "body" and opened["head"]:
             close(next(i for i, (t, _) in enumerate(stack) if t == "head"))
-        junk, good = _described(rest) if rest else (False, False)
+        says, good = _described(rest) if rest else (_KEPT, False)
+        says = _KEPT if tag in _KEEP_ALWAYS else says
         stack.append((tag, node))
         opened[tag] += 1
-        if skip is None and (tag in _LEFT_OUT or (junk and tag not in _KEEP_ALWAYS)):
+        if skip is None and (tag in _LEFT_OUT or says == _OUT):
             skip = len(stack) - 1
-        child = Node(tag, node, good or tag in ("article", "main"))
+        child = Node(tag, node, good or tag in ("article", "main"), says == _DOUBT)
         if skip is None:
             node.items.append(child)
         node = child
@@ -187,6 +209,37 @@ def in_order(root: Node) -> list[Node]:
     return out
 
 
+def settle(root: Node) -> None:
+    """Takes out the doubtful parts beside which the rest of the page still has
+    a quarter of their plain text; the others count as parts of the article,
+    and what is doubtful inside them is settled in the same way."""
+    nodes = in_order(root)
+    if not any(n.doubt for n in nodes):
+        return
+    plain = {id(n): 0 for n in nodes}
+    for n in reversed(nodes):
+        plain[id(n)] += sum(len(x[0].strip()) for x in n.items if not isinstance(x, Node) and not x[1])
+        if n.parent is not None:
+            plain[id(n.parent)] += plain[id(n)]
+    todo = [root]
+    while todo:
+        top, doubtful = todo.pop(), []
+        inside = [x for x in top.items if isinstance(x, Node)]
+        while inside:
+            n = inside.pop()
+            if n.doubt:
+                doubtful.append(n)
+            else:
+                inside += [x for x in n.items if isinstance(x, Node)]
+        rest = plain[id(top)] - sum(plain[id(n)] for n in doubtful)
+        for n in doubtful:
+            if 4 * rest >= plain[id(n)]:
+                n.parent.items = [x for x in n.parent.items if x is not n]
+            else:
+                n.doubt = False
+                todo.append(n)
+
+
 def score(root: Node) -> list[Node]:
     """Sets lengths, link shares and scores; returns all blocks."""
     nodes = in_order(root)
@@ -214,57 +267,78 @@ def score(root: Node) -> list[Node]:
 
 
 def _link_list(n: Node) -> bool:
-    return n.tag in ("ul", "ol", "dl", "table", "div", "section") and n.length > 0 and n.linked > 0.5 * n.length
+    """A list whose text is (nearly) all links; a table has cells of its own."""
+    return n.tag in ("ul", "ol", "dl", "div", "section") and n.length > 0 and n.linked > 0.8 * n.length
 
 
-def blocks(root: Node) -> list[str]:
-    """Texts of the blocks under ``root`` in page order; lists of links inside
-    it are left out."""
-    out: list[str] = []
+def blocks(root: Node) -> list[tuple[str, bool]]:
+    """Texts of the blocks under ``root`` in page order, and whether each is
+    part of a list of links."""
+    out: list[tuple[str, bool]] = []
     held: list[str] = []
+    links: Node | None = root if _link_list(root) else None  # the outermost such list
 
     def flush() -> None:
         line = " ".join("".join(held).split())
         held.clear()
         if line:
-            out.append(line)
+            out.append((line, links is not None))
 
-    todo: list = [iter(root.items)]
+    todo: list = [(root, iter(root.items))]
     while todo:
-        for x in todo[-1]:
+        for x in todo[-1][1]:
             if not isinstance(x, Node):
                 held.append(x[0])
-            elif not _link_list(x):
+            else:
                 flush()
-                todo.append(iter(x.items))
+                if links is None and _link_list(x):
+                    links = x
+                todo.append((x, iter(x.items)))
                 break
         else:
             flush()
-            todo.pop()
+            if todo.pop()[0] is links:
+                links = None
     return out
 
 
+def _text(parts: list[tuple[str, bool]]) -> str:
+    """Blocks as one text, without the lists of links at its ends."""
+    plain = [i for i, (_, links) in enumerate(parts) if not links]
+    return "\n".join(x for x, _ in parts[plain[0]:plain[-1] + 1]) if plain else ""
+
+
+def _belongs(x: Node, best: Node) -> bool:
+    """Whether a sibling of the best container is part of the article."""
+    if not x.length or _link_list(x):
+        return False
+    share = x.linked / x.length
+    if share < 0.5 and x.score >= max(10.0, 0.2 * best.score):
+        return True
+    if share >= 0.25:
+        return False
+    if x.tag == "p" or (x.tag in ("section", "article") and x.tag == best.tag):
+        return True
+    return x.tag in ("blockquote", "pre", "figure", "ul", "ol", "table") and x.length > 80
+
+
 def main_text(page: str | None) -> str:
     """The article's text, or an empty string."""
     if not page:
         return ""
-    nodes = score(tree(page))
+    root = tree(page)
+    settle(root)
+    nodes = score(root)
     best = max(nodes, key=lambda n: n.score)
     if best.score <= 0:
-        return "\n".join(blocks(nodes[0]))
+        best = nodes[0]
     if best.parent is None:
-        return "\n".join(blocks(best))
-    out: list[str] = []
+        return _text(blocks(best))
+    out: list[tuple[str, bool]] = []
     for x in best.parent.items:
-        if x is best:
+        if x is best or (isinstance(x, Node) and _belongs(x, best)):
             out += blocks(x)
-        elif isinstance(x, Node) and x.length and not _link_list(x):
-            share = x.linked / x.length
-            alike = x.score >= max(10.0, 0.2 * best.score)
-            reads = x.tag == "p" and best.tag == "p" or x.tag == "p" and x.length > 80 and share < 0.25
-            if (alike and share < 0.5) or reads:
-                out += blocks(x)
-    return "\n".join(out)
+    return _text(out)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
