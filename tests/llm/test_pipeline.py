@@ -17,7 +17,7 @@ from tidemark.llm.queries import QUERIES
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 

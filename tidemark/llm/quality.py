@@ -2,26 +2,30 @@
 only.
 
 Each document's histogram of character classes and of common function words is
-compared with the reference of its language: the summed histogram of all
-documents of that language.  The measure is the Jensen-Shannon distance (base
-2, in [0, 1]).  A histogram is judged only above a minimum mass, so short
-texts are never rejected for chance.
+compared with the reference of its language, by the Jensen-Shannon distance
+(base 2, in [0, 1]).  The references are fixed values of everyday prose, so a
+verdict depends on the document alone, whatever else is in the table.  A
+histogram is judged only above a minimum mass, so short texts are never
+rejected for chance.
+
+The first part of ``lang`` counts (``en-GB`` is ``en``), in any case.  Of a
+language without a reference (a null or empty one too) only the classes are
+judged: letters outside ASCII count as lower case there, since its script is
+not known, and its common words are not known either.
 
 Edge cases: a null or empty text has no words, fails the base rule and has
-distance 0; a null language is a language of its own; repeated rows are
-judged one by one; other columns, whatever their names, pass through
-``quality_filter`` and are dropped by ``quality_rules``.
+distance 0; repeated rows are judged one by one; other columns, whatever their
+names, pass through ``quality_filter`` and are dropped by ``quality_rules``.
+Each text is read once, in one pass without a shuffle.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
-
 WORD_GAP = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -34,12 +38,33 @@ COMMON_WORDS = ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was"
                 "le", "la", "les", "des", "et", "une", "est", "que", "dans", "pour", "un", "du",
                 "el", "los", "las", "una", "con", "por", "para", "del", "se", "como", "de", "en"]
 
+# Rounded frequencies per thousand words of everyday prose.
+COMMON_PER_THOUSAND = {
+    "en": {"the": 62, "of": 30, "and": 28, "to": 26, "in": 20, "is": 11, "that": 11, "it": 11, "for": 9, "was": 9,
+           "with": 7, "on": 7},
+    "de": {"der": 30, "die": 33, "und": 27, "in": 18, "das": 11, "ist": 9, "nicht": 9, "ein": 7, "mit": 8, "auf": 7,
+           "für": 6, "zu": 10, "des": 6},
+    "fr": {"de": 45, "la": 27, "le": 22, "et": 22, "les": 19, "des": 15, "en": 13, "un": 13, "du": 12, "une": 11,
+           "est": 11, "que": 11, "pour": 9, "dans": 9, "on": 3},
+    "es": {"de": 52, "la": 38, "que": 29, "el": 28, "en": 26, "los": 17, "se": 12, "del": 12, "las": 11, "un": 11,
+           "por": 10, "con": 9, "una": 9, "para": 7, "como": 5},
+}
+# Rounded shares per thousand of the word characters of everyday
+# prose: a-z, A-Z, digits, outside ASCII, symbols, others.
+CLASSES_PER_THOUSAND = {
+    "en": [945, 25, 3, 1, 0, 26],
+    "de": [910, 45, 3, 17, 0, 25],
+    "fr": [920, 22, 3, 30, 0, 25],
+    "es": [925, 22, 3, 25, 0, 25],
+}
+#: Any other language, its letters outside ASCII taken as lower case.
+OTHER = ""
+OTHER_CLASSES = [944, 28, 3, 0, 0, 25]
+
 #: A histogram is judged from this many word characters / common words on.
 MIN_CHARS, MIN_COMMON = 200, 40
 #: Distances above these reject a document.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.33, 0.75
-#: A reference of more languages than this is joined, not broadcast.
-MAX_BROADCAST_LANGUAGES = 10_000
 
 
 def _words(text: Column) -> Column:
@@ -102,8 +127,12 @@ def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         n, *[n - _without(ink, c) for c in ("a-z", "A-Z", "0-9")], _without(ink, r"\x00-\x7F"),
         n - F.length(F.translate(ink, SYMBOLS, ""))))
     p = F.col("__parts")
-    classes = F.array(*[p[i].cast("double") for i in range(1, 6)],
-                      (p[0] - p[1] - p[2] - p[3] - p[4] - p[5]).cast("double"))
+    lang = F.lower(F.split_part(F.regexp_replace(F.coalesce(F.col(lang_col), F.lit("")), "_", "-"), F.lit("-"), F.lit(1)))
+    lang = F.when(lang.isin(*CLASSES_PER_THOUSAND), lang).otherwise(F.lit(OTHER))
+    folded = lang == OTHER
+    classes = F.array(*[c.cast("double") for c in (
+        F.when(folded, p[1] + p[4]).otherwise(p[1]), p[2], p[3], F.when(folded, F.lit(0)).otherwise(p[4]), p[5],
+        p[0] - p[1] - p[2] - p[3] - p[4] - p[5])])
     # The sorted hits' runs, as a map from word to run length.
     begins = F.filter(F.transform("__hits", lambda w, i: F.when(
         (i == 0) | (w != F.get(F.col("__hits"), i - 1)), i)), lambda i: i.isNotNull())
@@ -112,16 +141,16 @@ def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     d = _computed(d, __runs=F.map_from_entries(runs))
     counts = F.array(*[F.coalesce(F.try_element_at("__runs", F.lit(w)), F.lit(0)).cast("double")
                        for w in COMMON_WORDS])
-    d = _computed(d, __lang=F.coalesce(F.col(lang_col), F.lit("")), __classes=classes, __common=counts)
+    d = _computed(d, __lang=lang, __classes=classes, __common=counts)
     return d.drop("__ink", "__parts", "__hits", "__runs")
 
 
-def references(hist: DataFrame) -> DataFrame:
-    """Summed histograms per language: one small row per language, combined
-    in every map task before the shuffle."""
-    sums = lambda c, n: F.array(*[F.sum(F.col(c)[i]) for i in range(n)])
-    return hist.groupBy("__lang").agg(sums("__classes", 6).alias("__ref_classes"),
-                                      sums("__common", len(COMMON_WORDS)).alias("__ref_common"))
+def references(spark: SparkSession) -> DataFrame:
+    """``__lang, __ref_classes, __ref_common``: one row per language."""
+    rows = [(k, [float(x) for x in c], [float(COMMON_PER_THOUSAND[k].get(w, 0)) for w in COMMON_WORDS])
+            for k, c in CLASSES_PER_THOUSAND.items()]
+    rows.append((OTHER, [float(x) for x in OTHER_CLASSES], [0.0] * len(COMMON_WORDS)))
+    return spark.createDataFrame(rows, "__lang string, __ref_classes array<double>, __ref_common array<double>")
 
 
 def _total(a: Column) -> Column:
@@ -134,23 +163,23 @@ def js_distance(a: str, b: str) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
 
     both = F.zip_with(F.col(a), F.col(b), lambda x, y: F.struct(
-        (x / F.col(f"{a}_n")).alias("x"), (y / F.col(f"{b}_n")).alias("y")))
+        (x / F.greatest(F.col(f"{a}_n"), F.lit(1.0))).alias("x"), (y / F.greatest(F.col(f"{b}_n"), F.lit(1.0))).alias("y")))
     div = F.aggregate(both, F.lit(0.0), lambda s, z: s
                       + term(z["x"], (z["x"] + z["y"]) / 2) / 2 + term(z["y"], (z["x"] + z["y"]) / 2) / 2)
     return F.round(F.sqrt(F.greatest(div, F.lit(0.0))), 6)
 
 
-def with_distances(hist: DataFrame, refs: DataFrame) -> DataFrame:
+def with_distances(hist: DataFrame) -> DataFrame:
     """Adds ``class_distance`` and ``word_distance`` (0 below the minimum
-    mass).  ``refs`` is broadcast after its row count is checked."""
-    refs = F.broadcast(refs) if refs.count() <= MAX_BROADCAST_LANGUAGES else refs
+    mass, and where the language's words are not known)."""
     names = ("__classes", "__common", "__ref_classes", "__ref_common")
+    refs = F.broadcast(references(hist.sparkSession))  # a row for each language above
     d = _computed(hist.join(refs, "__lang"), **{f"{c}_n": _total(F.col(c)) for c in names})
-    judged = lambda c, least: F.col(f"{c}_n") >= least
+    judged = lambda c, r, least: (F.col(f"{c}_n") >= least) & (F.col(f"{r}_n") > 0)
     return _computed(
-        d, class_distance=F.when(judged("__classes", MIN_CHARS), js_distance("__classes", "__ref_classes"))
+        d, class_distance=F.when(judged("__classes", "__ref_classes", MIN_CHARS), js_distance("__classes", "__ref_classes"))
         .otherwise(F.lit(0.0)),
-        word_distance=F.when(judged("__common", MIN_COMMON), js_distance("__common", "__ref_common"))
+        word_distance=F.when(judged("__common", "__ref_common", MIN_COMMON), js_distance("__common", "__ref_common"))
         .otherwise(F.lit(0.0))).drop("__lang", *names, *[f"{c}_n" for c in names])
 
 
@@ -179,29 +208,18 @@ def kept() -> Column:
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> DataFrame:
-    """One row per document: base counts, both distances and the verdict.
-
-    The texts are read once: counts and histograms (some 60 numbers a
-    document) are written, the references are summed from them, and the
-    verdict joins the two.
-    """
+    """One row per document: base counts, both distances and the verdict."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__t"), F.col(lang_col).alias("__l"))
     hist = histograms(with_base_counts(own, "__t"), "__t", "__l").drop("__t", "__l")
-    hist = written(hist, "quality")
-    out = with_distances(hist, written(references(hist), "quality-refs"))
-    return out.withColumn("base_failed", base_failed()).select(
+    return with_distances(hist).withColumn("base_failed", base_failed()).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         kept().alias("kept"), "class_distance", "word_distance")
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents that the rules keep, all columns as they were.  The
-    texts are read twice (references, then verdicts) and never shuffled."""
+    """The documents that the rules keep, all columns as they were."""
     cols = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(docs.columns)]
     at = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
-    d = docs.select(*cols)
-    refs = written(references(histograms(d.select(at[text_col], at[lang_col]), at[text_col], at[lang_col])),
-                   "quality-refs")
-    h = histograms(with_base_counts(d, at[text_col]), at[text_col], at[lang_col])
-    out = with_distances(h, refs).withColumn("base_failed", base_failed()).filter(kept())
+    h = histograms(with_base_counts(docs.select(*cols), at[text_col]), at[text_col], at[lang_col])
+    out = with_distances(h).withColumn("base_failed", base_failed()).filter(kept())
     return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)])
