@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_covers_its_table(spark, name):
-    table, key = ("pages", "page_id") if name.startswith("op10") else ("documents", "doc_id")
+    table, key = {"op10": ("pages", "page_id"), "op12": ("embeddings", "vec_id")}.get(name.split("_")[0], ("documents", "doc_id"))
     got = E.queries()[name](spark, SF0001).select(key).distinct()
     every = spark.read.parquet(f"{SF0001}/{table}.parquet")
     if name.startswith("op8"):
