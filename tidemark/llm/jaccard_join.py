@@ -44,6 +44,7 @@ other columns, whatever their names, are ignored.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -275,9 +276,11 @@ def node_signatures(node: np.ndarray, first: np.ndarray, h: np.ndarray, common:
                     break
 
 
-def _signed(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int]) -> DataFrame:
-    """``sig, node``."""
+def _signed(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int], elements: int) -> DataFrame:
+    """``node, sig``.  Signatures have 24 bits more than it takes to number the
+    elements of all sets: few meet by chance, and their rows compress."""
     sent = texts.sparkSession.sparkContext.broadcast(common)
+    cut = np.uint64(max(1, 64 - 24 - elements.bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,9 +288,9 @@ def _signed(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int]) -
             for i, j, off, body in slices(batch, "_text"):
                 first, h = sets(off, body)
                 for node, sig in node_signatures(nodes[i:j], first, h, sent.value, similarity):
-                    yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node)], names=["sig", "node"])
+                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array((sig >> cut).view(np.int64))], names=["node", "sig"])
 
-    return texts.select("node", "_text").mapInArrow(run, "sig long, node long")
+    return texts.select("node", "_text").mapInArrow(run, "node long, sig long")
 
 
 # ------------------------------------------------------------------ verification
@@ -393,6 +396,14 @@ def _in_blocks(rows: DataFrame, sizes: DataFrame, texts: DataFrame, similarity:
     return rows.groupBy("sig", "p", "q").applyInArrow(compare, "a long, b long")
 
 
+def _release(df: DataFrame) -> None:
+    """Have Spark's cleaner drop the shuffle files behind a table that has just
+    been written; it sees that nothing refers to them when the driver collects
+    its garbage."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()  # noqa: SLF001
+
+
 def _with_class(rows: DataFrame, classes: DataFrame, node: str, out: str) -> DataFrame:
     found = classes.select(F.col("_n").alias(node), F.col("c").alias("_c"))
     return rows.join(found, node, "left").withColumn(out, F.coalesce("_c", node)).drop("_c")
@@ -420,10 +431,12 @@ def _leftovers(shared: DataFrame, tried: DataFrame, classes: DataFrame, texts: D
 
 
 # -------------------------------------------------------------------------- join
-def _links(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int]) -> DataFrame:
+def _links(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int], elements: int) -> DataFrame:
     """Components ``_n, c`` of the nodes that link."""
-    signed = _signed(texts, common, similarity)
+    signed = _signed(texts, common, similarity, elements)
     shared = written(signed.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("sig"))).filter("held > 1"), "shared")
+    del signed
+    _release(shared)
     renown = shared.groupBy("node").agg(F.sum("held").alias("renown"))
     hubs = shared.join(renown, "node").groupBy("sig").agg(F.max(F.struct("renown", "node"))["node"].alias("hub"))
     shared = written(shared.select("sig", "node").join(hubs, "sig"), "hubs")
@@ -452,7 +465,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = keyed(docs, id_col, text_col).withColumn("doc_id", real_id())
     counted = written(_set_rows(rows), "sets")
     of_set = counted.filter("cell is null").drop("cell", "df")
-    common = _common(counted.filter("cell is not null").select("cell", "df"), of_set.count())
+    size = of_set.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("elements")).first()
+    common = _common(counted.filter("cell is not null").select("cell", "df"), size["rows"])
     nodes = of_set.filter("n > 0").groupBy("a", "b").agg(
         F.min(F.struct("_d", "_u")).alias("one"), F.max("n").alias("n"), F.min("doc_id").alias("least")) \
         .select("a", "b", "one._d", "one._u", "n", "least")
@@ -460,7 +474,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = rows.join(nodes.select("node", "n", "_d", "_u").hint("merge"), ["_d", "_u"]) \
         .dropDuplicates(["_d", "_u"]).select("node", "n", "_text")
     texts = written(texts, "node-texts")
-    classes = _links(texts, common, similarity)
+    _release(texts)
+    classes = _links(texts, common, similarity, size["elements"])
     named = classes.join(nodes.select(F.col("node").alias("_n"), "least"), "_n").groupBy("c").agg(F.min("least").alias("name"))
     named = classes.join(named, "c").select(F.col("_n").alias("node"), "name")
     by_set = nodes.select("a", "b", "node", "least").join(named, "node", "left") \
