@@ -42,7 +42,8 @@ def test_query_covers_its_table(spark, name):
 
 def documents(spark):
     rng = random.Random(7)
-    vocabulary = [*quality.COMMON_WORDS[:12], *(f"word{i}" for i in range(300))]
+    # Words of letters: the references are those of prose, whatever the table holds.
+    vocabulary = [*quality.COMMON_WORDS[:12], *("word" + "".join("abcdefghij"[int(d)] for d in str(i)) for i in range(300))]
     text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
     base = text(150)
     item = text(25)
