@@ -15,7 +15,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NAMES = ["scd2_merge_batch", "latest_per_key", "key_audit", "orders_with_items_flat", "orders_no_items",
          "multi_item_orders", "snapshot_diff",
-         "event_history_sound", "event_versions_sound", "snapshot_after_merge"]
+         "event_history_sound", "event_versions_sound", "snapshot_after_merge",
+         "orders_as_of_customer", "events_as_of_hot", "items_size_filter", "yearly_customers", "csv_types",
+         "data_files", "sql_bound_orders"]
 
 
 def main(argv):
