@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from tidemark.llm import decontaminate, html_text, quality, relative_lz, secrets, suffixes
+from tidemark.llm.common import Prefix
 from tidemark.llm.common import Prefix, anchors, prepare, sliding_min, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -221,6 +222,19 @@ def test_suffix_sort_never_gathers_a_hot_gram(spark, monkeypatch, seed, length,
     assert sorted([tuple(r)[:5] for r in got], key=str) == removed_bytes(rows, length)
 
 
+@pytest.mark.parametrize("hot", [1, 4_000])
+def test_suffix_sort_survives_colliding_texts(spark, monkeypatch, hot):
+    """A Thue-Morse text and its complement have equal polynomial hashes
+    modulo 2**64, whatever the base, from 2,048 bytes on."""
+    monkeypatch.setattr(suffixes, "HOT_ROWS", hot)
+    odd = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    even = odd.translate(str.maketrans("ab", "ba"))
+    assert len({int(Prefix.of_bytes(np.frombuffer(x.encode(), np.uint8)).all(2048)[0]) for x in (odd, even)}) == 1
+    rows = [(1, odd), (2, even), (3, even + "c")]
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, SCHEMA), 2048, 20).collect()
+    assert sorted([tuple(r)[:5] for r in got], key=str) == removed_bytes(rows, 2048)
+
+
 def test_suffix_sort_orders_suffixes_and_survives_collisions():
     rng = random.Random(4)
     contexts = ["".join(rng.choice("ab") for _ in range(rng.randint(4, 30))).encode() for _ in range(60)]

@@ -9,7 +9,8 @@ else, in any document.
    occurrences of a window always meet under one gram.  Windows in a row that
    share a pick form a *segment*; about one segment starts per 137 bytes.
 2. Segments are counted by gram and content.  A segment that stands twice is
-   removed whole.
+   removed whole.  Contents are told apart by 128 bits of SHA-256, not by the
+   polynomial hashes, so that a collision of those cannot remove a byte.
 3. What is left are grams whose segments differ: the edges of repeats.  One
    segment per distinct content is compared.  Under each gram, the suffixes
    from the gram on are sorted, and so are the reversed prefixes before it.
@@ -22,10 +23,13 @@ else, in any document.
    ``length / 25``.  All windows of a part share their middle bytes (the
    *core*, 385 of 400), so equal windows meet under one core.  Cores that stand
    once are done with; a part that is the same wherever its core stands goes
-   whole; the windows of all others are counted by their hashes.
+   whole; the windows of all others are counted.  Parts and windows too are
+   told apart by SHA-256.
 
 Every step works on one slice of documents, at most ``HOT_ROWS`` contents of
-one gram, or one document; whatever is counted is counted map-side first.
+one gram, or one document; whatever is counted is counted map-side first, and
+rows meet their count by key and salt (``_repeated``), so that the rows of a
+frequent gram, core or window are spread.
 
 Edge cases: a null text is empty; a text shorter than ``length`` loses nothing;
 repeated rows repeat each other's text and lose it; extra columns are ignored;
@@ -39,10 +43,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Prefix, anchors, keyed, mix, real_id, slices, written
+from .common import Prefix, anchors, keyed, real_id, slices, written
 
 LENGTH, GRAM = 400, 128
 #: Contexts compared at once, besides those of the last gram.
@@ -50,15 +54,18 @@ COMPARE_ROWS = 4_000
 #: A gram of more segments than this is spread by the windows' cores.
 HOT_ROWS = 4_000
 
-SEGMENTS = "key long, seg long, _d long, _u long, a int, b int, p int"
+#: Rows of one key are spread over this many parts where they meet its count.
+SALTS = 32
+
+SEGMENTS = "key long, seg long, rest long, _d long, _u long, a int, b int, p int"
 CONTEXTS = "key long, hot boolean, single boolean, _d long, _u long, a int, p int, context binary"
-PARTS = "key long, part int, core long, hull long, single boolean, _d long, _u long, p int, first int, last int"
-WINDOWS = "key long, window long, single boolean, _d long, _u long, start int"
+PARTS = "key long, part int, core long, hull long, rest long, single boolean, _d long, _u long, p int, first int, last int"
+WINDOWS = "key long, window long, rest long, single boolean, _d long, _u long, start int"
 
 
 def segments(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``texts`` is ``_d, _u, _text``; ``[a, b]`` are window starts, ``p`` the
-    gram's place, ``seg`` the hash of the segment's bytes."""
+    gram's place, ``seg`` and ``rest`` the digest of the segment's bytes."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -71,13 +78,38 @@ def segments(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFr
                 if not len(d):
                     continue
                 base = off[d]
-                cols = [grams[p].view(np.int64), prefix.hash(a, b + length).view(np.int64), ids[i + d], hashes[i + d],
+                cols = [grams[p].view(np.int64), *_digests(body, a, b + length), ids[i + d], hashes[i + d],
                         *((x - base).astype(np.int32) for x in (a, b, p))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=_names(SEGMENTS))
 
     return texts.mapInArrow(find, SEGMENTS)
 
 
+def _digests(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the SHA-256 of each ``body[start:end]``, as two longs."""
+    view = memoryview(np.ascontiguousarray(body))
+    found = b"".join([hashlib.sha256(view[i:j]).digest()[:16] for i, j in zip(start.tolist(), end.tolist())])
+    halves = np.frombuffer(found, np.int64).reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
+
+
+def _repeated(rows: DataFrame, on: list[str], *more: Column) -> DataFrame:
+    """The rows whose key ``on`` stands twice or more, with its count ``n``
+    and ``more``.  Each key's count goes to the salts that its rows have, so
+    no task gathers the rows of one key."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    counts = salted.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts"),
+                                     *more).filter("n > 1")
+    spread = counts.withColumn("salt", F.expr(
+        f"explode(filter(sequence(0, {SALTS - 1}), x -> shiftright(salts, x) % 2 = 1))")).drop("salts")
+    return salted.join(spread, [*on, "salt"]).drop("salt")
+
+
+def _alike(*columns: str) -> list[Column]:
+    """Whether the columns are the same in all rows of a key."""
+    return [F.expr(" and ".join(f"min({c}) = max({c})" for c in columns)).alias("alike")]
+
+
 def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
@@ -231,15 +263,15 @@ def _plainly(e: Extensions, group: np.ndarray, x: int, length: int) -> list[tupl
 def duplicate_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``_d, _u, start, end`` byte spans to remove (they may overlap)."""
     rows = written(segments(texts, length, gram), "segments")
-    per_gram = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
-    shared = written(rows.join(per_gram.filter("n > 1"), "key").withColumn("alike", F.expr("lo = hi"))
-                     .withColumn("hot", F.col("n") > HOT_ROWS).drop("n", "lo", "hi"), "shared-segments")
+    shared = written(_repeated(rows, ["key"], *_alike("seg", "rest")).withColumn("hot", F.col("n") > HOT_ROWS).drop("n"),
+                     "shared-segments")
     span = [F.col("_d"), F.col("_u"), F.col("a").alias("start"), (F.col("b") + length).alias("end")]
     mixed = shared.filter("not alike")
-    contents = mixed.groupBy("key", "hot", "seg").agg(
+    content = ["key", "seg", "rest"]
+    contents = mixed.groupBy(*content, "hot").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_d", "_u", "a", "b", "p")).alias("one"))
     whole = shared.filter("alike").select(*span).unionByName(
-        mixed.join(contents.filter("n > 1").select("key", "seg"), ["key", "seg"]).select(*span))
+        _repeated(mixed, content).select(*span))
     # One occurrence of each content, with its bytes.
     places = contents.select("one.*", "key", "hot", (F.col("n") == 1).alias("single")).groupBy("_d", "_u").agg(
         F.collect_list(F.struct("key", "hot", "single", "a", "b", "p")).alias("places"))
@@ -252,12 +284,10 @@ def duplicate_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 def _hot_spans(contexts: DataFrame, length: int) -> DataFrame:
     """Spans of the single contexts' windows that another context holds, by
     counting: first the cores of parts, then the windows of parts that differ
-    around a shared core.  As with whole segments, equal hashes (of the gram
-    and of the bytes) count as equal."""
-    core = ["key", "part", "core"]
+    around a shared core.  Cores meet by hash; hulls and windows are told
+    apart by SHA-256."""
     parts = written(contexts.mapInArrow(_parts(length), PARTS), "hot-parts")
-    per_core = parts.groupBy(*core).agg(F.count(F.lit(1)).alias("n"), F.min("hull").alias("lo"), F.max("hull").alias("hi"))
-    met = written(parts.join(per_core.filter("n > 1"), core).withColumn("alike", F.expr("lo = hi"))
+    met = written(_repeated(parts, ["key", "part", "core"], *_alike("hull", "rest"))
                   .select("_d", "_u", "p", "single", "first", "last", "alike"), "hot-parts-met")
     whole = met.filter("alike and single").select(
         "_d", "_u", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
@@ -265,16 +295,15 @@ def _hot_spans(contexts: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct("first", "last")).alias("parts"))
     windows = written(contexts.join(differ, ["_d", "_u", "p"]).select(
         "key", "single", "_d", "_u", "a", "context", "parts").mapInArrow(_windows(length), WINDOWS), "hot-windows")
-    twice = windows.groupBy("key", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return whole.unionByName(windows.filter("single").join(twice, ["key", "window"]).select(
+    return whole.unionByName(_repeated(windows, ["key", "window", "rest"]).filter("single").select(
         "_d", "_u", "start", (F.col("start") + length).alias("end")))
 
 
-def _bodies(column: pa.Array) -> tuple[Prefix, np.ndarray, np.ndarray]:
-    """Hashes over contexts end to end, with each one's start and size."""
+def _bodies(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts end to end, with each one's start and size."""
     contexts = column.to_pylist()
     size = np.array([len(c) for c in contexts], np.int64)
-    return Prefix.of_bytes(np.frombuffer(b"".join(contexts), np.uint8)), np.cumsum(size) - size, size
+    return np.frombuffer(b"".join(contexts), np.uint8), np.cumsum(size) - size, size
 
 
 def _parts(length: int):
@@ -285,7 +314,8 @@ def _parts(length: int):
             if not batch.num_rows:
                 continue
             key, _, single, d, u, a, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
-            prefix, at, size = _bodies(batch.column(7))
+            body, at, size = _bodies(batch.column(7))
+            prefix = Prefix.of_bytes(body)
             # Places in the context: windows start at 0 .. last, the gram at p.
             last, p = size - length, p.astype(np.int64) - a
             low = (p - last) // step
@@ -296,9 +326,8 @@ def _parts(length: int):
             first, last = np.maximum(top - step + 1, 0), np.minimum(top, last[row])
             core = prefix.hash(at[row] + top, at[row] + top - step + 1 + length)
             # Hulls are alike if the same windows stand around the core.
-            hull = mix(prefix.hash(at[row] + first, at[row] + last + length)
-                       + (top - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            cols = [key[row], part.astype(np.int32), core.view(np.int64), hull.view(np.int64),
+            hull, rest = _digests(body, at[row] + first, at[row] + last + length)
+            cols = [key[row], part.astype(np.int32), core.view(np.int64), hull + (top - first), rest,
                     single[row], d[row], u[row], (p + a)[row].astype(np.int32),
                     (first + a[row]).astype(np.int32), (last + a[row]).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=_names(PARTS))
@@ -311,12 +340,12 @@ def _windows(length: int):
             if not batch.num_rows:
                 continue
             key, single, d, u, a = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            prefix, at, _ = _bodies(batch.column(5))
+            body, at, _ = _bodies(batch.column(5))
             starts = [np.concatenate([np.arange(x["first"], x["last"] + 1) for x in r]) for r in batch.column(6).to_pylist()]
             row = np.repeat(np.arange(len(a)), [len(x) for x in starts])
             start = np.concatenate(starts)
             q = at[row] + start - a[row]
-            cols = [key[row], prefix.hash(q, q + length).view(np.int64), single[row], d[row], u[row], start.astype(np.int32)]
+            cols = [key[row], *_digests(body, q, q + length), single[row], d[row], u[row], start.astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=_names(WINDOWS))
     return spell
 
