@@ -319,7 +319,7 @@ def test_decontamination_finds_all_within_the_budget():
                             "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 50)))
                             for _ in range(rng.randint(0, 4))) for _ in range(6)]
             off = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
-            got = {(d, t): n for d, t, n, _, _ in index.search(off, np.frombuffer("".join(docs).encode(), np.uint8))}
+            got = {(d, t): n for d, t, n, *_ in index.search(off, np.frombuffer("".join(docs).encode(), np.uint8))}
             want = {(d, t): least_edits(i, x) for d, x in enumerate(docs) for t, i in enumerate(items)}
             want = {k: n for k, n in want.items() if n <= index.edits[k[1]]}
             assert got == want
@@ -327,6 +327,54 @@ def test_decontamination_finds_all_within_the_budget():
     assert pairs > 50
 
 
+def test_decontamination_finds_parts_of_items():
+    """Whole items or, where none stands, passages: as brute force over both."""
+    rng, q, rate = random.Random(8), 4, 0.1
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    items = [word(rng.randint(10, 120)) for _ in range(12)]
+    index = decontaminate.Index([i.encode() for i in items], q, rate, 30, 8)
+    whole = parts = 0
+    for _ in range(12):
+        docs = []
+        for _ in range(8):
+            i = rng.choice(items)
+            a = rng.randint(0, len(i) // 2)
+            docs.append(word(rng.randint(0, 20)) + (i if rng.random() < 0.3 else i[a:a + rng.randint(20, 60)]) + word(5))
+        off = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+        got = {}
+        for d, t, n, s, e, a, b in index.search(off, np.frombuffer("".join(docs).encode(), np.uint8)):
+            got[d, t] = (a - b, n)
+            assert least_edits(items[t][a:b], docs[d][s:e]) == n
+        want = {}
+        for k, (t, (a, b)) in enumerate(zip(index.of, index.part)):
+            for d, x in enumerate(docs):
+                if (n := least_edits(items[t][a:b], x)) <= index.edits[k]:
+                    want[d, t] = min(want.get((d, t), (0, 0)), (a - b, n))
+        assert got == want
+        whole += sum(len(items[t]) == -v[0] for (_, t), v in want.items())
+        parts += sum(len(items[t]) != -v[0] for (_, t), v in want.items())
+    assert whole > 10 and parts > 10
+
+
+@pytest.mark.parametrize("size", [12, 199, 200, 201, 249, 250, 580, 4001])
+def test_passages_leave_no_run_uncovered(size):
+    parts = decontaminate.cuts(size)
+    assert parts[0] == (0, size) and len(set(parts)) == len(parts)
+    run = decontaminate.PASSAGE + decontaminate.STRIDE
+    for a in range(max(0, size - run) + 1):
+        assert any(a <= x and y <= a + run for x, y in parts)
+
+
+def test_half_an_item_is_a_leak(spark):
+    rng = random.Random(5)
+    item = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(90))[:580]
+    docs = [(1, "before it " + item[:290]), (2, item[290:] + " after"), (3, item[:120] + " clean"), (4, item)]
+    d, b = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.matches(d, b).collect()}
+    assert sorted(got) == [1, 2, 4] and (got[4].item_start, got[4].item_end) == (0, len(item.strip()))
+    assert [r.doc_id for r in decontaminate.clean_documents(d, b).collect()] == [3]
+
+
 def test_decontamination_drops_only_leaks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)  # several blocks
     items = [(1, "The quick brown fox jumps over the lazy dog near the river"), (2, None), (3, "tiny"),

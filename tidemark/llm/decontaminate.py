@@ -9,11 +9,17 @@ least ``m - q + 1 - q*e`` q-grams with it, on diagonals at most e apart.  So:
 3. bands that reach the bound are verified by banded alignment (free ends in
    the document), for many bands at once.
 
+A document may hold a part of an item.  So an item of more than ``PASSAGE``
+bytes is searched whole and also as passages of that length, one every
+``STRIDE`` bytes and one at its end, each with a budget of its own.  An item is
+reported if it, or a passage of it, stands in the document: a run of
+``PASSAGE + STRIDE`` bytes that was left unchanged is always found.
+
 Texts are compared in lower case with runs of white space as one blank, as
 UTF-8 bytes.  The budget is ``rate`` of the item's bytes.  Items shorter than
 ``q`` bytes are too short to be evidence and are not searched.
 
-The index of at most ``BLOCK_BYTES`` of items is sent to the tasks; a larger
+The index of at most ``BLOCK_BYTES`` of items and passages is sent to the tasks; a larger
 benchmark is searched block by block.  Documents are never shuffled.
 
 Edge cases: null and empty texts and items match nothing; repeated rows match
@@ -23,6 +29,7 @@ columns are ignored by ``matches`` and kept by ``clean_documents``.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -34,9 +41,10 @@ from pyspark.sql import functions as F
 from .common import Prefix, slices
 
 Q, RATE = 12, 0.05
+PASSAGE, STRIDE = 200, 50
 BLOCK_BYTES = 8 << 20
 
-MATCHES = "doc_id long, item_id long, distance int, start int, end int"
+MATCHES = "doc_id long, item_id long, distance int, start int, end int, item_start int, item_end int"
 
 
 def plain(text: str | Column) -> Column:
@@ -45,18 +53,34 @@ def plain(text: str | Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\s+", " "))
 
 
+def cuts(size: int, passage: int = PASSAGE, stride: int = STRIDE) -> list[tuple[int, int]]:
+    """Where an item of ``size`` bytes is searched: all of it, then its
+    passages."""
+    if size <= passage:
+        return [(0, size)]
+    return [(0, size)] + [(i, i + passage) for i in (*range(0, size - passage, stride), size - passage)]
+
+
 class Index:
-    """All q-grams of a block of items."""
+    """All q-grams of a block of items, which are also cut into passages:
+    ``items`` holds both, ``of`` the item and ``part`` the place of each."""
 
-    def __init__(self, items: list[bytes], q: int, rate: float):
+    def __init__(self, items: list[bytes], q: int, rate: float, passage: int = PASSAGE, stride: int = STRIDE):
         self.q = q
-        self.items = [np.frombuffer(t, np.uint8) for t in items]
+        self.of, self.part, self.items = [], [], []
+        for i, t in enumerate(items):
+            body = np.frombuffer(t, np.uint8)
+            for a, b in cuts(len(t), max(passage, q), stride):
+                self.of.append(i)
+                self.part.append((a, b))
+                self.items.append(body[a:b])
+        items = self.items
         self.size = np.array([len(t) for t in items], np.int64)
         self.edits = np.floor(rate * self.size).astype(np.int64)
         #: A short item's budget shrinks until its bound is one q-gram at least.
         self.edits = np.minimum(self.edits, np.maximum(0, (self.size - q) // q))
         self.bound = self.size - q + 1 - q * self.edits
-        grams = [Prefix.of_bytes(t).all(q) for t in self.items]
+        grams = [Prefix.of_bytes(t).all(q) for t in items]
         key = np.concatenate(grams)
         item = np.repeat(np.arange(len(items)), [len(g) for g in grams])
         at = np.concatenate([np.arange(len(g)) for g in grams])
@@ -98,21 +122,23 @@ class Index:
         doc, item, band = rows.T
         return doc, item, band * (self.edits[item] + 1)
 
-    def search(self, off: np.ndarray, body: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """``(document, item, distance, start, end)``: the best verified
-        occurrence of each item in each document."""
+    def search(self, off: np.ndarray, body: np.ndarray) -> list[tuple[int, ...]]:
+        """``(document, item, distance, start, end, item start, item end)``:
+        the best verified occurrence of each item in each document, or else
+        of a passage of it."""
         if len(body) < self.q or not len(self.keys):
             return []
         doc, item, low = self.candidates(off, body)
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        best: dict[tuple[int, int], tuple[int, ...]] = {}
         order = np.argsort(self.size[item], kind="stable")
         for i in range(0, len(order), 64):
             some = order[i:i + 64]
             for d, t, found in zip(doc[some], item[some], self.align(off, body, doc[some], item[some], low[some])):
                 if found[0] <= self.edits[t]:
-                    key = (int(d), int(t))
+                    key, (a, b) = (int(d), self.of[t]), self.part[t]
+                    found = (a - b, *found, a, b)  # the longest part first: the whole item
                     best[key] = min(best.get(key, found), found)
-        return [(*k, *v) for k, v in sorted(best.items())]
+        return [(*k, *v[1:]) for k, v in sorted(best.items())]
 
     def align(self, off, body, doc, item, low) -> list[tuple[int, int, int]]:
         """Banded alignment of items against their bands, row by row: least
@@ -160,10 +186,13 @@ def _index_of(token: str, items: list[bytes], q: int, rate: float) -> Index:
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, q: int) -> Iterator[tuple[list, list[bytes]]]:
-    """Items in blocks of about ``BLOCK_BYTES``, one at a time on the driver."""
+    """Items in blocks of about ``BLOCK_BYTES``, passages counted, one at a
+    time on the driver."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), plain(text_col).alias("text")) \
         .filter(F.octet_length("text") >= q).distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    long = F.octet_length("text")
+    searched = F.when(long > PASSAGE, long + ((long - PASSAGE) / STRIDE + 1) * PASSAGE).otherwise(long)
+    size = math.ceil(items.agg(F.sum(searched)).first()[0] or 0)
     n = -(-size // BLOCK_BYTES)
     number = F.pmod(F.xxhash64("item", "text"), F.lit(max(n, 1)))
     for b in range(n):
@@ -174,8 +203,9 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, q: int) -> Itera
 
 def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, id_col: str = "doc_id",
             text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per document and item found in it (``MATCHES``; positions are
-    bytes of the compared form)."""
+    """One row per document and item found in it, whole or in part
+    (``MATCHES``; positions are bytes of the compared form, ``distance`` is
+    that of the part ``item_start`` to ``item_end``)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("_d"), plain(text_col).alias("_text"))
     out = None
@@ -187,12 +217,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RAT
             index = _index_of(token, texts_, q, rate)
             for batch in batches:
                 doc_ids = batch.column(0).to_pylist()
-                rows = [(doc_ids[i + d], item_ids[t], n, s, e) for i, _, off, body in slices(batch, "_text")
-                        for d, t, n, s, e in index.search(off, body)]
+                rows = [(doc_ids[i + d], item_ids[t], *found) for i, _, off, body in slices(batch, "_text")
+                        for d, t, *found in index.search(off, body)]
                 if rows:
-                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                    types = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                                     names=["doc_id", "item_id", "distance", "start", "end"])
+                                                     names=[c.split()[0] for c in MATCHES.split(", ")])
 
         found = texts.mapInArrow(find, MATCHES)
         out = found if out is None else out.unionByName(found)
@@ -201,7 +231,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RAT
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE,
                     text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents that hold no item, all columns as they were.  The
+    """The documents that hold no item and no passage of one, all columns as they were.  The
     decision is each document's own, so rows only pass or not."""
     spark = docs.sparkSession
     out = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)])
