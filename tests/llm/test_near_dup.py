@@ -20,13 +20,15 @@ def features(texts_):
     return out
 
 
+def rarity(feats):
+    keys, df = np.unique(np.concatenate([h for h, _ in feats]), return_counts=True)
+    return ns.Rarity(keys, df, int(df.sum()))
+
+
 def brute(rows):
     """Document ids by class, from every pair of texts."""
     feats = features([t for _, t in rows])
-    df = np.zeros(ns.CELLS, np.int64)
-    for h, _ in feats:
-        df += np.bincount(ns.cell(h), minlength=ns.CELLS)
-    idf = ns.idf(df)
+    idf = rarity(feats)
     parent = list(range(len(rows)))
 
     def root(x):
@@ -87,14 +89,93 @@ def test_samples_agree_as_often_as_texts_are_alike():
     base = [f"w{i}" for i in range(300)]
     texts_ = [" ".join(base), " ".join(edited(rng, base, 8)), " ".join(edited(rng, base, 30)), " ".join(base[:150])]
     feats = features(texts_)
-    idf = np.ones(ns.CELLS, np.float32)
+    idf = rarity(feats)
     codes = [ns.samples(np.array([0, len(h)]), h, ns.weights(h, n, idf), 0, 252)[0] for h, n in feats]
     for i in range(4):
         for j in range(i):
-            want = ns.similarity(feats[i][0], ns.weights(*feats[i], idf), feats[j][0], ns.weights(*feats[j], idf))
+            wi, wj = (dict(zip(feats[k][0].tolist(), ns.weights(*feats[k], idf) ** ns.ROOT)) for k in (i, j))
+            want = sum(min(wi[h], wj[h]) for h in wi.keys() & wj.keys()) / sum(
+                max(wi.get(h, 0), wj.get(h, 0)) for h in wi.keys() | wj.keys())
             assert abs(float((codes[i] == codes[j]).mean()) - want) < 0.13
 
 
+def test_frequencies_are_exact_and_follow_shares(spark, monkeypatch):
+    """Counted over documents, copies included; a shingle rarer than one share
+    weighs like one of that share; twice the corpus, the same weights."""
+    prepare(spark)
+    rows = corpus(3)
+    feats = features([t for _, t in rows])
+    keys, df = np.unique(np.concatenate([h for h, _ in feats]), return_counts=True)
+    total = int(df.sum())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = near_dup.frequencies(near_dup._texts(docs, "doc_id", "text"))
+    assert np.allclose(got.of(keys), np.log2(1 + total / df), atol=1e-5)
+    for module in (ns, near_dup):
+        monkeypatch.setattr(module, "SHARES", total // 5)
+    once = near_dup.frequencies(near_dup._texts(docs, "doc_id", "text"))
+    assert set(once.keys.tolist()) == set(keys[df * (total // 5) >= total].tolist()) and 0 < len(once.keys) < len(keys)
+    assert np.allclose(once.of(keys), np.log2(1 + total / np.maximum(df, total / (total // 5))), atol=1e-5)
+    twice = near_dup.frequencies(near_dup._texts(docs.unionAll(docs), "doc_id", "text"))
+    assert np.allclose(twice.of(keys), once.of(keys), atol=1e-5)
+
+
+def test_copies_of_a_large_group_stay_with_it(spark):
+    """By weight alone a copy's new shingles, which are rare, would take it
+    out of a group whose shingles are frequent."""
+    prepare(spark)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = [" ".join(base) + f" tail{i}" for i in range(150)] + [" ".join(edited(rng, base, 3)) for _ in range(8)]
+    rows += [" ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(150)) for _ in range(60)]
+    rows = list(enumerate(rows))
+    feats = features([t for _, t in rows])
+    idf = rarity(feats)
+    plain, apart = 0, 0
+    for i in range(150, 158):
+        (ha, na), (hb, nb) = feats[0], feats[i]
+        low = len(np.intersect1d(ha, hb))
+        if low / (len(ha) + len(hb) - low) >= 0.8:
+            plain += 1
+            wa, wb = dict(zip(ha.tolist(), ns.weights(ha, na, idf))), dict(zip(hb.tolist(), ns.weights(hb, nb, idf)))
+            shared = sum(wa[h] for h in wa.keys() & wb.keys())
+            apart += shared / (sum(wa.values()) + sum(wb.values()) - shared) < 0.8
+    assert plain >= 5 and apart
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = defaultdict(list)
+    for r in near_dup.classes(docs).collect():
+        got[r.class_id].append(r.doc_id)
+    assert sorted(sorted(c, key=str) for c in got.values()) == brute(rows)
+
+
+def test_leftover_blocks_do_not_pair_the_largest_class_with_itself(spark, monkeypatch):
+    """One large class, others beside it in its bands: every link between
+    classes is found, and groups grow with the others only."""
+    prepare(spark)
+    monkeypatch.setattr(near_dup, "BLOCK", 4)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(160)]
+    texts_ = [" ".join(edited(rng, base, 1)) for _ in range(40)] + [" ".join(edited(rng, base, 4)) for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts_)), "_n long, _text string").withColumn("_u", F.xxhash64("_text"))
+    texts = docs.select("_n", "_u", "_text")
+    idf = near_dup.frequencies(texts)
+    nodes = near_dup.sketches(texts, idf)
+    members = near_dup._banded(nodes)
+    # The first 40 are one class; the others are each apart.
+    apart = spark.createDataFrame([(i, 0) for i in range(40)], "_n long, c long")
+    links = near_dup._leftovers(members, nodes, texts.select("_n", "_text"), apart, idf, 0.8)
+    got = {(r.a, r.b) for r in links.collect()}
+    feats = features(texts_)
+    w = [ns.weights(*f, idf) for f in feats]
+    alike = {(i, j) for i in range(46) for j in range(40, 46) if i != j
+             and ns.similarity(feats[i][0], w[i], feats[j][0], w[j]) >= 0.8 - 1e-6}
+    assert got and got <= alike | {(b, a) for a, b in alike}
+
+    def classes_of(edges):
+        return dict(near_dup.components(spark.createDataFrame(sorted(edges) + [(0, i) for i in range(1, 40)],
+                                                              "a long, b long")).collect())
+    assert classes_of(got) == classes_of(alike)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (103, 101)], "a long, b long")
     got = dict(near_dup.components(edges).collect())

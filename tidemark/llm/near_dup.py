@@ -1,7 +1,8 @@
 """Operator 1: near-duplicate classes by consistent weighted sampling.
 
-1. Document frequencies of five-word shingles are counted in a fixed number of
-   hashed cells (one fixed-size table for any corpus).
+1. Document frequencies of five-word shingles are counted by one aggregation;
+   the frequent ones (a table of bounded size, see ``near_sketch``) are sent to
+   the tasks.
 2. Every text gets 60 weighted samples (``near_sketch``), read as 15 bands of
    4.  Copies of a text are one *node*, numbered by a hash of the text; the
    number becomes a document id only in the result.
@@ -13,9 +14,11 @@
 4. What a hub leaves apart is finished exactly: within a band, members of
    different classes are compared in blocks of a bounded size by their samples
    and 192 more, and pairs that agree often enough are verified on the spot.
-   Only links leave a block, and a pair already in one class is skipped.
-5. Verified means: the weighted Jaccard similarity of the full shingle weights
-   is at least ``similarity``.  Classes are the connected components, found by
+   Only links leave a block, and a pair already in one class is skipped.  The
+   band's largest class is never compared with itself, so its members are
+   copied once for each block of the others.
+5. Verified means: the Jaccard similarity of the whole shingle sets, weighted
+   by TF-IDF or plain, is at least ``similarity``.  Classes are the connected components, found by
    repeated minimum and shortcut steps over written tables.
 
 Edge cases: equal texts are always one class, empty ones too (a null text is
@@ -35,21 +38,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Prefix, slices, utf8, written
-from .near_sketch import BANDS, CELLS, FINE_SAMPLES, SAMPLES, bands, cell, idf, samples, shingles, similarity, weights
+from .near_sketch import BANDS, FINE_SAMPLES, SAMPLES, SHARES, Rarity, bands, samples, shingles, similarity, weights
 
 SIMILARITY = 0.8
-#: Samples that must agree before a pair is verified: of 60, a pair at 0.8
-#: agrees in fewer with a probability under 0.0005.
-AGREE = 37
-#: The same of all 252 samples, under 0.0002.
-FINE_AGREE = 177
-#: Members compared with each other in one block of step 4, and their total
-#: weight (a shingle weighs about 2), which bounds the block's texts.
-BLOCK, BLOCK_WEIGHT = 512, 1 << 20
+#: Samples that must agree before a pair is verified: of 60, a pair at 0.76 by
+#: the samples' weights agrees in fewer with a probability under 0.002.
+AGREE = 36
+#: The same of all 252 samples, under 0.004.
+FINE_AGREE = 172
+#: Members compared with each other in one block of step 4, and the number of
+#: their shingles, which bounds the block's texts.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 #: Bands with fewer members take their smallest node as hub.
 HUB_VOTES_FROM, VOTES = 8, 16
 
-NODES = "_n long, _u long, _v long, weight float, codes binary"
+NODES = "_n long, _u long, _v long, size int, weight float, codes binary"
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -64,28 +67,29 @@ def _address(id_col: str, text_col: str) -> tuple[Column, Column]:
     return F.coalesce(F.col(id_col).cast("long"), stand_in).alias("_n"), text_hash.alias("_u")
 
 
-def frequencies(texts: DataFrame) -> np.ndarray:
-    """Documents per hashed shingle cell.  Tasks send one row per cell, and
-    ``CELLS`` numbers come back."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(CELLS, np.int64)
+def frequencies(texts: DataFrame) -> Rarity:
+    """Exact document frequencies.  Shingles of one document are dropped after
+    the count; of the others at most ``SHARES`` come back: those that make up
+    ``1 / SHARES`` of all."""
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, off, body in slices(batch, "_text"):
                 _, h, _ = shingles(off, body)
-                df += np.bincount(cell(h), minlength=CELLS)
-        some = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(df[some])], names=["cell", "df"])
+                # The null key counts all of them.
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.array(h.view(np.int64)), pa.nulls(1, pa.int64())]),
+                     pa.array(np.append(np.ones(len(h), np.int64), len(h)))], names=["h", "df"])
 
-    rows = texts.select("_text").mapInArrow(count, "cell int, df long").groupBy("cell").agg(F.sum("df").alias("df"))
-    out = np.zeros(CELLS, np.int64)
-    got = rows.toPandas()
-    out[got["cell"].to_numpy()] = got["df"].to_numpy()
-    return out
+    counts = written(texts.select("_text").mapInArrow(features, "h long, df long").groupBy("h")
+                     .agg(F.sum("df").alias("df")).filter("df > 1 or h is null"), "frequencies")
+    total = counts.filter("h is null").agg(F.sum("df")).first()[0] or 0
+    some = counts.filter(f"h is not null and df * {SHARES} >= {total}").toArrow()
+    return Rarity(some["h"].to_numpy().view(np.uint64), some["df"].to_numpy(), total)
 
 
-def sketches(texts: DataFrame, idf_: np.ndarray) -> DataFrame:
+def sketches(texts: DataFrame, rarity: Rarity) -> DataFrame:
     """``NODES`` rows, one per document; ``_v`` is a second text hash."""
-    sent = texts.sparkSession.sparkContext.broadcast(idf_)
+    sent = texts.sparkSession.sparkContext.broadcast(rarity)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,15 +97,15 @@ def sketches(texts: DataFrame, idf_: np.ndarray) -> DataFrame:
                 first, h, n = shingles(off, body)
                 w = weights(h, n, sent.value)
                 has = np.diff(first) > 0
-                total = np.zeros(j - i, np.float32)
+                size, total = np.diff(first).astype(np.int32), np.zeros(j - i, np.float32)
                 total[has] = np.add.reduceat(w, first[:-1][has]) if has.any() else 0
                 codes = np.array([None] * (j - i), object)
                 codes[has] = [c.tobytes() for c in samples(first, h, w)]
                 whole = Prefix.of_bytes(body).hash(off[:-1], off[1:]) ^ np.diff(off).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i),
-                     pa.array(whole.view(np.int64)), pa.array(total), pa.array(codes, pa.binary())],
-                    names=["_n", "_u", "_v", "weight", "codes"])
+                     pa.array(whole.view(np.int64)), pa.array(size), pa.array(total), pa.array(codes, pa.binary())],
+                    names=["_n", "_u", "_v", "size", "weight", "codes"])
 
     return texts.mapInArrow(sketch, NODES)
 
@@ -142,29 +146,31 @@ def _hubs(members: DataFrame, sizes: DataFrame, codes: DataFrame) -> DataFrame:
 def _agreement(pairs: DataFrame, nodes: DataFrame, similarity_: float) -> DataFrame:
     """Pairs ``a, b`` that may reach the similarity, with ``agree``."""
     side = lambda x: nodes.select(F.col("_n").alias(x), F.col("codes").alias(f"codes_{x}"),
-                                  F.col("weight").alias(f"weight_{x}"))
+                                  F.col("size").alias(f"size_{x}"), F.col("weight").alias(f"weight_{x}"))
     rows = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, ca, wa, cb, wb = batch.columns
+            a, b, ca, na, wa, cb, nb, wb = batch.columns
             ca, cb = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, SAMPLES) for c in (ca, cb))
             agree = (ca == cb).sum(1).astype(np.int32)
-            ok = (agree >= AGREE) & _close(wa.to_numpy(), wb.to_numpy(), similarity_)
+            ok = (agree >= AGREE) & _close(na.to_numpy(), wa.to_numpy(), nb.to_numpy(), wb.to_numpy(), similarity_)
             yield pa.RecordBatch.from_arrays([a, b, pa.array(agree)], names=["a", "b", "agree"]).filter(pa.array(ok))
 
-    return rows.select("a", "b", "codes_a", "weight_a", "codes_b", "weight_b") \
+    return rows.select("a", "b", "codes_a", "size_a", "weight_a", "codes_b", "size_b", "weight_b") \
         .mapInArrow(run, "a long, b long, agree int")
 
 
-def _close(wa: np.ndarray, wb: np.ndarray, similarity_: float) -> np.ndarray:
-    """The similarity is at most the smaller total weight over the larger."""
-    return np.minimum(wa, wb) >= similarity_ * np.maximum(wa, wb) * (1 - 1e-4)
+def _close(na: np.ndarray, wa: np.ndarray, nb: np.ndarray, wb: np.ndarray, similarity_: float) -> np.ndarray:
+    """A similarity is at most the smaller size (or total weight) over the
+    larger."""
+    least = similarity_ * (1 - 1e-4)
+    return (np.minimum(na, nb) >= least * np.maximum(na, nb)) | (np.minimum(wa, wb) >= least * np.maximum(wa, wb))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf_: np.ndarray, similarity_: float) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle weights reach the similarity."""
-    sent = texts.sparkSession.sparkContext.broadcast(idf_)
+def _verified(pairs: DataFrame, texts: DataFrame, rarity: Rarity, similarity_: float) -> DataFrame:
+    """The pairs ``a, b`` whose whole shingle sets reach the similarity."""
+    sent = texts.sparkSession.sparkContext.broadcast(rarity)
     # Candidates grow with the data: never broadcast their texts.
     side = lambda x: texts.select(F.col("_n").alias(x), F.col("_text").alias(f"text_{x}")).hint("merge")
     rows = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
@@ -212,9 +218,9 @@ def _with_class(rows: DataFrame, classes_: DataFrame, node: str, out: str) -> Da
     return rows.join(c, node, "left").withColumn(out, F.coalesce("_c", node)).drop("_c")
 
 
-def _fine(texts: DataFrame, idf_: np.ndarray) -> DataFrame:
+def _fine(texts: DataFrame, rarity: Rarity) -> DataFrame:
     """``_n, fine``: further samples of ``_n, _text``."""
-    sent = texts.sparkSession.sparkContext.broadcast(idf_)
+    sent = texts.sparkSession.sparkContext.broadcast(rarity)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,29 +235,36 @@ def _fine(texts: DataFrame, idf_: np.ndarray) -> DataFrame:
     return texts.select("_n", "_text").mapInArrow(sketch, "_n long, fine binary")
 
 
-def _leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame, classes_: DataFrame, idf_: np.ndarray,
+def _leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame, classes_: DataFrame, rarity: Rarity,
                similarity_: float) -> DataFrame:
     """Links ``a, b`` between members of a band in different classes.  Bands of
-    one class are done; the others are cut in blocks, and each pair of blocks
-    is one bounded group that holds its members' texts."""
-    rows = _with_class(members, classes_, "_n", "c").join(nodes.select("_n", "codes", "weight"), "_n")
-    sizes = rows.groupBy("band").agg(
-        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size"),
-        F.sum("weight").alias("load")).filter("lo <> hi")
-    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("load") / BLOCK_WEIGHT)).cast("int")
-    rows = written(rows.join(sizes.select("band", blocks.alias("blocks")), "band"), "open-bands")
+    one class are done; the others are cut in blocks, those of the largest
+    class last, and each pair of blocks that holds different classes is one
+    bounded group with its members' texts."""
+    rows = _with_class(members, classes_, "_n", "c").join(nodes.select("_n", "codes", "size", "weight"), "_n")
+    blocks = lambda n, load: F.ceil(F.greatest(n / BLOCK, load / BLOCK_SHINGLES)).cast("int")
+    by_class = rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("load"))
+    bands_ = by_class.groupBy("band").agg(
+        F.max(F.struct("n", "load", "c")).alias("top"), F.sum("n").alias("n"), F.sum("load").alias("load"),
+        F.count(F.lit(1)).alias("classes")).filter("classes > 1").select(
+        "band", F.col("top.c").alias("top"), blocks(F.col("top.n"), F.col("top.load")).alias("last"),
+        blocks(F.col("n") - F.col("top.n"), F.col("load") - F.col("top.load")).alias("others"))
+    rows = written(rows.join(bands_, "band"), "open-bands")
     open_texts = texts.join(rows.select("_n").distinct().hint("merge"), "_n")
-    both = written(open_texts.join(_fine(open_texts, idf_), "_n"), "open-texts")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("_n"), F.col("blocks")).cast("int"))
-    # Each member goes to all pairs of blocks that hold its own.
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    both = written(open_texts.join(_fine(open_texts, rarity), "_n"), "open-texts")
+    in_top, spread = F.col("c") == F.col("top"), F.xxhash64("_n")
+    rows = rows.withColumn("own", F.when(in_top, F.col("others") + F.pmod(spread, F.col("last")))
+                           .otherwise(F.pmod(spread, F.col("others"))).cast("int"))
+    # Each member goes to all pairs of blocks that hold its own, but for pairs of the largest class.
+    until = F.when(in_top, F.col("others")).otherwise(F.col("others") + F.col("last")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), until.cast("int"))))
     rows = rows.join(both.hint("merge"), "_n").select(
         "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-        "own", "at", "_n", "c", "codes", "fine", "weight", "_text")
-    sent = texts.sparkSession.sparkContext.broadcast(idf_)
+        "own", "at", "_n", "c", "codes", "fine", "size", "weight", "_text")
+    sent = texts.sparkSession.sparkContext.broadcast(rarity)
 
     def compare(t: pa.Table) -> pa.Table:
-        n, c, own, p, w = (t[x].to_numpy() for x in ("_n", "c", "own", "p", "weight"))
+        n, c, own, p, size, w = (t[x].to_numpy() for x in ("_n", "c", "own", "p", "size", "weight"))
         codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint16).reshape(-1, SAMPLES)
         fine = np.frombuffer(b"".join(t["fine"].to_pylist()), np.uint8).reshape(-1, FINE_SAMPLES)
         bodies = t["_text"].combine_chunks()
@@ -277,7 +290,7 @@ def _leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame, classes_:
             agree = (codes[js] == codes[i]).sum(1)
             js, agree = js[agree >= AGREE], agree[agree >= AGREE]
             js = js[agree + (fine[js] == fine[i]).sum(1) >= FINE_AGREE]
-            js = js[_close(w[js], np.full(len(js), w[i], w.dtype), similarity_)]
+            js = js[_close(size[js], w[js], size[i], w[i], similarity_)]
             # A pair is looked at in the first band that it shares.
             alike = (codes[js].reshape(-1, *shape) == codes[i].reshape(shape)).all(2)
             for j in js[alike.argmax(1) == at].tolist():
@@ -293,12 +306,12 @@ def _leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame, classes_:
 def document_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> DataFrame:
     """``_n, _u, class_id, names``: one row per document, and whether it is
     the one that names its class."""
-    idf_ = idf(frequencies(texts))
-    rows = written(sketches(texts, idf_), "sketches")
-    first = rows.groupBy("_u", "_v").agg(F.min(F.struct("_n", "codes", "weight")).alias("one"))
+    rarity = frequencies(texts)
+    rows = written(sketches(texts, rarity), "sketches")
+    first = rows.groupBy("_u", "_v").agg(F.min(F.struct("_n", "codes", "size", "weight")).alias("one"))
     # Different texts may share a document id: nodes go by a number of the text.
     number = F.xxhash64("_u", "_v").bitwiseAND(F.lit(2 ** 63 - 1))
-    nodes = written(first.select("_u", "_v", number.alias("_n"), F.col("one._n").alias("_least"), "one.codes", "one.weight"),
+    nodes = written(first.select("_u", "_v", number.alias("_n"), F.col("one._n").alias("_least"), "one.codes", "one.size", "one.weight"),
                     "nodes")
     members = _banded(nodes)
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("_n").alias("least")).filter("size > 1")
@@ -313,12 +326,12 @@ def document_classes(texts: DataFrame, similarity_: float = SIMILARITY) -> DataF
     pairs = members.drop("at").join(hubs, "band").filter("_n <> hub").select(F.col("_n").alias("a"), F.col("hub").alias("b"))
     pairs = written(_agreement(pairs.distinct(), codes, similarity_), "pairs")
     nearest = pairs.groupBy("a").agg((-F.max(F.struct("agree", (-F.col("b")).alias("m")))["m"]).alias("b"))
-    edges = written(_verified(nearest, bodies, idf_, similarity_), "edges")
+    edges = written(_verified(nearest, bodies, rarity, similarity_), "edges")
     classes_ = components(edges)
     other_hubs = _with_class(_with_class(pairs, classes_, "a", "ca"), classes_, "b", "cb").filter("ca <> cb")
-    edges = edges.unionByName(written(_verified(other_hubs, bodies, idf_, similarity_), "edges"))
+    edges = edges.unionByName(written(_verified(other_hubs, bodies, rarity, similarity_), "edges"))
     classes_ = components(edges)
-    rest = _leftovers(members, codes, bodies, classes_, idf_, similarity_)
+    rest = _leftovers(members, codes, bodies, classes_, rarity, similarity_)
     edges = edges.unionByName(written(rest, "edges"))
     classes_ = components(edges)
     # A class takes the smallest document id of its nodes; one node names it.

@@ -1,11 +1,18 @@
 """Weighted shingles and consistent weighted samples for operator 1.
 
-A document's features are its distinct runs of five words, weighted by the
-fourth root of ``(1 + ln tf) * idf``.  The root keeps a copy's few new shingles
-from outweighing what it shares with very many copies: undamped, those shared
-shingles lose a third of their weight, and pairs at 0.84 fall under 0.8.
-Document frequencies are counted over all documents in
-a fixed number of hashed cells, so their table has one size for any corpus.
+A document's features are its distinct runs of five words, weighted by
+``(1 + ln tf) * idf`` with ``idf = log2(1 + total / df)``, where ``total`` is
+the number of features of all documents.  Frequencies are exact for every
+shingle that makes up ``1 / SHARES`` of the total or more, and all rarer ones
+weigh as if they made up that much.  So there are at most ``SHARES`` frequent
+ones in any corpus, and a weight follows from the shingle's share of the
+corpus, not from the corpus's size.
+
+Two documents are alike if the weighted or the plain Jaccard similarity of
+their features is high enough: a copy's few new shingles are rare and what it
+shares with very many copies is not, so by weight alone it may fall apart from
+them at 0.89.  The samples are drawn by the fourth root of the weights, which
+lies between the two: of 0.8 by either, at least 0.75 is left.
 
 Improved consistent weighted sampling: per sample, each feature draws
 ``r, c ~ Gamma(2, 1)`` and ``b ~ U(0, 1)`` from its hash, quantizes its log
@@ -21,8 +28,8 @@ import numpy as np
 from .common import Prefix, mix, words
 
 SHINGLE = 5
-CELLS = 1 << 16
-DAMPING = 0.25
+SHARES = 1 << 20
+ROOT = 0.25
 SAMPLES, BANDS = 60, 15
 #: Further samples, one byte each, of documents that the first leave undecided.
 FINE_SAMPLES = 192
@@ -66,29 +73,44 @@ def shingles(off: np.ndarray, body: np.ndarray, width: int = SHINGLE
             np.diff(np.append(keep, len(h))))
 
 
-def cell(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(48)).astype(np.int64)
-
-
-def idf(df: np.ndarray) -> np.ndarray:
-    """Per cell; never zero, so that no feature is without weight."""
-    total = max(1, int(df.sum()))
-    return np.log2(1 + total / np.maximum(df, 1)).astype(np.float32)
+class Rarity:
+    """idf of shingles, by the exact frequencies of the frequent ones."""
+
+    def __init__(self, keys: np.ndarray, df: np.ndarray, total: int):
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        least = max(1.0, total / SHARES)
+        self.idf = np.log2(1 + total / np.maximum(df[order], least)).astype(np.float32)
+        self.rest = np.float32(np.log2(1 + total / least))
+        self.shift = np.uint64(64 - min(23, max(8, (4 * len(keys)).bit_length())))
+        self._maybe: np.ndarray | None = None  # made where it is used, not sent
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        if self._maybe is None:
+            self._maybe = np.zeros(1 << (64 - int(self.shift)), bool)
+            self._maybe[self.keys >> self.shift] = True
+        out = np.full(len(h), self.rest, np.float32)
+        some = np.flatnonzero(self._maybe[h >> self.shift])
+        if len(some):
+            slot = np.minimum(np.searchsorted(self.keys, h[some]), len(self.keys) - 1)
+            found = self.keys[slot] == h[some]
+            out[some[found]] = self.idf[slot[found]]
+        return out
 
 
-def weights(h: np.ndarray, count: np.ndarray, idf_: np.ndarray) -> np.ndarray:
-    return ((1 + np.log(count.astype(np.float32))) * idf_[cell(h)]) ** np.float32(DAMPING)
+def weights(h: np.ndarray, count: np.ndarray, rarity: Rarity) -> np.ndarray:
+    return (1 + np.log(count.astype(np.float32))) * rarity.of(h)
 
 
 def samples(first: np.ndarray, h: np.ndarray, w: np.ndarray, start: int = 0, count: int = SAMPLES) -> np.ndarray:
-    """``(documents with features) x count`` sample codes, from sample
-    ``start`` on."""
+    """``(documents with features) x count`` sample codes of the weights'
+    roots, from sample ``start`` on."""
     has = np.flatnonzero(np.diff(first))
     begin, size = first[:-1][has], np.diff(first)[has]
     out = np.empty((len(has), count), np.uint16)
     if not len(has):
         return out
-    ln = np.log(w).astype(np.float32)
+    ln = (ROOT * np.log(w)).astype(np.float32)
     owner = np.repeat(np.arange(len(has)), size)
     for k in range(count):
         z = mix(h ^ _SEEDS[start + k])
@@ -117,7 +139,11 @@ def bands(codes: np.ndarray) -> np.ndarray:
 
 
 def similarity(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two feature lists sorted by hash."""
+    """Weighted or plain Jaccard similarity, the larger, of two feature lists
+    sorted by hash."""
+    if not len(ha) or not len(hb):
+        return 0.0
     _, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
     low = float(np.minimum(wa[ia], wb[ib]).sum(dtype=np.float64))
-    return low / (float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - low) if len(ha) and len(hb) else 0.0
+    weighted = low / (float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - low)
+    return max(weighted, len(ia) / (len(ha) + len(hb) - len(ia)))
