@@ -479,3 +479,31 @@ def test_redaction_of_overlaps_across_pieces(spark, monkeypatch):
                 out += text[pos:f.start] + "[SECRET]"
             pos = max(pos, f.end)
         assert r.text == (None if text is None else out + text[pos:])
+
+
+def test_quality_judges_words_of_every_language(spark):
+    """Languages without a fixed reference are judged by their own documents,
+    each counting the same; the SQL says the same."""
+    import duckdb
+    from tidemark.llm.oracle import ORACLE_SQL
+
+    prepare(spark)
+    rng = random.Random(5)
+    text = lambda common, n: " ".join(
+        rng.choice(common) if i % 2 else "".join(rng.choice("abdeilmnorstu") for _ in range(6)) for i in range(n))
+    italian, german = ["la", "una", "con", "se", "in", "per", "un"], ["der", "die", "und", "das", "ist", "nicht"]
+    rows = [(i, text(italian, 300), ["it", "IT-it", "it_CH"][i % 3]) for i in range(12)]
+    rows += [(20, text(german, 20_000), "it"), (21, text(german, 300), "nl"), (22, "der die und das ist " * 90, "it"),
+             (23, text(italian, 300), None), (24, text(italian, 40), "it"), (25, None, "it"), (26, text(german, 300), "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.quality_rules(df).collect()}
+    assert all(got[i].kept and 0 < got[i].word_distance < 0.5 for i in range(12))
+    assert got[20].word_distance > 0.75 and not got[20].kept
+    assert got[21].word_distance == got[23].word_distance == got[24].word_distance == 0
+    assert {r.doc_id for r in quality.quality_filter(df).collect()} == {d for d, r in got.items() if r.kept}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    said = con.execute(ORACLE_SQL["op7_quality_rules"])
+    names = [c[0] for c in said.description]
+    assert {r[names.index("doc_id")]: dict(zip(names, r)) for r in said.fetchall()} == {d: r.asDict() for d, r in got.items()}

@@ -77,13 +77,15 @@ def _quality() -> str:
     common = lambda k: [quality.COMMON_PER_THOUSAND.get(k, {}).get(w, 0) for w in COMMON_WORDS]
     refs = ", ".join(f"('{k}', {c}::DOUBLE[], {common(k)}::DOUBLE[])" for k, c in
                      [*quality.CLASSES_PER_THOUSAND.items(), (quality.OTHER, quality.OTHER_CLASSES)])
+    own = ", ".join(f"sum({quality.SHARE} * com[{i}]::BIGINT // list_sum(com)::BIGINT)" for i in range(1, len(COMMON_WORDS) + 1))
     return f"""
 WITH {WORDS},
 windows AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM words),
 repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i,
   count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 4], ' ')) AS n FROM windows) WHERE n > 1),
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, range(0, 5) AS r(k) GROUP BY doc_id),
-inked AS (SELECT doc_id, CASE WHEN l IN ({known}) THEN l ELSE '{quality.OTHER}' END AS lang, t, ws, translate(t, {SPACE}, '') AS ink,
+inked AS (SELECT doc_id, CASE WHEN l IN ({known}) THEN l ELSE '{quality.OTHER}' END AS lang,
+  CASE WHEN l IN ({known}) THEN NULL ELSE l END AS tag, t, ws, translate(t, {SPACE}, '') AS ink,
   list_filter(list_transform(list_filter(regexp_split_to_array(lower(t), '{GAP}'), lambda x: x <> ''),
     lambda x: rtrim(x, '{MARKS}')), lambda x: x IN ({bins})) AS hits,
   list_filter(string_split(t, chr(10)), lambda x: translate(x, {SPACE}, '') <> '') AS lines
@@ -91,17 +93,21 @@ inked AS (SELECT doc_id, CASE WHEN l IN ({known}) THEN l ELSE '{quality.OTHER}'
 parts AS (SELECT *, length(ink) AS n, length(ink) - {without('a-z')} AS lo, length(ink) - {without('A-Z')} AS up,
   length(ink) - {without('0-9')} AS dg, {without(chr(92) + 'x00-' + chr(92) + 'x7F')} AS wide,
   length(ink) - length(translate(ink, '{quality.SYMBOLS}', '')) AS sy FROM inked),
-hist AS (SELECT doc_id, lang, len(ws)::BIGINT AS n_words, n::BIGINT AS word_chars,
+hist AS (SELECT doc_id, lang, tag, len(ws)::BIGINT AS n_words, n::BIGINT AS word_chars,
   (length(t) - length(translate(t, '{quality.SYMBOLS}', '')))::BIGINT AS n_symbols,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
   [lo + CASE WHEN lang = '' THEN wide ELSE 0 END, up, dg, CASE WHEN lang = '' THEN 0 ELSE wide END, sy,
    n - lo - up - dg - wide - sy]::DOUBLE[] AS cls, [{words}] AS com FROM parts),
 refs(lang, rcls, rcom) AS (VALUES {refs}),
-judged AS (SELECT h.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+based AS (SELECT h.*, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+  n_words < 10 OR 100 * coalesce(c.n, 0) > 20 * n_words AS base_failed FROM hist h LEFT JOIN covered c ON c.doc_id = h.doc_id),
+own AS (SELECT tag, [{own}]::DOUBLE[] AS ocom FROM based
+  WHERE list_sum(com) >= {MIN_COMMON} AND tag IS NOT NULL AND NOT base_failed GROUP BY tag),
+compared AS (SELECT b.*, rcls, coalesce(ocom, rcom) AS rcom FROM based b JOIN refs USING (lang) LEFT JOIN own USING (tag)),
+ruled AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   CASE WHEN list_sum(cls) >= {MIN_CHARS} THEN {_distance('cls', 'rcls')} ELSE 0.0 END AS class_distance,
-  CASE WHEN list_sum(com) >= {MIN_COMMON} AND list_sum(rcom) > 0 THEN {_distance('com', 'rcom')} ELSE 0.0 END AS word_distance
-  FROM hist h JOIN refs USING (lang) LEFT JOIN covered c ON c.doc_id = h.doc_id),
-ruled AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM judged)
+  CASE WHEN list_sum(com) >= {MIN_COMMON} AND list_sum(rcom) > 0 THEN {_distance('com', 'rcom')} ELSE 0.0 END AS word_distance, base_failed
+  FROM compared)
 SELECT *, NOT base_failed AND class_distance <= {MAX_CLASS_DISTANCE} AND word_distance <= {MAX_WORD_DISTANCE} AS kept
 FROM ruled"""
 
