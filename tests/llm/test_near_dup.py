@@ -214,3 +214,25 @@ def test_texts_that_share_an_id_are_classed_apart(spark):
     kept = [(r.doc_id, r.text) for r in near_dup.one_of_each(df).collect()]
     assert {(3, first), (9, clean), (20, "a short text of its own")} < set(kept)
     assert len(kept) == 4 and {t for _, t in kept} & {third, third + " end"}
+
+
+def test_frequencies_are_exact_and_rare_shingles_are_not_gathered(spark, monkeypatch):
+    from collections import Counter
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm import near_dup
+    from tidemark.llm.common import prepare, utf8
+    from tidemark.llm.near_sketch import shingles
+
+    prepare(spark)
+    texts = [f"shared words of every text {i % 7} " + " ".join(f"w{i}x{j}" for j in range(300)) for i in range(200)] + ["", "a b"]
+    held, real = [], near_dup.written
+    monkeypatch.setattr(near_dup, "written", lambda df, name: held.append(real(df, name)) or held[-1])
+    got = near_dup.frequencies(spark.createDataFrame([(t,) for t in texts], "_text string"))
+    assert all(t.count() <= near_dup.CELLS // near_dup.PART for t in held)
+    want = Counter(h for t in texts for h in shingles(*utf8(pa.array([t])))[1].tolist())
+    assert got.keys.tolist() == sorted(h for h, n in want.items() if n > 1)
+    total = sum(want.values())
+    assert np.allclose(got.idf, [np.log2(1 + total / want[h]) for h in got.keys.tolist()])

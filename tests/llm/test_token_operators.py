@@ -148,3 +148,19 @@ def test_counts_of_a_table_with_edits(spark):
     assert Counter((r.doc_id, r.n_tokens, r.n_tokens_after) for r in got.collect()) == want
     clash = frame(spark).withColumn("edits", F.lit(None).cast(token_counts.EDITS))
     assert token_counts.edited_counts(token_counts.with_trees(clash)).filter("n_tokens <> n_tokens_after").count() == 0
+
+
+def test_a_word_is_encoded_once_whatever_mark_follows():
+    from tidemark.llm import vocab
+
+    for file, cut in (("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")):
+        enc = vocab.Encoder(vocab.vocabulary(file), cut)
+        asked, real = [], enc.tokenize
+        enc.tokenize = lambda s: asked.append(s) or real(s)
+        texts = ["x morning morning, morning. Übung, Übung. a, , . ,. .,", "x morning,, <|endoftext|>, <|endoftext|>."]
+        assert [list(np.frombuffer(b, "<u4")) for b in enc(texts)] == [
+            enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert sum("morning" in s for s in asked) <= 2  # the word, and once before two marks
+    vocab.Encoder.load(vocab.vocabulary(file), cut)
+    vocab.forget()
+    assert not vocab._loaded

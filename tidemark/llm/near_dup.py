@@ -1,6 +1,7 @@
 """Operator 1: near-duplicate classes by consistent weighted sampling.
 
-1. Document frequencies of five-word shingles are counted by one aggregation;
+1. Document frequencies of five-word shingles are counted in two passes, by
+   hashed cells and then exactly in the cells that hold enough;
    the frequent ones (a table of bounded size, see ``near_sketch``) are sent to
    the tasks.
 2. Every text gets 60 weighted samples (``near_sketch``), read as 15 bands of
@@ -38,7 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Prefix, slices, utf8, written
-from .near_sketch import BANDS, FINE_SAMPLES, SAMPLES, SHARES, Rarity, bands, samples, shingles, similarity, weights
+from .near_sketch import BANDS, FINE_SAMPLES, SAMPLES, SHARES, SLICE, Rarity, bands, samples, shingles, similarity, weights
+from .vocab import forget
 
 SIMILARITY = 0.8
 #: Samples that must agree before a pair is verified: of 60, a pair at 0.76 by
@@ -49,6 +51,9 @@ FINE_AGREE = 172
 #: Members compared with each other in one block of step 4, and the number of
 #: their shingles, which bounds the block's texts.
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
+#: Hashed cells that shingles are first counted by, several to each of the
+#: ``SHARES``; cells in one row; shingles that a task counts before it sends.
+CELLS, PART, HELD = 1 << 22, 1 << 16, 1 << 20
 #: Bands with fewer members take their smallest node as hub.
 HUB_VOTES_FROM, VOTES = 8, 16
 
@@ -68,32 +73,84 @@ def _address(id_col: str, text_col: str) -> tuple[Column, Column]:
 
 
 def frequencies(texts: DataFrame) -> Rarity:
-    """Exact document frequencies.  Shingles of one document are dropped after
-    the count; of the others at most ``SHARES`` come back: those that make up
-    ``1 / SHARES`` of all."""
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact document frequencies of the shingles that make up ``1 / SHARES``
+    of all, at most ``SHARES`` of them.  A first pass counts hashed cells: a
+    shingle is at most as frequent as its cell.  A second one counts the
+    shingles of the cells that are frequent enough, so the others (nearly all)
+    are never shuffled."""
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        held = np.zeros(CELLS, np.int32)
         for batch in batches:
-            for _, _, off, body in slices(batch, "_text"):
-                _, h, _ = shingles(off, body)
-                # The null key counts all of them.
+            for _, _, off, body in slices(batch, "_text", SLICE):
+                np.add.at(held, _cell(shingles(off, body)[1]), 1)
+        for part, some in enumerate(held.reshape(-1, PART)):
+            at = np.flatnonzero(some)
+            if len(at):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([pa.array(h.view(np.int64)), pa.nulls(1, pa.int64())]),
-                     pa.array(np.append(np.ones(len(h), np.int64), len(h)))], names=["h", "df"])
+                    [pa.array([part], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()),
+                     pa.array([some[at].tobytes()], pa.binary())], names=["part", "at", "n"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(part, np.zeros(PART, np.int64))[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int32)
+        for part, sums in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([sums.tobytes()], pa.binary()), pa.array([int(sums.sum())])],
+                names=["part", "sums", "n"])
+
+    counted = texts.select("_text").mapInArrow(cells, "part int, at binary, n binary").repartition("part") \
+        .mapInArrow(summed, "part int, sums binary, n long")
+    counted = written(counted, "shingle-cells")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    least = max(2, -(-total // SHARES))
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(np.frombuffer(x, np.int64) >= least).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], names=["part", "bits"])
 
-    counts = written(texts.select("_text").mapInArrow(features, "h long, df long").groupBy("h")
-                     .agg(F.sum("df").alias("df")).filter("df > 1 or h is null"), "frequencies")
-    total = counts.filter("h is null").agg(F.sum("df")).first()[0] or 0
-    some = counts.filter(f"h is not null and df * {SHARES} >= {total}").toArrow()
+    bits = np.zeros((CELLS // PART, PART // 8), np.uint8)
+    for r in counted.select("part", "sums").mapInArrow(frequent, "part int, bits binary").collect():
+        bits[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    sent = texts.sparkSession.sparkContext.broadcast(bits.ravel())
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, held, size = np.unpackbits(sent.value).astype(bool), [], 0
+
+        def rows() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "df"])
+
+        for batch in batches:
+            for _, _, off, body in slices(batch, "_text", SLICE):
+                h = shingles(off, body)[1]
+                held.append(h[open_[_cell(h)]])
+                size += len(held[-1])
+                if size >= HELD:
+                    yield rows()
+                    held, size = [], 0
+        if size:
+            yield rows()
+
+    some = texts.select("_text").mapInArrow(features, "h long, df long").groupBy("h").agg(F.sum("df").alias("df")) \
+        .filter(F.col("df") >= least).toArrow()
     return Rarity(some["h"].to_numpy().view(np.uint64), some["df"].to_numpy(), total)
 
 
+def _cell(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(65 - CELLS.bit_length())).astype(np.int64)
+
+
 def sketches(texts: DataFrame, rarity: Rarity) -> DataFrame:
     """``NODES`` rows, one per document; ``_v`` is a second text hash."""
     sent = texts.sparkSession.sparkContext.broadcast(rarity)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, off, body in slices(batch, "_text"):
+            for i, j, off, body in slices(batch, "_text", SLICE):
                 first, h, n = shingles(off, body)
                 w = weights(h, n, sent.value)
                 has = np.diff(first) > 0
@@ -224,7 +281,7 @@ def _fine(texts: DataFrame, rarity: Rarity) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, off, body in slices(batch, "_text"):
+            for i, j, off, body in slices(batch, "_text", SLICE):
                 first, h, n = shingles(off, body)
                 codes = samples(first, h, weights(h, n, sent.value), SAMPLES, FINE_SAMPLES).astype(np.uint8)
                 has = np.flatnonzero(np.diff(first))

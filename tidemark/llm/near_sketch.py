@@ -25,12 +25,14 @@ from __future__ import annotations
 
 import numpy as np
 
-from .common import Prefix, mix, words
+from .common import Prefix, mix, mix_in_place, words
 
 SHINGLE = 5
 SHARES = 1 << 20
 ROOT = 0.25
 SAMPLES, BANDS = 60, 15
+#: Bytes of text whose shingles are made at once: few enough for a core's cache.
+SLICE = 1 << 17
 #: Further samples, one byte each, of documents that the first leave undecided.
 FINE_SAMPLES = 192
 
@@ -64,8 +66,10 @@ def shingles(off: np.ndarray, body: np.ndarray, width: int = SHINGLE
     doc = np.repeat(np.arange(len(size)), n)
     at = np.repeat(first[:-1], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     h = seq.hash(at, np.minimum(at + width, first[1:][doc]))
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
+    ends = np.cumsum(n).tolist()
+    for i, j in zip([0, *ends], ends):  # each document's by itself: short, and sorted in place
+        if j - i > 1:
+            h[i:j].sort()
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     keep = np.flatnonzero(new)
@@ -112,14 +116,26 @@ def samples(first: np.ndarray, h: np.ndarray, w: np.ndarray, start: int = 0, cou
         return out
     ln = (ROOT * np.log(w)).astype(np.float32)
     owner = np.repeat(np.arange(len(has)), size)
+    z, spare, index = np.empty_like(h), np.empty_like(h), np.empty(len(h), np.intp)
+    bid, r, b, t = (np.empty(len(h), np.float32) for _ in range(4))
+    draws = z.view("<u2").reshape(-1, 4)  # three draws of 16 bits of each hash
     for k in range(count):
-        z = mix(h ^ _SEEDS[start + k])
-        r = _R[(z & np.uint64(0xFFFF)).astype(np.int64)]
-        b = ((z >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.float32) / np.float32(_LEVELS)
-        t = np.floor(ln / r + b)
-        bid = _LN_C[((z >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64)] - r * (t - b + 1)
+        np.bitwise_xor(h, _SEEDS[start + k], out=z)
+        mix_in_place(z, spare)
+        index[:] = draws[:, 0]
+        _R.take(index, out=r, mode="clip")
+        np.multiply(draws[:, 2], np.float32(1 / _LEVELS), out=b, dtype=np.float32, casting="unsafe")
+        np.divide(ln, r, out=t)
+        t += b
+        np.floor(t, out=t)
+        np.subtract(t, b, out=b)
+        b += np.float32(1)
+        b *= r
+        index[:] = draws[:, 1]
+        _LN_C.take(index, out=bid, mode="clip")
+        bid -= b
         least = np.minimum.reduceat(bid, begin)
-        won = np.flatnonzero(bid == least[owner])  # on a tie the smallest hash
+        won = np.flatnonzero(bid == np.repeat(least, size))  # on a tie the smallest hash
         one = won[np.concatenate([[True], owner[won][1:] != owner[won][:-1]])]
         code = mix(h[one] ^ (t[one].astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
         out[:, k] = (code >> np.uint64(48)).astype(np.uint16)

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 import numpy as np
 
 #: Pieces remembered per worker and tokenizer, in each of two generations.
-MAX_REMEMBERED = 700_000
+MAX_REMEMBERED = 250_000
 #: Longer pieces are encoded each time and not remembered.
 MAX_PIECE = 64
 
@@ -92,6 +92,13 @@ def spelled(piece: str) -> str:
 _loaded: dict[tuple[str, str], Encoder] = {}
 
 
+def forget() -> None:
+    """Drop this worker's encoders and what they remember.  Spark hands a
+    worker on from stage to stage; one that needs its memory otherwise calls
+    this first."""
+    _loaded.clear()
+
+
 class _Known(dict):
     """Ids by piece.  A missing piece comes from the generation before, or is
     encoded; a full generation becomes the one before."""
@@ -123,11 +130,13 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         #: Strings that the library takes for a token wherever they stand.
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.holds_added = re.compile("|".join(map(re.escape, self.added)) or r"(?!)").search
         self.cut = {"byte": byte_level_pieces, "word": word_pieces}[cut]
         self.words = cut == "word"
         self.pre = re.compile(PRE_TOKEN[cut]).findall
         self.tokenize = self.tok.model.tokenize
         self.known = _Known(self._encode)
+        self.marks = {m: struct.pack(f"<{len(t)}I", *[x.id for x in t]) for m in ".," for t in [self.tokenize(m)]}
 
     @classmethod
     def load(cls, path: str, cut: str) -> Encoder:
@@ -139,18 +148,20 @@ class Encoder:
     def _encode(self, piece: str) -> bytes:
         """The library's merges on each pre-token of a Latin piece; any other
         piece goes through the library's whole pipeline."""
-        if any(a in piece for a in self.added):
+        if self.holds_added(piece):
             text = piece if self.words else spelled(piece)
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        word, mark = (piece[:-1], piece[-1]) if piece[-1] in ".," else (piece, "")
+        # The usual piece: a word, and perhaps a mark, which is a pre-token of its own.
+        word, mark = (piece[:-1], piece[-1]) if piece[-1] in self.marks else (piece, "")
         word = word.lower() if self.words else word
-        if word.isalpha() and max(word) < "\u0250":  # the usual piece: a word, and perhaps a mark
-            word = word if self.words else " " + word
-            word = word.replace(" ", _BYTE_CHARS[0x20]) if word.isascii() else \
-                word.encode().decode("latin1").translate(_BYTE_CHARS)
-            ids = [t.id for t in self.tokenize(word)]
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
             if mark:
-                ids += [t.id for t in self.tokenize(mark)]
+                return self.known[word] + self.marks[mark]
+            if not self.words:
+                word = _BYTE_CHARS[0x20] + (word if word.isascii() else word.encode().decode("latin1").translate(_BYTE_CHARS))
+            elif not word.isascii():
+                word = word.encode().decode("latin1").translate(_BYTE_CHARS)
+            ids = [t.id for t in self.tokenize(word)]
             return struct.pack(f"<{len(ids)}I", *ids)
         text = piece.lower() if self.words else spelled(piece)
         if not _PLAIN.match(text):
