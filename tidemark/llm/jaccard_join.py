@@ -58,7 +58,7 @@ from pyspark.sql import functions as F
 
 from .common import keyed, mix, real_id, slices, utf8, written
 from .near_dup import components
-from .near_sketch import SHINGLE, shingles
+from .near_sketch import SHINGLE, SLICE, shingles
 
 #: The similarity as a fraction, so that its comparison is exact.
 SIMILARITY = (80, 100)
@@ -186,7 +186,7 @@ def _set_rows(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, seen = np.zeros(CELLS, np.int32), 0
         for batch in batches:
-            for i, j, off, body in slices(batch, "_text"):
+            for i, j, off, body in slices(batch, "_text", SLICE):
                 first, h = sets(off, body)
                 np.add.at(held, _cell(h), 1)
                 seen += j - i
@@ -447,14 +447,20 @@ def _links(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int], el
     nearest = tried.groupBy("node").agg(F.max(F.struct("times", "hub"))["hub"].alias("hub")) \
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     edges = written(_verified(nearest, some, similarity), "edges")
-    for step in ("hubs", "leftovers"):
-        classes = components(edges)
-        if step == "hubs":
-            rest = tried.select("a", "b").distinct().join(nearest, ["a", "b"], "left_anti")
-            rest = _with_class(_with_class(rest, classes, "a", "ca"), classes, "b", "cb").filter("ca <> cb")
-        else:
-            rest = _leftovers(shared, tried.select("a", "b").distinct(), classes, some, similarity)
-        edges = edges.unionByName(written(_verified(rest, some, similarity), "edges"))
+    apart = lambda pairs, classes: _with_class(
+        _with_class(pairs, classes, "a", "ca"), classes, "b", "cb").filter("ca <> cb")
+    classes = components(edges)
+    rest = apart(tried.select("a", "b").distinct().join(nearest, ["a", "b"], "left_anti"), classes)
+    edges = edges.unionByName(written(_verified(rest, some, similarity), "edges"))
+    classes = components(edges)
+    left = written(apart(_leftovers(shared, tried.select("a", "b").distinct(), classes, some, similarity), classes),
+                   "left-pairs")
+    # One pair of two classes first: if it links, the others of the two need no texts.
+    one = written(left.groupBy(F.least("ca", "cb").alias("lo"), F.greatest("ca", "cb").alias("hi"))
+                  .agg(F.min(F.struct("a", "b")).alias("one")).select("one.a", "one.b"), "first-pairs")
+    edges = edges.unionByName(written(_verified(one, some, similarity), "edges"))
+    rest = apart(left.select("a", "b").join(one, ["a", "b"], "left_anti"), components(edges))
+    edges = edges.unionByName(written(_verified(rest, some, similarity), "edges"))
     return components(edges)
 
 
