@@ -164,3 +164,32 @@ def test_a_word_is_encoded_once_whatever_mark_follows():
     vocab.Encoder.load(vocab.vocabulary(file), cut)
     vocab.forget()
     assert not vocab._loaded
+
+
+def test_words_beside_line_ends_are_remembered():
+    from tidemark.llm import vocab
+
+    for file, cut in ((BYTE, "byte"), (WORD, "word")):
+        enc = vocab.Encoder(vocab.vocabulary(file), cut)
+        asked, real = [], enc.tokenize
+        enc.tokenize = lambda s: asked.append(s) or real(s)
+        texts = [f"a{end}morning, x{end}Morning.{end}morning" for end in ("\n", "\n\n", ".\n", ",\n\n")]
+        texts += ["\nmorning", "morning\n", "a\n\n\nmorning", "a\nb <|endoftext|>\n\n<|endoftext|>", "É.\nÉ\nñ,\n.\n\n9"]
+        assert [list(np.frombuffer(b, "<u4")) for b in enc(texts[:4])] == [
+            enc.tok.encode(t, add_special_tokens=False).ids for t in texts[:4]]
+        assert sum("orning" in s for s in asked) <= 4  # in two cases, and twice before two marks
+        for t in texts:
+            assert list(np.frombuffer(enc([t])[0], "<u4")) == enc.tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_memory_bound_of_the_last_caller():
+    from tidemark.llm import vocab
+
+    words = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}q" for i in range(300))]
+    for most, held in ((10, 10), (1000, 300)):
+        vocab.forget()
+        enc = Encoder.load(vocabulary(WORD), "word", most)
+        whole = enc(words)
+        assert len(enc.known) <= max(most, held) and (most < 300 or len(enc.known) == 300)
+        assert Encoder.load(vocabulary(WORD), "word") is enc and enc.known.most is None and enc(words) == whole
+    vocab.forget()

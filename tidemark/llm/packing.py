@@ -92,13 +92,14 @@ def cuts(n: int, capacity: int = CAPACITY, longest: int = LONGEST_REST) -> list[
 
 def pack_documents(docs: DataFrame, vocab: str = "word_bpe_49k.json", folder: str | None = None,
                    cut: str = "word", end_id: int = 1, capacity: int = CAPACITY,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", remembered: int | None = None) -> DataFrame:
     """One row per piece; see ``PIECES``.  ``sequence_id`` is the task's
-    number in its upper and a running number in its lower 32 bits."""
+    number in its upper and a running number in its lower 32 bits.
+    ``remembered`` bounds the encoder's memory (``vocab``)."""
     file = vocabulary(vocab, folder)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder.load(file, cut)
+        enc = Encoder.load(file, cut, remembered)
         end = np.array([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 32
         group: list[tuple] = []

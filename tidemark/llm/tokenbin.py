@@ -77,14 +77,15 @@ def text_groups(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[
 
 def write_ids(docs: DataFrame, path: str, vocab: str = "byte_bpe_50k.json", folder: str | None = None,
               cut: str = "byte", end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-              parts: int | None = None) -> None:
-    """Encode ``docs`` and write the block table at ``path``."""
+              parts: int | None = None, remembered: int | None = None) -> None:
+    """Encode ``docs`` and write the block table at ``path``; ``remembered``
+    bounds the encoder's memory (``vocab``)."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     file = vocabulary(vocab, folder)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder.load(file, cut)
+        enc = Encoder.load(file, cut, remembered)
         width = width_for(max(enc.tok.get_vocab_size(), end_id + 1))
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()

@@ -12,11 +12,14 @@ import re
 import struct
 import unicodedata
 from collections.abc import Sequence
+from functools import partial
 
 import numpy as np
 
-#: Pieces remembered per worker and tokenizer, in each of two generations.
+#: Pieces remembered per worker and tokenizer, in each of two generations,
+#: where workers go on to other stages; and where they only encode.
 MAX_REMEMBERED = 250_000
+MANY_REMEMBERED = 700_000
 #: Longer pieces are encoded each time and not remembered.
 MAX_PIECE = 64
 
@@ -24,6 +27,8 @@ _BLANK = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 #: Marks a text's first piece, which no blank precedes; never part of a text.
 HEAD = "\ud800"
+#: Starts a piece that stands for a line end and the text behind it.
+LINE = "\n" + HEAD
 
 # Characters below U+0250 need no normalizing but lower case, and every regular
 # expression engine puts them in the same classes.
@@ -50,6 +55,8 @@ def _byte_chars() -> dict[int, str]:
 
 
 _BYTE_CHARS = _byte_chars()
+#: The spelling of each Latin letter.
+_SPELLING = {ord(c): c.encode().decode("latin1").translate(_BYTE_CHARS) for c in _LETTER}
 
 
 def vocabulary(name: str, folder: str | None = None) -> str:
@@ -62,14 +69,17 @@ def vocabulary(name: str, folder: str | None = None) -> str:
     return public_tokenizers.path(name)
 
 
-def byte_level_pieces(text: str) -> list[str]:
+def byte_level_pieces(text: str, lines: bool = False) -> list[str]:
     """Cut at each blank between two non-blanks: a byte-level pre-token always
     starts there, and the one before ends there.  All pieces but the first,
-    which carries ``HEAD``, stand for a blank and themselves."""
+    which carries ``HEAD``, stand for a blank and themselves.  ``lines`` asks
+    for cuts at line ends too, where one or two in a row are pre-tokens each."""
     if not text:
         return []
     odd = ("  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " "
            or _OTHER_SPACE.search(text))
+    if lines and not odd and "\n" in text and text[-1] != "\n" and "\n\n\n" not in text and "<|" not in text:
+        text = text.replace("\n", " " + LINE)
     parts = _BLANK.split(text) if odd else text.split(" ")
     parts[0] = HEAD + parts[0]
     return parts
@@ -77,16 +87,17 @@ def byte_level_pieces(text: str) -> list[str]:
 
 def word_pieces(text: str) -> list[str]:
     """Cut at blanks; this vocabulary drops white space.  It also drops case,
-    so a text whose characters fold one by one is folded at once (but where
-    that could make an added token's string, or break one)."""
+    so a text whose characters fold one by one is folded at once and cut at all
+    white space (but where that could make an added token's string, or break
+    one)."""
     if "<|" not in text and _PLAIN.match(text):
-        text = text.lower()
+        return text.lower().split()
     return [p for p in text.split(" ") if p]
 
 
 def spelled(piece: str) -> str:
     """The text of a byte-level piece."""
-    return piece[1:] if piece[0] == HEAD else " " + piece
+    return piece.replace(HEAD, "") if piece[0] == HEAD or piece[:2] == LINE else " " + piece
 
 
 _loaded: dict[tuple[str, str], Encoder] = {}
@@ -103,9 +114,10 @@ class _Known(dict):
     """Ids by piece.  A missing piece comes from the generation before, or is
     encoded; a full generation becomes the one before."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int | None):
         super().__init__()
         self.encode = encode
+        self.most = most
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -113,7 +125,7 @@ class _Known(dict):
         if ids is None:
             ids = self.encode(piece)
         if len(piece) <= MAX_PIECE:
-            if len(self) >= MAX_REMEMBERED:
+            if len(self) >= (self.most or MAX_REMEMBERED):
                 self.before = dict(self)
                 self.clear()
             self[piece] = ids
@@ -123,7 +135,7 @@ class _Known(dict):
 class Encoder:
     """Whole-text encoding through remembered pieces."""
 
-    def __init__(self, path: str, cut: str):
+    def __init__(self, path: str, cut: str, remembered: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -132,17 +144,21 @@ class Encoder:
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.holds_added = re.compile("|".join(map(re.escape, self.added)) or r"(?!)").search
         self.cut = {"byte": byte_level_pieces, "word": word_pieces}[cut]
+        self.finest = {"byte": partial(byte_level_pieces, lines=True), "word": word_pieces}[cut]
         self.words = cut == "word"
         self.pre = re.compile(PRE_TOKEN[cut]).findall
         self.tokenize = self.tok.model.tokenize
-        self.known = _Known(self._encode)
+        self.known = _Known(self._encode, remembered)
         self.marks = {m: struct.pack(f"<{len(t)}I", *[x.id for x in t]) for m in ".," for t in [self.tokenize(m)]}
+        self.line_end = [t.id for t in self.tokenize(_BYTE_CHARS[0x0A])]
 
     @classmethod
-    def load(cls, path: str, cut: str) -> Encoder:
-        """One per worker process and file."""
+    def load(cls, path: str, cut: str, remembered: int | None = None) -> Encoder:
+        """One per worker process and file; the last caller says how many
+        pieces it remembers (none: ``MAX_REMEMBERED``)."""
         if (path, cut) not in _loaded:
             _loaded[path, cut] = cls(path, cut)
+        _loaded[path, cut].known.most = remembered
         return _loaded[path, cut]
 
     def _encode(self, piece: str) -> bytes:
@@ -152,16 +168,24 @@ class Encoder:
             text = piece if self.words else spelled(piece)
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         # The usual piece: a word, and perhaps a mark, which is a pre-token of its own.
-        word, mark = (piece[:-1], piece[-1]) if piece[-1] in self.marks else (piece, "")
-        word = word.lower() if self.words else word
+        whole, mark = (piece[:-1], piece[-1]) if piece[-1] in self.marks else (piece, "")
+        if self.words:
+            lead, word = "", whole.lower()
+            whole = word
+        elif whole[:1] == HEAD:
+            lead, word = "", whole[1:]
+        elif whole[:2] == LINE:
+            lead, word = "\n", whole[2:]
+        else:
+            lead, word = " ", whole
         if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
             if mark:
-                return self.known[word] + self.marks[mark]
-            if not self.words:
-                word = _BYTE_CHARS[0x20] + (word if word.isascii() else word.encode().decode("latin1").translate(_BYTE_CHARS))
-            elif not word.isascii():
-                word = word.encode().decode("latin1").translate(_BYTE_CHARS)
-            ids = [t.id for t in self.tokenize(word)]
+                return self.known[whole] + self.marks[mark]
+            if not word.isascii():
+                word = word.translate(_SPELLING)
+            ids = [t.id for t in self.tokenize(_BYTE_CHARS[0x20] + word if lead == " " else word)]
+            if lead == "\n":
+                ids = self.line_end + ids
             return struct.pack(f"<{len(ids)}I", *ids)
         text = piece.lower() if self.words else spelled(piece)
         if not _PLAIN.match(text):
@@ -177,7 +201,7 @@ class Encoder:
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         ids = self.known.__getitem__
-        return [b"".join(map(ids, self.cut(t))) for t in texts]
+        return [b"".join(map(ids, self.finest(t))) for t in texts]
 
     def counts(self, pieces: Sequence[str]) -> list[int]:
         """Tokens of each piece."""
