@@ -149,3 +149,28 @@ def test_words_that_only_differ_in_case_are_equal():
     body = "Ab É x Y z AB é X y Z".encode()
     first, h = jj.sets(np.array([0, len(body)]), np.frombuffer(body, np.uint8))
     assert first.tolist() == [0, len(h)] and len(h) == 6  # É and é differ
+
+
+def test_released_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from tidemark.llm.common import written
+    from tidemark.llm.jaccard_join import _release
+
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName().split("_")[1] for i in range(files.size())
+                if files.apply(i).getName().startswith("shuffle_")}
+
+    before = held()
+    rows = spark.range(5000).withColumn("g", F.col("id") % 7)
+    table = written(rows.repartition(3, "g"), "released")
+    new = held() - before
+    assert new
+    _release(table)
+    for _ in range(50):
+        if not held() & new:
+            break
+        time.sleep(0.2)
+    assert not held() & new
+    assert table.count() == 5000

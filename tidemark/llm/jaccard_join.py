@@ -399,7 +399,9 @@ def _in_blocks(rows: DataFrame, sizes: DataFrame, texts: DataFrame, similarity:
 def _release(df: DataFrame) -> None:
     """Have Spark's cleaner drop the shuffle files behind a table that has just
     been written; it sees that nothing refers to them when the driver collects
-    its garbage."""
+    its garbage.  The last query stays referred to until another has ended, so
+    a look at the table comes first."""
+    df.isEmpty()
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()  # noqa: SLF001
 
@@ -440,7 +442,9 @@ def _links(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int], el
     renown = shared.groupBy("node").agg(F.sum("held").alias("renown"))
     hubs = shared.join(renown, "node").groupBy("sig").agg(F.max(F.struct("renown", "node"))["node"].alias("hub"))
     shared = written(shared.select("sig", "node").join(hubs, "sig"), "hubs")
+    del renown, hubs
     some = written(texts.join(shared.select("node").distinct().hint("merge"), "node"), "candidate-texts")
+    _release(some)
     tried = written(shared.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("times"))
                     .select("node", "hub", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "times"),
                     "hub-pairs")
