@@ -276,6 +276,17 @@ def test_quality_base_counts(spark):
     assert got == want
 
 
+def test_quality_sorts_only_windows_that_meet(spark):
+    rng = random.Random(11)
+    rows = [(1, " ".join(str(i % 2990) for i in range(3000))), (2, "a " * 40), (3, "a b c d e a b c d"), (4, "a b c d e a b c d e"),
+            *[(5 + i, " ".join(rng.choice("abc") for _ in range(60))) for i in range(20)], (30, ""), (31, None)]
+    df = quality.with_base_counts(spark.createDataFrame(rows, SCHEMA))
+    assert {r.doc_id: r.n_repeat_words for r in df.collect()} == {d: base_counts(t)[4] for d, t in rows}
+    # Words are cut once and white space is taken out of no whole text; no window copies its text's words.
+    plan = df.select("n_repeat_words", "word_chars", "n_symbols")._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(text" not in plan and "translate(coalesce(text" not in plan and "slice(__words" not in plan
+
+
 def test_quality_rejects_divergent_text_and_keeps_clean(spark):
     rng = random.Random(1)
     vocabulary = [*quality.COMMON_WORDS[:12], *("lorem ipsum dolor amet sit elit magna aliqua minim veniam".split())]

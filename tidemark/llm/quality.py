@@ -96,21 +96,30 @@ def _without(text: Column, chars: str) -> Column:
     return F.length(F.regexp_replace(text, f"[{chars}]+", ""))
 
 
-def _repeat_words(words: str, n: int = 5) -> Column:
+def _window_hashes(words: str, n: int = 5) -> Column:
+    """The hash of the n-word window at each word (one entry for fewer words)."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0))), lambda i: F.xxhash64(*[
+        F.get(F.col(words), i + k) for k in range(n)]))
+
+
+def _repeat_words(words: str, hashes: str, n: int = 5) -> Column:
     """Words inside an n-word window that stands in the text twice or more.
 
-    Windows become strings ``w1 .. wn\\n<position>`` and are sorted; equal
-    windows are then neighbours (words hold neither blank nor newline), and
-    the union of the positions they cover is summed from the gaps.  A text
-    whose windows have distinct hashes holds no equal ones and is not sorted.
+    A text whose windows have distinct hashes holds no equal ones.  In others
+    the hashes are sorted, each with its position; windows whose hash stands
+    alone are done.  The rest become strings ``w1 .. wn\\n<position>`` and are
+    sorted; equal windows are then neighbours (words hold neither blank nor
+    newline), and the union of the positions they cover is summed from the
+    gaps.
     """
-    size = F.size(words)
-    hashes = F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i: F.xxhash64(*[
-        F.get(F.col(words), i + (k - 1)) for k in range(n)]))
-    repeats = F.transform(F.array(hashes), lambda h: F.size(F.array_distinct(h)) < F.size(h))[0]
-    tagged = F.transform(
-        F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))),
-        lambda i: F.concat(F.array_join(F.slice(words, i, n), " "), F.lit("\n"), i.cast("string")))
+    # 33 bits of the hash, 31 of the position: chance meetings cost a string only.
+    sorted_ = F.sort_array(F.transform(hashes, lambda h, i: F.shiftleft(h, 31).bitwiseOR(i.cast("long"))))
+    key = lambda x: F.shiftright(x, 31)
+    met = F.transform(F.array(sorted_), lambda s: F.filter(s, lambda x, i: (key(x) == key(F.get(s, i - 1)))
+                                                           | (key(x) == key(F.get(s, i + 1)))))[0]
+    place = lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    tagged = F.transform(met, lambda x: F.concat(
+        F.concat_ws(" ", *[F.get(F.col(words), place(x) + k) for k in range(n)]), F.lit("\n"), place(x).cast("string")))
     ordered = F.sort_array(tagged)
     window = lambda s: F.substring_index(s, "\n", 1)
     at = lambda s: F.substring_index(s, "\n", -1).cast("int")
@@ -121,7 +130,8 @@ def _repeat_words(words: str, n: int = 5) -> Column:
     covered = F.transform(F.array(starts), lambda p: F.aggregate(
         F.zip_with(p, F.slice(p, 2, F.size(p) + 1), lambda a, b: F.least(F.lit(n), F.coalesce(b - a, F.lit(n)))),
         F.lit(0), lambda acc, x: acc + x))[0]
-    return F.when((size >= n) & repeats, covered).otherwise(F.lit(0)).cast("long")
+    repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    return F.when((F.size(words) >= n) & repeats, covered).otherwise(F.lit(0)).cast("long")
 
 
 def _tag(lang_col: str) -> Column:
@@ -130,19 +140,17 @@ def _tag(lang_col: str) -> Column:
 
 
 def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with ``__lang, __tag, __classes, __common``: counts per
-    character class (of word characters) and per common word.  ``__tag`` is
-    the language where it has no fixed reference, null elsewhere."""
+    """``docs``, the output of ``with_base_counts``, with ``__lang, __tag,
+    __classes, __common``: counts per character class (of word characters) and
+    per common word.  ``__tag`` is the language where it has no fixed
+    reference, null elsewhere."""
     t = _text(text_col)
     common = F.filter(F.transform(_words(F.lower(t)), lambda w: F.rtrim(w, F.lit(MARKS))),
                       lambda w: w.isin(COMMON_WORDS))
-    d = _computed(docs, __ink=F.translate(t, SPACES, ""), __hits=F.sort_array(common))
-    # Of what is left without a-z, a small part, the other classes are counted.
-    d = _computed(d, __rest=F.regexp_replace("__ink", "[a-z]+", ""))
-    n, rest, left = F.length("__ink"), F.col("__rest"), F.length("__rest")
+    d = _computed(docs, __hits=F.sort_array(common))
+    n, rest, left = F.col("word_chars"), F.col("__rest"), F.length("__rest")
     d = _computed(d, __parts=F.array(
-        n, n - left, left - _without(rest, "A-Z"), left - _without(rest, "0-9"), _without(rest, r"\x00-\x7F"),
-        left - F.length(F.translate(rest, SYMBOLS, ""))))
+        n, n - left, left - _without(rest, "A-Z"), left - _without(rest, "0-9"), _without(rest, r"\x00-\x7F"), F.col("n_symbols")))
     p = F.col("__parts")
     tag = _tag(lang_col)
     lang = F.when(tag.isin(*CLASSES_PER_THOUSAND), tag).otherwise(F.lit(OTHER))
@@ -159,7 +167,7 @@ def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     counts = F.array(*[F.coalesce(F.try_element_at("__runs", F.lit(w)), F.lit(0)).cast("double")
                        for w in COMMON_WORDS])
     d = _computed(d, __lang=lang, __tag=F.when(folded, tag), __classes=classes, __common=counts)
-    return d.drop("__ink", "__rest", "__parts", "__hits", "__runs")
+    return d.drop("__rest", "__parts", "__hits", "__runs")
 
 
 def references(spark: SparkSession) -> DataFrame:
@@ -217,17 +225,21 @@ def with_distances(hist: DataFrame, own: DataFrame) -> DataFrame:
 
 
 def with_base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the base rule's counts."""
+    """``docs`` with the base rule's counts, and ``__rest``, the characters of
+    words other than a-z, for ``histograms``."""
     t = _text(text_col)
     docs = _computed(docs, __words=_words(t))
-    lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    docs = _computed(docs, __ink=F.array_join("__words", ""), __hashes=_window_hashes("__words"))
+    # Of what is left without a-z, a small part, symbols and other classes are counted.
+    docs = _computed(docs, __rest=F.regexp_replace("__ink", "[a-z]+", ""))
+    lines = F.filter(F.split(t, "\n", -1), lambda x: F.ltrim(x, F.lit(SPACES)) != "")
     return _computed(
         docs,
         n_words=F.size("__words").cast("long"),
-        word_chars=F.length(F.translate(t, SPACES, "")).cast("long"),
-        n_symbols=(F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
+        word_chars=F.length("__ink").cast("long"),
+        n_symbols=(F.length("__rest") - F.length(F.translate("__rest", SYMBOLS, ""))).cast("long"),
         n_dup_lines=F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long"),
-        n_repeat_words=_repeat_words("__words")).drop("__words")
+        n_repeat_words=_repeat_words("__words", "__hashes")).drop("__words", "__ink", "__hashes")
 
 
 def base_failed() -> Column:
