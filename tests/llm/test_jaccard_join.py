@@ -174,3 +174,57 @@ def test_released_tables_leave_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not held() & new
     assert table.count() == 5000
+
+
+def test_sketches_sort_out_unlike_pairs_before_texts_move(spark, monkeypatch):
+    prepare(spark)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(40):  # pairs at 0.6, and each with a copy at 0.9
+        at = rng.randrange(0, 260)
+        own = base[:at] + [f"x{i}_{k}" for k in range(35)] + base[at + 35:]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join([*own, *(f"y{i}_{k}" for k in range(9))]))]
+    asked = []
+    verified = jj._verified
+
+    def counted(pairs, texts, similarity):
+        asked.append([(r.a, r.b) for r in pairs.select("a", "b").collect()])
+        return verified(pairs, texts, similarity)
+
+    monkeypatch.setattr(jj, "_verified", counted)
+    tables = []
+    written = jj.written
+    monkeypatch.setattr(jj, "written", lambda df, name: tables.append((name, written(df, name))) or tables[-1][1])
+    got = {r.doc_id: r.component_id for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows) and all(got[2 * i + 1] == got[2 * i] for i in range(40))
+    tried = dict(tables)["hub-pairs"].select("a", "b").distinct().count()
+    assert tried > 200 and sum(map(len, asked[1:])) < 0.3 * (tried - len(asked[0]))
+
+
+def test_texts_few_pairs_ask_for_are_picked_before_the_shuffle(spark):
+    prepare(spark)
+    texts = jj.written(spark.range(200).selectExpr("id as node", "repeat(concat('w', id, ' '), 20) as _text", "1L as n"), "texts")
+    pairs = jj.written(spark.createDataFrame([(1, 2), (3, 4)], "a long, b long"), "pairs")
+    plan_ = jj._verified(pairs, texts, SIMILARITY)._jdf.queryExecution().executedPlan().toString()
+    assert plan_.count("LeftSemi") == 2 and plan_.count("BroadcastHashJoin") == 2
+
+
+@pytest.mark.parametrize("size", [1, 3, 40, 900])
+def test_sketches_leave_all_links_possible(spark, size):
+    prepare(spark)
+    rng = np.random.default_rng(size)
+    made, pairs, links = [], [], []
+    for i in range(60):
+        a = rng.integers(0, 2 ** 63, size, dtype=np.uint64)
+        gone = rng.integers(0, max(1, size // 4) + 1)
+        b = np.concatenate([a[gone:], rng.integers(0, 2 ** 63, rng.integers(0, size // 4 + 1), dtype=np.uint64)])
+        for k, h in ((2 * i, a), (2 * i + 1, b)):
+            made.append((k, len(h), bytearray(sketch(h, 1).tobytes())))
+        pairs.append((2 * i, 2 * i + 1))
+        links += [pairs[-1]] * bool(jj.linked(np.sort(a), np.sort(b), SIMILARITY))
+    sizes = spark.createDataFrame(made, "node long, n long, sketch binary")
+    others = [(2 * i, 2 * i + 2) for i in range(59)]
+    got = {(r.a, r.b) for r in jj._possible(spark.createDataFrame(pairs + others, "a long, b long"), sizes, SIMILARITY).collect()}
+    assert links and got >= set(links)
+    assert size < 900 or not got & set(others)

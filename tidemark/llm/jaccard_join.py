@@ -31,6 +31,8 @@ component of each document.  No link between different sets is lost.
    the other members of a signature is finished: small groups by their pairs,
    larger ones in blocks, where only pairs pass whose parity sketches (an
    element flips one bit, so sketches never differ more than sets) may link.
+   Sketches also sort out most pairs with other hubs and of small groups
+   before their texts are shuffled.
 6. Links are verified by the sets' sizes and their intersection, from 64-bit
    shingle hashes of whole texts.  Components come from minimum and shortcut
    steps over written tables.
@@ -308,10 +310,11 @@ def _sized(small: Column, large: Column, similarity: tuple[int, int]) -> Column:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """The pairs ``a, b`` that link."""
-    # Candidates grow with the data: never broadcast their texts.
-    side = lambda x: texts.select(F.col("node").alias(x), F.col("_text").alias(f"text_{x}"),
-                                  F.col("n").alias(f"n_{x}")).hint("merge")
+    """The pairs ``a, b``, a written table, that link."""
+    # Candidates grow with the data: never broadcast their texts.  Texts that
+    # few pairs ask for are picked before they are shuffled.
+    side = lambda x: texts.join(pairs.select(F.col(x).alias("node")).distinct(), "node", "left_semi") \
+        .select(F.col("node").alias(x), F.col("_text").alias(f"text_{x}"), F.col("n").alias(f"n_{x}")).hint("merge")
     rows = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b") \
         .filter(_sized(F.col("n_a"), F.col("n_b"), similarity)).select("a", "b", "text_a", "text_b")
 
@@ -331,10 +334,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -
 
 
 # --------------------------------------------------------------------- leftovers
-def sketch(h: np.ndarray) -> np.ndarray:
+def sketch(h: np.ndarray, times: int = 4) -> np.ndarray:
     """Parity sketch of a set: element ``e`` flips bit ``e mod width``; the
-    width is the power of two from four times the size on."""
-    width = 1 << max(6, int(4 * len(h) - 1).bit_length())
+    width is the power of two from ``times`` the size on."""
+    width = 1 << max(6, int(times * len(h) - 1).bit_length())
     bits = np.bincount((mix(h) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
@@ -347,23 +350,43 @@ def fold(s: np.ndarray, words: int) -> np.ndarray:
     return s
 
 
-def _sketches(texts: DataFrame) -> DataFrame:
+def _sketches(texts: DataFrame, times: int = 4) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, off, body in slices(batch, "_text"):
                 first, h = sets(off, body)
-                made = [sketch(h[first[k]:first[k + 1]]).tobytes() for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(made, pa.binary())],
-                                                 names=["node", "sketch"])
+                made = [sketch(h[first[k]:first[k + 1]], times).tobytes() for k in range(j - i)]
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[:2]), pa.array(made, pa.binary())],
+                                                 names=["node", "n", "sketch"])
 
-    return texts.select("node", "_text").mapInArrow(run, "node long, sketch binary")
+    return texts.select("node", "n", "_text").mapInArrow(run, "node long, n long, sketch binary")
+
+
+def _possible(pairs: DataFrame, sizes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs ``a, b`` that ``sizes`` (``node, n, sketch``) leave possible."""
+    side = lambda x: sizes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
+                                  F.col("sketch").alias(f"s_{x}")).hint("merge")
+    rows = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b") \
+        .filter(_sized(F.col("n_a"), F.col("n_b"), similarity)).select("a", "b", "n_a", "n_b", "s_a", "s_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = [may_differ(n, similarity) for n in (batch.column(2).to_numpy() + batch.column(3).to_numpy()).tolist()]
+            ok = np.zeros(batch.num_rows, bool)
+            for k, both in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())):
+                x, y = (np.frombuffer(b, "<u8") for b in both)
+                words = min(len(x), len(y))
+                ok[k] = np.bitwise_count(fold(x, words) ^ fold(y, words)).sum(dtype=np.int64) <= most[k]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(ok))
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _in_blocks(rows: DataFrame, sizes: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs ``a, b`` of large groups that their sketches leave possible."""
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("load") / BLOCK_SHINGLES)).cast("int")
     rows = rows.join(sizes.select("sig", blocks.alias("blocks")), "sig")
-    made = written(_sketches(texts.join(rows.select("node").distinct().hint("merge"), "node")), "block-sketches")
+    made = written(_sketches(texts.join(rows.select("node").distinct().hint("merge"), "node")).drop("n"), "block-sketches")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .join(made.hint("merge"), "node") \
@@ -450,7 +473,10 @@ def _links(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int], el
                     "hub-pairs")
     nearest = tried.groupBy("node").agg(F.max(F.struct("times", "hub"))["hub"].alias("hub")) \
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    nearest = written(nearest, "nearest-pairs")
     edges = written(_verified(nearest, some, similarity), "edges")
+    _release(edges)
+    sizes = written(_sketches(some, 1), "sketches")
     for step in ("hubs", "leftovers"):
         classes = components(edges)
         if step == "hubs":
@@ -458,6 +484,8 @@ def _links(texts: DataFrame, common: np.ndarray, similarity: tuple[int, int], el
             rest = _with_class(_with_class(rest, classes, "a", "ca"), classes, "b", "cb").filter("ca <> cb")
         else:
             rest = _leftovers(shared, tried.select("a", "b").distinct(), classes, some, similarity)
+        rest = written(_possible(rest, sizes, similarity), "possible-pairs")
+        _release(rest)
         edges = edges.unionByName(written(_verified(rest, some, similarity), "edges"))
     return components(edges)
 
