@@ -518,3 +518,84 @@ def test_quality_judges_words_of_every_language(spark):
     said = con.execute(ORACLE_SQL["op7_quality_rules"])
     names = [c[0] for c in said.description]
     assert {r[names.index("doc_id")]: dict(zip(names, r)) for r in said.fetchall()} == {d: r.asDict() for d, r in got.items()}
+
+
+def quality_distances(rows):
+    """Base verdict and both distances of each row by brute force."""
+    def distance(a, b, least):
+        if sum(a) < least or sum(b) == 0:
+            return 0.0
+        p, q = [x / sum(a) for x in a], [x / sum(b) for x in b]
+        part = lambda x, y: x * np.log2(x / ((x + y) / 2)) / 2 if x > 0 else 0.0
+        return round(float(np.sqrt(max(0.0, sum(part(x, y) + part(y, x) for x, y in zip(p, q))))), 6)
+
+    made, own = [], {}
+    for _, text, lang in rows:
+        tag = re.split("[-_]", lang or "")[0].lower()
+        fixed = tag in quality.CLASSES_PER_THOUSAND
+        ink = "".join(WORD.findall(text or ""))
+        wide = sum(ord(c) > 127 for c in ink)
+        classes = [sum("a" <= c <= "z" for c in ink), sum("A" <= c <= "Z" for c in ink), sum("0" <= c <= "9" for c in ink), wide,
+                   sum(c in "#*$%&|<>" for c in ink)]
+        classes.append(len(ink) - sum(classes))
+        if not fixed:
+            classes[0], classes[3] = classes[0] + wide, 0
+        hits = Counter(w.rstrip(".,;:!?") for w in WORD.findall((text or "").lower()))
+        common = [hits[w] for w in quality.COMMON_WORDS]
+        prose = (quality.CLASSES_PER_THOUSAND.get(tag, quality.OTHER_CLASSES),
+                 [quality.COMMON_PER_THOUSAND.get(tag, {}).get(w, 0) for w in quality.COMMON_WORDS])
+        c = base_counts(text)
+        failed = c[0] < 10 or 100 * c[4] > 20 * c[0]
+        far = [distance(classes, prose[0], 200), distance(common, prose[1], 40)]
+        made.append((tag, failed, classes, common, far))
+        if not failed and far[0] <= 0.33 and far[1] <= 0.75:
+            sums = own.setdefault(tag, ([0] * 6, [0] * len(common)))
+            for total, counts, least in zip(sums, (classes, common), (200, 40)):
+                total[:] = [t + 10 ** 9 * x // max(sum(counts), least) for t, x in zip(total, counts)]
+    return [(failed, max(far[0], distance(classes, own.get(tag, ([0], [0]))[0], 200)), max(far[1], distance(common, own.get(tag, ([0], [0]))[1], 40)))
+            for tag, failed, classes, common, far in made]
+
+
+def test_quality_compares_every_language_with_the_whole_table(spark):
+    """Both histograms of every language are compared with the table's own
+    documents too: code, filter and SQL say what brute force says."""
+    import duckdb
+    from tidemark.llm.oracle import ORACLE_SQL
+
+    rng = random.Random(9)
+    word = lambda caps=0.0: "".join(rng.choice("abdeilmnorstu").upper() if rng.random() < caps else rng.choice("abdeilmnorstu") for _ in range(6))
+    text = lambda common, n, caps=0.0: " ".join(rng.choice(common) if i % 2 else word(caps) for i in range(n))
+    usual, other, german = ["the", "of", "the"], ["and", "to", "in", "is", "that"], ["der", "die", "und"]
+    rows = [(i, text(usual, 300), ["en", "EN-gb", "en_US"][i % 3]) for i in range(30)]
+    rows += [(i, text(german, 300), "de") for i in range(30, 36)] + [(i, text(usual, 30), "en") for i in range(40, 50)]
+    rows += [(100, text(other, 300), "en"), (101, text(usual, 300, 0.37), "en"), (102, text(other, 300), "nl"), (103, text(usual, 300, 0.37), None),
+             (104, None, "en"), (105, "", None), (106, text(usual, 300), ""), (None, text(usual, 300), "en"), (1, text(german, 300), "en"), (0, *rows[0][1:])]
+    # Junk of ever new words and symbols, which the base rule keeps, in four times the clean documents' number.
+    junk = [(1000 + i, " ".join(f"{rng.choice('#$%&')}{rng.random()}" for _ in range(120)), "en") for i in range(120)]
+    names = "doc_id long, text string, lang string"
+    verdicts = {}
+    for mixed in (False, True):
+        every = rows + junk if mixed else rows
+        df = spark.createDataFrame(every, names).repartition(3)
+        got = quality.quality_rules(df).collect()
+        plain = lambda rs: Counter((d, bool(failed), round(a, 5), round(b, 5)) for d, failed, a, b in rs)
+        want = quality_distances(every)
+        assert plain((r.doc_id, r.base_failed, r.class_distance, r.word_distance) for r in got) == plain((x[0], *y) for x, y in zip(every, want))
+        assert all(r.kept == (not r.base_failed and r.class_distance <= 0.33 and r.word_distance <= 0.75) for r in got)
+        verdicts[mixed] = Counter((r.doc_id, r.kept, r.class_distance, r.word_distance) for r in got if (r.doc_id or 0) < 1000)
+        assert not any(r.kept for r in got if (r.doc_id or 0) >= 1000)
+    assert verdicts[False] == verdicts[True]
+    alone = {r.doc_id: r for r in got}
+    assert all(alone[i].kept for i in [*range(2, 36), *range(40, 50), 102, 103, 106])
+    # Everyday prose by the fixed values, but far from this table's.
+    assert not alone[100].kept and alone[100].word_distance > 0.75 and not alone[101].kept and alone[101].class_distance > 0.33
+    left = quality.quality_filter(df.withColumn("nothing", F.lit(None)))
+    assert dict(left.dtypes)["nothing"] == "void" and Counter(r.doc_id for r in left.collect()) == Counter(r.doc_id for r in got if r.kept)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [r for r in every if r[0] not in (0, 1)])  # by id the SQL joins
+    said = con.execute(ORACLE_SQL["op7_quality_rules"])
+    cols = [c[0] for c in said.description]
+    found = {r[cols.index("doc_id")]: dict(zip(cols, r)) for r in said.fetchall()}
+    apart = quality.quality_rules(df.filter("doc_id is null or doc_id > 1")).collect()
+    assert found == {r.doc_id: r.asDict() for r in apart}

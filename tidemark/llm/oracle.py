@@ -77,7 +77,9 @@ def _quality() -> str:
     common = lambda k: [quality.COMMON_PER_THOUSAND.get(k, {}).get(w, 0) for w in COMMON_WORDS]
     refs = ", ".join(f"('{k}', {c}::DOUBLE[], {common(k)}::DOUBLE[])" for k, c in
                      [*quality.CLASSES_PER_THOUSAND.items(), (quality.OTHER, quality.OTHER_CLASSES)])
-    own = ", ".join(f"sum({quality.SHARE} * com[{i}]::BIGINT // list_sum(com)::BIGINT)" for i in range(1, len(COMMON_WORDS) + 1))
+    shares = lambda c, n, least: "[" + ", ".join(
+        f"sum({quality.SHARE} * {c}[{i}]::BIGINT // greatest(list_sum({c}), {least})::BIGINT)" for i in range(1, n + 1)) + "]::DOUBLE[]"
+    far = lambda a, b, least: f"CASE WHEN list_sum({a}) >= {least} AND list_sum({b}) > 0 THEN {_distance(a, b)} ELSE 0.0 END"
     return f"""
 WITH {WORDS},
 windows AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM words),
@@ -85,7 +87,7 @@ repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i,
   count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 4], ' ')) AS n FROM windows) WHERE n > 1),
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, range(0, 5) AS r(k) GROUP BY doc_id),
 inked AS (SELECT doc_id, CASE WHEN l IN ({known}) THEN l ELSE '{quality.OTHER}' END AS lang,
-  CASE WHEN l IN ({known}) THEN NULL ELSE l END AS tag, t, ws, translate(t, {SPACE}, '') AS ink,
+  l AS tag, t, ws, translate(t, {SPACE}, '') AS ink,
   list_filter(list_transform(list_filter(regexp_split_to_array(lower(t), '{GAP}'), lambda x: x <> ''),
     lambda x: rtrim(x, '{MARKS}')), lambda x: x IN ({bins})) AS hits,
   list_filter(string_split(t, chr(10)), lambda x: translate(x, {SPACE}, '') <> '') AS lines
@@ -101,13 +103,14 @@ hist AS (SELECT doc_id, lang, tag, len(ws)::BIGINT AS n_words, n::BIGINT AS word
 refs(lang, rcls, rcom) AS (VALUES {refs}),
 based AS (SELECT h.*, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
   n_words < 10 OR 100 * coalesce(c.n, 0) > 20 * n_words AS base_failed FROM hist h LEFT JOIN covered c ON c.doc_id = h.doc_id),
-own AS (SELECT tag, [{own}]::DOUBLE[] AS ocom FROM based
-  WHERE list_sum(com) >= {MIN_COMMON} AND tag IS NOT NULL AND NOT base_failed GROUP BY tag),
-compared AS (SELECT b.*, rcls, coalesce(ocom, rcom) AS rcom FROM based b JOIN refs USING (lang) LEFT JOIN own USING (tag)),
+judged AS (SELECT b.*, {far('cls', 'rcls', MIN_CHARS)} AS fixed_class, {far('com', 'rcom', MIN_COMMON)} AS fixed_word
+  FROM based b JOIN refs USING (lang)),
+own AS (SELECT tag, {shares('cls', len(quality.OTHER_CLASSES), MIN_CHARS)} AS ocls, {shares('com', len(COMMON_WORDS), MIN_COMMON)} AS ocom
+  FROM judged WHERE NOT base_failed AND fixed_class <= {MAX_CLASS_DISTANCE} AND fixed_word <= {MAX_WORD_DISTANCE} GROUP BY tag),
 ruled AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  CASE WHEN list_sum(cls) >= {MIN_CHARS} THEN {_distance('cls', 'rcls')} ELSE 0.0 END AS class_distance,
-  CASE WHEN list_sum(com) >= {MIN_COMMON} AND list_sum(rcom) > 0 THEN {_distance('com', 'rcom')} ELSE 0.0 END AS word_distance, base_failed
-  FROM compared)
+  greatest(fixed_class, {far('cls', 'ocls', MIN_CHARS)}) AS class_distance,
+  greatest(fixed_word, {far('com', 'ocom', MIN_COMMON)}) AS word_distance, base_failed
+  FROM judged LEFT JOIN own USING (tag))
 SELECT *, NOT base_failed AND class_distance <= {MAX_CLASS_DISTANCE} AND word_distance <= {MAX_WORD_DISTANCE} AS kept
 FROM ruled"""
 
